@@ -416,6 +416,466 @@ SELECT event_type, 'BR-08-events' AS rule_id,
 """
 
 
+
+# --------------------------------------------------------------------------
+# checkpoint: several suites in one plan
+# --------------------------------------------------------------------------
+
+CHECKPOINT_COLS = ["batch_identifier", "suite", "expectation_index", "expectation_type",
+                   "column_name", "success", "element_count", "missing_count",
+                   "unexpected_count", "unexpected_percent"]
+
+
+def _validations(spark, d):
+    return [
+        ("orders", table(spark, d, "orders"), "orders_suite", [
+            ex.not_null("o_orderkey"), ex.unique("o_orderkey"),
+            ex.compound_unique(["o_custkey", "o_orderdate"]),
+            ex.in_set("o_orderpriority", PRIORITIES), ex.between("o_totalprice", 0, None)]),
+        ("lineitem", table(spark, d, "lineitem"), "lineitem_suite", [
+            ex.between("l_discount", 0.01, 0.05),
+            ex.between("l_shipdate", ex.Param("min_order_date"), ex.Param("max_order_date")),
+            ex.compound_unique(["l_orderkey", "l_linenumber"]), ex.not_null("l_returnflag"),
+            ex.in_set("l_linestatus", ["O", "F"])]),
+        ("documents", _docs_labeled(spark, d), "documents_suite", [
+            ex.not_null("quality"), ex.in_set("lang", ["en", "de", "fr", "es"]),
+            ex.unique("doc_id")]),
+    ]
+
+
+def q_expectation_results(spark, d):
+    r = ex.run_checkpoint(_validations(spark, d), _order_date_params(spark, d))
+    return r.select(*CHECKPOINT_COLS)
+
+
+def q_suite_stats(spark, d):
+    r = ex.run_checkpoint(_validations(spark, d), _order_date_params(spark, d))
+    return ex.suite_statistics(r)
+
+
+_CHECKPOINT_TABLES = {
+    "orders": "orders", "lineitem": "lineitem",
+    "documents": "(SELECT d.doc_id, d.lang, d.text, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)",
+}
+_CHECKPOINT_SPECS = [
+    ("orders", "orders_suite", [
+        ("not_null", "o_orderkey", None), ("unique", "o_orderkey", None),
+        ("compound", "o_custkey, o_orderdate", None),
+        ("in_set", "o_orderpriority", "o_orderpriority NOT IN ('1-URGENT', '2-HIGH')"),
+        ("between", "o_totalprice", "o_totalprice < 0")]),
+    ("lineitem", "lineitem_suite", [
+        ("between", "l_discount", "l_discount < CAST(0.01 AS DOUBLE) OR l_discount > CAST(0.05 AS DOUBLE)"),
+        ("between", "l_shipdate", "l_shipdate < (SELECT min(o_orderdate) FROM orders) OR l_shipdate > (SELECT max(o_orderdate) FROM orders)"),
+        ("compound", "l_orderkey, l_linenumber", None), ("not_null", "l_returnflag", None),
+        ("in_set", "l_linestatus", "l_linestatus NOT IN ('O', 'F')")]),
+    ("documents", "documents_suite", [
+        ("not_null", "quality", None), ("in_set", "lang", "lang NOT IN ('en', 'de', 'fr', 'es')"),
+        ("unique", "doc_id", None)]),
+]
+_ETYPE = {"not_null": "expect_column_values_to_not_be_null", "unique": "expect_column_values_to_be_unique",
+          "compound": "expect_compound_columns_to_be_unique", "in_set": "expect_column_values_to_be_in_set",
+          "between": "expect_column_values_to_be_between"}
+
+
+def _expectation_sql(batch: str, suite: str, idx: int, kind: str, column: str, bad: str | None) -> str:
+    t = _CHECKPOINT_TABLES[batch]
+    head = f"SELECT '{batch}' AS batch_identifier, '{suite}' AS suite, {idx} AS expectation_index, " \
+           f"'{_ETYPE[kind]}' AS expectation_type, '{column.replace(' ', '')}' AS column_name, "
+    if kind == "not_null":
+        return head + f"""un = 0 AS success, el AS element_count, CAST(NULL AS BIGINT) AS missing_count,
+  un AS unexpected_count, {_pct_sql('un', 'el')} AS unexpected_percent
+FROM (SELECT count(*) AS el, count(*) FILTER (WHERE {column} IS NULL) AS un FROM {t}) m"""
+    if kind in ("unique", "compound"):
+        keys = [k.strip() for k in column.split(",")]
+        miss = (" AND " if kind == "compound" else " OR ").join(f"{k} IS NULL" for k in keys)
+        return head + f"""un = 0 AS success, el AS element_count, mi AS missing_count,
+  un AS unexpected_count, {_pct_sql('un', 'el - mi')} AS unexpected_percent
+FROM (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS el,
+             CAST(coalesce(sum(n) FILTER (WHERE {miss}), 0) AS BIGINT) AS mi,
+             CAST(coalesce(sum(n) FILTER (WHERE NOT ({miss}) AND n > 1), 0) AS BIGINT) AS un
+      FROM (SELECT {column}, count(*) AS n FROM {t} GROUP BY {column}) g) m"""
+    return head + f"""un = 0 AS success, el AS element_count, mi AS missing_count,
+  un AS unexpected_count, {_pct_sql('un', 'el - mi')} AS unexpected_percent
+FROM (SELECT count(*) AS el, count(*) FILTER (WHERE {column} IS NULL) AS mi,
+             count(*) FILTER (WHERE {column} IS NOT NULL AND ({bad})) AS un FROM {t}) m"""
+
+
+SQL_EXPECTATION_RESULTS = "\nUNION ALL\n".join(
+    _expectation_sql(batch, suite, i, kind, col, bad)
+    for batch, suite, specs in _CHECKPOINT_SPECS for i, (kind, col, bad) in enumerate(specs))
+
+SQL_SUITE_STATS = f"""
+WITH r AS ({SQL_EXPECTATION_RESULTS})
+SELECT suite, count(*) AS evaluated_expectations,
+       count(*) FILTER (WHERE success) AS successful_expectations,
+       count(*) FILTER (WHERE NOT success) AS unsuccessful_expectations,
+       {_pct_sql('count(*) FILTER (WHERE success)', 'count(*)')} AS success_percent,
+       bool_and(success) AS success
+FROM r GROUP BY suite
+"""
+
+
+def q_partial_unexpected_priority(spark, d):
+    e = ex.in_set("o_orderpriority", PRIORITIES)
+    pl = ex.partial_unexpected(table(spark, d, "orders"), [(0, e)], {}, ())
+    return pl.select(F.posexplode("partial_unexpected_counts").alias("pos", "x")).select(
+        (F.col("pos") + 1).alias("rank"), F.col("x.value").alias("value"), F.col("x.count").alias("count"))
+
+
+SQL_PARTIAL_UNEXPECTED_PRIORITY = """
+SELECT CAST(row_number() OVER (ORDER BY count DESC, value ASC NULLS FIRST) AS INTEGER) AS rank, value, count
+FROM (SELECT o_orderpriority AS value, count(*) AS count FROM orders
+      WHERE o_orderpriority IS NOT NULL AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
+      GROUP BY o_orderpriority) v
+QUALIFY rank <= 20
+"""
+
+
+# --------------------------------------------------------------------------
+# outcome table of one gate run over the driver tables
+# --------------------------------------------------------------------------
+
+def q_freshness_events(spark, d):
+    r = business.evaluate_freshness(table(spark, d, "events"), reference_ts=FRESHNESS_REF,
+                                    timestamp_column="ts", rule_id="BR-08")
+    return r.select(*CORE, "lag_hours_exact")
+
+
+SQL_FRESHNESS_EVENTS = f"""
+WITH l AS (SELECT greatest(0.0, CAST(epoch_us(TIMESTAMP '{FRESHNESS_REF}') - epoch_us(max(ts)) AS DOUBLE) / 3600000000.0) AS lag_hours_exact FROM events)
+SELECT 'BR-08' AS rule_id,
+       CASE WHEN lag_hours_exact <= 24 THEN 'Freshness is within allowed lag.'
+            WHEN lag_hours_exact <= 48 THEN 'Freshness crosses warning threshold.'
+            ELSE 'Freshness exceeds the critical lag threshold.' END AS description,
+       lag_hours_exact <= 24 AS passed,
+       CASE WHEN lag_hours_exact <= 24 THEN 'info' WHEN lag_hours_exact <= 48 THEN 'warning' ELSE 'critical' END AS severity,
+       lag_hours_exact FROM l
+"""
+
+_GATE_PARTS = [
+    (q_dup_lineitem_key, SQL_DUP_LINEITEM_KEY),
+    (q_uniqueness_multi, SQL_UNIQUENESS_MULTI),
+    (q_required_keys_events, SQL_REQUIRED_KEYS_EVENTS),
+    (q_dtype_audit_events, SQL_DTYPE_AUDIT_EVENTS),
+    (q_fk_orders_customer, SQL_FK_ORDERS_CUSTOMER),
+    (q_fk_documents_labels, SQL_FK_DOCUMENTS_LABELS),
+    (q_score_range_props, SQL_SCORE_RANGE_PROPS),
+    (q_date_window_orders, SQL_DATE_WINDOW_ORDERS),
+    (q_status_mapping, SQL_STATUS_MAPPING),
+    (q_freshness_events, SQL_FRESHNESS_EVENTS),
+]
+
+
+def gate_outcomes(spark, d) -> DataFrame:
+    """Outcome table of one gate run: every check above, in evaluation order."""
+    return union_outcomes([fn(spark, d) for fn, _ in _GATE_PARTS])
+
+
+SQL_GATE_OUTCOMES = "\nUNION ALL\n".join(
+    f"SELECT {i} AS seq, rule_id, description, passed, severity FROM ({sql}) s{i}"
+    for i, (_, sql) in enumerate(_GATE_PARTS))
+
+_SLUG_SQL = ("coalesce(nullif(regexp_replace(regexp_replace(replace(replace(lower(trim(rule_id)), '_', '-'), ' ', '-'), "
+             "'[^a-z0-9-]+', '', 'g'), '^-+|-+$', '', 'g'), ''), lower(rule_id))")
+_ROOT_CAUSE_SQL = """CASE
+  WHEN lower(rule_id) LIKE '%required-columns%' OR lower(rule_id) LIKE '%-dtype%' OR lower(rule_id) LIKE '%schema%' THEN 'schema_issue'
+  WHEN lower(rule_id) LIKE '%-uniqueness%' OR lower(rule_id) LIKE '%duplicate%' OR starts_with(lower(rule_id), 'br-09') THEN 'duplicate_record'
+  WHEN starts_with(lower(rule_id), 'br-07') OR lower(rule_id) LIKE '%fk%' OR lower(rule_id) LIKE '%integrity%' THEN 'integrity_issue'
+  WHEN starts_with(lower(rule_id), 'br-08') OR lower(rule_id) LIKE '%freshness%' THEN 'stale_data'
+  ELSE 'invalid_business_rule_state' END"""
+
+
+def q_outcome_payload(spark, d):
+    o = gate_outcomes(spark, d)
+    return o.select("seq", "rule_id", "passed", "severity", root_cause("rule_id").alias("root_cause"),
+                    slugify_rule_id("rule_id").alias("slug"),
+                    remediation_link("rule_id").alias("remediation_link"))
+
+
+SQL_OUTCOME_PAYLOAD = f"""
+WITH o AS ({SQL_GATE_OUTCOMES})
+SELECT seq, rule_id, passed, severity, {_ROOT_CAUSE_SQL} AS root_cause, {_SLUG_SQL} AS slug,
+       'docs/rule-severity-matrix.md#' || {_SLUG_SQL} AS remediation_link FROM o
+"""
+
+
+def q_validation_summary(spark, d):
+    return reporting.validation_summary(gate_outcomes(spark, d), include_rules=False)
+
+
+SQL_VALIDATION_SUMMARY = f"""
+WITH o AS ({SQL_GATE_OUTCOMES})
+SELECT count(*) AS rule_count, count(*) FILTER (WHERE NOT passed) AS failed_count FROM o
+"""
+
+
+def q_defect_counts(spark, d):
+    return reporting.defect_counts(gate_outcomes(spark, d))
+
+
+SQL_DEFECT_COUNTS = f"""
+WITH o AS ({SQL_GATE_OUTCOMES})
+SELECT {_ROOT_CAUSE_SQL} AS root_cause, count(*) AS defect_count FROM o WHERE NOT passed GROUP BY 1
+"""
+
+
+def q_release_decision(spark, d):
+    r = reporting.release_decision(gate_outcomes(spark, d))
+    return r.select("status", "decision_reason",
+                    F.concat_ws(",", "blocking_root_causes").alias("blocking_root_causes"),
+                    "failed_count", F.size("failed_rules").alias("failed_rule_entries"))
+
+
+SQL_RELEASE_DECISION = f"""
+WITH o AS ({SQL_GATE_OUTCOMES}),
+p AS (SELECT *, {_ROOT_CAUSE_SQL} AS root_cause FROM o),
+a AS (SELECT count(*) FILTER (WHERE NOT passed) AS failed_count,
+             count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS crit,
+             (SELECT rule_id FROM p WHERE NOT passed AND severity = 'critical' ORDER BY seq, rule_id LIMIT 1) AS first_crit,
+             coalesce(string_agg(DISTINCT root_cause, ',' ORDER BY root_cause) FILTER (WHERE NOT passed AND severity = 'critical'), '') AS causes
+      FROM p)
+SELECT CASE WHEN crit > 0 THEN 'Blocked' WHEN failed_count > 0 THEN 'Warning only' ELSE 'Ready' END AS status,
+       CASE WHEN crit > 0 THEN 'Critical failure ' || first_crit || ' blocks release.'
+            WHEN failed_count > 0 THEN 'Warnings or info-level defects were raised; release may proceed with caution.'
+            ELSE 'All validations passed; release is ready.' END AS decision_reason,
+       CASE WHEN crit > 0 THEN causes ELSE '' END AS blocking_root_causes,
+       failed_count, CAST(failed_count AS INTEGER) AS failed_rule_entries FROM a
+"""
+
+
+def q_severity_enrich(spark, d):
+    r = reporting.severity_enrich(gate_outcomes(spark, d))
+    return r.select("seq", "rule_id", "rule_family", "dimension", "matrix_severity")
+
+
+def _matrix_sql() -> str:
+    rows = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in reporting.SEVERITY_MATRIX)
+    return f"(VALUES {rows}) AS m(rule_family, dimension, matrix_severity)"
+
+
+SQL_SEVERITY_ENRICH = f"""
+WITH o AS ({SQL_GATE_OUTCOMES}),
+f AS (SELECT seq, rule_id, CASE WHEN len(string_split(rule_id, '-')) > 1
+                                THEN array_to_string(string_split(rule_id, '-')[1:2], '-') ELSE rule_id END AS rule_family FROM o)
+SELECT f.seq, f.rule_id, f.rule_family, m.dimension, m.matrix_severity
+FROM f LEFT JOIN {_matrix_sql()} ON f.rule_family = m.rule_family
+"""
+
+
+# --------------------------------------------------------------------------
+# many bundles in one job: each customer segment is a bundle
+# --------------------------------------------------------------------------
+
+SEGMENT = "c_mktsegment"
+
+
+def segment_outcomes(spark, d) -> DataFrame:
+    cust = table(spark, d, "customer")
+    g = [SEGMENT]
+    dup = duplicates.detect_duplicates(cust, ["c_name"], "customer-uniqueness-unique-1", group_cols=g)
+    rng = business.check_score_range(cust, "c_acctbal", "BR-04-acctbal", -999.99, 9950.0, group_cols=g)
+    suite = ex.run_suite(cust, "customer_suite", [ex.between("c_acctbal", 0, None, mostly=0.92)],
+                         group_cols=g)
+    exp = ex.expectation_outcomes(suite, group_cols=g)
+    return union_outcomes([dup, rng, exp], group_cols=g)
+
+
+def q_gate_status_by_segment(spark, d):
+    runs = table(spark, d, "customer").select(SEGMENT)
+    return reporting.gate_status(segment_outcomes(spark, d), [SEGMENT], runs=runs)
+
+
+SQL_GATE_STATUS_BY_SEGMENT = """
+WITH dup AS (SELECT c_mktsegment, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS dc
+             FROM (SELECT c_mktsegment, c_name, count(*) AS n FROM customer GROUP BY 1, 2) g GROUP BY 1),
+rng AS (SELECT c_mktsegment, count(*) FILTER (WHERE c_acctbal < -999.99 OR c_acctbal > 9950.0) AS oor FROM customer GROUP BY 1),
+mo AS (SELECT c_mktsegment, count(*) FILTER (WHERE c_acctbal IS NOT NULL) AS nm,
+              count(*) FILTER (WHERE c_acctbal IS NOT NULL AND c_acctbal < 0) AS un FROM customer GROUP BY 1),
+o AS (SELECT c_mktsegment, dc = 0 AS passed, 'critical' AS severity FROM dup
+      UNION ALL SELECT c_mktsegment, oor = 0, CASE WHEN oor = 0 THEN 'info' ELSE 'warning' END FROM rng
+      UNION ALL SELECT c_mktsegment,
+             CASE WHEN nm > 0 THEN CAST(nm - un AS DOUBLE) / CAST(nm AS DOUBLE) ELSE 1.0 END >= 0.92, 'critical' FROM mo)
+SELECT c_mktsegment, count(*) AS rule_count, count(*) FILTER (WHERE NOT passed) AS failed_count,
+       count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS critical_failed_count,
+       CASE WHEN count(*) FILTER (WHERE NOT passed AND severity = 'critical') > 0 THEN 'Blocked'
+            WHEN count(*) FILTER (WHERE NOT passed) > 0 THEN 'Warning only' ELSE 'Ready' END AS status
+FROM o GROUP BY c_mktsegment
+"""
+
+
+# --------------------------------------------------------------------------
+# contract operators (C1-C10) and the user rule hook
+# --------------------------------------------------------------------------
+
+def q_ship_before_order(spark, d):
+    r = contract.check_late_master(table(spark, d, "lineitem"), table(spark, d, "orders"),
+                                   key="l_orderkey", master_key="o_orderkey",
+                                   fact_time="l_shipdate", master_time="o_orderdate",
+                                   rule_id="BR-07-late-order")
+    return r.select(*CORE, "late_count", "matched_rows")
+
+
+SQL_SHIP_BEFORE_ORDER = """
+WITH m AS (SELECT count(*) FILTER (WHERE o.o_orderdate > l.l_shipdate) AS late_count, count(*) AS matched_rows
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT 'BR-07-late-order' AS rule_id,
+       CASE WHEN late_count = 0 THEN 'Master records precede their facts.' ELSE 'Master records were created after their facts.' END AS description,
+       late_count = 0 AS passed, CASE WHEN late_count = 0 THEN 'info' ELSE 'warning' END AS severity,
+       late_count, matched_rows FROM m
+"""
+
+
+def q_arrival_lag(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    r = contract.check_arrival_lag(j, received_col="l_shipdate", event_col="o_orderdate",
+                                   max_hours=24.0, rule_id="BR-08-arrival")
+    return r.select(*CORE, "late_rows", "row_count")
+
+
+SQL_ARRIVAL_LAG = """
+WITH m AS (SELECT count(*) FILTER (WHERE CAST(epoch_us(l.l_shipdate) - epoch_us(o.o_orderdate) AS DOUBLE) / 3600000000.0 > 24.0) AS late_rows,
+                  count(*) AS row_count
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT 'BR-08-arrival' AS rule_id,
+       CASE WHEN late_rows = 0 THEN 'Rows arrive within the allowed lag.' ELSE 'Rows arrive later than the allowed lag.' END AS description,
+       late_rows = 0 AS passed, CASE WHEN late_rows = 0 THEN 'info' ELSE 'warning' END AS severity,
+       late_rows, row_count FROM m
+"""
+
+
+def _order_intervals(spark, d):
+    last_ship = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return o.join(last_ship, o["o_orderkey"] == last_ship["l_orderkey"], "left").drop("l_orderkey")
+
+
+def q_overlapping_intervals(spark, d):
+    r = contract.check_overlapping_intervals(_order_intervals(spark, d), ["o_custkey"], "o_orderdate",
+                                             "last_ship", ["o_orderkey"], rule_id="BR-09-orders")
+    return r.select(*CORE, "overlap_count", "keys_with_overlap")
+
+
+SQL_OVERLAPPING_INTERVALS = """
+WITH iv AS (SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, l.last_ship FROM orders o
+            LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) l
+            ON o.o_orderkey = l.l_orderkey WHERE o.o_orderdate IS NOT NULL),
+w AS (SELECT o_custkey, o_orderdate,
+             max(last_ship) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max_end FROM iv),
+k AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderdate < prev_max_end) AS n FROM w GROUP BY o_custkey),
+m AS (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS overlap_count, count(*) FILTER (WHERE n > 0) AS keys_with_overlap FROM k)
+SELECT 'BR-09-orders' AS rule_id,
+       CASE WHEN overlap_count = 0 THEN 'No overlapping status intervals.' ELSE 'Overlapping status intervals found.' END AS description,
+       overlap_count = 0 AS passed, 'critical' AS severity, overlap_count, keys_with_overlap FROM m
+"""
+
+QUARANTINE_RULES_SQL = [
+    ("discount_range", "l_discount < 0.01 OR l_discount > 0.05"),
+    ("quantity_range", "l_quantity > 45"),
+    ("tax_missing", "l_tax IS NULL"),
+    ("return_flag_set", "l_returnflag NOT IN ('A', 'N', 'R')"),
+]
+
+
+def q_quarantine_lineitem(spark, d):
+    rules = {name: F.expr(cond) for name, cond in QUARANTINE_RULES_SQL}
+    _good, bad = contract.split_quarantine(table(spark, d, "lineitem"), rules)
+    return bad.select("l_orderkey", "l_linenumber", F.concat_ws(",", "violations").alias("violations"))
+
+
+SQL_QUARANTINE_LINEITEM = "SELECT l_orderkey, l_linenumber, violations FROM (SELECT l_orderkey, l_linenumber, concat_ws(',', " + ", ".join(
+    f"CASE WHEN coalesce({cond}, false) THEN '{name}' END" for name, cond in QUARANTINE_RULES_SQL) + \
+    ") AS violations FROM lineitem) q WHERE violations <> ''"
+
+CUSTOM_RULE_SQL = """
+SELECT 'EXTRA-01' AS rule_id, 'Every line item has a positive quantity.' AS description,
+       count_if(l_quantity <= 0) = 0 AS passed,
+       CASE WHEN count_if(l_quantity <= 0) = 0 THEN 'info' ELSE 'warning' END AS severity,
+       count_if(l_quantity <= 0) AS bad_rows
+FROM {lineitem}
+"""
+
+
+def q_custom_rule_sql(spark, d):
+    r = custom.run_rule(CUSTOM_RULE_SQL, {"lineitem": table(spark, d, "lineitem")}, spark)
+    return r.select(*CORE, "bad_rows")
+
+
+SQL_CUSTOM_RULE_SQL = CUSTOM_RULE_SQL.replace("{lineitem}", "lineitem")
+
+ORDERS_DEFINITION = schema.SchemaDefinition(
+    name="orders", file_name="orders.parquet",
+    required_columns=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"),
+    dtype_map={"o_orderkey": "Int64", "o_custkey": "Int64", "o_orderstatus": "string",
+               "o_totalprice": "float64", "o_orderdate": "datetime64[ns]"},
+    parse_dates=("o_orderdate",),
+    uniqueness_constraints=(("o_orderkey",), ("o_custkey", "o_orderdate")))
+
+
+def q_schema_definition_orders(spark, d):
+    _typed, outs = schema.apply_schema_definition(table(spark, d, "orders"), ORDERS_DEFINITION)
+    return union_outcomes(outs, with_seq=False).select(*CORE)
+
+
+SQL_SCHEMA_DEFINITION_ORDERS = """
+SELECT 'orders-required-columns' AS rule_id, 'All required columns are present.' AS description, true AS passed, 'critical' AS severity
+UNION ALL
+SELECT rule_id, description, passed, severity FROM (""" + _dup_sql("orders-uniqueness-unique-1", "o_orderkey", "orders") + """) a
+UNION ALL
+SELECT rule_id, description, passed, severity FROM (""" + _dup_sql("orders-uniqueness-unique-2", "o_custkey, o_orderdate", "orders") + """) b
+"""
+
+
+def q_optional_metadata_documents(spark, d):
+    r = contract.check_optional_metadata(_docs_labeled(spark, d), ["lang", "quality", "source"])
+    return r.select(*CORE, "column", "present", "non_null_count", "row_count", "non_null_ratio")
+
+
+SQL_OPTIONAL_METADATA_DOCUMENTS = """
+WITH j AS (SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+m AS (SELECT count(*) AS row_count, count(lang) AS nl, count(quality) AS nq FROM j),
+r AS (SELECT 'lang' AS "column", true AS present, nl AS non_null_count, row_count FROM m
+      UNION ALL SELECT 'quality', true, nq, row_count FROM m
+      UNION ALL SELECT 'source', false, CAST(NULL AS BIGINT), row_count FROM m)
+SELECT 'BR-10-' || "column" AS rule_id,
+       CASE WHEN coalesce(present AND non_null_count = row_count, false) THEN 'Optional metadata is present.'
+            ELSE 'Optional metadata is missing or incomplete.' END AS description,
+       coalesce(present AND non_null_count = row_count, false) AS passed, 'info' AS severity,
+       "column", present, non_null_count, row_count,
+       CASE WHEN row_count > 0 THEN CAST(non_null_count AS DOUBLE) / CAST(row_count AS DOUBLE) END AS non_null_ratio
+FROM r
+"""
+
+
+def q_value_set_role(spark, d):
+    r = contract.check_value_set(table(spark, d, "conversations"), "role", ["user", "assistant"],
+                                 "BR-05-role-set")
+    return r.select(*CORE, "unexpected_count")
+
+
+SQL_VALUE_SET_ROLE = """
+WITH m AS (SELECT count(*) FILTER (WHERE role IS NOT NULL AND role NOT IN ('user', 'assistant')) AS unexpected_count FROM conversations)
+SELECT 'BR-05-role-set' AS rule_id,
+       CASE WHEN unexpected_count = 0 THEN 'All role values are in the allowed set.' ELSE 'role has values outside the allowed set.' END AS description,
+       unexpected_count = 0 AS passed, CASE WHEN unexpected_count = 0 THEN 'info' ELSE 'warning' END AS severity,
+       unexpected_count FROM m
+"""
+
+
+def q_latest_turn_per_role(spark, d):
+    r = contract.keep_latest_per_level(table(spark, d, "conversations"), ["conv_id", "role"], "turn", [])
+    return r.select("conv_id", "role", "turn")
+
+
+SQL_LATEST_TURN_PER_ROLE = """
+SELECT conv_id, role, turn FROM (
+  SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC NULLS FIRST) AS rn
+  FROM conversations) WHERE rn = 1
+"""
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -440,6 +900,25 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "status_mapping": (q_status_mapping, SQL_STATUS_MAPPING),
     "status_mapping_sample": (q_status_mapping_sample, SQL_STATUS_MAPPING_SAMPLE),
     "freshness_by_type": (q_freshness_by_type, SQL_FRESHNESS_BY_TYPE),
+    "freshness_events": (q_freshness_events, SQL_FRESHNESS_EVENTS),
+    "expectation_results": (q_expectation_results, SQL_EXPECTATION_RESULTS),
+    "suite_stats": (q_suite_stats, SQL_SUITE_STATS),
+    "partial_unexpected_priority": (q_partial_unexpected_priority, SQL_PARTIAL_UNEXPECTED_PRIORITY),
+    "outcome_payload": (q_outcome_payload, SQL_OUTCOME_PAYLOAD),
+    "validation_summary": (q_validation_summary, SQL_VALIDATION_SUMMARY),
+    "defect_counts": (q_defect_counts, SQL_DEFECT_COUNTS),
+    "release_decision": (q_release_decision, SQL_RELEASE_DECISION),
+    "severity_enrich": (q_severity_enrich, SQL_SEVERITY_ENRICH),
+    "gate_status_by_segment": (q_gate_status_by_segment, SQL_GATE_STATUS_BY_SEGMENT),
+    "ship_before_order": (q_ship_before_order, SQL_SHIP_BEFORE_ORDER),
+    "arrival_lag": (q_arrival_lag, SQL_ARRIVAL_LAG),
+    "overlapping_intervals": (q_overlapping_intervals, SQL_OVERLAPPING_INTERVALS),
+    "quarantine_lineitem": (q_quarantine_lineitem, SQL_QUARANTINE_LINEITEM),
+    "custom_rule_sql": (q_custom_rule_sql, SQL_CUSTOM_RULE_SQL),
+    "schema_definition_orders": (q_schema_definition_orders, SQL_SCHEMA_DEFINITION_ORDERS),
+    "optional_metadata_documents": (q_optional_metadata_documents, SQL_OPTIONAL_METADATA_DOCUMENTS),
+    "value_set_role": (q_value_set_role, SQL_VALUE_SET_ROLE),
+    "latest_turn_per_role": (q_latest_turn_per_role, SQL_LATEST_TURN_PER_ROLE),
 }
 
 

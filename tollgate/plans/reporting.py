@@ -54,6 +54,19 @@ def _order(outcomes: DataFrame) -> Column:
     return F.col("seq") if "seq" in outcomes.columns else F.lit(0)
 
 
+def _by_seq(arr: Column) -> Column:
+    """Sort payload structs by (seq, rule_id) and drop ``seq``.
+
+    Payloads hold the ``details`` map, which has no ordering, so the sort
+    uses an explicit comparator on the two order fields only.
+    """
+    def cmp(a, b):
+        return (F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1)
+                .when(a["rule_id"] < b["rule_id"], -1).when(a["rule_id"] > b["rule_id"], 1)
+                .otherwise(0))
+    return F.transform(F.array_sort(arr, cmp), lambda s: s.dropFields("seq"))
+
+
 def gate_status(outcomes: DataFrame, keys: Sequence[str] = (),
                 runs: DataFrame | None = None) -> DataFrame:
     """Blocked / Warning only / Ready per run. ``runs`` lists runs that must
@@ -77,8 +90,7 @@ def validation_summary(outcomes: DataFrame, keys: Sequence[str] = (),
     if include_rules:
         payload = F.struct(_order(p).alias("seq"), "rule_id", "description", "passed", "severity",
                            "root_cause", "remediation_link", "details")
-        aggs.append(F.transform(F.array_sort(F.collect_list(payload)),
-                                lambda s: s.dropFields("seq")).alias("rules"))
+        aggs.append(_by_seq(F.collect_list(payload)).alias("rules"))
     return p.groupBy(*keys).agg(*aggs)
 
 
@@ -95,7 +107,7 @@ def defect_summary(outcomes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
                        "root_cause", "remediation_link", "details")
     per_run = p.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("defect_count"),
-        F.transform(F.array_sort(F.collect_list(payload)), lambda s: s.dropFields("seq")).alias("defects"))
+        _by_seq(F.collect_list(payload)).alias("defects"))
     counts = defect_counts(outcomes, keys).groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("root_cause", "defect_count"))).alias("root_cause_counts"))
     if keys:
@@ -119,9 +131,9 @@ def release_decision(outcomes: DataFrame, keys: Sequence[str] = (), runs: DataFr
     agg = p.groupBy(*keys).agg(
         F.count_if(failing).alias("failed_count"),
         F.count_if(crit).alias("critical_failed_count"),
-        F.min_by(F.col("rule_id"), F.when(named, order)).alias("reason_rule_id"),
-        F.transform(F.array_sort(F.collect_list(F.when(failing, failed_payload))),
-                    lambda s: s.dropFields("seq")).alias("failed_rules"),
+        F.min_by(F.col("rule_id"), F.when(named, F.struct(order, F.col("rule_id"))))
+        .alias("reason_rule_id"),
+        _by_seq(F.collect_list(F.when(failing, failed_payload))).alias("failed_rules"),
         F.array_sort(F.collect_set(F.when(crit, F.col("root_cause")))).alias("critical_root_causes"),
     )
     if runs is not None:
