@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from ..outcome import CRITICAL, finish
 
+# Name of the per-key row count; unlikely to clash with user columns.
+N = "__n"
+
 
 def _key_columns(keys: Sequence[str], hashed: Sequence[str]) -> list[Column]:
     # Long text keys are grouped by their SHA-256 digest: the shuffle moves
@@ -28,7 +31,7 @@ def _key_columns(keys: Sequence[str], hashed: Sequence[str]) -> list[Column]:
 
 def key_counts(df: DataFrame, keys: Sequence[str], group_cols: Sequence[str] = (),
                hashed: Sequence[str] = (), drop_nulls: str | None = None) -> DataFrame:
-    """One row per distinct (group, key) with its row count ``n``.
+    """One row per distinct (group, key) with its row count ``__n``.
 
     ``drop_nulls``: None keeps null keys (pandas); "any" ignores rows with a
     null key column (GX column uniqueness); "all" ignores rows whose keys are
@@ -38,18 +41,18 @@ def key_counts(df: DataFrame, keys: Sequence[str], group_cols: Sequence[str] = (
     if drop_nulls:
         base = base.na.drop(how=drop_nulls, subset=list(keys))
     return (base.groupBy(*[F.col(g) for g in group_cols], *_key_columns(keys, hashed))
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.count(F.lit(1)).alias(N)))
 
 
 def duplicate_metrics(df: DataFrame, keys: Sequence[str], group_cols: Sequence[str] = (),
                       hashed: Sequence[str] = (), drop_nulls: str | None = None) -> DataFrame:
     counts = key_counts(df, keys, group_cols, hashed, drop_nulls)
-    dup = F.col("n") > 1
+    dup = F.col(N) > 1
     return counts.groupBy(*group_cols).agg(
-        F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long").alias("duplicate_count"),
+        F.coalesce(F.sum(F.when(dup, F.col(N))), F.lit(0)).cast("long").alias("duplicate_count"),
         F.count_if(dup).alias("duplicate_groups"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
+        F.coalesce(F.sum(N), F.lit(0)).cast("long").alias("row_count"),
     )
 
 
@@ -86,6 +89,6 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     the keys, so a hot key never lands in one sort task; AQE broadcasts the key
     side when its measured size allows, and splits skewed partitions otherwise.
     """
-    dups = key_counts(df, keys).where(F.col("n") > 1).withColumnRenamed("n", "dup_count")
+    dups = key_counts(df, keys).where(F.col(N) > 1).withColumnRenamed(N, "dup_count")
     cond = [df[k].eqNullSafe(dups[k]) for k in keys]
     return df.join(dups, cond, "inner").select(df["*"], dups["dup_count"])

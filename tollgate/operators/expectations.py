@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..outcome import CRITICAL
-from .duplicates import key_counts
+from .duplicates import N, key_counts
 
 PARTIAL_LIST_SIZE = 20
 
@@ -238,7 +238,7 @@ def _unique_result(df: DataFrame, suite: str, i: int, e: Expectation, group_cols
     missing = nulls[0]
     for x in nulls[1:]:
         missing = (missing & x) if compound else (missing | x)
-    n = F.col("n")
+    n = F.col(N)
     m = counts.groupBy(*group_cols).agg(
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("element_count"),
         F.coalesce(F.sum(F.when(missing, n)), F.lit(0)).cast("long").alias("missing_count"),
