@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce_timestamp, hours_between, strict_double
 from ..outcome import CRITICAL, INFO, WARNING, finish
+from ..session import materialize
 from .integrity import first_n, latest_per_key
 
 # Outcome vocabularies of the exam and certification feeds.
@@ -81,14 +82,18 @@ def status_mapping_keys(exam: DataFrame, cert: DataFrame, *, key: str = "candida
 
 def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_prefix: str = "BR-05",
                                   *, sample_size: int = SAMPLE_SIZE,
-                                  group_cols: Sequence[str] = (), **kw) -> DataFrame:
+                                  group_cols: Sequence[str] = (), materialize_keys: bool | None = None,
+                                  **kw) -> DataFrame:
     """Two flat outcome rows per group: ``{prefix}-pass`` and ``{prefix}-fail``.
 
     Columns: mismatch_count, missing_count (pass side only; missing is a
     subset of mismatch), sample_candidates (first ``sample_size`` offending
     keys in ``order_col`` order).
     """
-    keys = status_mapping_keys(exam, cert, group_cols=group_cols, **kw)
+    # The per-key frame feeds the totals and both samples; it is written once
+    # (key-sized) so the fact table is scanned and shuffled a single time.
+    keys = materialize(status_mapping_keys(exam, cert, group_cols=group_cols, **kw),
+                       materialize_keys, basis=[exam, cert])
     tot = keys.groupBy(*group_cols).agg(
         F.coalesce(F.sum("pass_mismatch"), F.lit(0)).cast("long").alias("pass_mismatch_count"),
         F.coalesce(F.sum("pass_missing"), F.lit(0)).cast("long").alias("pass_missing_count"),

@@ -98,6 +98,12 @@ def parameter(df: DataFrame, expr: Column) -> Column:
     return df.agg(expr.alias("v")).scalar()
 
 
+def parameters(df: DataFrame, exprs: Mapping[str, Column]) -> dict[str, Column]:
+    """Several parameters of one table from a single scalar subquery (one scan)."""
+    s = df.agg(F.struct(*[e.alias(k) for k, e in exprs.items()]).alias("p")).scalar()
+    return {k: s.getField(k) for k in exprs}
+
+
 _SCALAR = {"expect_column_values_to_not_be_null", "expect_column_values_to_be_between",
            "expect_column_values_to_be_in_set"}
 _UNIQUE = {"expect_column_values_to_be_unique", "expect_compound_columns_to_be_unique"}
@@ -183,7 +189,10 @@ def _scalar_results(df: DataFrame, suite: str, scalar, params, group_cols) -> Da
         cond, resolved = _unexpected_condition(e, params)
         aggs.append(F.count_if(F.col(f"`{e.column}`").isNull()).alias(f"m{i}"))
         aggs.append(F.count_if(cond).alias(f"u{i}"))
-        resolved_cols.append((i, resolved))
+        # Evaluated inside the aggregate so a parameter subquery is referenced
+        # (and executed) once, below the aggregation.
+        aggs.append(F.bool_and(resolved).alias(f"r{i}"))
+        resolved_cols.append((i, F.coalesce(F.col(f"r{i}"), F.lit(True))))
     m = df.groupBy(*group_cols).agg(*aggs)
     rows = []
     for (i, e), (_, resolved) in zip(scalar, resolved_cols):

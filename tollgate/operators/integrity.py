@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..outcome import CRITICAL, INFO, finish
+from ..session import materialize
 
 SAMPLE_SIZE = 20
 
@@ -67,13 +68,17 @@ def first_n(df: DataFrame, order_cols: Sequence[str], n: int, value: Column,
 def foreign_key_reference(child: DataFrame, parent: DataFrame, child_column: str,
                           parent_column: str | None, rule_id: str, description: str,
                           severity: str = CRITICAL, group_cols: Sequence[str] = (),
-                          sample_size: int = SAMPLE_SIZE) -> DataFrame:
+                          sample_size: int = SAMPLE_SIZE,
+                          materialize_orphans: bool | None = None) -> DataFrame:
     """Flat outcome: ``missing_count`` (exact) and ``missing_values`` (first k sorted).
 
     Groups listed in ``group_cols`` that exist in the child and have no orphan
     get a passing row.
     """
-    orphans = orphan_keys(child, parent, child_column, parent_column, group_cols)
+    # Count and sample both read the orphan keys; they are written once so
+    # the anti join (a scan of both tables) runs a single time.
+    orphans = materialize(orphan_keys(child, parent, child_column, parent_column, group_cols),
+                          materialize_orphans, basis=[child, parent])
     if group_cols:
         counts = orphans.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("missing_count"))
         sample = first_n(orphans, ["key"], sample_size, F.col("key").cast("string"),

@@ -261,8 +261,8 @@ SQL_IN_SET_PRIORITY = _scalar_exp_sql(
 
 def _order_date_params(spark, d):
     o = table(spark, d, "orders")
-    return {"min_order_date": ex.parameter(o, F.min("o_orderdate")),
-            "max_order_date": ex.parameter(o, F.max("o_orderdate"))}
+    return ex.parameters(o, {"min_order_date": F.min("o_orderdate"),
+                             "max_order_date": F.max("o_orderdate")})
 
 
 def q_param_range_shipdate(spark, d):

@@ -79,3 +79,40 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+MATERIALIZE_MIN_BYTES_CONF = "tollgate.materialize.minBytes"
+MATERIALIZE_MIN_BYTES = 1 << 30
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of a plan (from file sizes; no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def materialize(df, enabled: bool | None = None, basis=None):
+    """Reuse point for an intermediate read by several consumers.
+
+    Writes the frame once as Parquet under the shared checkpoint folder and
+    reads it back: the expensive input (e.g. a fact-table aggregation) runs a
+    single time, every consumer reads the written result, and a lost executor
+    never forces a recompute of the whole lineage.
+
+    ``enabled=None`` decides by Catalyst's size estimates of the *inputs*
+    (``basis``: the scanned frames; estimates of joins are products and say
+    nothing). Inputs below ``tollgate.materialize.minBytes`` (default 1 GiB)
+    are cheaper to recompute than to write, so they stay lazy.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    if enabled is None:
+        limit = int(spark.conf.get(MATERIALIZE_MIN_BYTES_CONF, str(MATERIALIZE_MIN_BYTES)))
+        frames = list(basis) if basis is not None else [df]
+        enabled = sum(estimated_bytes(f) for f in frames) >= limit
+    if not enabled:
+        return df
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tollgate-materialized/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
