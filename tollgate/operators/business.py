@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.coerce import coerce_timestamp, hours_between, strict_double
 from ..outcome import CRITICAL, INFO, WARNING, finish
 from ..session import materialize
+from .fusion import AggCheck, Row, run_flat
 from .integrity import first_n, latest_per_key
 
 # Outcome vocabularies of the exam and certification feeds.
@@ -127,118 +128,153 @@ def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_pref
     return m.select(*group_cols, F.inline(rows))
 
 
-def evaluate_freshness(df: DataFrame, *, reference_ts, timestamp_column: str | None = None,
-                       metadata_columns: Sequence[str] = (), file_time_column: str | None = None,
-                       max_allowed_hours: float = 24, warning_hours: float | None = None,
-                       rule_id: str = "BR-08", group_cols: Sequence[str] = (),
-                       thresholds: Mapping[str, tuple[float, float]] | None = None,
-                       threshold_key: str | None = None) -> DataFrame:
-    """Flat freshness outcome per group.
+def freshness_check(df: DataFrame, *, reference_ts, timestamp_column: str | None = None,
+                    metadata_columns: Sequence[str] = (), file_time_column: str | None = None,
+                    max_allowed_hours: float = 24, warning_hours: float | None = None,
+                    rule_id: str = "BR-08",
+                    thresholds: Mapping[str, tuple[float, float]] | None = None,
+                    threshold_key: str | None = None) -> AggCheck:
+    """Freshness as a single-pass check.
 
     latest data time = newest of max(timestamp_column) and the metadata
     columns (nulls skipped); if none exists, the newest file modification
     time (``timestamp_source = 'filesystem'``). lag = max(0, ref - latest) in
     hours; <= max -> info/pass, <= warning (default 2 x max) -> warning, else
-    critical. ``thresholds`` maps a group value (``threshold_key``) to
-    (max, warning) hours, for per-feed limits.
+    critical. ``thresholds`` maps a group value (``threshold_key``, a group
+    column) to (max, warning) hours, for per-feed limits.
     """
     cols = set(df.columns)
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    aggs = []
-    if timestamp_column and timestamp_column in cols:
-        aggs.append(F.max(coerce_timestamp(F.col(f"`{timestamp_column}`"),
-                                           dtypes[timestamp_column])).alias("__col_max"))
     meta = [c for c in metadata_columns if c in cols and c != timestamp_column]
-    for i, c in enumerate(meta):
-        aggs.append(F.max(coerce_timestamp(F.col(f"`{c}`"), dtypes[c])).alias(f"__meta{i}"))
-    if file_time_column:
-        aggs.append(F.max(F.col(file_time_column).cast("timestamp")).alias("__file_max"))
-    aggs.append(F.count(F.lit(1)).alias("row_count"))
-    m = df.groupBy(*group_cols).agg(*aggs)
-    reported = [F.col(c) for c in (["__col_max"] if "__col_max" in m.columns else [])]
-    reported += [F.col(f"__meta{i}") for i in range(len(meta))]
-    data_ts = (F.greatest(*reported) if len(reported) > 1 else reported[0]) if reported else F.lit(None).cast("timestamp")
-    fallback = F.col("__file_max") if file_time_column else F.lit(None).cast("timestamp")
-    latest = F.coalesce(data_ts, fallback)
-    label = F.when(data_ts.isNotNull(), F.lit(timestamp_column or "metadata")).when(
-        fallback.isNotNull(), F.lit("filesystem"))
-    ref = _ts_lit(reference_ts)
-    lag = F.greatest(F.lit(0.0), hours_between(ref, latest))
-    if thresholds:
-        tk = F.col(threshold_key or group_cols[0]).cast("string")
-        mx_map = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v[0])))])
-        wn_map = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v[1])))])
-        mx = F.coalesce(F.try_element_at(mx_map, tk), F.lit(float(max_allowed_hours)))
-        default_warn = float(warning_hours if warning_hours is not None else 2 * max_allowed_hours)
-        wn = F.coalesce(F.try_element_at(wn_map, tk), F.lit(default_warn))
-    else:
-        mx = F.lit(float(max_allowed_hours))
-        wn = F.lit(float(warning_hours if warning_hours is not None else 2 * max_allowed_hours))
-    m = m.select("*", latest.alias("latest_data_time"), label.alias("timestamp_source"),
-                 ref.alias("reference_time"), lag.alias("lag_hours_exact"),
-                 mx.alias("max_allowed_hours"), wn.alias("warning_hours"))
-    lagc = F.col("lag_hours_exact")
-    # No data time at all: nothing proves freshness, so it is critical.
-    ok = lagc.isNotNull() & (lagc <= F.col("max_allowed_hours"))
-    warn = lagc.isNotNull() & (lagc <= F.col("warning_hours"))
-    sev = F.when(ok, F.lit(INFO)).when(warn, F.lit(WARNING)).otherwise(F.lit(CRITICAL))
-    desc = (F.when(ok, F.lit("Freshness is within allowed lag."))
-            .when(warn, F.lit("Freshness crosses warning threshold."))
-            .otherwise(F.lit("Freshness exceeds the critical lag threshold.")))
-    return m.select(
-        *group_cols, F.lit(rule_id).alias("rule_id"), desc.alias("description"),
-        ok.alias("passed"), sev.alias("severity"),
-        F.round(lagc, 2).alias("lag_hours"), "lag_hours_exact", "reference_time",
-        "latest_data_time", "timestamp_source", "max_allowed_hours", "warning_hours")
+    has_col = bool(timestamp_column and timestamp_column in cols)
+    default_warn = float(warning_hours if warning_hours is not None else 2 * max_allowed_hours)
 
+    def build(p: str):
+        aggs = []
+        if has_col:
+            aggs.append(F.max(coerce_timestamp(F.col(f"`{timestamp_column}`"),
+                                               dtypes[timestamp_column])).alias(f"{p}col"))
+        for i, c in enumerate(meta):
+            aggs.append(F.max(coerce_timestamp(F.col(f"`{c}`"), dtypes[c])).alias(f"{p}meta{i}"))
+        if file_time_column:
+            aggs.append(F.max(F.col(file_time_column).cast("timestamp")).alias(f"{p}file"))
+        reported = ([F.col(f"{p}col")] if has_col else []) + [F.col(f"{p}meta{i}") for i in range(len(meta))]
+        data_ts = (F.greatest(*reported) if len(reported) > 1 else reported[0]) if reported \
+            else F.lit(None).cast("timestamp")
+        fallback = F.col(f"{p}file") if file_time_column else F.lit(None).cast("timestamp")
+        latest = F.coalesce(data_ts, fallback)
+        label = F.when(data_ts.isNotNull(), F.lit(timestamp_column or "metadata")).when(
+            fallback.isNotNull(), F.lit("filesystem"))
+        ref = _ts_lit(reference_ts)
+        lag = F.greatest(F.lit(0.0), hours_between(ref, latest))
+        if thresholds:
+            tk = F.col(threshold_key).cast("string")
+            mx_map = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v[0])))])
+            wn_map = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v[1])))])
+            mx = F.coalesce(F.try_element_at(mx_map, tk), F.lit(float(max_allowed_hours)))
+            wn = F.coalesce(F.try_element_at(wn_map, tk), F.lit(default_warn))
+        else:
+            mx, wn = F.lit(float(max_allowed_hours)), F.lit(default_warn)
+        # No data time at all: nothing proves freshness, so it is critical.
+        ok = lag.isNotNull() & (lag <= mx)
+        warn = lag.isNotNull() & (lag <= wn)
+        row = Row(F.lit(rule_id),
+                  F.when(ok, F.lit("Freshness is within allowed lag."))
+                  .when(warn, F.lit("Freshness crosses warning threshold."))
+                  .otherwise(F.lit("Freshness exceeds the critical lag threshold.")),
+                  ok, F.when(ok, F.lit(INFO)).when(warn, F.lit(WARNING)).otherwise(F.lit(CRITICAL)),
+                  {"lag_hours": F.round(lag, 2), "lag_hours_exact": lag, "reference_time": ref,
+                   "latest_data_time": latest, "timestamp_source": label,
+                   "max_allowed_hours": mx, "warning_hours": wn})
+        return aggs, [row]
+    return AggCheck(build)
 
-def check_score_range(df: DataFrame, column: str, rule_id: str, min_value: float = 0.0,
-                      max_value: float = 100.0, group_cols: Sequence[str] = (),
-                      value: Column | None = None) -> DataFrame:
+
+def evaluate_freshness(df: DataFrame, *, reference_ts, timestamp_column: str | None = None,
+                       metadata_columns: Sequence[str] = (), file_time_column: str | None = None,
+                       max_allowed_hours: float = 24, warning_hours: float | None = None,
+                       rule_id: str = "BR-08", group_cols: Sequence[str] = (),
+                       thresholds: Mapping[str, tuple[float, float]] | None = None,
+                       threshold_key: str | None = None) -> DataFrame:
+    """Flat freshness outcome per group (see ``freshness_check``)."""
+    if thresholds and threshold_key is None:
+        threshold_key = group_cols[0]
+    chk = freshness_check(df, reference_ts=reference_ts, timestamp_column=timestamp_column,
+                          metadata_columns=metadata_columns, file_time_column=file_time_column,
+                          max_allowed_hours=max_allowed_hours, warning_hours=warning_hours,
+                          rule_id=rule_id, thresholds=thresholds, threshold_key=threshold_key)
+    return run_flat(df, chk, group_cols)
+
+
+def score_range_check(df: DataFrame, column: str, rule_id: str, min_value: float = 0.0,
+                      max_value: float = 100.0, value: Column | None = None) -> AggCheck:
     """Counts non-null unparseable values and parsed values outside [min, max].
 
     ``value`` overrides the raw column (e.g. a JSON field of a text column).
     A missing column is reported as a failed outcome instead of an error.
     """
-    if value is None and column not in df.columns:
-        m = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("row_count"))
-        return finish(m, rule_id=rule_id, passed=F.lit(False), severity_fail=WARNING,
-                      description_pass="", description_fail=f"Column '{column}' is missing.",
-                      keep=[F.lit(None).cast("long").alias("invalid_format_count"),
-                            F.lit(None).cast("long").alias("out_of_range_count"),
-                            F.lit(column).alias("column")], group_cols=group_cols)
-    raw = value if value is not None else F.col(f"`{column}`")
-    dtype = None if value is not None else dict((f.name, f.dataType) for f in df.schema.fields)[column]
-    n = strict_double(raw, dtype)
-    m = df.groupBy(*group_cols).agg(
-        F.count_if(raw.isNotNull() & n.isNull()).alias("invalid_format_count"),
-        F.count_if((n < F.lit(float(min_value))) | (n > F.lit(float(max_value))))
-        .alias("out_of_range_count"))
-    passed = (F.col("invalid_format_count") == 0) & (F.col("out_of_range_count") == 0)
-    return finish(m, rule_id=rule_id, passed=passed, severity_fail=WARNING, severity_pass=INFO,
-                  description_pass=f"Column '{column}' stays within {float(min_value)}-{float(max_value)}.",
-                  description_fail="Score range violation.",
-                  keep=["invalid_format_count", "out_of_range_count", F.lit(column).alias("column")],
-                  group_cols=group_cols)
+    lo, hi = float(min_value), float(max_value)
+    missing = value is None and column not in df.columns
+
+    def build(p: str):
+        if missing:
+            return [], [Row(F.lit(rule_id), F.lit(f"Column '{column}' is missing."), F.lit(False),
+                            F.lit(WARNING), {"invalid_format_count": F.lit(None).cast("long"),
+                                             "out_of_range_count": F.lit(None).cast("long"),
+                                             "column": F.lit(column)})]
+        raw = value if value is not None else F.col(f"`{column}`")
+        dtype = None if value is not None else {f.name: f.dataType for f in df.schema.fields}[column]
+        n = strict_double(raw, dtype)
+        aggs = [F.count_if(raw.isNotNull() & n.isNull()).alias(f"{p}invalid"),
+                F.count_if((n < F.lit(lo)) | (n > F.lit(hi))).alias(f"{p}oor")]
+        inv, oor = F.col(f"{p}invalid"), F.col(f"{p}oor")
+        ok = (inv == 0) & (oor == 0)
+        return aggs, [Row(F.lit(rule_id),
+                          F.when(ok, F.lit(f"Column '{column}' stays within {lo}-{hi}."))
+                          .otherwise(F.lit("Score range violation.")),
+                          ok, F.when(ok, F.lit(INFO)).otherwise(F.lit(WARNING)),
+                          {"invalid_format_count": inv, "out_of_range_count": oor,
+                           "column": F.lit(column)})]
+    return AggCheck(build)
+
+
+def check_score_range(df: DataFrame, column: str, rule_id: str, min_value: float = 0.0,
+                      max_value: float = 100.0, group_cols: Sequence[str] = (),
+                      value: Column | None = None) -> DataFrame:
+    """Flat form of ``score_range_check``."""
+    return run_flat(df, score_range_check(df, column, rule_id, min_value, max_value, value),
+                    group_cols)
+
+
+def date_window_check(df: DataFrame, reference_date, months: int = 12, rule_id: str = "BR-06",
+                      column: str = "exam_date") -> AggCheck:
+    """Dates outside [ref - int(30.5*months) days, ref]; null dates never violate."""
+    window_days = int(30.5 * months)
+    dtype = {f.name: f.dataType for f in df.schema.fields}.get(column)
+
+    def build(p: str):
+        ref = _ts_lit(reference_date)
+        start = ref - F.make_dt_interval(F.lit(window_days))
+        # An absent column has no dates, and null dates never violate.
+        d = (coerce_timestamp(F.col(f"`{column}`"), dtype) if dtype is not None
+             else F.lit(None).cast("timestamp"))
+        aggs = [F.count_if((d < start) | (d > ref)).alias(f"{p}out")]
+        out = F.col(f"{p}out")
+        ok = out == 0
+        return aggs, [Row(F.lit(rule_id),
+                          F.when(ok, F.lit("Exam dates fall within the rolling 12-month window."))
+                          .otherwise(F.lit("Exam dates are outside the allowed window.")),
+                          ok, F.when(ok, F.lit(INFO)).otherwise(F.lit(WARNING)),
+                          {"window_start": start, "window_end": ref,
+                           "window_days": F.lit(window_days), "out_of_window": out})]
+    return AggCheck(build)
 
 
 def check_exam_date_window(df: DataFrame, reference_date, months: int = 12,
                            rule_id: str = "BR-06", column: str = "exam_date",
                            group_cols: Sequence[str] = ()) -> DataFrame:
-    """Dates outside [ref - int(30.5*months) days, ref]; null dates never violate."""
-    window_days = int(30.5 * months)
-    ref = _ts_lit(reference_date)
-    start = ref - F.make_dt_interval(F.lit(window_days))
-    dtype = dict((f.name, f.dataType) for f in df.schema.fields)[column]
-    d = coerce_timestamp(F.col(f"`{column}`"), dtype)
-    m = df.groupBy(*group_cols).agg(F.count_if((d < start) | (d > ref)).alias("out_of_window"))
-    return finish(m, rule_id=rule_id, passed=F.col("out_of_window") == 0, severity_fail=WARNING,
-                  severity_pass=INFO,
-                  description_pass="Exam dates fall within the rolling 12-month window.",
-                  description_fail="Exam dates are outside the allowed window.",
-                  keep=[start.alias("window_start"), ref.alias("window_end"),
-                        F.lit(window_days).alias("window_days"), "out_of_window"],
-                  group_cols=group_cols)
+    """Flat form of ``date_window_check``."""
+    return run_flat(df, date_window_check(df, reference_date, months, rule_id, column), group_cols)
 
 
 def offender_sample(keys: DataFrame, n: int = SAMPLE_SIZE, rule_id_prefix: str = "BR-05",

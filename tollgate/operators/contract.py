@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce_timestamp, hours_between
 from ..outcome import CRITICAL, INFO, WARNING, finish
+from .fusion import AggCheck, Row, run_flat
 from .integrity import foreign_key_reference, latest_per_key
 
 # Certification levels allowed by the contract and the
@@ -56,18 +57,32 @@ def check_late_master(fact: DataFrame, master: DataFrame, *, key: str, fact_time
                   keep=["late_count", "matched_rows"], group_cols=group_cols)
 
 
+def arrival_lag_check(df: DataFrame, *, received_col: str, event_col: str,
+                      max_hours: float = 24.0, rule_id: str = "BR-08-arrival",
+                      severity: str = WARNING) -> AggCheck:
+    """Rows received more than ``max_hours`` after their event."""
+    def build(p: str):
+        lag = hours_between(_ts(df, received_col), _ts(df, event_col))
+        aggs = [F.count_if(lag > F.lit(float(max_hours))).alias(f"{p}late"),
+                F.count(F.lit(1)).alias(f"{p}rows")]
+        late = F.col(f"{p}late")
+        ok = late == 0
+        return aggs, [Row(F.lit(rule_id),
+                          F.when(ok, F.lit("Rows arrive within the allowed lag."))
+                          .otherwise(F.lit("Rows arrive later than the allowed lag.")),
+                          ok, F.when(ok, F.lit(INFO)).otherwise(F.lit(severity)),
+                          {"late_rows": late, "row_count": F.col(f"{p}rows"),
+                           "max_hours": F.lit(float(max_hours))})]
+    return AggCheck(build)
+
+
 def check_arrival_lag(df: DataFrame, *, received_col: str, event_col: str,
                       max_hours: float = 24.0, rule_id: str = "BR-08-arrival",
                       severity: str = WARNING, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Rows received more than ``max_hours`` after their event."""
-    lag = hours_between(_ts(df, received_col), _ts(df, event_col))
-    agg = df.groupBy(*group_cols).agg(F.count_if(lag > F.lit(float(max_hours))).alias("late_rows"),
-                                      F.count(F.lit(1)).alias("row_count"))
-    return finish(agg, rule_id=rule_id, passed=F.col("late_rows") == 0, severity_fail=severity,
-                  severity_pass=INFO, description_pass="Rows arrive within the allowed lag.",
-                  description_fail="Rows arrive later than the allowed lag.",
-                  keep=["late_rows", "row_count", F.lit(float(max_hours)).alias("max_hours")],
-                  group_cols=group_cols)
+    """Flat form of ``arrival_lag_check``."""
+    return run_flat(df, arrival_lag_check(df, received_col=received_col, event_col=event_col,
+                                          max_hours=max_hours, rule_id=rule_id, severity=severity),
+                    group_cols)
 
 
 def check_without_fact(master: DataFrame, fact: DataFrame, key: str,
@@ -129,29 +144,34 @@ def keep_latest_per_level(cert: DataFrame, keys: Sequence[str] = ("candidate_id"
     return latest_per_key(cert, list(keys), ts_col, list(tie_cols))
 
 
-def check_optional_metadata(df: DataFrame, columns: Sequence[str], rule_id: str = "BR-10",
-                            group_cols: Sequence[str] = ()) -> DataFrame:
+def optional_metadata_check(df: DataFrame, columns: Sequence[str], rule_id: str = "BR-10") -> AggCheck:
     """Per optional column: present?, non-null count/ratio; info severity."""
     present = [c for c in columns if c in df.columns]
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    aggs += [F.count(F.col(f"`{c}`")).alias(f"__nn{i}") for i, c in enumerate(present)]
-    m = df.groupBy(*group_cols).agg(*aggs)
-    rows = []
-    for c in columns:
-        nn = F.col(f"__nn{present.index(c)}") if c in present else F.lit(None).cast("long")
-        rows.append(F.struct(F.lit(c).alias("column"), F.lit(c in present).alias("present"),
-                             nn.alias("non_null_count")))
-    m = m.select(*group_cols, "row_count", F.inline(F.array(*rows)))
-    ratio = F.when(F.col("row_count") > 0,
-                   F.col("non_null_count").cast("double") / F.col("row_count").cast("double"))
-    m = m.withColumn("non_null_ratio", ratio)
-    ok = F.col("present") & (F.col("non_null_count") == F.col("row_count"))
-    return finish(m, rule_id=F.concat(F.lit(rule_id + "-"), F.col("column")),
-                  passed=F.coalesce(ok, F.lit(False)), severity_fail=INFO,
-                  description_pass="Optional metadata is present.",
-                  description_fail="Optional metadata is missing or incomplete.",
-                  keep=["column", "present", "non_null_count", "row_count", "non_null_ratio"],
-                  group_cols=group_cols)
+
+    def build(p: str):
+        aggs = [F.count(F.lit(1)).alias(f"{p}rows")]
+        aggs += [F.count(F.col(f"`{c}`")).alias(f"{p}nn{i}") for i, c in enumerate(present)]
+        rows_total = F.col(f"{p}rows")
+        rows = []
+        for c in columns:
+            nn = F.col(f"{p}nn{present.index(c)}") if c in present else F.lit(None).cast("long")
+            ratio = F.when(rows_total > 0, nn.cast("double") / rows_total.cast("double"))
+            ok = F.coalesce(F.lit(c in present) & (nn == rows_total), F.lit(False))
+            rows.append(Row(F.lit(f"{rule_id}-{c}"),
+                            F.when(ok, F.lit("Optional metadata is present."))
+                            .otherwise(F.lit("Optional metadata is missing or incomplete.")),
+                            ok, F.lit(INFO),
+                            {"column": F.lit(c), "present": F.lit(c in present),
+                             "non_null_count": nn, "row_count": rows_total,
+                             "non_null_ratio": ratio}))
+        return aggs, rows
+    return AggCheck(build)
+
+
+def check_optional_metadata(df: DataFrame, columns: Sequence[str], rule_id: str = "BR-10",
+                            group_cols: Sequence[str] = ()) -> DataFrame:
+    """Flat form of ``optional_metadata_check``."""
+    return run_flat(df, optional_metadata_check(df, columns, rule_id), group_cols)
 
 
 def feed_freshness(feeds: Mapping[str, tuple[DataFrame, str]], *, reference_ts,
@@ -200,17 +220,26 @@ def check_flag_candidate_fk(flags: DataFrame, candidates: DataFrame, rule_id: st
                                  group_cols=group_cols)
 
 
+def value_set_check(column: str, values: Sequence, rule_id: str,
+                    severity: str = WARNING) -> AggCheck:
+    """Non-null values outside an allowed set, as an outcome (C10 presets)."""
+    def build(p: str):
+        c = F.col(f"`{column}`")
+        aggs = [F.count_if(c.isNotNull() & ~c.isin(list(values))).alias(f"{p}bad")]
+        bad = F.col(f"{p}bad")
+        ok = bad == 0
+        return aggs, [Row(F.lit(rule_id),
+                          F.when(ok, F.lit(f"All {column} values are in the allowed set."))
+                          .otherwise(F.lit(f"{column} has values outside the allowed set.")),
+                          ok, F.when(ok, F.lit(INFO)).otherwise(F.lit(severity)),
+                          {"unexpected_count": bad})]
+    return AggCheck(build)
+
+
 def check_value_set(df: DataFrame, column: str, values: Sequence, rule_id: str,
                     severity: str = WARNING, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Non-null values outside an allowed set, as an outcome (C10 presets)."""
-    c = F.col(f"`{column}`")
-    m = df.groupBy(*group_cols).agg(F.count_if(c.isNotNull() & ~c.isin(list(values)))
-                                    .alias("unexpected_count"))
-    return finish(m, rule_id=rule_id, passed=F.col("unexpected_count") == 0,
-                  severity_fail=severity, severity_pass=INFO,
-                  description_pass=f"All {column} values are in the allowed set.",
-                  description_fail=f"{column} has values outside the allowed set.",
-                  keep=["unexpected_count"], group_cols=group_cols)
+    """Flat form of ``value_set_check``."""
+    return run_flat(df, value_set_check(column, values, rule_id, severity), group_cols)
 
 
 def check_certification_level(cert: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:

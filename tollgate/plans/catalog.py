@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import remediation_link, root_cause, rule_family, slugify_rule_id
-from ..operators import business, contract, custom, duplicates, expectations as ex, integrity, schema
+from ..operators import business, contract, custom, duplicates, expectations as ex, fusion, integrity, schema
 from ..outcome import INFO, WARNING, to_outcomes, union_outcomes
 from . import reporting
 
@@ -552,28 +552,39 @@ SELECT 'BR-08' AS rule_id,
        lag_hours_exact FROM l
 """
 
+def q_events_fused(spark, d):
+    """The four events checks (JSON keys, dtypes, score range, freshness) in ONE scan."""
+    src = table(spark, d, "events").select(
+        "props", "event_type", "ts", F.get_json_object("props", "$.k").alias("props_k"))
+    return fusion.fused(src, [
+        schema.required_keys_check(F.json_object_keys("props"), ["k", "v"], "events-schema-required-keys"),
+        schema.dtype_audit_check(src, EVENTS_DTYPES, "events-dtype"),
+        business.score_range_check(src, "props.k", "BR-04-props-k", 0, 50, value=F.col("props_k")),
+        business.freshness_check(src, reference_ts=FRESHNESS_REF, timestamp_column="ts", rule_id="BR-08"),
+    ])
+
+
+# (spark frames, oracle SQL pieces) per evaluation step; a step's rows share a seq.
 _GATE_PARTS = [
-    (q_dup_lineitem_key, SQL_DUP_LINEITEM_KEY),
-    (q_uniqueness_multi, SQL_UNIQUENESS_MULTI),
-    (q_required_keys_events, SQL_REQUIRED_KEYS_EVENTS),
-    (q_dtype_audit_events, SQL_DTYPE_AUDIT_EVENTS),
-    (q_fk_orders_customer, SQL_FK_ORDERS_CUSTOMER),
-    (q_fk_documents_labels, SQL_FK_DOCUMENTS_LABELS),
-    (q_score_range_props, SQL_SCORE_RANGE_PROPS),
-    (q_date_window_orders, SQL_DATE_WINDOW_ORDERS),
-    (q_status_mapping, SQL_STATUS_MAPPING),
-    (q_freshness_events, SQL_FRESHNESS_EVENTS),
+    ([q_dup_lineitem_key], [SQL_DUP_LINEITEM_KEY]),
+    ([q_uniqueness_multi], [SQL_UNIQUENESS_MULTI]),
+    ([q_events_fused], [SQL_REQUIRED_KEYS_EVENTS, SQL_DTYPE_AUDIT_EVENTS, SQL_SCORE_RANGE_PROPS,
+                        SQL_FRESHNESS_EVENTS]),
+    ([q_fk_orders_customer], [SQL_FK_ORDERS_CUSTOMER]),
+    ([q_fk_documents_labels], [SQL_FK_DOCUMENTS_LABELS]),
+    ([q_date_window_orders], [SQL_DATE_WINDOW_ORDERS]),
+    ([q_status_mapping], [SQL_STATUS_MAPPING]),
 ]
 
 
 def gate_outcomes(spark, d) -> DataFrame:
     """Outcome table of one gate run: every check above, in evaluation order."""
-    return union_outcomes([fn(spark, d) for fn, _ in _GATE_PARTS])
+    return union_outcomes([fns[0](spark, d) for fns, _ in _GATE_PARTS])
 
 
 SQL_GATE_OUTCOMES = "\nUNION ALL\n".join(
-    f"SELECT {i} AS seq, rule_id, description, passed, severity FROM ({sql}) s{i}"
-    for i, (_, sql) in enumerate(_GATE_PARTS))
+    f"SELECT {i} AS seq, rule_id, description, passed, severity FROM ({sql}) s{i}_{j}"
+    for i, (_, sqls) in enumerate(_GATE_PARTS) for j, sql in enumerate(sqls))
 
 _SLUG_SQL = ("coalesce(nullif(regexp_replace(regexp_replace(replace(replace(lower(trim(rule_id)), '_', '-'), ' ', '-'), "
              "'[^a-z0-9-]+', '', 'g'), '^-+|-+$', '', 'g'), ''), lower(rule_id))")

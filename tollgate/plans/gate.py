@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import business, contract, custom, duplicates, schema
+from ..operators import business, contract, custom, duplicates, fusion, schema
 from ..operators.schema import SCHEMA_DEFINITIONS, SchemaDefinition
 from ..outcome import CRITICAL, WARNING, to_outcomes
 from ..sources import csv_feeds, sinks
@@ -106,73 +106,105 @@ class ReleaseGate:
         return feeds
 
     # -- rules -------------------------------------------------------------
-    def _schema_outcomes(self, feeds: dict[str, Feed]) -> list[DataFrame]:
-        out = []
-        for t in self.config.schema_targets:
+    def _plan(self, feeds: dict[str, Feed]) -> list[DataFrame]:
+        """All outcome frames (with ``seq``) of one gate run.
+
+        Scalar checks of a feed (dtype audit, score ranges, date window,
+        freshness) are fused into ONE aggregation over that feed; checks that
+        need their own shuffle (uniqueness, foreign keys, status mapping) are
+        separate plans.
+        """
+        cfg = self.config
+        parts: list[DataFrame] = []
+        fused: dict[str, list[tuple[int, fusion.AggCheck]]] = {n: [] for n in feeds}
+        needs: dict[str, dict[str, list[str]]] = {n: {} for n in feeds}
+        seq = 0
+
+        def add(flat: DataFrame) -> None:
+            nonlocal seq
+            parts.append(to_outcomes(flat, G).withColumn("seq", F.lit(seq)))
+            seq += 1
+
+        def add_fused(feed: str, check: fusion.AggCheck, rule_cols: dict | None = None) -> None:
+            nonlocal seq
+            fused[feed].append((seq, check))
+            needs[feed].update(rule_cols or {})
+            seq += 1
+
+        for t in cfg.schema_targets:
             d = SCHEMA_DEFINITIONS[t.name]
             f = feeds[t.name]
-            out.append(schema.required_columns_by_file(
-                f.headers, d.required_columns, f"{d.name}-required-columns", group_cols=G))
+            add(schema.required_columns_by_file(f.headers, d.required_columns,
+                                                f"{d.name}-required-columns", group_cols=G))
             typed_map = {c: v for c, v in d.dtype_map.items()}
             for c in d.parse_dates:
                 typed_map[c] = "datetime64[ns]"
-            out.append(schema.dtype_audit(f.raw, typed_map, t.dtype_rule_prefix or f"{d.name}-dtype",
-                                          group_cols=G, emit_passed=False))
+            add_fused(t.name, schema.dtype_audit_check(
+                f.raw, typed_map, t.dtype_rule_prefix or f"{d.name}-dtype", emit_passed=False))
             prefix = t.uniqueness_rule_prefix or f"{d.name}-uniqueness"
             for i, keys in enumerate(d.uniqueness_constraints, start=1):
                 r = duplicates.detect_duplicates(f.typed, keys, f"{prefix}-unique-{i}", group_cols=G)
-                out.append(_require_columns(r, f.headers, keys, CRITICAL,
-                                            "Uniqueness key columns are missing."))
-        return out
+                add(_require_columns(r, f.headers, keys, CRITICAL,
+                                     "Uniqueness key columns are missing."))
 
-    def _default_business(self, feeds: dict[str, Feed]) -> list[DataFrame]:
+        tables = {n: f.typed for n, f in feeds.items()}
+        if cfg.business_rules:
+            for r in cfg.business_rules:
+                add(custom.run_rule(r.rule, tables, self.spark, G))
+        else:
+            self._default_business(feeds, add, add_fused)
+
+        for name, checks in fused.items():
+            if not checks:
+                continue
+            f = feeds[name]
+            out = fusion.fused(f.raw, [c for _, c in checks], G, seqs=[q for q, _ in checks])
+            if needs[name]:
+                out = _require_columns_outcomes(out, f.headers, needs[name])
+            parts.append(out)
+        self._next_seq = seq
+        return parts
+
+    def _default_business(self, feeds: dict[str, Feed], add, add_fused) -> None:
         cfg = self.config
         exam, cert, cand = (feeds["exam_results"].typed, feeds["certification_status"].typed,
                             feeds["candidates"].typed)
-        exam_h = feeds["exam_results"].headers
         ref = cfg.reference_ts if cfg.reference_ts is not None else F.current_timestamp()
-        out = [
-            business_fk(exam, cand, "BR-07", "Every exam candidate_id exists in the master list."),
-            business_fk(cert, cand, "BR-07b", "Every certification row references a known candidate."),
-            business.check_pass_fail_certification(
-                exam, cert, "BR-05", group_cols=G, tie_cols=("cert_status_id",), order_col=ORDER_COL),
-        ]
+        add(business_fk(exam, cand, "BR-07", "Every exam candidate_id exists in the master list."))
+        add(business_fk(cert, cand, "BR-07b", "Every certification row references a known candidate."))
+        add(business.check_pass_fail_certification(
+            exam, cert, "BR-05", group_cols=G, tie_cols=("cert_status_id",), order_col=ORDER_COL))
         fr = cfg.freshness
-        src = feeds[fr.feed].typed
-        out.append(business.evaluate_freshness(
-            src, reference_ts=ref, timestamp_column=fr.timestamp_column,
+        add_fused(fr.feed, business.freshness_check(
+            feeds[fr.feed].raw, reference_ts=ref, timestamp_column=fr.timestamp_column,
             metadata_columns=fr.metadata_columns, file_time_column=MTIME_COL,
             max_allowed_hours=fr.max_allowed_hours, warning_hours=fr.warning_hours,
-            rule_id=fr.rule_id, group_cols=G))
+            rule_id=fr.rule_id))
         if cfg.wire_range_and_window:
             raw_exam = feeds["exam_results"].raw
             for col, rid in (("score", "BR-04-score"), ("score_scaled", "BR-04-score-scaled")):
-                src_df = raw_exam if col in raw_exam.columns else raw_exam.withColumn(
-                    col, F.lit(None).cast("string"))
-                r = business.check_score_range(src_df, col, rid, 0, 100, group_cols=G)
-                out.append(_require_columns(r, exam_h, [col], WARNING, f"Column '{col}' is missing."))
-            out.append(business.check_exam_date_window(exam, ref, 12, "BR-06", group_cols=G))
+                add_fused("exam_results", business.score_range_check(raw_exam, col, rid, 0, 100),
+                          {rid: [col]})
+            add_fused("exam_results", business.date_window_check(raw_exam, ref, 12, "BR-06"))
         if cfg.flags_file:
             paths = csv_feeds._existing(self.spark, csv_feeds.feed_glob(
                 cfg.data_root, cfg.flags_file, cfg.bundles))
             if paths:
                 flags = csv_feeds.read_feed(self.spark, paths)
-                out.append(contract.check_flag_candidate_fk(flags, cand, group_cols=G))
-        return out
+                add(contract.check_flag_candidate_fk(flags, cand, group_cols=G))
 
     def run(self, extra_rules: Sequence[RuleCallable | str] = ()) -> "GateReport":
         feeds = self.load()
         tables = {n: f.typed for n, f in feeds.items()}
-        flats = self._schema_outcomes(feeds)
-        if self.config.business_rules:
-            flats += [custom.run_rule(r.rule, tables, self.spark, G) for r in self.config.business_rules]
-        else:
-            flats += self._default_business(feeds)
-        flats += [custom.run_rule(r, tables, self.spark, G) for r in extra_rules]
+        parts = self._plan(feeds)
+        for i, r in enumerate(extra_rules):
+            parts.append(to_outcomes(custom.run_rule(r, tables, self.spark, G), G)
+                         .withColumn("seq", F.lit(self._next_seq + i)))
+        cols = [*G, "rule_id", "description", "passed", "severity", "details", "seq"]
         outcomes = None
-        for i, fl in enumerate(flats):
-            o = to_outcomes(fl, G).withColumn("seq", F.lit(i))
-            outcomes = o if outcomes is None else outcomes.unionByName(o)
+        for p in parts:
+            p = p.select(*cols)
+            outcomes = p if outcomes is None else outcomes.unionByName(p)
         runs = None
         for f in feeds.values():
             b = f.headers.select(BUNDLE_COL)
@@ -200,6 +232,28 @@ def business_fk(child: DataFrame, parent: DataFrame, rule_id: str, description:
                                  group_cols=G)
 
 
+def _require_columns_outcomes(outcomes: DataFrame, headers: DataFrame,
+                              rule_columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Outcome-row form of ``_require_columns`` for fused rows: a rule whose
+    column is absent from a bundle's file fails with ``missing_columns``."""
+    have = headers.groupBy(BUNDLE_COL).agg(F.flatten(F.collect_list("columns")).alias("__have"))
+    need_map = F.create_map(*[x for rid, cols in rule_columns.items()
+                              for x in (F.lit(rid), F.array(*[F.lit(c) for c in cols]))])
+    j = outcomes.join(have, BUNDLE_COL, "left")
+    need = F.try_element_at(need_map, F.col("rule_id"))
+    missing = F.array_except(need, F.coalesce(F.col("__have"), F.array().cast("array<string>")))
+    lacking = need.isNotNull() & (F.size(missing) > 0)
+    return (j.withColumn("passed", F.when(lacking, F.lit(False)).otherwise(F.col("passed")))
+            .withColumn("severity", F.when(lacking, F.lit(WARNING)).otherwise(F.col("severity")))
+            .withColumn("description", F.when(lacking, F.concat(
+                F.lit("Column '"), F.array_join(missing, "', '"), F.lit("' is missing.")))
+                .otherwise(F.col("description")))
+            .withColumn("details", F.when(lacking, F.map_concat(
+                F.col("details"), F.create_map(F.lit("missing_columns"), F.to_json(missing))))
+                .otherwise(F.col("details")))
+            .drop("__have"))
+
+
 def _require_columns(flat: DataFrame, headers: DataFrame, columns: Sequence[str], severity: str,
                      description: str) -> DataFrame:
     """Fail a rule for bundles whose file lacks a column the rule needs."""
