@@ -887,6 +887,23 @@ SELECT conv_id, role, turn FROM (
 """
 
 
+def q_enrich_latest_status(spark, d):
+    latest = integrity.latest_per_key(table(spark, d, "events"), ["user_id"], "ts", ["event_id"])
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    r = integrity.enrich_latest(o, latest, "o_custkey", ["event_type"], latest_key="user_id")
+    return r.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("event_type").alias("latest_status"))
+
+
+SQL_ENRICH_LATEST_STATUS = """
+WITH latest AS (
+  SELECT user_id, event_type FROM (
+    SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn
+    FROM events) WHERE rn = 1)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, l.event_type AS latest_status
+FROM orders o LEFT JOIN latest l ON o.o_custkey IS NOT DISTINCT FROM l.user_id
+"""
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -930,6 +947,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "optional_metadata_documents": (q_optional_metadata_documents, SQL_OPTIONAL_METADATA_DOCUMENTS),
     "value_set_role": (q_value_set_role, SQL_VALUE_SET_ROLE),
     "latest_turn_per_role": (q_latest_turn_per_role, SQL_LATEST_TURN_PER_ROLE),
+    "enrich_latest_status": (q_enrich_latest_status, SQL_ENRICH_LATEST_STATUS),
 }
 
 

@@ -216,6 +216,17 @@ class ReleaseGate:
         self._report = GateReport(outcomes, runs.distinct())
         return self._report
 
+    def run_checkpoint(self, run_name: str | None = None, store_path: str | None = None) -> DataFrame:
+        """The feed expectation suites over all bundles (results per bundle);
+        appended to ``store_path`` partitioned by suite and run when given."""
+        from . import suites
+        feeds = self.load()
+        res = suites.run_feed_checkpoint({n: f.typed for n, f in feeds.items()},
+                                         {n: f.headers for n, f in feeds.items()}, run_name)
+        if store_path:
+            sinks.store_results(res, store_path, run_name)
+        return res
+
     @property
     def report(self) -> "GateReport | None":
         return self._report
