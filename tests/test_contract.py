@@ -84,3 +84,20 @@ def test_without_fact_is_info(spark):
     exam = spark.createDataFrame([("1",)], "candidate_id string")
     o = contract.check_without_fact(cert, exam, "candidate_id").first()
     assert o.missing_count == 1 and o.severity == "info" and not o.passed
+
+
+def test_write_quarantine_single_pass(spark, tmp_path):
+    df = spark.createDataFrame([("ER-1", "94"), ("ER-2", None)], "id string, score string")
+    out = str(tmp_path / "q")
+    contract.write_quarantine(df, contract.score_quarantine_rules(["score"]), out)
+    back = spark.read.parquet(out).withColumn("quarantined", F.col("quarantined").cast("boolean"))
+    got = {r.id: r.quarantined for r in back.collect()}
+    assert got == {"ER-1": False, "ER-2": True}
+
+
+def test_grouped_fk_reports_passing_groups(spark):
+    child = spark.createDataFrame([("b1", "1"), ("b1", "2"), ("b2", "1"), ("b3", None)],
+                                  "bundle string, candidate_id string")
+    parent = spark.createDataFrame([("b1", "1"), ("b2", "1")], "bundle string, candidate_id string")
+    rows = {r.bundle: r for r in integrity.check_exam_candidate_fk(child, parent, group_cols=["bundle"]).collect()}
+    assert rows["b1"].missing_values == ["2"] and rows["b2"].passed and rows["b3"].passed

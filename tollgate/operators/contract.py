@@ -206,6 +206,15 @@ def split_quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFr
     return good, bad
 
 
+def write_quarantine(df: DataFrame, rules: Mapping[str, Column], path: str,
+                     mode: str = "overwrite") -> None:
+    """Good and quarantined rows in ONE pass: rows are tagged once and written
+    partitioned by ``quarantined`` (two consumers of the same scan would read
+    the input twice)."""
+    tagged = with_violations(df, rules).withColumn("quarantined", F.size("violations") > 0)
+    tagged.write.mode(mode).partitionBy("quarantined").parquet(path)
+
+
 def score_quarantine_rules(columns: Sequence[str] = ("score", "score_scaled")) -> dict[str, Column]:
     """Contract rule: null or non-numeric scores invalidate the row."""
     from ..functions.coerce import strict_double

@@ -34,17 +34,22 @@ def _key_type_pair(child: DataFrame, child_col: str, parent: DataFrame, parent_c
     return F.col(f"`{child_col}`").cast("string"), F.col(f"`{parent_col}`").cast("string")
 
 
+def _distinct_keys(child: DataFrame, parent: DataFrame, child_column: str,
+                   parent_column: str, group_cols: Sequence[str], key_alias: str):
+    ck, pk = _key_type_pair(child, child_column, parent, parent_column)
+    c = child.select(*group_cols, ck.alias(key_alias)).distinct()
+    p = (parent.select(*group_cols, pk.alias(key_alias)).where(F.col(key_alias).isNotNull())
+         .distinct())
+    return c, p
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, child_column: str,
                 parent_column: str | None = None, group_cols: Sequence[str] = (),
                 key_alias: str = "key") -> DataFrame:
     """Distinct non-null child keys without a parent (per group)."""
-    parent_column = parent_column or child_column
-    ck, pk = _key_type_pair(child, child_column, parent, parent_column)
-    c = (child.select(*group_cols, ck.alias(key_alias)).where(F.col(key_alias).isNotNull())
-         .distinct())
-    p = (parent.select(*group_cols, pk.alias(key_alias)).where(F.col(key_alias).isNotNull())
-         .distinct())
-    return c.join(p, [*group_cols, key_alias], "left_anti")
+    c, p = _distinct_keys(child, parent, child_column, parent_column or child_column,
+                          group_cols, key_alias)
+    return c.where(F.col(key_alias).isNotNull()).join(p, [*group_cols, key_alias], "left_anti")
 
 
 def first_n(df: DataFrame, order_cols: Sequence[str], n: int, value: Column,
@@ -83,7 +88,11 @@ def foreign_key_reference(child: DataFrame, parent: DataFrame, child_column: str
         counts = orphans.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("missing_count"))
         sample = first_n(orphans, ["key"], sample_size, F.col("key").cast("string"),
                          group_cols, "missing_values")
-        groups = child.select(*group_cols).distinct()
+        # Groups come from the distinct child keys the anti join already
+        # aggregates (same plan, reused exchange), not from a second scan.
+        c, _p = _distinct_keys(child, parent, child_column, parent_column or child_column,
+                               group_cols, "key")
+        groups = c.select(*group_cols).distinct()
         m = (groups.join(counts, list(group_cols), "left").join(sample, list(group_cols), "left")
              .select(*group_cols, F.coalesce("missing_count", F.lit(0)).alias("missing_count"),
                      F.coalesce("missing_values", F.array().cast("array<string>"))

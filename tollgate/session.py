@@ -109,7 +109,10 @@ def materialize(df, enabled: bool | None = None, basis=None):
     if enabled is None:
         limit = int(spark.conf.get(MATERIALIZE_MIN_BYTES_CONF, str(MATERIALIZE_MIN_BYTES)))
         frames = list(basis) if basis is not None else [df]
-        enabled = sum(estimated_bytes(f) for f in frames) >= limit
+        try:
+            enabled = sum(estimated_bytes(f) for f in frames) >= limit
+        except Exception:  # no estimate available: recomputing is always correct
+            enabled = False
     if not enabled:
         return df
     base = checkpoint_dir(spark).rstrip("/")
