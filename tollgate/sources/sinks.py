@@ -29,10 +29,18 @@ def write_json_report(df: DataFrame, path: str, partition_by: Sequence[str] = ("
 
 def write_reports(reports: dict[str, DataFrame], directory: str,
                   partition_by: Sequence[str] = ("bundle",), generated_at: str | None = None) -> str:
-    """Write each named report frame under ``directory/<name>``."""
+    """Write each named report frame under ``directory/<name>``.
+
+    Summaries carry ``generated_at``; the release decision names it
+    ``timestamp``.
+    """
     base = directory.rstrip("/")
     for name, df in reports.items():
-        write_json_report(df, f"{base}/{name}", partition_by, generated_at)
+        if generated_at is not None and name == "release_decision":
+            df = df.withColumn("timestamp", F.lit(generated_at))
+            write_json_report(df, f"{base}/{name}", partition_by, None)
+        else:
+            write_json_report(df, f"{base}/{name}", partition_by, generated_at)
     return base
 
 
