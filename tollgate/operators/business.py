@@ -99,33 +99,38 @@ def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_pref
         F.coalesce(F.sum("pass_mismatch"), F.lit(0)).cast("long").alias("pass_mismatch_count"),
         F.coalesce(F.sum("pass_missing"), F.lit(0)).cast("long").alias("pass_missing_count"),
         F.coalesce(F.sum("fail_mismatch"), F.lit(0)).cast("long").alias("fail_mismatch_count"))
-    ps = first_n(keys.where(F.col("pass_mismatch") > 0), ["first_pass", "key"], sample_size,
-                 F.col("key").cast("string"), group_cols, "pass_sample")
-    fs = first_n(keys.where(F.col("fail_mismatch") > 0), ["first_fail", "key"], sample_size,
-                 F.col("key").cast("string"), group_cols, "fail_sample")
-    if group_cols:
-        m = tot.join(ps, list(group_cols), "left").join(fs, list(group_cols), "left")
-    else:
-        m = tot.select("*", ps.scalar().alias("pass_sample"), fs.scalar().alias("fail_sample"))
-    empty = F.array().cast("array<string>")
+    pass_id, fail_id = f"{rule_id_prefix}-pass", f"{rule_id_prefix}-fail"
     pass_failed = (F.col("pass_mismatch_count") > 0) | (F.col("pass_missing_count") > 0)
     fail_failed = F.col("fail_mismatch_count") > 0
-    rows = F.array(
-        F.struct(F.lit(f"{rule_id_prefix}-pass").alias("rule_id"),
+    rows = tot.select(*group_cols, F.inline(F.array(
+        F.struct(F.lit(pass_id).alias("rule_id"),
                  F.lit("Pass exams should map to Certified statuses.").alias("description"),
                  (~pass_failed).alias("passed"),
                  F.when(pass_failed, F.lit(CRITICAL)).otherwise(F.lit(INFO)).alias("severity"),
                  F.col("pass_mismatch_count").alias("mismatch_count"),
-                 F.col("pass_missing_count").alias("missing_count"),
-                 F.coalesce(F.col("pass_sample"), empty).alias("sample_candidates")),
-        F.struct(F.lit(f"{rule_id_prefix}-fail").alias("rule_id"),
+                 F.col("pass_missing_count").alias("missing_count")),
+        F.struct(F.lit(fail_id).alias("rule_id"),
                  F.lit("Fail attempts should not result in Certified statuses.").alias("description"),
                  (~fail_failed).alias("passed"),
                  F.when(fail_failed, F.lit(WARNING)).otherwise(F.lit(INFO)).alias("severity"),
                  F.col("fail_mismatch_count").alias("mismatch_count"),
-                 F.lit(None).cast("long").alias("missing_count"),
-                 F.coalesce(F.col("fail_sample"), empty).alias("sample_candidates")))
-    return m.select(*group_cols, F.inline(rows))
+                 F.lit(None).cast("long").alias("missing_count")))))
+    # Samples are attached ABOVE the counts: a consumer that does not read
+    # them lets Catalyst prune the top-k plans entirely.
+    ps = first_n(keys.where(F.col("pass_mismatch") > 0), ["first_pass", "key"], sample_size,
+                 F.col("key").cast("string"), group_cols, "pass_sample")
+    fs = first_n(keys.where(F.col("fail_mismatch") > 0), ["first_fail", "key"], sample_size,
+                 F.col("key").cast("string"), group_cols, "fail_sample")
+    empty = F.array().cast("array<string>")
+    if group_cols:
+        samples = ps.join(fs, list(group_cols), "full")
+        rows = rows.join(samples, list(group_cols), "left")
+        pick = F.when(F.col("rule_id") == pass_id, F.col("pass_sample")).otherwise(F.col("fail_sample"))
+    else:
+        pick = F.when(F.col("rule_id") == pass_id, ps.scalar()).otherwise(fs.scalar())
+    return rows.select(*group_cols, "rule_id", "description", "passed", "severity",
+                       "mismatch_count", "missing_count",
+                       F.coalesce(pick, empty).alias("sample_candidates"))
 
 
 def freshness_check(df: DataFrame, *, reference_ts, timestamp_column: str | None = None,
