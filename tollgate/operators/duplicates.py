@@ -82,13 +82,19 @@ def validate_uniqueness_constraints(df: DataFrame, constraints: Sequence[Sequenc
             for i, keys in enumerate(constraints, start=1)]
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: Sequence[str], hashed: Sequence[str] = ()) -> DataFrame:
     """Rows that belong to a duplicate group, with the group size ``dup_count``.
 
     Joins the (small, aggregated) duplicate keys back instead of a window over
     the keys, so a hot key never lands in one sort task; AQE broadcasts the key
     side when its measured size allows, and splits skewed partitions otherwise.
+    Keys listed in ``hashed`` are matched by their SHA-256 digest on both
+    sides, so long texts are never shuffled for the join.
     """
-    dups = key_counts(df, keys).where(F.col(N) > 1).withColumnRenamed(N, "dup_count")
-    cond = [df[k].eqNullSafe(dups[k]) for k in keys]
-    return df.join(dups, cond, "inner").select(df["*"], dups["dup_count"])
+    dups = (key_counts(df, keys, hashed=hashed).where(F.col(N) > 1)
+            .select(*[F.col(f"`{k}`").alias(f"__d{i}") for i, k in enumerate(keys)],
+                    F.col(N).alias("dup_count")))
+    probe = df.select("*", *[c.alias(f"__p{i}") for i, c in enumerate(_key_columns(keys, hashed))])
+    cond = [probe[f"__p{i}"].eqNullSafe(dups[f"__d{i}"]) for i in range(len(keys))]
+    return probe.join(dups, cond, "inner").select(*[probe[f"`{c}`"] for c in df.columns],
+                                                  dups["dup_count"])

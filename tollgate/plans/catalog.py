@@ -904,6 +904,64 @@ FROM orders o LEFT JOIN latest l ON o.o_custkey IS NOT DISTINCT FROM l.user_id
 """
 
 
+def q_dup_document_rows(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    return duplicates.duplicate_rows(docs, ["text"], hashed=["text"]).select("doc_id", "source", "dup_count")
+
+
+SQL_DUP_DOCUMENT_ROWS = """
+SELECT d.doc_id, d.source, g.n AS dup_count
+FROM documents d JOIN (SELECT text, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1) g
+  ON d.text IS NOT DISTINCT FROM g.text
+"""
+
+_SEGMENT_OUTCOMES_SQL = """
+WITH dup AS (SELECT c_mktsegment, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS dc
+             FROM (SELECT c_mktsegment, c_name, count(*) AS n FROM customer GROUP BY 1, 2) g GROUP BY 1),
+rng AS (SELECT c_mktsegment, count(*) FILTER (WHERE c_acctbal < -999.99 OR c_acctbal > 9950.0) AS oor FROM customer GROUP BY 1),
+mo AS (SELECT c_mktsegment, count(*) FILTER (WHERE c_acctbal IS NOT NULL) AS nm,
+              count(*) FILTER (WHERE c_acctbal IS NOT NULL AND c_acctbal < 0) AS un FROM customer GROUP BY 1),
+o AS (SELECT c_mktsegment, 0 AS seq, 'customer-uniqueness-unique-1' AS rule_id, dc = 0 AS passed, 'critical' AS severity FROM dup
+      UNION ALL SELECT c_mktsegment, 1, 'BR-04-acctbal', oor = 0, CASE WHEN oor = 0 THEN 'info' ELSE 'warning' END FROM rng
+      UNION ALL SELECT c_mktsegment, 2, 'customer_suite-expect_column_values_to_be_between-c_acctbal',
+             CASE WHEN nm > 0 THEN CAST(nm - un AS DOUBLE) / CAST(nm AS DOUBLE) ELSE 1.0 END >= 0.92, 'critical' FROM mo),
+p AS (SELECT *, """ + _ROOT_CAUSE_SQL + """ AS root_cause FROM o)"""
+
+
+def q_defect_counts_by_segment(spark, d):
+    return reporting.defect_counts(segment_outcomes(spark, d), [SEGMENT])
+
+
+SQL_DEFECT_COUNTS_BY_SEGMENT = _SEGMENT_OUTCOMES_SQL + """
+SELECT c_mktsegment, root_cause, count(*) AS defect_count FROM p WHERE NOT passed GROUP BY 1, 2
+"""
+
+
+def q_release_decision_by_segment(spark, d):
+    runs = table(spark, d, "customer").select(SEGMENT)
+    r = reporting.release_decision(segment_outcomes(spark, d), [SEGMENT], runs=runs)
+    return r.select(SEGMENT, "status", "decision_reason",
+                    F.concat_ws(",", "blocking_root_causes").alias("blocking_root_causes"),
+                    "failed_count")
+
+
+SQL_RELEASE_DECISION_BY_SEGMENT = _SEGMENT_OUTCOMES_SQL + """,
+a AS (SELECT c_mktsegment, count(*) FILTER (WHERE NOT passed) AS failed_count,
+             count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS crit,
+             arg_min(rule_id, seq) FILTER (WHERE NOT passed AND severity = 'critical') AS first_crit,
+             coalesce(string_agg(DISTINCT root_cause, ',' ORDER BY root_cause)
+                      FILTER (WHERE NOT passed AND severity = 'critical'), '') AS causes
+      FROM p GROUP BY c_mktsegment)
+SELECT c_mktsegment,
+       CASE WHEN crit > 0 THEN 'Blocked' WHEN failed_count > 0 THEN 'Warning only' ELSE 'Ready' END AS status,
+       CASE WHEN crit > 0 THEN 'Critical failure ' || first_crit || ' blocks release.'
+            WHEN failed_count > 0 THEN 'Warnings or info-level defects were raised; release may proceed with caution.'
+            ELSE 'All validations passed; release is ready.' END AS decision_reason,
+       CASE WHEN crit > 0 THEN causes ELSE '' END AS blocking_root_causes, failed_count
+FROM a
+"""
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -948,6 +1006,9 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "value_set_role": (q_value_set_role, SQL_VALUE_SET_ROLE),
     "latest_turn_per_role": (q_latest_turn_per_role, SQL_LATEST_TURN_PER_ROLE),
     "enrich_latest_status": (q_enrich_latest_status, SQL_ENRICH_LATEST_STATUS),
+    "dup_document_rows": (q_dup_document_rows, SQL_DUP_DOCUMENT_ROWS),
+    "defect_counts_by_segment": (q_defect_counts_by_segment, SQL_DEFECT_COUNTS_BY_SEGMENT),
+    "release_decision_by_segment": (q_release_decision_by_segment, SQL_RELEASE_DECISION_BY_SEGMENT),
 }
 
 
