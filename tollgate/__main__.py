@@ -24,8 +24,11 @@ def main(argv: Sequence[str] | None = None) -> None:
                                          reports_dir=a.reports_dir, reference_ts=a.reference_ts))
     gate.run()
     out = gate.write_reports()
-    for r in gate.report.release_decision().orderBy("bundle").collect():
-        print(f"{r['bundle']}: {r['status']} - {r['decision_reason']}")
+    decisions = gate.report.release_decision()
+    for r in decisions.groupBy("status").count().orderBy("status").collect():
+        print(f"{r['status']}: {r['count']} bundle(s)")
+    for r in decisions.where("status <> 'Ready'").orderBy("bundle").limit(20).collect():
+        print(f"  {r['bundle']}: {r['status']} - {r['decision_reason']}")
     print("Release reports written to", out)
 
 

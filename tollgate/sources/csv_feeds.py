@@ -83,14 +83,17 @@ def read_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def header_signatures(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
     """(columns, files) per distinct header; one small action.
 
-    The driver receives one entry per distinct header and the file names,
-    never file contents. Splits are kept small so only the head of each file
-    is scanned.
+    The driver receives one (header, file name) row per file — the same
+    listing Spark's file index keeps on the driver to plan any read — never
+    file contents, and no task gathers all names into one row. Splits are
+    kept small so only the head of each file is scanned.
     """
     with _conf(spark, "spark.sql.files.maxPartitionBytes", str(HEADER_SPLIT_BYTES)):
-        rows = (read_headers(spark, paths).groupBy("columns")
-                .agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect())
-    return [(list(r["columns"]), list(r["files"])) for r in rows]
+        rows = read_headers(spark, paths).select("columns", "file_path").collect()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in rows:
+        groups.setdefault(tuple(r["columns"]), []).append(r["file_path"])
+    return [(list(cols), sorted(files)) for cols, files in groups.items()]
 
 
 def headers_from_signatures(spark: SparkSession,

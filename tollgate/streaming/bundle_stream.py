@@ -56,8 +56,12 @@ def gate_batch(config: GateConfig, output_root: str):
 def start_gate_stream(spark: SparkSession, config: GateConfig, output_root: str,
                       checkpoint_location: str, trigger_file: str = "exam_results.csv",
                       available_now: bool = False, processing_time: str | None = None,
-                      max_files_per_trigger: int | None = None):
-    """Start the streaming gate; returns the StreamingQuery."""
+                      max_files_per_trigger: int | None = 1000):
+    """Start the streaming gate; returns the StreamingQuery.
+
+    ``max_files_per_trigger`` bounds the bundles of one micro-batch (their
+    names are the only rows the driver receives).
+    """
     stream = arrived_bundles(spark, config.data_root, trigger_file, max_files_per_trigger)
     w = (stream.writeStream.foreachBatch(gate_batch(config, output_root))
          .option("checkpointLocation", checkpoint_location))
