@@ -210,9 +210,11 @@ class ReleaseGate:
             b = f.headers.select(BUNDLE_COL)
             runs = b if runs is None else runs.unionByName(b)
         if self.config.materialize_outcomes:
-            # The outcome table is tiny; one reliable checkpoint lets every
-            # report read it without re-running the checks.
-            outcomes = cut_lineage(outcomes, self.spark)
+            # Written once under the checkpoint folder so every report reads it
+            # without re-running the checks. "rebalance" lets AQE size the
+            # files by its advisory partition size (bundles x rules rows), so a
+            # small run writes one file instead of one per union partition.
+            outcomes = cut_lineage(outcomes.hint("rebalance"), self.spark)
         self._report = GateReport(outcomes, runs.distinct())
         return self._report
 

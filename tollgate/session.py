@@ -75,10 +75,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a table written under the shared checkpoint folder.
+
+    A Parquet write computes the plan exactly once (an RDD checkpoint of an
+    unpersisted plan computes it twice: once for the action, once to write),
+    and the re-read frame survives executor loss without recomputation.
+    Never a local checkpoint.
+    """
+    return materialize(df, True)
 
 
 MATERIALIZE_MIN_BYTES_CONF = "tollgate.materialize.minBytes"
