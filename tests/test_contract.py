@@ -24,17 +24,35 @@ def _intervals(spark, n=3000, seed=7):
 
 def test_bucketed_overlap_equals_per_key_window(spark):
     df = _intervals(spark)
-    got = contract.interval_overlaps(df, ["k"], "start", "end", ["id"], bucket_seconds=7 * 86400)
+    got = contract.interval_overlaps(df, ["k"], "start", "end", ["id"], num_chunks=16)
     w = Window.partitionBy("k").orderBy("start", "id").rowsBetween(Window.unboundedPreceding, -1)
     brute = df.withColumn("p", F.max("end").over(w)).select(
         "id", F.coalesce(F.col("start") < F.col("p"), F.lit(False)).alias("o"))
     a = {r.id: r.overlaps for r in got.collect()}
     b = {r.id: r.o for r in brute.collect()}
     assert a == b and sum(a.values()) > 0
-    o = contract.check_overlapping_intervals(df, ["k"], "start", "end", ["id"], bucket_seconds=86400).first()
+    o = contract.check_overlapping_intervals(df, ["k"], "start", "end", ["id"], num_chunks=7).first()
     assert o.overlap_count == sum(b.values()) and not o.passed
 
 
+def test_overlap_hot_key_in_one_day_is_split_across_chunks(spark):
+    rnd = random.Random(3)
+    rows = [(0 if i % 3 else rnd.randint(1, 50), i, rnd.randint(0, 80000), rnd.randint(0, 5000))
+            for i in range(6000)]          # two thirds of all rows: key 0, all within one day
+    df = spark.createDataFrame(rows, "k int, id int, s long, d long").select(
+        "k", "id", F.timestamp_seconds("s").alias("start"), F.timestamp_seconds(F.col("s") + F.col("d")).alias("end"))
+    got = contract.interval_overlaps(df, ["k"], "start", "end", ["id"], num_chunks=12)
+    chunks = got.where("k = 0").count()
+    w = Window.partitionBy("k").orderBy("start", "id").rowsBetween(Window.unboundedPreceding, -1)
+    brute = df.withColumn("p", F.max("end").over(w)).select(
+        "id", F.coalesce(F.col("start") < F.col("p"), F.lit(False)).alias("o"))
+    assert {r.id: r.overlaps for r in got.collect()} == {r.id: r.o for r in brute.collect()}
+    assert chunks == 4000
+    spread = (df.where("k = 0").repartitionByRange(12, "k", "start", "id")
+              .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(spread) > 6                 # the hot key really spans many chunks
+
+
 def test_late_master_and_arrival_lag(spark):
     fact = spark.createDataFrame([("1", "2026-01-10"), ("2", "2026-01-10"), ("3", "2026-01-10")],
                                  "candidate_id string, exam_date string")

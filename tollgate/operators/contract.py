@@ -7,9 +7,10 @@
 
 Overlap detection (C4) is a running maximum per key. A plain window per key
 would put a hot key's rows into one task, so the scan is split in two
-levels: rows are cut into (key, time bucket) chunks; a small per-chunk
-aggregate gives each chunk the maximum end of all earlier chunks of its key
-(window over chunk rows only); inside a chunk an ordinary running max over
+levels: rows are range-partitioned on (key, start, tie) into contiguous
+chunks (a hot key spans many chunks); a small per-chunk aggregate gives each
+chunk the maximum end of all earlier chunks of its key (window over chunk
+rows only); inside a (key, chunk) an ordinary running max over
 ``(start, tie)`` finishes the scan. Results equal a per-key window exactly.
 """
 
@@ -24,6 +25,7 @@ from ..functions.coerce import coerce_timestamp, hours_between
 from ..outcome import CRITICAL, INFO, WARNING, finish
 from .fusion import AggCheck, Row, run_flat
 from .integrity import foreign_key_reference, latest_per_key
+from ..session import materialize
 
 # Certification levels allowed by the contract and the
 # per-feed freshness limits (max, warning) in hours.
@@ -95,22 +97,33 @@ def check_without_fact(master: DataFrame, fact: DataFrame, key: str,
 
 
 def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_col: str,
-                      tie_cols: Sequence[str] = (), bucket_seconds: int = 86400 * 30) -> DataFrame:
+                      tie_cols: Sequence[str] = (), num_chunks: int | None = None) -> DataFrame:
     """Rows whose interval starts before an earlier interval of the key ends.
 
     Returns every input row with a non-null start plus ``prev_max_end`` and
-    ``overlaps``. ``bucket_seconds`` sets the chunk width of the two-level scan.
+    ``overlaps``. Rows are range-partitioned on (keys, start, ties) into
+    ``num_chunks`` (default: the shuffle partition count) contiguous chunks,
+    so a hot key is split by row count however its times are spread; a small
+    per-chunk aggregate carries each chunk the max end of the key's earlier
+    chunks, and a running max inside each (key, chunk) finishes the scan.
     """
+    spark = df.sparkSession
+    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     start = _ts(df, start_col)
     end = _ts(df, end_col)
     base = df.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{t}`") for t in tie_cols],
                      start.alias("__start"), end.alias("__end")).where(F.col("__start").isNotNull())
-    base = base.withColumn("__bucket", F.floor(F.unix_seconds("__start") / F.lit(bucket_seconds)))
-    chunk_keys = [*keys, "__bucket"]
-    chunks = base.groupBy(*chunk_keys).agg(F.max("__end").alias("__chunk_max"))
-    carry_w = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    order = [*[F.col(f"`{k}`") for k in keys], F.col("__start"), *[F.col(f"`{t}`") for t in tie_cols]]
+    # The range exchange samples its input in a separate pass; a large input
+    # is written once as the narrow projection so both passes read that.
+    base = materialize(base, None, basis=[df])
+    # Partition ids of a range exchange follow the sort order of (keys, start, ties).
+    ranged = base.repartitionByRange(n, *order).withColumn("__chunk", F.spark_partition_id())
+    chunk_keys = [*keys, "__chunk"]
+    chunks = ranged.groupBy(*chunk_keys).agg(F.max("__end").alias("__chunk_max"))
+    carry_w = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.select(*chunk_keys, F.max("__chunk_max").over(carry_w).alias("__carry"))
-    b, c = base.alias("b"), carry.alias("c")
+    b, c = ranged.alias("b"), carry.alias("c")
     # Null-safe on the key so a null key forms its own group, as in a window.
     cond = [F.col(f"b.`{k}`").eqNullSafe(F.col(f"c.`{k}`")) for k in chunk_keys]
     j = b.join(c, cond, "inner").select("b.*", "c.__carry")
@@ -125,9 +138,9 @@ def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_co
 
 def check_overlapping_intervals(df: DataFrame, keys: Sequence[str], start_col: str, end_col: str,
                                 tie_cols: Sequence[str] = (), rule_id: str = "BR-09",
-                                severity: str = CRITICAL, bucket_seconds: int = 86400 * 30) -> DataFrame:
+                                severity: str = CRITICAL, num_chunks: int | None = None) -> DataFrame:
     """Flat outcome (C4): overlapping rows and keys with an overlap."""
-    ov = interval_overlaps(df, keys, start_col, end_col, tie_cols, bucket_seconds)
+    ov = interval_overlaps(df, keys, start_col, end_col, tie_cols, num_chunks)
     per_key = ov.groupBy(*keys).agg(F.count_if("overlaps").alias("n"))
     agg = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("overlap_count"),
                       F.count_if(F.col("n") > 0).alias("keys_with_overlap"))
