@@ -210,28 +210,38 @@ def _scalar_results(df: DataFrame, suite: str, scalar, params, group_cols) -> Da
     return _finish_metrics(m, suite, group_cols)
 
 
+def _pct_sql(num: str, den: str) -> str:
+    return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) * 100 / CAST({den} AS DOUBLE) END"
+
+
 def _finish_metrics(m: DataFrame, suite: str, group_cols) -> DataFrame:
-    el, mi, un = F.col("element_count"), F.col("missing_count"), F.col("unexpected_count")
-    nonmissing = el - mi
-    is_null = F.col("is_null_check")
-    den = F.when(is_null, el).otherwise(nonmissing)
-    mostly = F.col("mostly")
-    ok_ratio = F.when(den > 0, (den - un).cast("double") / den.cast("double")).otherwise(1.0)
-    success = F.col("bounds_resolved") & F.when(mostly.isNull(), un == 0).otherwise(ok_ratio >= mostly)
-    return m.select(
-        *group_cols,
-        F.lit(suite).alias("suite"),
+    """GX-style metrics from (element, missing, unexpected) counts.
+
+    Written as one ``selectExpr`` (each derived metric is one SQL string) so
+    the projection is built with a single JVM call.
+    """
+    nonmissing = "(element_count - missing_count)"
+    den = f"CASE WHEN is_null_check THEN element_count ELSE {nonmissing} END"
+    ratio = (f"CASE WHEN {den} > 0 THEN CAST({den} - unexpected_count AS DOUBLE) "
+             f"/ CAST({den} AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END")
+    suite_lit = suite.replace("\\", "\\\\").replace("'", "\\'")
+    return m.selectExpr(
+        *[f"`{g}`" for g in group_cols],
+        f"'{suite_lit}' AS suite",
         "expectation_index", "expectation_type", "column_name",
-        success.alias("success"),
-        el.alias("element_count"),
-        F.when(is_null, F.lit(None).cast("long")).otherwise(mi).alias("missing_count"),
-        F.when(is_null, F.lit(None).cast("double")).otherwise(_pct(mi, el)).alias("missing_percent"),
-        un.alias("unexpected_count"),
-        F.when(is_null, _pct(un, el)).otherwise(_pct(un, nonmissing)).alias("unexpected_percent"),
-        _pct(un, el).alias("unexpected_percent_total"),
-        F.when(is_null, F.lit(None).cast("double")).otherwise(
-            _pct(un, nonmissing)).alias("unexpected_percent_nonmissing"),
-        F.col("bounds_resolved"),
+        f"bounds_resolved AND CASE WHEN mostly IS NULL THEN unexpected_count = 0 "
+        f"ELSE {ratio} >= mostly END AS success",
+        "element_count",
+        "CASE WHEN is_null_check THEN CAST(NULL AS BIGINT) ELSE missing_count END AS missing_count",
+        f"CASE WHEN is_null_check THEN CAST(NULL AS DOUBLE) "
+        f"ELSE {_pct_sql('missing_count', 'element_count')} END AS missing_percent",
+        "unexpected_count",
+        f"CASE WHEN is_null_check THEN {_pct_sql('unexpected_count', 'element_count')} "
+        f"ELSE {_pct_sql('unexpected_count', nonmissing)} END AS unexpected_percent",
+        f"{_pct_sql('unexpected_count', 'element_count')} AS unexpected_percent_total",
+        f"CASE WHEN is_null_check THEN CAST(NULL AS DOUBLE) "
+        f"ELSE {_pct_sql('unexpected_count', nonmissing)} END AS unexpected_percent_nonmissing",
+        "bounds_resolved",
     )
 
 

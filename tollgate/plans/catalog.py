@@ -7,6 +7,7 @@ Timestamps of the reference clock are literals, never the wall clock.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,26 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 CORE = ["rule_id", "description", "passed", "severity"]
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table handle, reused while the file is unchanged.
+
+    Only the plan (file listing and schema) is reused, never data; the key
+    holds the file's modification stamp, so a rewritten file is re-read.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    try:
+        st = os.stat(path)
+        stamp = (st.st_mtime_ns, st.st_size)
+    except OSError:
+        return spark.read.parquet(path)
+    key = (id(spark._jsparkSession), path, stamp)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 # --------------------------------------------------------------------------
