@@ -1011,6 +1011,37 @@ FROM a
 """
 
 
+def q_root_cause(spark, d):
+    return gate_outcomes(spark, d).select("seq", "rule_id", root_cause("rule_id").alias("root_cause"))
+
+
+SQL_ROOT_CAUSE = f"""
+WITH o AS ({SQL_GATE_OUTCOMES})
+SELECT seq, rule_id, {_ROOT_CAUSE_SQL} AS root_cause FROM o
+"""
+
+
+def q_slug(spark, d):
+    return gate_outcomes(spark, d).select("seq", "rule_id", slugify_rule_id("rule_id").alias("slug"))
+
+
+SQL_SLUG = f"""
+WITH o AS ({SQL_GATE_OUTCOMES})
+SELECT seq, rule_id, {_SLUG_SQL} AS slug FROM o
+"""
+
+
+def q_link(spark, d):
+    return gate_outcomes(spark, d).select("seq", "rule_id",
+                                          remediation_link("rule_id").alias("remediation_link"))
+
+
+SQL_LINK = f"""
+WITH o AS ({SQL_GATE_OUTCOMES})
+SELECT seq, rule_id, 'docs/rule-severity-matrix.md#' || {_SLUG_SQL} AS remediation_link FROM o
+"""
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -1058,6 +1089,9 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dup_document_rows": (q_dup_document_rows, SQL_DUP_DOCUMENT_ROWS),
     "defect_counts_by_segment": (q_defect_counts_by_segment, SQL_DEFECT_COUNTS_BY_SEGMENT),
     "release_decision_by_segment": (q_release_decision_by_segment, SQL_RELEASE_DECISION_BY_SEGMENT),
+    "root_cause": (q_root_cause, SQL_ROOT_CAUSE),
+    "slug": (q_slug, SQL_SLUG),
+    "link": (q_link, SQL_LINK),
 }
 
 
