@@ -159,15 +159,27 @@ def feed_glob(data_root: str, file_name: str, bundles: str | Sequence[str] = "*"
 
 def load_bundles(spark: SparkSession, data_root: str, definitions: Sequence[SchemaDefinition],
                  bundles: str | Sequence[str] = "*") -> dict[str, tuple[DataFrame | None, DataFrame]]:
-    """feed name -> (raw string frame over all bundles, headers frame)."""
+    """feed name -> (raw string frame over all bundles, headers frame).
+
+    The header lines of every feed's files are read in ONE small job; files
+    are then grouped per feed (by file name) and per header signature.
+    """
+    paths = {d.name: _existing(spark, feed_glob(data_root, d.file_name, bundles)) for d in definitions}
+    every = [p for ps in paths.values() for p in ps]
+    by_name: dict[str, dict[tuple[str, ...], list[str]]] = {}
+    if every:
+        with _conf(spark, "spark.sql.files.maxPartitionBytes", str(HEADER_SPLIT_BYTES)):
+            rows = read_headers(spark, every).select("file_name", "columns", "file_path").collect()
+        for r in rows:
+            by_name.setdefault(r["file_name"], {}).setdefault(tuple(r["columns"]), []).append(r["file_path"])
     out = {}
     for d in definitions:
-        paths = _existing(spark, feed_glob(data_root, d.file_name, bundles))
-        if not paths:
+        groups = by_name.get(d.file_name, {})
+        if not paths[d.name] or not groups:
             out[d.name] = (None, None)
             continue
-        sigs = header_signatures(spark, paths)
-        raw = read_feed(spark, paths, signatures=sigs)
+        sigs = [(list(cols), sorted(files)) for cols, files in groups.items()]
+        raw = read_feed(spark, paths[d.name], signatures=sigs)
         out[d.name] = (raw, headers_from_signatures(spark, sigs))
     return out
 
