@@ -35,8 +35,12 @@ def test_presence_check_lists_all_missing(spark, bundles_root):
 
 def test_file_metadata_and_defect_log(spark, bundles_root, tmp_path):
     raw = csv_feeds.read_feed(spark, [str(bundles_root / "*" / "candidates.csv")])
-    meta = {r.bundle: r for r in files.file_metadata(raw).collect()}
-    assert meta["duplicate-candidate-id"].row_count == 2 and meta["good"].modified_at is not None
+    meta = {r.bundle: r for r in files.file_metadata(
+        raw, {"file_received_ts": "2026-03-01T00:00:00Z", "ignored": None}).collect()}
+    good = meta["good"]
+    assert meta["duplicate-candidate-id"].row_count == 2 and good.modified_at is not None
+    assert good.file_size > 0 and good.source_path.endswith("good/candidates.csv")
+    assert good.file_received_ts == "2026-03-01T00:00:00Z" and "ignored" not in good.asDict()
     outcomes = spark.createDataFrame([("b1", "BR-08", "stale", False, "critical"),
                                       ("b1", "BR-07", "ok", True, "info")],
                                      "bundle string, rule_id string, description string, passed boolean, severity string")
@@ -45,3 +49,18 @@ def test_file_metadata_and_defect_log(spark, bundles_root, tmp_path):
     sinks.append_defect_log(outcomes, log, "2026-03-03T17:42:35Z", existing=spark.read.parquet(log))
     back = spark.read.parquet(log)
     assert back.count() == 1 and back.first().status == "open"
+
+
+def test_shuffle_partitions_scale_with_input(spark, bundles_root):
+    from tollgate.operators.schema import SCHEMA_DEFINITIONS
+    from tollgate.session import size_shuffle
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = csv_feeds.input_bytes(spark, str(bundles_root), list(SCHEMA_DEFINITIONS.values()))
+        assert 0 < n < 1 << 20
+        assert size_shuffle(spark, n) == 8                     # tiny input: the floor
+        assert size_shuffle(spark, 100 << 40) == 100_000       # 100 TB: clamped
+        assert size_shuffle(spark, 1 << 40) == 4096            # 1 TiB / 256 MiB
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)

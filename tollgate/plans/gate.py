@@ -22,7 +22,7 @@ from ..operators.schema import SCHEMA_DEFINITIONS, SchemaDefinition
 from ..outcome import CRITICAL, WARNING, to_outcomes
 from ..sources import csv_feeds, sinks
 from ..sources.csv_feeds import BUNDLE_COL, MTIME_COL, ORDER_COL
-from ..session import cut_lineage
+from ..session import cut_lineage, size_shuffle
 from . import reporting
 
 G = (BUNDLE_COL,)
@@ -72,6 +72,8 @@ class GateConfig:
     # Cut lineage of the typed feeds into the shared checkpoint folder.
     checkpoint_feeds: bool = False
     materialize_outcomes: bool = True
+    # Size spark.sql.shuffle.partitions from the listed input bytes.
+    auto_shuffle_partitions: bool = False
 
 
 @dataclass
@@ -92,6 +94,9 @@ class ReleaseGate:
     def load(self) -> dict[str, Feed]:
         cfg = self.config
         defs = [SCHEMA_DEFINITIONS[t.name] for t in cfg.schema_targets]
+        if cfg.auto_shuffle_partitions:
+            size_shuffle(self.spark, csv_feeds.input_bytes(self.spark, cfg.data_root, defs,
+                                                           cfg.bundles))
         feeds: dict[str, Feed] = {}
         loaded = csv_feeds.load_bundles(self.spark, cfg.data_root, defs, cfg.bundles)
         for d in defs:

@@ -52,6 +52,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                 min_partitions: int = 8, max_partitions: int = 100_000) -> int:
+    """Set the shuffle partition count from the input size.
+
+    AQE coalesces small post-shuffle partitions but never splits a large one,
+    so the initial count must scale with the data: ~``target_bytes`` of input
+    per partition keeps each reducer's share well inside executor memory
+    (no spill) at 100 TB (~400k -> clamped to ``max_partitions``), while a
+    small run keeps a handful. Returns the count that was set.
+    """
+    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // int(target_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

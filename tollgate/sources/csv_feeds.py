@@ -25,6 +25,7 @@ from ..operators.schema import SchemaDefinition, _spark_type_name
 
 FILE_COL = "_source_file"
 MTIME_COL = "_file_mtime"
+SIZE_COL = "_file_size"
 ORDER_COL = "_row_order"
 BUNDLE_COL = "bundle"
 
@@ -109,7 +110,7 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], na_tokens=NA_TOKE
               signatures: list[tuple[list[str], list[str]]] | None = None) -> DataFrame | None:
     """Read every file of one feed by header; all columns as strings.
 
-    Adds ``bundle``, ``_source_file``, ``_file_mtime`` and ``_row_order``
+    Adds ``bundle``, ``_source_file``, ``_file_mtime``, ``_file_size`` and ``_row_order``
     (file order inside each file). Returns None when no file matches.
     """
     sigs = signatures if signatures is not None else header_signatures(spark, paths)
@@ -123,6 +124,7 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], na_tokens=NA_TOKE
             bundle_of(F.col("_metadata.file_path")).alias(BUNDLE_COL),
             F.col("_metadata.file_path").alias(FILE_COL),
             F.col("_metadata.file_modification_time").alias(MTIME_COL),
+            F.col("_metadata.file_size").alias(SIZE_COL),
             F.struct(F.col("_metadata.file_path").alias("f"),
                      F.col("_metadata.file_block_start").alias("b"),
                      F.monotonically_increasing_id().alias("i")).alias(ORDER_COL))
@@ -186,13 +188,23 @@ def load_bundles(spark: SparkSession, data_root: str, definitions: Sequence[Sche
 
 def _existing(spark: SparkSession, globs: Sequence[str]) -> list[str]:
     """Keep globs that match at least one file (Hadoop glob on the driver)."""
+    return [g for g, _n in _glob_sizes(spark, globs) if _n is not None]
+
+
+def _glob_sizes(spark: SparkSession, globs: Sequence[str]) -> list[tuple[str, int | None]]:
+    """(glob, total bytes of matching files or None when nothing matches)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    keep = []
+    out = []
     for g in globs:
         p = jvm.org.apache.hadoop.fs.Path(g)
-        fs = p.getFileSystem(conf)
-        st = fs.globStatus(p)
-        if st is not None and len(st) > 0:
-            keep.append(g)
-    return keep
+        st = p.getFileSystem(conf).globStatus(p)
+        out.append((g, sum(int(x.getLen()) for x in st) if st is not None and len(st) > 0 else None))
+    return out
+
+
+def input_bytes(spark: SparkSession, data_root: str, definitions: Sequence[SchemaDefinition],
+                bundles: str | Sequence[str] = "*") -> int:
+    """Total size of the feed files of a gate run (from the listing only)."""
+    globs = [g for d in definitions for g in feed_glob(data_root, d.file_name, bundles)]
+    return sum(n or 0 for _g, n in _glob_sizes(spark, globs))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..outcome import CRITICAL, finish
-from .csv_feeds import BUNDLE_COL, FILE_COL, MTIME_COL, bundle_of
+from .csv_feeds import BUNDLE_COL, FILE_COL, MTIME_COL, SIZE_COL, bundle_of
 
 
 def list_files(spark: SparkSession, data_root: str, pattern: str = "*") -> DataFrame:
@@ -75,9 +75,18 @@ def presence_outcomes(spark: SparkSession, data_root: str, file_names: Sequence[
                   keep=["file_name"], group_cols=[BUNDLE_COL])
 
 
-def file_metadata(df: DataFrame) -> DataFrame:
-    """Per source file: bundle, row count, size-independent mtime, load time."""
-    return df.groupBy(BUNDLE_COL, FILE_COL).agg(
+def file_metadata(df: DataFrame, overrides: dict | None = None) -> DataFrame:
+    """Per source file: bundle, source path, size, row count, mtime (UTC), load time.
+
+    ``overrides`` adds caller metadata (e.g. ``file_received_ts``) as columns;
+    entries whose value is None are skipped.
+    """
+    out = df.groupBy(BUNDLE_COL, FILE_COL).agg(
         F.count(F.lit(1)).alias("row_count"),
+        F.max(SIZE_COL).alias("file_size"),
         F.max(MTIME_COL).alias("modified_at"),
-    ).withColumn("loaded_at", F.current_timestamp())
+    ).withColumnRenamed(FILE_COL, "source_path").withColumn("loaded_at", F.current_timestamp())
+    for k, v in (overrides or {}).items():
+        if v is not None:
+            out = out.withColumn(k, F.lit(v))
+    return out
