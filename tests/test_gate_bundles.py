@@ -43,7 +43,7 @@ def test_every_bundle_fails_exactly_the_expected_rules(gate_report):
     for bundle, (expected, _status) in EXPECTED.items():
         got = failing.get(bundle, set()) - {"BR-08"}
         assert got == expected, bundle
-    assert set(failing) == set(EXPECTED) - {"future-exam-date"} | {"future-exam-date"}
+    assert set(failing) == set(EXPECTED)
 
 
 def test_statuses_and_decisions(gate_report):
@@ -113,3 +113,17 @@ def test_reference_rule_list_without_range_and_window(spark, bundles_root):
                                          reference_ts=REFERENCE_TS, wire_range_and_window=False))
     d = gate.run().release_decision().first()
     assert d.status == "Ready"
+
+
+def test_bundle_missing_a_feed_file_is_blocked(spark, bundles_root, tmp_path):
+    import shutil
+    root = tmp_path / "landing"
+    shutil.copytree(bundles_root / "good", root / "good")
+    shutil.copytree(bundles_root / "good", root / "no-cert")
+    (root / "no-cert" / "certification_status.csv").unlink()
+    gate = ReleaseGate(spark, GateConfig(data_root=str(root), reference_ts="2026-01-26T00:00:00Z"))
+    rep = gate.run()
+    d = {r.bundle: r for r in rep.release_decision().collect()}
+    assert d["no-cert"].status == "Blocked"
+    assert "certification_status-schema-file-present" in {x.rule_id for x in d["no-cert"].failed_rules}
+    assert d["good"].status == "Ready"

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import business, contract, custom, duplicates, fusion, schema
 from ..operators.schema import SCHEMA_DEFINITIONS, SchemaDefinition
-from ..outcome import CRITICAL, WARNING, to_outcomes
+from ..outcome import CRITICAL, WARNING, finish, to_outcomes
 from ..sources import csv_feeds, sinks
 from ..sources.csv_feeds import BUNDLE_COL, MTIME_COL, ORDER_COL
 from ..session import cut_lineage, size_shuffle
@@ -136,6 +136,23 @@ class ReleaseGate:
             needs[feed].update(rule_cols or {})
             seq += 1
 
+        # Every bundle seen in any feed must have every feed file; the reference
+        # raises on a missing file, here the bundle gets a critical outcome.
+        seen = None
+        for f in feeds.values():
+            b = f.headers.select(BUNDLE_COL)
+            seen = b if seen is None else seen.unionByName(b)
+        seen = seen.distinct()
+        for t in cfg.schema_targets:
+            d = SCHEMA_DEFINITIONS[t.name]
+            have = feeds[t.name].headers.select(BUNDLE_COL).distinct().withColumn("__has", F.lit(True))
+            m = seen.join(have, BUNDLE_COL, "left").withColumn(
+                "present", F.coalesce(F.col("__has"), F.lit(False)))
+            add(finish(m, rule_id=f"{d.name}-schema-file-present", passed=F.col("present"),
+                       severity_fail=CRITICAL, description_pass="Feed file is present.",
+                       description_fail=f"Missing ingest file {d.file_name}.",
+                       keep=[F.lit(d.file_name).alias("file_name")], group_cols=G))
+
         for t in cfg.schema_targets:
             d = SCHEMA_DEFINITIONS[t.name]
             f = feeds[t.name]
