@@ -64,3 +64,11 @@ def test_shuffle_partitions_scale_with_input(spark, bundles_root):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+
+
+def test_bundle_lists_fold_into_brace_globs(spark, bundles_root):
+    names = ["good", "invalid-score", "future-exam-date"]
+    globs = csv_feeds.feed_glob(str(bundles_root), "exam_results.csv", names)
+    assert len(globs) == 1 and "{good,invalid-score,future-exam-date}" in globs[0]
+    raw = csv_feeds.read_feed(spark, globs)
+    assert {r.bundle for r in raw.select("bundle").distinct().collect()} == set(names)

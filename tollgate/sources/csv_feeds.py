@@ -152,11 +152,25 @@ def typed_view(raw: DataFrame, definition: SchemaDefinition) -> DataFrame:
     return raw.select(*out, *[F.col(f"`{c}`") for c in extra])
 
 
+GLOB_CHUNK = 500
+
+
 def feed_glob(data_root: str, file_name: str, bundles: str | Sequence[str] = "*") -> list[str]:
+    """Glob(s) for one feed: a pattern, or a bundle list folded into brace
+    alternations (``{a,b,...}``) of ``GLOB_CHUNK`` names, so a long list costs
+    a few file-system globs instead of one per bundle."""
     root = data_root.rstrip("/")
     if isinstance(bundles, str):
         return [f"{root}/{bundles}/{file_name}"]
-    return [f"{root}/{b}/{file_name}" for b in bundles]
+    names = list(bundles)
+    plain = [b for b in names if any(ch in b for ch in ",{}")]
+    fold = [b for b in names if b not in set(plain)]
+    out = [f"{root}/{b}/{file_name}" for b in plain]
+    for i in range(0, len(fold), GLOB_CHUNK):
+        part = fold[i:i + GLOB_CHUNK]
+        alt = part[0] if len(part) == 1 else "{" + ",".join(part) + "}"
+        out.append(f"{root}/{alt}/{file_name}")
+    return out
 
 
 def load_bundles(spark: SparkSession, data_root: str, definitions: Sequence[SchemaDefinition],
