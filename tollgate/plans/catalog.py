@@ -416,7 +416,7 @@ p AS (SELECT 'BR-05-pass' AS rule_id, o_custkey, min(o_orderkey) AS first_row FR
 f AS (SELECT 'BR-05-fail' AS rule_id, o_custkey, min(o_orderkey) AS first_row FROM j
       WHERE o_orderstatus = 'O' AND coalesce(status, '') IN ('purchase', 'signup') GROUP BY o_custkey),
 r AS (SELECT rule_id, CAST(o_custkey AS VARCHAR) AS candidate, first_row,
-             row_number() OVER (PARTITION BY rule_id ORDER BY first_row, o_custkey) AS sample_rank
+             CAST(row_number() OVER (PARTITION BY rule_id ORDER BY first_row, o_custkey) AS INTEGER) AS sample_rank
       FROM (SELECT * FROM p UNION ALL SELECT * FROM f))
 SELECT rule_id, sample_rank, candidate, first_row FROM r WHERE sample_rank <= 5
 """
@@ -853,7 +853,7 @@ CUSTOM_RULE_SQL = """
 SELECT 'EXTRA-01' AS rule_id, 'Every line item has a positive quantity.' AS description,
        count_if(l_quantity <= 0) = 0 AS passed,
        CASE WHEN count_if(l_quantity <= 0) = 0 THEN 'info' ELSE 'warning' END AS severity,
-       count_if(l_quantity <= 0) AS bad_rows
+       CAST(count_if(l_quantity <= 0) AS BIGINT) AS bad_rows
 FROM {lineitem}
 """
 
