@@ -35,3 +35,17 @@ def test_entry_flagship(spark):
     r = rows[0]
     assert r.rule_id == "lineitem-uniqueness-unique-1" and r.root_cause == "duplicate_record"
     assert r.gate_status in ("Blocked", "Ready")
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_result_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, sf_dir("0.001"))
+    rel = con.sql(ORACLES[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(t, t) == duck_types[f.name], (f.name, t, duck_types[f.name])
