@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce_timestamp, hours_between, strict_double
-from ..outcome import CRITICAL, INFO, WARNING, finish
+from ..outcome import CRITICAL, INFO, WARNING
 from ..session import materialize
 from .fusion import AggCheck, Row, run_flat
 from .integrity import first_n, latest_per_key

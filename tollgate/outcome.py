@@ -100,9 +100,10 @@ def union_outcomes(frames: Iterable[DataFrame], group_cols: Sequence[str] = (),
                    with_seq: bool = True) -> DataFrame:
     """Union outcome frames in order; ``seq`` keeps the evaluation order."""
     out = None
+    packed = set(CORE_COLUMNS) | set(group_cols) | {"details", "seq"}
     for i, fr in enumerate(frames):
-        fr = to_outcomes(fr, group_cols) if "details" not in fr.columns or len(
-            set(fr.columns) - set(CORE_COLUMNS) - set(group_cols) - {"details", "seq"}) else fr
+        if "details" not in fr.columns or set(fr.columns) - packed:
+            fr = to_outcomes(fr, group_cols)       # flat frame: pack its metrics
         if with_seq:
             fr = fr.withColumn("seq", F.lit(i))
         out = fr if out is None else out.unionByName(fr)

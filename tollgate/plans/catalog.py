@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import remediation_link, root_cause, rule_family, slugify_rule_id
 from ..operators import business, contract, custom, duplicates, expectations as ex, fusion, integrity, schema
-from ..outcome import INFO, WARNING, to_outcomes, union_outcomes
+from ..outcome import INFO, to_outcomes, union_outcomes
 from . import reporting
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

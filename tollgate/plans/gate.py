@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import business, contract, custom, duplicates, fusion, schema
-from ..operators.schema import SCHEMA_DEFINITIONS, SchemaDefinition
+from ..operators.schema import SCHEMA_DEFINITIONS
 from ..outcome import CRITICAL, WARNING, finish, to_outcomes
 from ..sources import csv_feeds, sinks
 from ..sources.csv_feeds import BUNDLE_COL, MTIME_COL, ORDER_COL
