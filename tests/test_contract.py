@@ -119,3 +119,15 @@ def test_grouped_fk_reports_passing_groups(spark):
     parent = spark.createDataFrame([("b1", "1"), ("b2", "1")], "bundle string, candidate_id string")
     rows = {r.bundle: r for r in integrity.check_exam_candidate_fk(child, parent, group_cols=["bundle"]).collect()}
     assert rows["b1"].missing_values == ["2"] and rows["b2"].passed and rows["b3"].passed
+
+
+def test_per_feed_freshness_limits(spark):
+    cand = spark.createDataFrame([("2026-03-01T00:00:00Z",)], "created_ts string")
+    exam = spark.createDataFrame([("2026-03-01T00:00:00Z",)], "file_received_ts string")
+    ref = "2026-03-03T12:00:00Z"                      # 60 h after both
+    rows = {r.feed: r for r in contract.feed_freshness(
+        {"candidates": (cand, "created_ts"), "exam_results": (exam, "file_received_ts")},
+        reference_ts=ref).collect()}
+    assert rows["candidates"].severity == "warning"      # limits 24 / 72 h
+    assert rows["exam_results"].severity == "critical"   # limits 24 / 48 h
+    assert rows["candidates"].rule_id == "BR-08-candidates"
