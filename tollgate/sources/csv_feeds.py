@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import NA_TOKENS, na_to_null, try_cast_typed
 from ..operators.schema import SchemaDefinition, _spark_type_name
+from ..session import materialize
 
 FILE_COL = "_source_file"
 MTIME_COL = "_file_mtime"
@@ -182,21 +183,23 @@ def load_bundles(spark: SparkSession, data_root: str, definitions: Sequence[Sche
     """
     paths = {d.name: _existing(spark, feed_glob(data_root, d.file_name, bundles)) for d in definitions}
     every = [p for ps in paths.values() for p in ps]
+    out: dict[str, tuple[DataFrame | None, DataFrame | None]] = {d.name: (None, None) for d in definitions}
+    if not every:
+        return out
+    # One row per file, written once as a small table (a distributed frame
+    # for the per-bundle header checks; never a driver-built local relation).
+    with _conf(spark, "spark.sql.files.maxPartitionBytes", str(HEADER_SPLIT_BYTES)):
+        table = materialize(read_headers(spark, every).hint("rebalance"), True)
     by_name: dict[str, dict[tuple[str, ...], list[str]]] = {}
-    if every:
-        with _conf(spark, "spark.sql.files.maxPartitionBytes", str(HEADER_SPLIT_BYTES)):
-            rows = read_headers(spark, every).select("file_name", "columns", "file_path").collect()
-        for r in rows:
-            by_name.setdefault(r["file_name"], {}).setdefault(tuple(r["columns"]), []).append(r["file_path"])
-    out = {}
+    for r in table.select("file_name", "columns", "file_path").collect():
+        by_name.setdefault(r["file_name"], {}).setdefault(tuple(r["columns"]), []).append(r["file_path"])
     for d in definitions:
         groups = by_name.get(d.file_name, {})
         if not paths[d.name] or not groups:
-            out[d.name] = (None, None)
             continue
         sigs = [(list(cols), sorted(files)) for cols, files in groups.items()]
         raw = read_feed(spark, paths[d.name], signatures=sigs)
-        out[d.name] = (raw, headers_from_signatures(spark, sigs))
+        out[d.name] = (raw, table.where(F.col("file_name") == d.file_name))
     return out
 
 
