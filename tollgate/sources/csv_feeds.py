@@ -98,15 +98,6 @@ def header_signatures(spark: SparkSession, paths: str | Sequence[str]) -> list[t
     return [(list(cols), sorted(files)) for cols, files in groups.items()]
 
 
-def headers_from_signatures(spark: SparkSession,
-                            sigs: list[tuple[list[str], list[str]]]) -> DataFrame:
-    """The headers frame rebuilt from already collected signatures (no rescan)."""
-    rows = [(f, f.rstrip("/").split("/")[-2], f.rstrip("/").split("/")[-1], cols)
-            for cols, files in sigs for f in files]
-    return spark.createDataFrame(
-        rows, f"file_path string, {BUNDLE_COL} string, file_name string, columns array<string>")
-
-
 def read_feed(spark: SparkSession, paths: str | Sequence[str], na_tokens=NA_TOKENS,
               signatures: list[tuple[list[str], list[str]]] | None = None) -> DataFrame | None:
     """Read every file of one feed by header; all columns as strings.
