@@ -100,3 +100,14 @@ def test_foreign_key_distinct_sorted_orphans(spark):
     assert o.description.endswith("Mismatched candidates found.")
     ok = integrity.check_exam_candidate_fk(parent, parent).first()
     assert ok.passed and ok.severity == "info"
+
+
+def test_offender_sample_per_group(spark):
+    exam = spark.createDataFrame([("b1", "A", "Pass", 3), ("b1", "B", "Pass", 1), ("b2", "C", "Fail", 2)],
+                                 "bundle string, candidate_id string, pass_fail string, n int")
+    cert = spark.createDataFrame([("b2", "C", "Certified", "2026-01-01")],
+                                 "bundle string, candidate_id string, certification_status string, status_effective_ts string")
+    keys = business.status_mapping_keys(exam, cert, order_col="n", group_cols=["bundle"])
+    got = sorted((r.bundle, r.rule_id, r.sample_rank, r.candidate)
+                 for r in business.offender_sample(keys, 5, group_cols=["bundle"]).collect())
+    assert got == [("b1", "BR-05-pass", 1, "B"), ("b1", "BR-05-pass", 2, "A"), ("b2", "BR-05-fail", 1, "C")]

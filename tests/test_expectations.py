@@ -70,3 +70,13 @@ def test_expectation_outcomes(spark):
     res = ex.run_suite(_frame(spark), "s", [ex.not_null("id")])
     o = ex.expectation_outcomes(res).first()
     assert o.rule_id == "s-expect_column_values_to_not_be_null-id" and not o.passed
+
+
+def test_grouped_suite_with_partial_lists(spark):
+    df = spark.createDataFrame([("b1", "X"), ("b1", "X"), ("b1", "P"), ("b2", "Y"), ("b2", None)],
+                               "bundle string, code string")
+    rows = {r.bundle: r for r in ex.run_suite(df, "s", [ex.in_set("code", ["P"])], group_cols=["bundle"],
+                                              partial_lists=True).collect()}
+    assert rows["b1"].unexpected_count == 2 and rows["b2"].missing_count == 1
+    assert [(x.value, x["count"]) for x in rows["b1"].partial_unexpected_counts] == [("X", 2)]
+    assert [(x.value, x["count"]) for x in rows["b2"].partial_unexpected_counts] == [("Y", 1)]
