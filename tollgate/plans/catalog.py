@@ -1042,6 +1042,16 @@ SELECT seq, rule_id, 'docs/rule-severity-matrix.md#' || {_SLUG_SQL} AS remediati
 """
 
 
+def q_events_checks_fused(spark, d):
+    return q_events_fused(spark, d).select(*CORE)
+
+
+SQL_EVENTS_CHECKS_FUSED = "\nUNION ALL\n".join(
+    f"SELECT rule_id, description, passed, severity FROM ({q}) f{i}"
+    for i, q in enumerate([SQL_REQUIRED_KEYS_EVENTS, SQL_DTYPE_AUDIT_EVENTS, SQL_SCORE_RANGE_PROPS,
+                           SQL_FRESHNESS_EVENTS]))
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -1092,6 +1102,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "root_cause": (q_root_cause, SQL_ROOT_CAUSE),
     "slug": (q_slug, SQL_SLUG),
     "link": (q_link, SQL_LINK),
+    "events_checks_fused": (q_events_checks_fused, SQL_EVENTS_CHECKS_FUSED),
 }
 
 
