@@ -21,10 +21,11 @@ NA_TOKENS = (
 # A timestamp string must start with a full date; Spark would otherwise accept
 # partial inputs such as "2026" or "2026-01" (or a bare time) as timestamps.
 _DATE_PREFIX = r"^\s*\d{4}-\d{2}-\d{2}"
-# Plain decimal / scientific numbers; Spark's cast would also take "1d", "3f",
-# "NaN" and "Infinity", which pandas.to_numeric rejects or treats as missing.
-_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-_INTEGER = r"^\s*[+-]?\d+(\.0*)?\s*$"
+# Decimal / scientific numbers and (signed) infinities, as pandas parses them;
+# Spark's cast would also take "1d" and "3f", and NaN counts as missing.
+_NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+# Whole numbers only: pandas' nullable Int64 rejects "1.0" and "1e3".
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 
 
 def _c(col: str | Column) -> Column:
@@ -65,7 +66,7 @@ def strict_long(col: str | Column, dtype: T.DataType | None = None) -> Column:
     if dtype is not None and isinstance(dtype, T.IntegralType):
         return c.cast("long")
     s = c.cast("string")
-    return F.when(s.rlike(_INTEGER), _try_cast(_try_cast(F.trim(s), "double"), "long"))
+    return F.when(s.rlike(_INTEGER), _try_cast(F.trim(s), "long"))
 
 
 def try_cast_typed(col: str | Column, target: str, dtype: T.DataType | None = None) -> Column:

@@ -176,9 +176,9 @@ def q_dtype_normalize_events(spark, d):
 
 SQL_DTYPE_NORMALIZE_EVENTS = """
 SELECT event_id,
-       CASE WHEN regexp_matches(json_extract_string(props, '$.k'), '^\\s*[+-]?\\d+(\\.0*)?\\s*$')
-            THEN TRY_CAST(TRY_CAST(trim(json_extract_string(props, '$.k')) AS DOUBLE) AS BIGINT) END AS props_k,
-       CASE WHEN regexp_matches(event_type, '^\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*$')
+       CASE WHEN regexp_matches(json_extract_string(props, '$.k'), '^\\s*[+-]?\\d+\\s*$')
+            THEN TRY_CAST(trim(json_extract_string(props, '$.k')) AS BIGINT) END AS props_k,
+       CASE WHEN regexp_matches(event_type, '(?i)^\\s*[+-]?((\\d+(\\.\\d*)?|\\.\\d+)(e[+-]?\\d+)?|inf|infinity)\\s*$')
             THEN TRY_CAST(trim(event_type) AS DOUBLE) END AS event_type
 FROM events
 """
@@ -325,7 +325,7 @@ def q_score_range_props(spark, d):
     return r.select(*CORE, "invalid_format_count", "out_of_range_count")
 
 
-_NUM_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUM_RE = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 SQL_SCORE_RANGE_PROPS = f"""
 WITH s AS (SELECT json_extract_string(props, '$.k') AS raw FROM events),
