@@ -6,7 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from .plans.gate import GateConfig, ReleaseGate
-from .session import build_session
+from .session import build_session, checkpoint_dir
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -17,8 +17,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--reference-ts", default=None,
                     help="reference clock (ISO timestamp); default: now")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
+    ap.add_argument("--checkpoint-dir", default=None,
+                    help="shared folder for lineage cuts (default: spark.checkpoint.dir)")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
+    if a.checkpoint_dir and not spark.conf.get("spark.checkpoint.dir", None):
+        checkpoint_dir(spark, a.checkpoint_dir)     # only when the session names none
     bundles = a.bundle if a.bundle == "*" else (a.bundle,)
     gate = ReleaseGate(spark, GateConfig(data_root=a.data_root, bundles=bundles,
                                          reports_dir=a.reports_dir, reference_ts=a.reference_ts))
