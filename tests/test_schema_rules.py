@@ -112,3 +112,14 @@ def test_to_outcomes_packs_metrics(spark):
     df = spark.createDataFrame([("a",), ("a",)], "k string")
     o = to_outcomes(duplicates.detect_duplicates(df, ["k"], "r")).first()
     assert o.details == {"subset": '["k"]', "duplicate_count": "2", "duplicate_groups": "1"}
+
+
+def test_ordered_columns_on_a_dataframe_and_declared_struct(spark):
+    df = spark.createDataFrame([("1", "a")], "candidate_id string, email string")
+    ok = schema.check_ordered_columns(df, ["candidate_id", "email"], "o").first()
+    bad = schema.check_ordered_columns(df, ["email", "candidate_id"], "o").first()
+    assert ok.passed and not bad.passed and "mismatched" in bad.details
+    st = schema.typed_struct(schema.get_schema_definition("exam_results"))
+    types = {f.name: f.dataType.simpleString() for f in st.fields}
+    assert types["exam_date"] == "timestamp" and types["attempt_number"] == "bigint"
+    assert types["score"] == "double" and list(types)[0] == "exam_result_id"

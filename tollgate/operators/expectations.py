@@ -123,13 +123,6 @@ def _pct(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") * F.lit(100) / den.cast("double"))
 
 
-def _success(unexpected: Column, den: Column, mostly: float | None) -> Column:
-    if mostly is None:
-        return unexpected == 0
-    ok = F.when(den > 0, (den - unexpected).cast("double") / den.cast("double")).otherwise(1.0)
-    return ok >= F.lit(float(mostly))
-
-
 def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation],
               params: Mapping[str, Column] | None = None, group_cols: Sequence[str] = (),
               partial_lists: bool = False) -> DataFrame:
