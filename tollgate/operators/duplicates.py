@@ -34,8 +34,8 @@ def key_counts(df: DataFrame, keys: Sequence[str], group_cols: Sequence[str] = (
     """One row per distinct (group, key) with its row count ``__n``.
 
     ``drop_nulls``: None keeps null keys (pandas); "any" ignores rows with a
-    null key column (GX column uniqueness); "all" ignores rows whose keys are
-    all null (GX compound uniqueness).
+    null key column (column-uniqueness expectation); "all" ignores rows whose keys are
+    all null (compound-uniqueness expectation).
     """
     base = df
     if drop_nulls:

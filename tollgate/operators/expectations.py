@@ -4,7 +4,7 @@ A suite is a list of ``Expectation`` specs. All value-level expectations of
 one table (not-null, between, in-set) are evaluated in **one** aggregation
 pass (one scan, one partial/final aggregate); each uniqueness expectation is
 one ``groupBy`` on its key columns (column-pruned scan). Results are typed
-rows (GX-style metrics) that union across suites and runs (checkpoint).
+rows (expectation-result metrics) that union across suites and runs (checkpoint).
 
 Evaluation parameters (``Param``) are resolved as scalar subqueries over any
 table, so a bound computed from data is part of the same plan: no collect,
@@ -208,7 +208,7 @@ def _pct_sql(num: str, den: str) -> str:
 
 
 def _finish_metrics(m: DataFrame, suite: str, group_cols) -> DataFrame:
-    """GX-style metrics from (element, missing, unexpected) counts.
+    """Expectation-result metrics from (element, missing, unexpected) counts.
 
     Written as one ``selectExpr`` (each derived metric is one SQL string) so
     the projection is built with a single JVM call.
@@ -241,7 +241,7 @@ def _finish_metrics(m: DataFrame, suite: str, group_cols) -> DataFrame:
 def _unique_result(df: DataFrame, suite: str, i: int, e: Expectation, group_cols) -> DataFrame:
     keys = [e.column] if e.column is not None else list(e.column_list)
     compound = e.expectation_type == "expect_compound_columns_to_be_unique"
-    # GX: column uniqueness ignores null values; compound uniqueness ignores
+    # Column uniqueness ignores null values; compound uniqueness ignores
     # rows whose keys are all null.
     # Null keys stay in the key counts (nulls group together), so one
     # second-level aggregate yields element, missing and unexpected counts.
