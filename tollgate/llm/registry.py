@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tollgate.llm import chat_format
+from tollgate.llm import chat_format, toxicity
 
 REGISTRY = {
     "op1_chat_format": (chat_format.op1_chat_format, chat_format.SQL),
+    "op9_toxicity": (toxicity.op9_toxicity, None),
 }
