@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tollgate.llm import chat_format, toxicity
+from tollgate.llm import chat_format, langid, toxicity
 
 REGISTRY = {
     "op1_chat_format": (chat_format.op1_chat_format, chat_format.SQL),
     "op9_toxicity": (toxicity.op9_toxicity, None),
+    "op10_langid": (langid.op10_langid, None),
 }
