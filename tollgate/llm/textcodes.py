@@ -49,7 +49,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWERS = {}
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
+def power_table(base: int, n: int) -> np.ndarray:
     """Powers 0..n-1 of ``base``; the tables of common batch sizes are kept."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
@@ -107,10 +107,10 @@ def span_codes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: boo
     running = np.empty(n + 1, U64)
     running[0] = 0
     terms = (_BYTES_LOWER if lower else _BYTES)[raw]
-    terms *= _power_table(_BASE, n)[:n]
+    terms *= power_table(_BASE, n)[:n]
     np.cumsum(terms, out=running[1:])
     code = running[ends] - running[starts]
-    code *= _power_table(_BASE_INVERSE, n)[starts]
+    code *= power_table(_BASE_INVERSE, n)[starts]
     code += (ends - starts).astype(U64) * _GOLDEN
     return mix(code)
 
