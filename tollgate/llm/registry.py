@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tollgate.llm import chat_format, langid, line_dedup, minhash, sentencepiece_sample, tiling, token_counts, toxicity
+from tollgate.llm import chat_format, langid, line_dedup, minhash, pii, sentencepiece_sample, tiling, token_counts, toxicity
 
 REGISTRY = {
     "op1_chat_format": (chat_format.op1_chat_format, chat_format.SQL),
@@ -12,5 +12,6 @@ REGISTRY = {
     "op8_sentencepiece": (sentencepiece_sample.op8_sentencepiece, None),
     "op9_toxicity": (toxicity.op9_toxicity, None),
     "op10_langid": (langid.op10_langid, None),
+    "op3_pii": (pii.op3_pii, None),
     "op4_token_counts": (token_counts.op4_token_counts, None),
 }
