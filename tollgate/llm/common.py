@@ -24,13 +24,12 @@ class Scratch:
 
     ``keep`` writes a frame once as Parquet and reads it back, so that a lost
     executor costs a re-read, never the lineage before it. ``drop`` removes
-    what later steps do not read; ``close`` removes all tables but those named.
+    what later steps do not read.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/tollgate-llm/{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
         self.count = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -38,15 +37,15 @@ class Scratch:
         path = f"{self.base}/{self.count}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._scratch_path = path
         return out
 
     def drop(self, *frames: DataFrame) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for f in frames:
-            path = jvm.org.apache.hadoop.fs.Path(f._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
+            if "_scratch_path" in f.__dict__:
+                path = jvm.org.apache.hadoop.fs.Path(f._scratch_path)
+                path.getFileSystem(conf).delete(path, True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -100,27 +99,6 @@ def run_starts(t: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Root of each of ``n`` nodes under the links (a, b): the smallest index reached."""
-    parent = np.arange(n)
-    for x, y in zip(a.tolist(), b.tolist()):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        while parent[y] != y:
-            parent[y] = parent[parent[y]]
-            y = parent[y]
-        if x < y:
-            parent[y] = x
-        elif y < x:
-            parent[x] = y
-    while True:
-        up = parent[parent]
-        if (up == parent).all():
-            return parent
-        parent = up
-
-
 def connected_components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); component: its smallest node.
 

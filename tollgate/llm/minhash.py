@@ -124,7 +124,7 @@ def near_matrix(sig: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndar
     return close & (apart <= NEAR)
 
 
-def _labels(adjacent: np.ndarray) -> np.ndarray:
+def labels(adjacent: np.ndarray) -> np.ndarray:
     """Component (least index) of each node of a symmetric boolean matrix."""
     n = len(adjacent)
     label = np.full(n, -1)
@@ -179,7 +179,7 @@ def _near_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near = near_matrix(sig, left, right)
                 adjacent[np.ix_(left - s, right - s)] = near
                 adjacent[np.ix_(right - s, left - s)] = near.T
-            label = _labels(adjacent)
+            label = labels(adjacent)
             other = np.flatnonzero(label != np.arange(m))
             a.append(node[rows[label[other]]])
             b.append(node[rows[other]])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tollgate.llm import chat_format, langid, line_dedup, minhash, pii, sentencepiece_sample, tiling, token_counts, toxicity
+from tollgate.llm import chat_format, embedding_graph, langid, line_dedup, minhash, pii, sentencepiece_sample, tiling, token_counts, toxicity
 
 REGISTRY = {
     "op1_chat_format": (chat_format.op1_chat_format, chat_format.SQL),
     "op2_minhash": (minhash.op2_minhash, minhash.SQL),
     "op5_tiling": (tiling.op5_tiling, None),
+    "op6_embedding_graph": (embedding_graph.op6_embedding_graph, None),
     "op7_line_dedup": (line_dedup.op7_line_dedup, line_dedup.SQL),
     "op8_sentencepiece": (sentencepiece_sample.op8_sentencepiece, None),
     "op9_toxicity": (toxicity.op9_toxicity, None),
