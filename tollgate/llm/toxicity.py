@@ -225,6 +225,17 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
+def keep_clean(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``documents``, all columns as they are, whose score is below THRESHOLD; no shuffle."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text):
+            yield b.filter(pa.array(shared.value.score(b.column(text)) < THRESHOLD))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: doc_id, held_out, score, predicted."""
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
