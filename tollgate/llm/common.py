@@ -102,19 +102,21 @@ def run_starts(t: pa.Table, keys: list[str]) -> np.ndarray:
 def connected_components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); component: its smallest node.
 
-    Randomised contraction: in a round every node points at the neighbour (or
-    itself) of least hash, edges are renamed by the pointers, and loops and
-    repeats go; a fresh hash each round shrinks any graph, long paths included,
-    by a constant factor in expectation, so rounds grow with the logarithm of
-    the node count. Pointers of each round are written; edges and pointers
-    meet in joins whose sides are both plain exchanges, so a hub's edges can
-    be split by the adaptive skew join. No node's neighbours are collected.
+    Contraction: in a round every node points at the least of its neighbours
+    and itself, edges are renamed by the pointers, and loops and repeats go.
+    Rounds order nodes by id and by a fresh hash in turn: ids end stars (what
+    the operators emit) in a round, random orders shrink any graph, long paths
+    included, by a constant factor in expectation, so rounds grow with the
+    logarithm of the node count. Pointers of each round are written; edges and
+    pointers meet in joins whose sides are both plain exchanges, so a hub's
+    edges can be split by the adaptive skew join. No node's neighbours are
+    collected.
     """
     spark = scratch.spark
     e = scratch.keep(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     levels = []
     while not e.isEmpty():
-        h = lambda c: F.xxhash64(F.lit(len(levels)), F.col(c))  # noqa: E731,B023
+        h = (lambda c: F.xxhash64(F.lit(len(levels)), F.col(c))) if len(levels) % 2 else F.col  # noqa: E731,B023
         best = (e.select("a", F.struct(h("b").alias("h"), F.col("b").alias("n")).alias("x"))
                 .unionAll(e.select(F.col("b").alias("a"), F.struct(h("a").alias("h"), F.col("a").alias("n")).alias("x")))
                 .groupBy("a").agg(F.min("x").alias("x"))

@@ -44,7 +44,7 @@ from tollgate.llm.common import Scratch, connected_components, run_starts, slice
 CHUNKS, CHUNK, POSITIONS = 16, 4, 128
 INDEXED = CHUNKS * CHUNK
 NEAR_INDEXED, NEAR = 31, 52
-BLOCK_ROWS, BLOCK_SHINGLES = 1000, 400_000
+BUCKET_ROWS, BLOCK_ROWS, BLOCK_SHINGLES = 4000, 1500, 400_000
 _MULTIPLIERS = tc.stream(POSITIONS, 99) | tc.U64(1)
 
 
@@ -275,10 +275,10 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     keys = chunk_keys(nodes)
     shared = (keys.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("lo"), F.bit_xor(F.xxhash64("node")).alias("hx"))
               .where("c > 1").groupBy("c", "lo", "hx").agg(F.min("key").alias("key"))
-              .select("key", F.ceil(F.col("c") / BLOCK_ROWS).cast("int").alias("blocks")))
+              .select("key", F.ceil(F.col("c") / BUCKET_ROWS).cast("int").alias("blocks")))
     buckets = scratch.keep(shared)
     in_buckets = blocked(keys.join(buckets, "key"), "blocks").join(nodes.select("node", "sig"), "node")
-    near = in_buckets.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(_near_forest, "a long, b long")
+    near = in_buckets.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "node").mapInArrow(_near_forest, "a long, b long")
     groups = connected_components(scratch, near)
 
     members = nodes.join(groups.select("node", F.col("component").alias("group")), "node")
