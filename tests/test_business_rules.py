@@ -96,7 +96,7 @@ def test_foreign_key_distinct_sorted_orphans(spark):
     parent = spark.createDataFrame([("1",), (None,)], "candidate_id string")
     o = integrity.check_exam_candidate_fk(child, parent).first()
     assert not o.passed and o.severity == "critical" and o.missing_count == 2
-    assert o.missing_values == ["3", "9"]
+    assert o.sample_values == ["3", "9"]
     assert o.description.endswith("Mismatched candidates found.")
     ok = integrity.check_exam_candidate_fk(parent, parent).first()
     assert ok.passed and ok.severity == "info"

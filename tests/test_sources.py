@@ -46,24 +46,53 @@ def test_file_metadata_and_defect_log(spark, bundles_root, tmp_path):
                                      "bundle string, rule_id string, description string, passed boolean, severity string")
     log = str(tmp_path / "defects")
     sinks.append_defect_log(outcomes, log, "2026-03-03T17:42:35Z")
-    sinks.append_defect_log(outcomes, log, "2026-03-03T17:42:35Z", existing=spark.read.parquet(log))
+    again = sinks.append_defect_log(outcomes, log, "2026-03-03T17:42:35Z")
+    sinks.append_defect_log(outcomes, log, "2026-03-04T17:42:35Z")
     back = spark.read.parquet(log)
-    assert back.count() == 1 and back.first().status == "open"
-
-
-def test_shuffle_partitions_scale_with_input(spark, bundles_root):
-    from tollgate.operators.schema import SCHEMA_DEFINITIONS
-    from tollgate.session import size_shuffle
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        n = csv_feeds.input_bytes(spark, str(bundles_root), list(SCHEMA_DEFINITIONS.values()))
-        assert 0 < n < 1 << 20
-        assert size_shuffle(spark, n) == 8                     # tiny input: the floor
-        assert size_shuffle(spark, 100 << 40) == 100_000       # 100 TB: clamped
-        assert size_shuffle(spark, 1 << 40) == 4096            # 1 TiB / 256 MiB
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+    assert back.count() == 2 and back.first().status == "open" and again.count() == 1
+    results = spark.createDataFrame([("s", "e1"), ("s", "e2")], "suite string, expectation_type string")
+    for _ in range(2):
+        sinks.store_results(results, str(tmp_path / "results"), "run-1")
+    sinks.store_results(results.limit(1), str(tmp_path / "results"), "run-2")
+    assert spark.read.parquet(str(tmp_path / "results")).count() == 3
+
+
+def _csv(tmp_path, bundle, text):
+    (tmp_path / bundle).mkdir(parents=True, exist_ok=True)
+    (tmp_path / bundle / "feed.csv").write_text(text)
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    _csv(tmp_path, "b1", 'a,"b,x",c\n1,"say ""hi"", ok",3\n2,"two\nlines",4\n')
+    got = [tuple(r) for r in csv_feeds.read_feed(spark, [str(tmp_path / "*" / "feed.csv")]).orderBy("_row_order").select("a", "`b,x`", "c").collect()]
+    assert got == [("1", 'say "hi", ok', "3"), ("2", "two\nlines", "4")]
+
+
+def test_surplus_fields_are_kept_apart(spark, tmp_path):
+    _csv(tmp_path, "b1", "a,b,c\n1,2,3\n5,6,7,8\n9,10\n")
+    got = [(r.a, r.c, r["_surplus"]) for r in csv_feeds.read_feed(spark, [str(tmp_path / "*" / "feed.csv")]).orderBy("_row_order").collect()]
+    assert got == [("1", "3", None), ("5", "7", "8"), ("9", None, None)]
+
+
+def test_unclosed_quotes_are_counted(spark, tmp_path):
+    _csv(tmp_path, "b1", 'a,b\n1,"two\nlines"\n')
+    assert [tuple(r) for r in csv_feeds.unclosed_quotes(spark, [str(tmp_path / "*" / "feed.csv")]).collect()] == [("b1", 2)]
+
+
+def test_folder_names_with_spaces_and_plus(spark, tmp_path):
+    for b in ("my bundle", "a+b", "50% é"):
+        _csv(tmp_path, b, "a\n1\n")
+    df = csv_feeds.read_feed(spark, [str(tmp_path / "*" / "feed.csv")])
+    assert {r.bundle for r in df.collect()} == {"my bundle", "a+b", "50% é"}
+
+
+def test_header_pass_takes_one_task_per_file(spark, tmp_path):
+    for i in range(3):
+        _csv(tmp_path, f"b{i}", "a,b\n" + "1,2\n" * 400_000)
+    with csv_feeds.whole_files(spark):
+        assert spark.read.text(str(tmp_path / "*" / "feed.csv")).rdd.getNumPartitions() == 3
+    h = csv_feeds.read_headers(spark, [str(tmp_path / "*" / "feed.csv")])
+    assert [r.columns for r in h.collect()] == [["a", "b"]] * 3
 
 
 def test_bundle_lists_fold_into_brace_globs(spark, bundles_root):

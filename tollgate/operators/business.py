@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce_timestamp, hours_between, strict_double
 from ..outcome import CRITICAL, INFO, WARNING
-from ..session import materialize
+from ..session import cut_lineage
 from .fusion import AggCheck, Row, run_flat
 from .integrity import first_n, latest_per_key
 
@@ -83,18 +83,17 @@ def status_mapping_keys(exam: DataFrame, cert: DataFrame, *, key: str = "candida
 
 def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_prefix: str = "BR-05",
                                   *, sample_size: int = SAMPLE_SIZE,
-                                  group_cols: Sequence[str] = (), materialize_keys: bool | None = None,
-                                  **kw) -> DataFrame:
+                                  group_cols: Sequence[str] = (), **kw) -> DataFrame:
     """Two flat outcome rows per group: ``{prefix}-pass`` and ``{prefix}-fail``.
 
     Columns: mismatch_count, missing_count (pass side only; missing is a
-    subset of mismatch), sample_candidates (first ``sample_size`` offending
-    keys in ``order_col`` order).
+    subset of mismatch), allowed_fail_statuses (fail side only),
+    sample_candidates (first ``sample_size`` offending keys in ``order_col``
+    order).
     """
     # The per-key frame feeds the totals and both samples; it is written once
     # (key-sized) so the fact table is scanned and shuffled a single time.
-    keys = materialize(status_mapping_keys(exam, cert, group_cols=group_cols, **kw),
-                       materialize_keys, basis=[exam, cert])
+    keys = cut_lineage(status_mapping_keys(exam, cert, group_cols=group_cols, **kw))
     tot = keys.groupBy(*group_cols).agg(
         F.coalesce(F.sum("pass_mismatch"), F.lit(0)).cast("long").alias("pass_mismatch_count"),
         F.coalesce(F.sum("pass_missing"), F.lit(0)).cast("long").alias("pass_missing_count"),
@@ -108,13 +107,15 @@ def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_pref
                  (~pass_failed).alias("passed"),
                  F.when(pass_failed, F.lit(CRITICAL)).otherwise(F.lit(INFO)).alias("severity"),
                  F.col("pass_mismatch_count").alias("mismatch_count"),
-                 F.col("pass_missing_count").alias("missing_count")),
+                 F.col("pass_missing_count").alias("missing_count"),
+                 F.lit(None).cast("array<string>").alias("allowed_fail_statuses")),
         F.struct(F.lit(fail_id).alias("rule_id"),
                  F.lit("Fail attempts should not result in Certified statuses.").alias("description"),
                  (~fail_failed).alias("passed"),
                  F.when(fail_failed, F.lit(WARNING)).otherwise(F.lit(INFO)).alias("severity"),
                  F.col("fail_mismatch_count").alias("mismatch_count"),
-                 F.lit(None).cast("long").alias("missing_count")))))
+                 F.lit(None).cast("long").alias("missing_count"),
+                 F.array(*[F.lit(x) for x in FAIL_ALLOWED_STATUSES]).alias("allowed_fail_statuses")))))
     # Samples are attached ABOVE the counts: a consumer that does not read
     # them lets Catalyst prune the top-k plans entirely.
     ps = first_n(keys.where(F.col("pass_mismatch") > 0), ["first_pass", "key"], sample_size,
@@ -129,7 +130,7 @@ def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_pref
     else:
         pick = F.when(F.col("rule_id") == pass_id, ps.scalar()).otherwise(fs.scalar())
     return rows.select(*group_cols, "rule_id", "description", "passed", "severity",
-                       "mismatch_count", "missing_count",
+                       "mismatch_count", "missing_count", "allowed_fail_statuses",
                        F.coalesce(pick, empty).alias("sample_candidates"))
 
 
@@ -192,7 +193,7 @@ def freshness_check(df: DataFrame, *, reference_ts, timestamp_column: str | None
                    "latest_data_time": latest, "timestamp_source": label,
                    "max_allowed_hours": mx, "warning_hours": wn})
         return aggs, [row]
-    return AggCheck(build)
+    return AggCheck(build, {"file": file_time_column} if file_time_column else {})
 
 
 def evaluate_freshness(df: DataFrame, *, reference_ts, timestamp_column: str | None = None,

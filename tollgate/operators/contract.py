@@ -25,7 +25,7 @@ from ..functions.coerce import coerce_timestamp, hours_between
 from ..outcome import CRITICAL, INFO, WARNING, finish
 from .fusion import AggCheck, Row, run_flat
 from .integrity import foreign_key_reference, latest_per_key
-from ..session import materialize
+from ..session import cut_lineage
 
 # Certification levels allowed by the contract and the
 # per-feed freshness limits (max, warning) in hours.
@@ -97,28 +97,29 @@ def check_without_fact(master: DataFrame, fact: DataFrame, key: str,
 
 
 def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_col: str,
-                      tie_cols: Sequence[str] = (), num_chunks: int | None = None) -> DataFrame:
+                      tie_cols: Sequence[str] = (), num_chunks: int | None = None,
+                      group_cols: Sequence[str] = ()) -> DataFrame:
     """Rows whose interval starts before an earlier interval of the key ends.
 
     Returns every input row with a non-null start plus ``prev_max_end`` and
-    ``overlaps``. Rows are range-partitioned on (keys, start, ties) into
-    ``num_chunks`` (default: the shuffle partition count) contiguous chunks,
-    so a hot key is split by row count however its times are spread; a small
-    per-chunk aggregate carries each chunk the max end of the key's earlier
-    chunks, and a running max inside each (key, chunk) finishes the scan.
+    ``overlaps``. Rows are range-partitioned on (groups, keys, start, ties)
+    into ``num_chunks`` (default: the shuffle partition count) contiguous
+    chunks, so a hot key is split by row count however its times are spread.
+    The chunked rows are written once: both their uses read the same chunk
+    numbers, whatever the optimizer reuses. A small per-chunk aggregate
+    carries each chunk the max end of the key's earlier chunks, and a running
+    max inside each (key, chunk) finishes the scan.
     """
     spark = df.sparkSession
+    keys = [*group_cols, *keys]
     n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     start = _ts(df, start_col)
     end = _ts(df, end_col)
     base = df.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{t}`") for t in tie_cols],
                      start.alias("__start"), end.alias("__end")).where(F.col("__start").isNotNull())
     order = [*[F.col(f"`{k}`") for k in keys], F.col("__start"), *[F.col(f"`{t}`") for t in tie_cols]]
-    # The range exchange samples its input in a separate pass; a large input
-    # is written once as the narrow projection so both passes read that.
-    base = materialize(base, None, basis=[df])
     # Partition ids of a range exchange follow the sort order of (keys, start, ties).
-    ranged = base.repartitionByRange(n, *order).withColumn("__chunk", F.spark_partition_id())
+    ranged = cut_lineage(base.repartitionByRange(n, *order).withColumn("__chunk", F.spark_partition_id()))
     chunk_keys = [*keys, "__chunk"]
     chunks = ranged.groupBy(*chunk_keys).agg(F.max("__end").alias("__chunk_max"))
     carry_w = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -138,16 +139,17 @@ def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_co
 
 def check_overlapping_intervals(df: DataFrame, keys: Sequence[str], start_col: str, end_col: str,
                                 tie_cols: Sequence[str] = (), rule_id: str = "BR-09",
-                                severity: str = CRITICAL, num_chunks: int | None = None) -> DataFrame:
-    """Flat outcome (C4): overlapping rows and keys with an overlap."""
-    ov = interval_overlaps(df, keys, start_col, end_col, tie_cols, num_chunks)
-    per_key = ov.groupBy(*keys).agg(F.count_if("overlaps").alias("n"))
-    agg = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("overlap_count"),
+                                severity: str = CRITICAL, num_chunks: int | None = None,
+                                group_cols: Sequence[str] = ()) -> DataFrame:
+    """Flat outcome (C4): overlapping rows and keys with an overlap (per group)."""
+    ov = interval_overlaps(df, keys, start_col, end_col, tie_cols, num_chunks, group_cols)
+    per_key = ov.groupBy(*group_cols, *keys).agg(F.count_if("overlaps").alias("n"))
+    agg = per_key.groupBy(*group_cols).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("overlap_count"),
                       F.count_if(F.col("n") > 0).alias("keys_with_overlap"))
     return finish(agg, rule_id=rule_id, passed=F.col("overlap_count") == 0, severity_fail=severity,
                   description_pass="No overlapping status intervals.",
                   description_fail="Overlapping status intervals found.",
-                  keep=["overlap_count", "keys_with_overlap"])
+                  keep=["overlap_count", "keys_with_overlap"], group_cols=group_cols)
 
 
 def keep_latest_per_level(cert: DataFrame, keys: Sequence[str] = ("candidate_id", "certification_level"),
@@ -235,11 +237,11 @@ def score_quarantine_rules(columns: Sequence[str] = ("score", "score_scaled")) -
 
 
 def check_flag_candidate_fk(flags: DataFrame, candidates: DataFrame, rule_id: str = "BR-07c",
-                            group_cols: Sequence[str] = ()) -> DataFrame:
+                            group_cols: Sequence[str] = (), orphans: DataFrame | None = None) -> DataFrame:
     """Disciplinary flags must reference a known candidate."""
     return foreign_key_reference(flags, candidates, "candidate_id", "candidate_id", rule_id,
                                  "Every disciplinary flag references a known candidate.",
-                                 group_cols=group_cols)
+                                 group_cols=group_cols, orphans=orphans)
 
 
 def value_set_check(column: str, values: Sequence, rule_id: str,

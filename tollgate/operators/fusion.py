@@ -35,9 +35,14 @@ class Row:
 
 @dataclass
 class AggCheck:
-    """``build(prefix) -> (aggregates, rows)``; names must start with prefix."""
+    """``build(prefix) -> (aggregates, rows)``; names must start with prefix.
+
+    ``group_defaults``: aggregates (name without prefix) that a group without
+    rows takes from a column of the group list, e.g. its file time.
+    """
 
     build: Callable[[str], tuple[list[Column], list[Row]]]
+    group_defaults: dict[str, str] = field(default_factory=dict)
 
 
 def _emit(r: Row) -> Column:
@@ -77,11 +82,13 @@ def run_flat(df: DataFrame, check: AggCheck, group_cols: Sequence[str] = ()) ->
 
 
 def fused(df: DataFrame, checks: Sequence[AggCheck], group_cols: Sequence[str] = (),
-          seqs: Sequence[int] | None = None) -> DataFrame:
+          seqs: Sequence[int] | None = None, groups: DataFrame | None = None) -> DataFrame:
     """All checks in one aggregation pass; outcome rows with ``details``.
 
     ``seqs`` gives each check's position in the evaluation order (``seq``
-    column), so fused rows keep the order of an unfused run.
+    column), so fused rows keep the order of an unfused run. ``groups`` (one
+    row per group) makes every group report: one without rows gets what the
+    aggregates say about an empty table.
     """
     all_aggs: list[Column] = []
     structs: list[Column] = []
@@ -94,5 +101,36 @@ def fused(df: DataFrame, checks: Sequence[AggCheck], group_cols: Sequence[str] =
                 st = st.withField("seq", F.lit(int(seqs[i])))
             structs.append(st)
     m = _aggregate(df, all_aggs, group_cols)
+    if groups is not None:
+        defaults = {f"c{i}_{k}": v for i, c in enumerate(checks) for k, v in c.group_defaults.items()
+                    if v in groups.columns}
+        m = _every_group(m, _aggregate(df.where(F.lit(False)), all_aggs, ()), groups, group_cols, defaults)
     out = m.select(*group_cols, F.inline(F.array(*structs)))
     return out.where(F.col("__emit")).drop("__emit")
+
+
+def _every_group(m: DataFrame, empty: DataFrame, groups: DataFrame, group_cols: Sequence[str],
+                 defaults: dict[str, str]) -> DataFrame:
+    names = [c for c in m.columns if c not in set(group_cols)]
+    j = (groups.join(m.withColumn("__has", F.lit(True)), list(group_cols), "left")
+         .withColumn("__empty", empty.select(F.struct(*names)).scalar()))
+    def value(n):
+        none = F.col(f"__empty.{n}")
+        if n in defaults:
+            none = F.coalesce(none, F.col(defaults[n]).cast(m.schema[n].dataType))
+        return F.when(F.col("__has"), F.col(f"`{n}`")).otherwise(none).alias(n)
+    return j.select(*group_cols, *[value(n) for n in names])
+
+
+def fill_groups(flat: DataFrame, empty: DataFrame, groups: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``flat``, and for each group without any those of ``empty``.
+
+    ``empty``: the same check over an empty table, ungrouped (a handful of
+    rows, read as one scalar).
+    """
+    names = [c for c in flat.columns if c not in set(group_cols)]
+    rows = flat.select(*group_cols, F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"))
+    none = empty.select(F.struct(*[F.col(f"`{n}`").cast(flat.schema[n].dataType).alias(n) for n in names]).alias("r")).agg(F.collect_list("r")).scalar()
+    j = groups.select(*group_cols).distinct().join(rows, list(group_cols), "left").withColumn("__none", none)
+    each = F.when(F.col("__row").isNull(), F.col("__none")).otherwise(F.array("__row"))
+    return j.withColumn("__each", each).select(*group_cols, F.inline("__each"))

@@ -7,9 +7,10 @@ AQE turns it into a broadcast join at run time only when the measured
 distinct-parent side is below the broadcast threshold, so no side is
 broadcast on a guess.
 
-The outcome row carries the exact orphan count and the first ``sample_size``
-orphans in key order (a top-k, never a whole list); ``orphan_keys`` returns
-the complete, distributed orphan list.
+The outcome row carries the exact orphan count and, as ``sample_values``, the
+first ``sample_size`` orphans in key order. The complete list is a distributed
+table (``orphan_keys``, ``orphan_details``) that the gate writes for every
+foreign key rule.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..outcome import CRITICAL, INFO, finish
-from ..session import materialize
+from ..session import cut_lineage
 
 SAMPLE_SIZE = 20
 
@@ -74,20 +75,21 @@ def foreign_key_reference(child: DataFrame, parent: DataFrame, child_column: str
                           parent_column: str | None, rule_id: str, description: str,
                           severity: str = CRITICAL, group_cols: Sequence[str] = (),
                           sample_size: int = SAMPLE_SIZE,
-                          materialize_orphans: bool | None = None) -> DataFrame:
-    """Flat outcome: ``missing_count`` (exact) and ``missing_values`` (first k sorted).
+                          orphans: DataFrame | None = None) -> DataFrame:
+    """Flat outcome: ``missing_count`` (exact) and ``sample_values`` (first k sorted).
 
     Groups listed in ``group_cols`` that exist in the child and have no orphan
-    get a passing row.
+    get a passing row. ``orphans``: the written ``orphan_keys`` of the rule,
+    where the caller has them.
     """
     # Count and sample both read the orphan keys; they are written once so
     # the anti join (a scan of both tables) runs a single time.
-    orphans = materialize(orphan_keys(child, parent, child_column, parent_column, group_cols),
-                          materialize_orphans, basis=[child, parent])
+    if orphans is None:
+        orphans = cut_lineage(orphan_keys(child, parent, child_column, parent_column, group_cols))
     if group_cols:
         counts = orphans.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("missing_count"))
         sample = first_n(orphans, ["key"], sample_size, F.col("key").cast("string"),
-                         group_cols, "missing_values")
+                         group_cols, "sample_values")
         # Groups come from the distinct child keys the anti join already
         # aggregates (same plan, reused exchange), not from a second scan.
         c, _p = _distinct_keys(child, parent, child_column, parent_column or child_column,
@@ -95,19 +97,24 @@ def foreign_key_reference(child: DataFrame, parent: DataFrame, child_column: str
         groups = c.select(*group_cols).distinct()
         m = (groups.join(counts, list(group_cols), "left").join(sample, list(group_cols), "left")
              .select(*group_cols, F.coalesce("missing_count", F.lit(0)).alias("missing_count"),
-                     F.coalesce("missing_values", F.array().cast("array<string>"))
-                     .alias("missing_values")))
+                     F.coalesce("sample_values", F.array().cast("array<string>"))
+                     .alias("sample_values")))
     else:
         sample = first_n(orphans, ["key"], sample_size, F.col("key").cast("string"),
-                         alias="missing_values")
+                         alias="sample_values")
         # The sample is a scalar subquery of the count row: no join at all.
         m = orphans.agg(F.count(F.lit(1)).alias("missing_count")).select(
-            "missing_count", sample.scalar().alias("missing_values"))
+            "missing_count", sample.scalar().alias("sample_values"))
     return finish(m, rule_id=rule_id, passed=F.col("missing_count") == 0,
                   severity_fail=severity, severity_pass=INFO,
                   description_pass=description,
                   description_fail=description + " Mismatched candidates found.",
-                  keep=["missing_count", "missing_values"], group_cols=group_cols)
+                  keep=["missing_count", "sample_values"], group_cols=group_cols)
+
+
+def orphan_details(orphans: DataFrame, rule_id: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The complete orphan list of a rule: (groups..., rule_id, missing_value), a row per key."""
+    return orphans.select(*group_cols, F.lit(rule_id).alias("rule_id"), F.col("key").cast("string").alias("missing_value"))
 
 
 def check_exam_candidate_fk(exam_df: DataFrame, candidates_df: DataFrame,

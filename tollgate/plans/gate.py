@@ -22,7 +22,8 @@ from ..operators.schema import SCHEMA_DEFINITIONS
 from ..outcome import CRITICAL, WARNING, finish, to_outcomes
 from ..sources import csv_feeds, sinks
 from ..sources.csv_feeds import BUNDLE_COL, MTIME_COL, ORDER_COL
-from ..session import cut_lineage, size_shuffle
+from ..operators.integrity import foreign_key_reference, orphan_details, orphan_keys
+from ..session import cut_lineage, release_tables
 from . import reporting
 
 G = (BUNDLE_COL,)
@@ -69,11 +70,9 @@ class GateConfig:
     wire_range_and_window: bool = True
     # Optional feed: disciplinary flags must reference known candidates.
     flags_file: str | None = "disciplinary_flags.csv"
-    # Cut lineage of the typed feeds into the shared checkpoint folder.
-    checkpoint_feeds: bool = False
+    # Quoted fields may hold line breaks; a file is then the work of one task.
+    multi_line: bool = True
     materialize_outcomes: bool = True
-    # Size spark.sql.shuffle.partitions from the listed input bytes.
-    auto_shuffle_partitions: bool = False
 
 
 @dataclass
@@ -82,6 +81,11 @@ class Feed:
     raw: DataFrame
     typed: DataFrame
     headers: DataFrame
+    paths: list[str]
+
+    def none(self) -> DataFrame:
+        """The typed feed without rows."""
+        return self.typed.where(F.lit(False))
 
 
 class ReleaseGate:
@@ -89,25 +93,24 @@ class ReleaseGate:
         self.spark = spark
         self.config = config
         self._report: GateReport | None = None
+        self._tables: list[DataFrame] = []
 
     # -- loading ---------------------------------------------------------
     def load(self) -> dict[str, Feed]:
         cfg = self.config
         defs = [SCHEMA_DEFINITIONS[t.name] for t in cfg.schema_targets]
-        if cfg.auto_shuffle_partitions:
-            size_shuffle(self.spark, csv_feeds.input_bytes(self.spark, cfg.data_root, defs,
-                                                           cfg.bundles))
         feeds: dict[str, Feed] = {}
-        loaded = csv_feeds.load_bundles(self.spark, cfg.data_root, defs, cfg.bundles)
+        loaded = csv_feeds.load_bundles(self.spark, cfg.data_root, defs, cfg.bundles, cfg.multi_line)
         for d in defs:
             raw, headers = loaded[d.name]
             if raw is None:
                 raise FileNotFoundError(
                     f"Missing ingest files: no {d.file_name} under {cfg.data_root}")
-            typed = csv_feeds.typed_view(raw, d)
-            if cfg.checkpoint_feeds:
-                typed = cut_lineage(typed, self.spark)
-            feeds[d.name] = Feed(d.name, raw, typed, headers)
+            # Each CSV is parsed once: all rules read the written feed.
+            raw = cut_lineage(raw, self.spark)
+            self._tables += [raw, headers]
+            feeds[d.name] = Feed(d.name, raw, csv_feeds.typed_view(raw, d), headers,
+                                 csv_feeds._existing(self.spark, csv_feeds.feed_glob(cfg.data_root, d.file_name, cfg.bundles)))
         return feeds
 
     # -- rules -------------------------------------------------------------
@@ -125,8 +128,11 @@ class ReleaseGate:
         needs: dict[str, dict[str, list[str]]] = {n: {} for n in feeds}
         seq = 0
 
-        def add(flat: DataFrame) -> None:
+        def add(flat: DataFrame, empty: DataFrame | None = None) -> None:
+            """One rule's rows; ``empty``: what it says of an empty feed, for runs without rows."""
             nonlocal seq
+            if empty is not None:
+                flat = fusion.fill_groups(flat, empty, seen, G)
             parts.append(to_outcomes(flat, G).withColumn("seq", F.lit(seq)))
             seq += 1
 
@@ -142,7 +148,9 @@ class ReleaseGate:
         for f in feeds.values():
             b = f.headers.select(BUNDLE_COL)
             seen = b if seen is None else seen.unionByName(b)
-        seen = seen.distinct()
+        seen = self._runs = cut_lineage(seen.distinct(), self.spark)
+        self._tables.append(seen)
+        self._orphans: list[DataFrame] = []
         for t in cfg.schema_targets:
             d = SCHEMA_DEFINITIONS[t.name]
             have = feeds[t.name].headers.select(BUNDLE_COL).distinct().withColumn("__has", F.lit(True))
@@ -161,11 +169,13 @@ class ReleaseGate:
             typed_map = {c: v for c, v in d.dtype_map.items()}
             for c in d.parse_dates:
                 typed_map[c] = "datetime64[ns]"
+            add(self._malformed(f, d.name, seen))
             add_fused(t.name, schema.dtype_audit_check(
                 f.raw, typed_map, t.dtype_rule_prefix or f"{d.name}-dtype", emit_passed=False))
             prefix = t.uniqueness_rule_prefix or f"{d.name}-uniqueness"
             for i, keys in enumerate(d.uniqueness_constraints, start=1):
-                r = duplicates.detect_duplicates(f.typed, keys, f"{prefix}-unique-{i}", group_cols=G)
+                r = fusion.fill_groups(duplicates.detect_duplicates(f.typed, keys, f"{prefix}-unique-{i}", group_cols=G),
+                                       duplicates.detect_duplicates(f.none(), keys, f"{prefix}-unique-{i}"), seen, G)
                 add(_require_columns(r, f.headers, keys, CRITICAL,
                                      "Uniqueness key columns are missing."))
 
@@ -180,7 +190,8 @@ class ReleaseGate:
             if not checks:
                 continue
             f = feeds[name]
-            out = fusion.fused(f.raw, [c for _, c in checks], G, seqs=[q for q, _ in checks])
+            groups = seen.join(csv_feeds.file_times(self.spark, f.paths), BUNDLE_COL, "left")
+            out = fusion.fused(f.raw, [c for _, c in checks], G, seqs=[q for q, _ in checks], groups=groups)
             if needs[name]:
                 out = _require_columns_outcomes(out, f.headers, needs[name])
             parts.append(out)
@@ -191,11 +202,15 @@ class ReleaseGate:
         cfg = self.config
         exam, cert, cand = (feeds["exam_results"].typed, feeds["certification_status"].typed,
                             feeds["candidates"].typed)
+        no_exam, no_cert, no_cand = (feeds[n].none() for n in ("exam_results", "certification_status", "candidates"))
         ref = cfg.reference_ts if cfg.reference_ts is not None else F.current_timestamp()
-        add(business_fk(exam, cand, "BR-07", "Every exam candidate_id exists in the master list."))
-        add(business_fk(cert, cand, "BR-07b", "Every certification row references a known candidate."))
-        add(business.check_pass_fail_certification(
-            exam, cert, "BR-05", group_cols=G, tie_cols=("cert_status_id",), order_col=ORDER_COL))
+        for child, none, rule, text in (
+                (exam, no_exam, "BR-07", "Every exam candidate_id exists in the master list."),
+                (cert, no_cert, "BR-07b", "Every certification row references a known candidate.")):
+            add(self._foreign_key(child, cand, rule, text), business_fk(none, no_cand, rule, text, ()))
+        mapping = {"tie_cols": ("cert_status_id",), "order_col": ORDER_COL}
+        add(business.check_pass_fail_certification(exam, cert, "BR-05", group_cols=G, **mapping),
+            business.check_pass_fail_certification(no_exam, no_cert, "BR-05", **mapping))
         fr = cfg.freshness
         add_fused(fr.feed, business.freshness_check(
             feeds[fr.feed].raw, reference_ts=ref, timestamp_column=fr.timestamp_column,
@@ -212,8 +227,32 @@ class ReleaseGate:
             paths = csv_feeds._existing(self.spark, csv_feeds.feed_glob(
                 cfg.data_root, cfg.flags_file, cfg.bundles))
             if paths:
-                flags = csv_feeds.read_feed(self.spark, paths)
-                add(contract.check_flag_candidate_fk(flags, cand, group_cols=G))
+                flags = csv_feeds.read_feed(self.spark, paths, multi_line=cfg.multi_line)
+                orphans = cut_lineage(orphan_keys(flags, cand, "candidate_id", group_cols=G), self.spark)
+                self._tables.append(orphans)
+                self._orphans.append(orphan_details(orphans, "BR-07c", G))
+                add(contract.check_flag_candidate_fk(flags, cand, group_cols=G, orphans=orphans))
+
+    def _foreign_key(self, child: DataFrame, parent: DataFrame, rule_id: str, text: str) -> DataFrame:
+        """The rule's rows; its complete orphan list is kept for the report."""
+        orphans = cut_lineage(orphan_keys(child, parent, "candidate_id", group_cols=G), self.spark)
+        self._tables.append(orphans)
+        self._orphans.append(orphan_details(orphans, rule_id, G))
+        return business_fk(child, parent, rule_id, text, orphans=orphans)
+
+    def _malformed(self, f: Feed, name: str, seen: DataFrame) -> DataFrame:
+        """Records that do not fit their header, per run."""
+        m = f.raw.groupBy(BUNDLE_COL).agg(F.count_if(F.col(csv_feeds.SURPLUS_COL).isNotNull()).alias("surplus"))
+        m = seen.join(m, BUNDLE_COL, "left")
+        if self.config.multi_line:
+            m = m.withColumn("unclosed", F.lit(0).cast("long"))
+        else:
+            m = m.join(csv_feeds.unclosed_quotes(self.spark, f.paths), BUNDLE_COL, "left")
+        n = F.coalesce("surplus", F.lit(0)) + F.coalesce("unclosed", F.lit(0))
+        return finish(m.withColumn("malformed_rows", n), rule_id=f"{name}-schema-malformed-rows", passed=F.col("malformed_rows") == 0,
+                      severity_fail=CRITICAL, description_pass="Every record fits its header.",
+                      description_fail="Records with surplus fields or unclosed quotes found.",
+                      keep=["malformed_rows"], group_cols=G)
 
     def run(self, extra_rules: Sequence[RuleCallable | str] = ()) -> "GateReport":
         feeds = self.load()
@@ -227,19 +266,23 @@ class ReleaseGate:
         for p in parts:
             p = p.select(*cols)
             outcomes = p if outcomes is None else outcomes.unionByName(p)
-        runs = None
-        for f in feeds.values():
-            b = f.headers.select(BUNDLE_COL)
-            runs = b if runs is None else runs.unionByName(b)
         if self.config.materialize_outcomes:
             # Written once under the checkpoint folder so every report reads it
             # without re-running the checks. "rebalance" lets AQE size the
             # files by its advisory partition size (bundles x rules rows), so a
             # small run writes one file instead of one per union partition.
             outcomes = cut_lineage(outcomes.hint("rebalance"), self.spark)
-        self._report = GateReport(outcomes, runs.distinct())
+        orphans = None
+        for o in self._orphans:
+            orphans = o if orphans is None else orphans.unionByName(o)
+        self._report = GateReport(outcomes, self._runs, orphans=orphans)
         return self._report
 
+    def close(self) -> None:
+        """Remove the tables written by ``run``; its reports must be stored by then."""
+        release_tables(*self._tables, *([self._report.outcomes] if self._report else []))
+        self._tables, self._report = [], None
+
     def run_checkpoint(self, run_name: str | None = None, store_path: str | None = None) -> DataFrame:
         """The feed expectation suites over all bundles (results per bundle);
         appended to ``store_path`` partitioned by suite and run when given."""
@@ -257,14 +300,14 @@ class ReleaseGate:
 
     def write_reports(self, report_dir: str | None = None) -> str:
         if self._report is None:
-            raise RuntimeError("Pipeline must be run before writing reports.")
+            raise RuntimeError("no reports yet: call run() first")
         return self._report.write(report_dir or self.config.reports_dir)
 
 
-def business_fk(child: DataFrame, parent: DataFrame, rule_id: str, description: str) -> DataFrame:
-    from ..operators.integrity import foreign_key_reference
+def business_fk(child: DataFrame, parent: DataFrame, rule_id: str, description: str,
+                group_cols: Sequence[str] = G, orphans: DataFrame | None = None) -> DataFrame:
     return foreign_key_reference(child, parent, "candidate_id", "candidate_id", rule_id, description,
-                                 group_cols=G)
+                                 group_cols=group_cols, orphans=orphans)
 
 
 def _require_columns_outcomes(outcomes: DataFrame, headers: DataFrame,
@@ -308,9 +351,11 @@ class GateReport:
     """Reports over a gate's outcome table (one row per bundle each)."""
 
     def __init__(self, outcomes: DataFrame, runs: DataFrame | None = None,
-                 timestamp: _dt.datetime | None = None) -> None:
+                 timestamp: _dt.datetime | None = None, orphans: DataFrame | None = None) -> None:
         self.outcomes = outcomes
         self.runs = runs
+        #: Complete orphan lists of the foreign key rules: (bundle, rule_id, missing_value).
+        self.orphans = orphans
         self.timestamp = timestamp or _dt.datetime.now(_dt.timezone.utc)
 
     @property
@@ -331,7 +376,10 @@ class GateReport:
 
     def write(self, directory: str) -> str:
         ts = self.timestamp.isoformat()
-        return sinks.write_reports({"validation_summary": self.validation_summary(),
-                                    "defect_summary": self.defect_summary(),
-                                    "release_decision": self.release_decision()},
-                                   directory, self.keys, ts)
+        out = sinks.write_reports({"validation_summary": self.validation_summary(),
+                                   "defect_summary": self.defect_summary(),
+                                   "release_decision": self.release_decision()},
+                                  directory, self.keys, ts)
+        if self.orphans is not None:
+            sinks.write_json_report(self.orphans, f"{out}/missing_values", self.keys)
+        return out

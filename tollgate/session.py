@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,22 +53,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
-                 min_partitions: int = 8, max_partitions: int = 100_000) -> int:
-    """Set the shuffle partition count from the input size.
-
-    AQE coalesces small post-shuffle partitions but never splits a large one,
-    so the initial count must scale with the data: ~``target_bytes`` of input
-    per partition keeps each reducer's share well inside executor memory
-    (no spill) at 100 TB (~400k -> clamped to ``max_partitions``), while a
-    small run keeps a handful. Returns the count that was set.
-    """
-    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // int(target_bytes))))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    return n
-
-
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -93,49 +78,23 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def cut_lineage(df, spark: SparkSession | None = None):
     """Cut lineage with a table written under the shared checkpoint folder.
 
-    A Parquet write computes the plan exactly once (an RDD checkpoint of an
-    unpersisted plan computes it twice: once for the action, once to write),
-    and the re-read frame survives executor loss without recomputation.
-    Never a local checkpoint.
-    """
-    return materialize(df, True)
-
-
-MATERIALIZE_MIN_BYTES_CONF = "tollgate.materialize.minBytes"
-MATERIALIZE_MIN_BYTES = 1 << 30
-
-
-def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of a plan (from file sizes; no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def materialize(df, enabled: bool | None = None, basis=None):
-    """Reuse point for an intermediate read by several consumers.
-
-    Writes the frame once as Parquet under the shared checkpoint folder and
-    reads it back: the expensive input (e.g. a fact-table aggregation) runs a
-    single time, every consumer reads the written result, and a lost executor
-    never forces a recompute of the whole lineage.
-
-    ``enabled=None`` decides by Catalyst's size estimates of the *inputs*
-    (``basis``: the scanned frames; estimates of joins are products and say
-    nothing). Inputs below ``tollgate.materialize.minBytes`` (default 1 GiB)
-    are cheaper to recompute than to write, so they stay lazy.
+    One path at every size: a Parquet write computes the plan exactly once,
+    every consumer reads the written result, and the re-read frame survives
+    executor loss without recomputation. Never a local checkpoint. The tables
+    of a run are removed by ``release_tables`` once its results are stored.
     """
-    import uuid
-
-    spark = df.sparkSession
-    if enabled is None:
-        limit = int(spark.conf.get(MATERIALIZE_MIN_BYTES_CONF, str(MATERIALIZE_MIN_BYTES)))
-        frames = list(basis) if basis is not None else [df]
-        try:
-            enabled = sum(estimated_bytes(f) for f in frames) >= limit
-        except Exception:  # no estimate available: recomputing is always correct
-            enabled = False
-    if not enabled:
-        return df
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tollgate-materialized/{uuid.uuid4().hex}"
+    spark = spark or df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tollgate-tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def release_tables(*frames) -> None:
+    """Remove the tables behind frames that ``cut_lineage`` returned; others are left alone."""
+    for f in frames:
+        path = f.__dict__.get("_written_path")
+        if path:
+            p = f.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(f.sparkSession._jsc.hadoopConfiguration()).delete(p, True)

@@ -46,28 +46,32 @@ def write_reports(reports: dict[str, DataFrame], directory: str,
 
 def store_results(results: DataFrame, path: str, run_name: str | None = None,
                   partition_by: Sequence[str] = ("suite", "run_name")) -> None:
-    """Append expectation results, partitioned by suite and run."""
+    """Store expectation results, partitioned by suite and run.
+
+    A run's partitions are replaced, so a retried job stores each result once.
+    """
     out = results if run_name is None else results.withColumn("run_name", F.lit(run_name))
     out = out.withColumn("stored_at", F.current_timestamp())
-    out.write.mode("append").partitionBy(*[p for p in partition_by if p in out.columns]).parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*[p for p in partition_by if p in out.columns]).parquet(path))
 
 
 DEFECT_LOG_KEYS = ("bundle", "run_ts", "rule_id")
 
 
-def append_defect_log(outcomes: DataFrame, path: str, run_ts: str, existing: DataFrame | None = None,
-                      file_col: str | None = None) -> DataFrame:
-    """Append failing rules (timestamp, rule, severity, file, description, status).
+def append_defect_log(outcomes: DataFrame, path: str, run_ts: str, file_col: str | None = None) -> DataFrame:
+    """Log failing rules (timestamp, rule, severity, file, description, status) of a run.
 
-    Rows already logged for the same (bundle, run_ts, rule_id) are skipped
-    with an anti join, so re-running a job does not duplicate entries.
+    Rows go to the run's own partitions (``run_ts``, ``bundle``), which a
+    retried job replaces; entries of other runs and bundles stay. Returns the
+    run's logged rows, read from the log.
     """
     rows = outcomes.where(~F.col("passed")).select(
         F.col("bundle") if "bundle" in outcomes.columns else F.lit(None).cast("string").alias("bundle"),
         F.lit(run_ts).alias("run_ts"), "rule_id", "severity",
         (F.col(file_col) if file_col else F.lit(None).cast("string")).alias("file"),
         "description", F.lit("open").alias("status"))
-    if existing is not None:
-        rows = rows.join(existing.select(*DEFECT_LOG_KEYS), list(DEFECT_LOG_KEYS), "left_anti")
-    rows.write.mode("append").parquet(path)
-    return rows
+    rows = rows.dropDuplicates(list(DEFECT_LOG_KEYS))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_ts", "bundle").parquet(path))
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).where(F.col("run_ts") == run_ts)
