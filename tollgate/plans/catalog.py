@@ -7,7 +7,7 @@ Timestamps of the reference clock are literals, never the wall clock.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.rules import remediation_link, root_cause, rule_family, slugify_rule_id
 from ..operators import business, contract, custom, duplicates, expectations as ex, fusion, integrity, schema
 from ..outcome import INFO, to_outcomes, union_outcomes
+from ..session import checkpoint_dir
+from ..sources import csv_feeds, files
 from . import reporting
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -24,48 +26,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 CORE = ["rule_id", "description", "passed", "severity"]
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table handle, reused while the file is unchanged.
-
-    Only the plan (file listing and schema) is reused, never data; the key
-    holds the file's modification stamp, so a rewritten file is re-read.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    try:
-        st = os.stat(path)
-        stamp = (st.st_mtime_ns, st.st_size)
-    except OSError:
-        return spark.read.parquet(path)
-    key = (id(spark._jsparkSession), path, stamp)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
-
-
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def shared_plan(name: str, spark: SparkSession, sf_dir: str,
-                build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """Build a plan once per (session, folder, file stamps); several reports
-    derive from it. Only the lazy plan is reused — every report still
-    executes it in full, exactly like reports derived from one gate run."""
-    stamps = []
-    for t in TABLES:
-        try:
-            st = os.stat(f"{sf_dir}/{t}.parquet")
-            stamps.append((st.st_mtime_ns, st.st_size))
-        except OSError:
-            stamps.append(None)
-    key = (name, id(spark._jsparkSession), sf_dir, tuple(stamps))
-    df = _PLANS.get(key)
-    if df is None:
-        df = _PLANS[key] = build(spark, sf_dir)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --------------------------------------------------------------------------
@@ -183,12 +145,11 @@ SELECT event_id,
 FROM events
 """
 
-FK_ORDERS_DESC = "Every order customer exists among customers in good standing."
+FK_ORDERS_DESC = "Every order customer exists."
 
 
 def _fk_orders(spark, d):
-    cust = table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
-    return table(spark, d, "orders"), cust
+    return table(spark, d, "orders"), table(spark, d, "customer")
 
 
 def q_fk_orders_customer(spark, d):
@@ -201,7 +162,7 @@ def q_fk_orders_customer(spark, d):
 SQL_FK_ORDERS_CUSTOMER = f"""
 WITH o AS (SELECT DISTINCT o_custkey FROM orders
            WHERE o_custkey IS NOT NULL
-             AND NOT EXISTS (SELECT 1 FROM customer WHERE c_acctbal >= 0 AND c_custkey = o_custkey)),
+             AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)),
 m AS (SELECT count(*) AS missing_count FROM o)
 SELECT 'BR-07-orders-customer' AS rule_id,
        CASE WHEN missing_count = 0 THEN '{FK_ORDERS_DESC}' ELSE '{FK_ORDERS_DESC} Mismatched candidates found.' END AS description,
@@ -218,7 +179,40 @@ def q_fk_orders_customer_orphans(spark, d):
 SQL_FK_ORDERS_CUSTOMER_ORPHANS = """
 SELECT DISTINCT o_custkey FROM orders
 WHERE o_custkey IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM customer WHERE c_acctbal >= 0 AND c_custkey = o_custkey)
+  AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+"""
+
+FK_EVENTS_DESC = "Every event user is a customer."
+
+
+def q_fk_events_customer(spark, d):
+    """A foreign key over a fact table and its whole parent, with the sample of its first orphans."""
+    r = integrity.foreign_key_reference(table(spark, d, "events"), table(spark, d, "customer"), "user_id",
+                                        "c_custkey", "BR-07-events-customer", FK_EVENTS_DESC)
+    return r.select(*CORE, "missing_count", F.array_join("sample_values", ",").alias("sample_values"))
+
+
+SQL_FK_EVENTS_CUSTOMER = f"""
+WITH o AS (SELECT DISTINCT user_id AS k FROM events
+           WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id)),
+m AS (SELECT count(*) AS missing_count FROM o),
+v AS (SELECT coalesce(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k), '') AS sample_values FROM (SELECT k FROM o ORDER BY k LIMIT 20))
+SELECT 'BR-07-events-customer' AS rule_id,
+       CASE WHEN missing_count = 0 THEN '{FK_EVENTS_DESC}' ELSE '{FK_EVENTS_DESC} Mismatched candidates found.' END AS description,
+       missing_count = 0 AS passed, CASE WHEN missing_count = 0 THEN 'info' ELSE 'critical' END AS severity,
+       missing_count, sample_values FROM m, v
+"""
+
+
+def q_fk_events_customer_orphans(spark, d):
+    """The complete orphan list, as the gate writes it for each foreign key rule."""
+    keys = integrity.orphan_keys(table(spark, d, "events"), table(spark, d, "customer"), "user_id", "c_custkey")
+    return integrity.orphan_details(keys, "BR-07-events-customer")
+
+
+SQL_FK_EVENTS_CUSTOMER_ORPHANS = """
+SELECT DISTINCT 'BR-07-events-customer' AS rule_id, CAST(user_id AS VARCHAR) AS missing_value FROM events
+WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id)
 """
 
 FK_DOCS_DESC = "Every document has a quality label."
@@ -485,8 +479,7 @@ def _validations(spark, d):
 
 
 def checkpoint_results(spark, d) -> DataFrame:
-    return shared_plan("checkpoint", spark, d, lambda s, x: ex.run_checkpoint(
-        _validations(s, x), _order_date_params(s, x)))
+    return ex.run_checkpoint(_validations(spark, d), _order_date_params(spark, d))
 
 
 def q_expectation_results(spark, d):
@@ -623,8 +616,7 @@ _GATE_PARTS = [
 
 def gate_outcomes(spark, d) -> DataFrame:
     """Outcome table of one gate run: every check above, in evaluation order."""
-    return shared_plan("gate_outcomes", spark, d, lambda s, x: union_outcomes(
-        [fns[0](s, x) for fns, _ in _GATE_PARTS]))
+    return union_outcomes([fns[0](spark, d) for fns, _ in _GATE_PARTS])
 
 
 SQL_GATE_OUTCOMES = "\nUNION ALL\n".join(
@@ -726,7 +718,7 @@ SEGMENT = "c_mktsegment"
 
 
 def segment_outcomes(spark, d) -> DataFrame:
-    return shared_plan("segment_outcomes", spark, d, _segment_outcomes)
+    return _segment_outcomes(spark, d)
 
 
 def _segment_outcomes(spark, d) -> DataFrame:
@@ -889,16 +881,19 @@ SELECT rule_id, description, passed, severity FROM (""" + _dup_sql("orders-uniqu
 
 
 def q_optional_metadata_documents(spark, d):
-    r = contract.check_optional_metadata(_docs_labeled(spark, d), ["lang", "quality", "source"])
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source").join(
+        table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    r = contract.check_optional_metadata(docs, ["lang", "quality", "source", "reviewer"])
     return r.select(*CORE, "column", "present", "non_null_count", "row_count", "non_null_ratio")
 
 
 SQL_OPTIONAL_METADATA_DOCUMENTS = """
-WITH j AS (SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-m AS (SELECT count(*) AS row_count, count(lang) AS nl, count(quality) AS nq FROM j),
+WITH j AS (SELECT d.doc_id, d.lang, d.source, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+m AS (SELECT count(*) AS row_count, count(lang) AS nl, count(quality) AS nq, count(source) AS ns FROM j),
 r AS (SELECT 'lang' AS "column", true AS present, nl AS non_null_count, row_count FROM m
       UNION ALL SELECT 'quality', true, nq, row_count FROM m
-      UNION ALL SELECT 'source', false, CAST(NULL AS BIGINT), row_count FROM m)
+      UNION ALL SELECT 'source', true, ns, row_count FROM m
+      UNION ALL SELECT 'reviewer', false, CAST(NULL AS BIGINT), row_count FROM m)
 SELECT 'BR-10-' || "column" AS rule_id,
        CASE WHEN coalesce(present AND non_null_count = row_count, false) THEN 'Optional metadata is present.'
             ELSE 'Optional metadata is missing or incomplete.' END AS description,
@@ -1052,6 +1047,111 @@ SQL_EVENTS_CHECKS_FUSED = "\nUNION ALL\n".join(
                            SQL_FRESHNESS_EVENTS]))
 
 
+# --------------------------------------------------------------------------
+# CSV bundles made from given tables
+# --------------------------------------------------------------------------
+
+def write_bundles(df: DataFrame, bundle: str, feed: str) -> str:
+    """Write a frame as ``<root>/<bundle>/<feed>.csv`` under the checkpoint folder; returns the root."""
+    spark = df.sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tollgate-bundles/{uuid.uuid4().hex}"
+    (df.repartition(bundle).write.partitionBy(bundle).option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/_parts"))
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    parts = path(f"{root}/_parts")
+    fs = parts.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.globStatus(path(f"{root}/_parts/{bundle}=*/part-*.csv")):
+        name = st.getPath().getParent().getName().split("=", 1)[1]
+        fs.mkdirs(path(f"{root}/{name}"))
+        fs.rename(st.getPath(), path(f"{root}/{name}/{feed}.csv"))
+    fs.delete(parts, True)
+    return root
+
+
+def _document_bundles(spark, d) -> str:
+    return write_bundles(table(spark, d, "documents").select("lang", "doc_id", "source", "n_chars", "text"), "lang", "documents")
+
+
+def q_csv_roundtrip_documents(spark, d):
+    """Texts with quotes, commas and line breaks through the CSV source, typed as declared."""
+    raw = csv_feeds.read_feed(spark, [f"{_document_bundles(spark, d)}/*/documents.csv"])
+    definition = schema.SchemaDefinition(name="documents", file_name="documents.csv", required_columns=("doc_id", "source", "n_chars", "text"),
+                                         dtype_map={"doc_id": "Int64", "source": "string", "n_chars": "Int64", "text": "string"})
+    return csv_feeds.typed_view(raw, definition).select("bundle", "doc_id", "source", "n_chars", F.md5(F.col("text")).alias("text_md5"),
+                                                        F.col(csv_feeds.SURPLUS_COL).isNotNull().alias("malformed"))
+
+
+SQL_CSV_ROUNDTRIP_DOCUMENTS = """
+SELECT lang AS bundle, doc_id, source, n_chars, md5(text) AS text_md5, false AS malformed FROM documents
+"""
+
+
+def q_feed_presence_documents(spark, d):
+    """Presence of two feeds in every bundle folder, from the listing."""
+    root = _document_bundles(spark, d)
+    return files.presence_outcomes(spark, root, ["documents.csv", "labels.csv"]).select("bundle", *CORE, "file_name")
+
+
+SQL_FEED_PRESENCE_DOCUMENTS = """
+SELECT DISTINCT lang AS bundle, f || '-schema-file-present' AS rule_id,
+       CASE WHEN f = 'documents' THEN 'Feed file is present.' ELSE 'Feed file is missing.' END AS description,
+       f = 'documents' AS passed, 'critical' AS severity, f || '.csv' AS file_name
+FROM documents, (SELECT unnest(['documents', 'labels']) AS f)
+"""
+
+
+def q_file_metadata_documents(spark, d):
+    """Row count and caller metadata of every bundle's file."""
+    raw = csv_feeds.read_feed(spark, [f"{_document_bundles(spark, d)}/*/documents.csv"])
+    m = files.file_metadata(raw, {"feed": "documents"})
+    return m.select("bundle", "feed", "row_count", (F.col("file_size") > 0).alias("has_size"), F.col("modified_at").isNotNull().alias("has_time"))
+
+
+SQL_FILE_METADATA_DOCUMENTS = """
+SELECT lang AS bundle, 'documents' AS feed, count(*) AS row_count, true AS has_size, true AS has_time FROM documents GROUP BY lang
+"""
+
+
+def q_gate_empty_group(spark, d):
+    """Every run reports every rule: runs are documents, checked rows are labels, which many lack."""
+    runs = table(spark, d, "documents").select("doc_id").distinct()
+    labels = table(spark, d, "labels")
+    ranges = fusion.fused(labels, [business.score_range_check(labels, "quality", "BR-04-quality", 0, 0),
+                                   business.score_range_check(labels, "toxic", "BR-04-toxic", 0, 1)], ["doc_id"], groups=runs)
+    unique = fusion.fill_groups(duplicates.detect_duplicates(labels, ["doc_id", "quality"], "labels-unique", group_cols=["doc_id"]),
+                                duplicates.detect_duplicates(labels.where(F.lit(False)), ["doc_id", "quality"], "labels-unique"), runs, ["doc_id"])
+    return ranges.select("doc_id", "rule_id", "passed").unionByName(unique.select("doc_id", "rule_id", "passed"))
+
+
+SQL_GATE_EMPTY_GROUP = """
+WITH g AS (SELECT DISTINCT doc_id FROM documents),
+m AS (SELECT g.doc_id, count(*) FILTER (WHERE quality <> 0) AS q, count(*) FILTER (WHERE toxic NOT IN (0, 1)) AS t,
+             count(l.doc_id) - count(DISTINCT (l.doc_id, quality)) FILTER (WHERE l.doc_id IS NOT NULL) AS dup
+      FROM g LEFT JOIN labels l USING (doc_id) GROUP BY g.doc_id)
+SELECT doc_id, 'BR-04-quality' AS rule_id, q = 0 AS passed FROM m
+UNION ALL SELECT doc_id, 'BR-04-toxic', t = 0 FROM m
+UNION ALL SELECT doc_id, 'labels-unique', dup = 0 FROM m
+"""
+
+
+def q_timestamp_text_orders(spark, d):
+    """Freshness by timestamps given as text, and the fallback for a group without any."""
+    o = table(spark, d, "orders").select("o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("received"),
+                                         F.lit("2030-01-01 00:00:00").alias("file_time"))
+    dated = o.withColumn("received", F.when(F.col("o_orderpriority").startswith("1"), F.lit(None)).otherwise(F.col("received")))
+    r = business.evaluate_freshness(dated, reference_ts="2030-01-02T00:00:00Z", timestamp_column="received", file_time_column="file_time", group_cols=["o_orderpriority"])
+    return r.select("o_orderpriority", "passed", "severity", "lag_hours", "timestamp_source")
+
+
+SQL_TIMESTAMP_TEXT_ORDERS = """
+WITH m AS (SELECT o_orderpriority, CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE max(date_trunc('second', o_orderdate)) END AS ts FROM orders GROUP BY 1),
+l AS (SELECT o_orderpriority, ts, CAST(epoch(TIMESTAMP '2030-01-02 00:00:00' - coalesce(ts, TIMESTAMP '2030-01-01 00:00:00')) AS DOUBLE) / 3600 AS lag FROM m)
+SELECT o_orderpriority, lag <= 24 AS passed, CASE WHEN lag <= 24 THEN 'info' WHEN lag <= 48 THEN 'warning' ELSE 'critical' END AS severity,
+       round(lag, 2) AS lag_hours, CASE WHEN ts IS NULL THEN 'filesystem' ELSE 'received' END AS timestamp_source FROM l
+"""
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -1103,6 +1203,13 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "slug": (q_slug, SQL_SLUG),
     "link": (q_link, SQL_LINK),
     "events_checks_fused": (q_events_checks_fused, SQL_EVENTS_CHECKS_FUSED),
+    "fk_events_customer": (q_fk_events_customer, SQL_FK_EVENTS_CUSTOMER),
+    "fk_events_customer_orphans": (q_fk_events_customer_orphans, SQL_FK_EVENTS_CUSTOMER_ORPHANS),
+    "csv_roundtrip_documents": (q_csv_roundtrip_documents, SQL_CSV_ROUNDTRIP_DOCUMENTS),
+    "feed_presence_documents": (q_feed_presence_documents, SQL_FEED_PRESENCE_DOCUMENTS),
+    "file_metadata_documents": (q_file_metadata_documents, SQL_FILE_METADATA_DOCUMENTS),
+    "gate_empty_group": (q_gate_empty_group, SQL_GATE_EMPTY_GROUP),
+    "timestamp_text_orders": (q_timestamp_text_orders, SQL_TIMESTAMP_TEXT_ORDERS),
 }
 
 
