@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import REFERENCE_TS
-from tollgate.plans.gate import GateConfig, ReleaseGate
+from tollgate.plans.gate import CONTRACTS, GateConfig, ReleaseGate, RuleSet
 
 # Expected failing rules per bundle besides the stale BR-08 (reference clock
 # fixed at REFERENCE_TS) and the resulting status.
@@ -110,7 +110,7 @@ def test_write_before_run_is_an_error(spark, bundles_root):
 
 def test_reference_rule_list_without_range_and_window(spark, bundles_root):
     gate = ReleaseGate(spark, GateConfig(data_root=str(bundles_root), bundles=("future-exam-date",),
-                                         reference_ts=REFERENCE_TS, wire_range_and_window=False))
+                                         reference_ts=REFERENCE_TS, rules=RuleSet(ranges_and_window=False)))
     d = gate.run().release_decision().first()
     assert d.status == "Ready"
 
@@ -172,3 +172,23 @@ def test_malformed_rows_block_and_orphans_are_listed(spark, bundles_root, tmp_pa
     out = gate.write_reports(str(tmp_path / "reports"))
     assert len([1 for f in Path(out, "missing_values", "bundle=orphans").rglob("*.json") for _ in f.read_text().splitlines()]) == 30
     gate.close()
+
+
+def test_contracts_and_metadata_times_are_selectable(spark, bundles_root, tmp_path):
+    import shutil
+
+    from conftest import write_feed
+    root = tmp_path / "landing"
+    shutil.copytree(bundles_root / "good", root / "good")
+    shutil.copytree(bundles_root / "good", root / "empty")
+    write_feed(root / "empty", "exam_results", [])
+    rules = RuleSet(contracts=tuple(CONTRACTS), fresh_column=None, fresh_metadata=("delivered_at",))
+    rep = ReleaseGate(spark, GateConfig(data_root=str(root), reference_ts="2026-03-03T12:00:00Z", rules=rules,
+                                        metadata={"delivered_at": "2026-03-03T02:00:00Z", "unused": None})).run()
+    by = {}
+    for r in rep.outcomes.collect():
+        by.setdefault(r.bundle, {})[r.rule_id] = r
+    assert set(by["good"]) == set(by["empty"]) and len(by["good"]) >= 27
+    for b in ("good", "empty"):
+        assert by[b]["BR-08"].passed and by[b]["BR-08"].details["lag_hours"] == "10.0"
+    assert by["good"]["BR-08-arrival"].passed is False and by["empty"]["BR-08-arrival"].passed

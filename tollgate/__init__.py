@@ -13,16 +13,15 @@ from .operators.integrity import (check_cert_candidate_fk, check_exam_candidate_
 from .operators.schema import (SCHEMA_DEFINITIONS, SchemaDefinition, apply_schema_definition,
                                check_required_columns, dtype_audit, get_schema_definition)
 from .outcome import CRITICAL, INFO, OUTCOME_SCHEMA, WARNING, to_outcomes, union_outcomes
-from .plans.gate import (BusinessRuleConfig, FreshnessConfig, GateConfig, GateReport,
-                         ReleaseGate, SchemaTargetConfig)
+from .plans.gate import CONTRACTS, GateConfig, GateReport, ReleaseGate, RuleSet
 from .plans.reporting import (defect_summary, gate_status, release_decision, severity_enrich,
                               validation_summary)
 from .session import build_session
 
 __all__ = [
-    "AggCheck", "BusinessRuleConfig", "CRITICAL", "Expectation", "FreshnessConfig", "GateConfig",
-    "GateReport", "INFO", "OUTCOME_SCHEMA", "Param", "ReleaseGate", "SCHEMA_DEFINITIONS",
-    "SchemaDefinition", "SchemaTargetConfig", "WARNING", "apply_schema_definition",
+    "AggCheck", "CONTRACTS", "CRITICAL", "Expectation", "GateConfig",
+    "GateReport", "INFO", "OUTCOME_SCHEMA", "Param", "ReleaseGate", "RuleSet", "SCHEMA_DEFINITIONS",
+    "SchemaDefinition", "WARNING", "apply_schema_definition",
     "build_session", "check_cert_candidate_fk", "check_exam_candidate_fk",
     "check_exam_date_window", "check_pass_fail_certification", "check_required_columns",
     "check_score_range", "defect_summary", "detect_duplicates", "dtype_audit",

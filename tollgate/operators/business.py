@@ -193,7 +193,8 @@ def freshness_check(df: DataFrame, *, reference_ts, timestamp_column: str | None
                    "latest_data_time": latest, "timestamp_source": label,
                    "max_allowed_hours": mx, "warning_hours": wn})
         return aggs, [row]
-    return AggCheck(build, {"file": file_time_column} if file_time_column else {})
+    defaults = {f"meta{i}": c for i, c in enumerate(meta)}
+    return AggCheck(build, {**defaults, "file": file_time_column} if file_time_column else defaults)
 
 
 def evaluate_freshness(df: DataFrame, *, reference_ts, timestamp_column: str | None = None,

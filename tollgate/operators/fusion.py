@@ -15,7 +15,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from ..functions.coerce import coerce_timestamp
 from ..outcome import DETAILS_TYPE
 
 
@@ -117,20 +119,23 @@ def _every_group(m: DataFrame, empty: DataFrame, groups: DataFrame, group_cols:
     def value(n):
         none = F.col(f"__empty.{n}")
         if n in defaults:
-            none = F.coalesce(none, F.col(defaults[n]).cast(m.schema[n].dataType))
+            given = groups.schema[defaults[n]].dataType
+            none = F.coalesce(none, coerce_timestamp(F.col(defaults[n]), given) if isinstance(m.schema[n].dataType, TimestampType)
+                              else F.col(defaults[n]).cast(m.schema[n].dataType))
         return F.when(F.col("__has"), F.col(f"`{n}`")).otherwise(none).alias(n)
     return j.select(*group_cols, *[value(n) for n in names])
 
 
 def fill_groups(flat: DataFrame, empty: DataFrame, groups: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Rows of ``flat``, and for each group without any those of ``empty``.
+    """``flat``, and for each group every rule that it lacks, as ``empty`` has it.
 
     ``empty``: the same check over an empty table, ungrouped (a handful of
-    rows, read as one scalar).
+    rows, read as one scalar and repeated for each group).
     """
     names = [c for c in flat.columns if c not in set(group_cols)]
-    rows = flat.select(*group_cols, F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"))
+    rows = flat.select(*group_cols, "rule_id", F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"))
     none = empty.select(F.struct(*[F.col(f"`{n}`").cast(flat.schema[n].dataType).alias(n) for n in names]).alias("r")).agg(F.collect_list("r")).scalar()
-    j = groups.select(*group_cols).distinct().join(rows, list(group_cols), "left").withColumn("__none", none)
-    each = F.when(F.col("__row").isNull(), F.col("__none")).otherwise(F.array("__row"))
-    return j.withColumn("__each", each).select(*group_cols, F.inline("__each"))
+    default = (groups.select(*group_cols).distinct().withColumn("__none", none)
+               .select(*group_cols, F.explode("__none").alias("__default")).withColumn("rule_id", F.col("__default.rule_id")))
+    j = default.join(rows, [*group_cols, "rule_id"], "full").select(*group_cols, F.coalesce("__row", "__default").alias("__each"))
+    return j.select(*group_cols, *[F.col(f"__each.{n}").alias(n) for n in names])

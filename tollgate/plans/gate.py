@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,26 +34,52 @@ RuleCallable = Callable[[GateTables], DataFrame]
 
 
 @dataclass(frozen=True)
-class SchemaTargetConfig:
-    name: str
-    dtype_rule_prefix: str | None = None
-    uniqueness_rule_prefix: str | None = None
-
+class RuleSet:
+    """What a run checks.
+
+    feeds: declared feeds, in evaluation order; prefixes: (feed, "dtype" or
+    "uniqueness") -> rule id prefix, where the default is not wanted.
+    business: rules (callables or SQL) that take the place of the default ones.
+    contracts: names out of ``CONTRACTS``, checked after them.
+    fresh_*: the feed, column and limits (hours) of the freshness rule;
+    fresh_metadata names columns, or entries of ``GateConfig.metadata``, whose
+    times count as well.
+    """
+
+    feeds: tuple[str, ...] = tuple(SCHEMA_DEFINITIONS)
+    prefixes: Mapping[tuple[str, str], str] = field(default_factory=dict)
+    business: tuple[RuleCallable | str, ...] = ()
+    contracts: tuple[str, ...] = ()
+    # Score ranges (BR-04) and the exam date window (BR-06).
+    ranges_and_window: bool = True
+    fresh_feed: str = "exam_results"
+    fresh_column: str | None = "file_received_ts"
+    fresh_metadata: tuple[str, ...] = ()
+    fresh_hours: float = 24
+    fresh_warning_hours: float | None = None
+    fresh_rule: str = "BR-08"
+    # Optional feed: disciplinary flags must reference known candidates.
+    flags_file: str | None = "disciplinary_flags.csv"
 
-@dataclass(frozen=True)
-class FreshnessConfig:
-    timestamp_column: str | None = "file_received_ts"
-    metadata_columns: tuple[str, ...] = ()
-    max_allowed_hours: float = 24
-    warning_hours: float | None = None
-    rule_id: str = "BR-08"
-    feed: str = "exam_results"
+    def prefix(self, feed: str, kind: str) -> str:
+        return self.prefixes.get((feed, kind), f"{feed}-{kind}")
 
 
-@dataclass(frozen=True)
-class BusinessRuleConfig:
-    name: str
-    rule: RuleCallable | str
+#: Optional checks: name -> f(tables, group columns, reference time) giving a flat outcome frame.
+CONTRACTS: dict[str, Callable[[GateTables, Sequence[str], Any], DataFrame]] = {
+    "late_master": lambda t, g, ref: contract.check_late_master(
+        t["exam_results"], t["candidates"], key="candidate_id", fact_time="file_received_ts", master_time="created_ts", group_cols=g),
+    "arrival_lag": lambda t, g, ref: contract.check_arrival_lag(
+        t["exam_results"], received_col="file_received_ts", event_col="exam_date", group_cols=g),
+    "without_fact": lambda t, g, ref: contract.check_without_fact(t["certification_status"], t["exam_results"], "candidate_id", group_cols=g),
+    "overlaps": lambda t, g, ref: contract.check_overlapping_intervals(
+        t["certification_status"], ["candidate_id", "certification_level"], "certified_ts", "status_effective_ts", ["cert_status_id"], group_cols=g),
+    "optional_metadata": lambda t, g, ref: contract.check_optional_metadata(t["exam_results"], ["exam_location"], group_cols=g),
+    "feed_freshness": lambda t, g, ref: contract.feed_freshness(
+        {"exam_results": (t["exam_results"], "file_received_ts"), "candidates": (t["candidates"], "created_ts")}, reference_ts=ref, rule_id="BR-08-feed", group_cols=g),
+    "value_sets": lambda t, g, ref: fusion.run_flat(
+        t["exam_results"], contract.value_set_check("pass_fail", business.PASSING_VALUES + business.FAILING_VALUES, "BR-10-pass-fail"), g),
+}
 
 
 @dataclass(frozen=True)
@@ -60,16 +87,10 @@ class GateConfig:
     data_root: str = "data"
     bundles: str | tuple[str, ...] = "*"
     reports_dir: str = "reports"
-    schema_targets: tuple[SchemaTargetConfig, ...] = field(
-        default_factory=lambda: tuple(SchemaTargetConfig(n) for n in SCHEMA_DEFINITIONS))
-    freshness: FreshnessConfig = field(default_factory=FreshnessConfig)
-    business_rules: tuple[BusinessRuleConfig, ...] = ()
+    rules: RuleSet = field(default_factory=RuleSet)
     reference_ts: str | _dt.datetime | None = None
-    # BR-04 (score ranges) and BR-06 (exam date window) are implemented by the
-    # reference but not in its default rule list; False restores that list.
-    wire_range_and_window: bool = True
-    # Optional feed: disciplinary flags must reference known candidates.
-    flags_file: str | None = "disciplinary_flags.csv"
+    # Facts about the delivery, e.g. a receipt time that no feed column holds.
+    metadata: Mapping[str, Any] = field(default_factory=dict)
     # Quoted fields may hold line breaks; a file is then the work of one task.
     multi_line: bool = True
     materialize_outcomes: bool = True
@@ -98,7 +119,7 @@ class ReleaseGate:
     # -- loading ---------------------------------------------------------
     def load(self) -> dict[str, Feed]:
         cfg = self.config
-        defs = [SCHEMA_DEFINITIONS[t.name] for t in cfg.schema_targets]
+        defs = [SCHEMA_DEFINITIONS[n] for n in cfg.rules.feeds]
         feeds: dict[str, Feed] = {}
         loaded = csv_feeds.load_bundles(self.spark, cfg.data_root, defs, cfg.bundles, cfg.multi_line)
         for d in defs:
@@ -107,12 +128,19 @@ class ReleaseGate:
                 raise FileNotFoundError(
                     f"Missing ingest files: no {d.file_name} under {cfg.data_root}")
             # Each CSV is parsed once: all rules read the written feed.
-            raw = cut_lineage(raw, self.spark)
-            self._tables += [raw, headers]
+            written = cut_lineage(raw, self.spark)
+            self._tables += [written, headers]
+            raw = written.withColumns({k: v for k, v in self._metadata().items() if k not in written.columns})
             feeds[d.name] = Feed(d.name, raw, csv_feeds.typed_view(raw, d), headers,
                                  csv_feeds._existing(self.spark, csv_feeds.feed_glob(cfg.data_root, d.file_name, cfg.bundles)))
         return feeds
 
+    def _reference(self):
+        return self.config.reference_ts if self.config.reference_ts is not None else F.current_timestamp()
+
+    def _metadata(self) -> dict:
+        return {k: F.lit(str(v)) for k, v in self.config.metadata.items() if v is not None}
+
     # -- rules -------------------------------------------------------------
     def _plan(self, feeds: dict[str, Feed]) -> list[DataFrame]:
         """All outcome frames (with ``seq``) of one gate run.
@@ -151,9 +179,9 @@ class ReleaseGate:
         seen = self._runs = cut_lineage(seen.distinct(), self.spark)
         self._tables.append(seen)
         self._orphans: list[DataFrame] = []
-        for t in cfg.schema_targets:
-            d = SCHEMA_DEFINITIONS[t.name]
-            have = feeds[t.name].headers.select(BUNDLE_COL).distinct().withColumn("__has", F.lit(True))
+        for name in cfg.rules.feeds:
+            d = SCHEMA_DEFINITIONS[name]
+            have = feeds[name].headers.select(BUNDLE_COL).distinct().withColumn("__has", F.lit(True))
             m = seen.join(have, BUNDLE_COL, "left").withColumn(
                 "present", F.coalesce(F.col("__has"), F.lit(False)))
             add(finish(m, rule_id=f"{d.name}-schema-file-present", passed=F.col("present"),
@@ -161,18 +189,18 @@ class ReleaseGate:
                        description_fail=f"Missing ingest file {d.file_name}.",
                        keep=[F.lit(d.file_name).alias("file_name")], group_cols=G))
 
-        for t in cfg.schema_targets:
-            d = SCHEMA_DEFINITIONS[t.name]
-            f = feeds[t.name]
+        for name in cfg.rules.feeds:
+            d = SCHEMA_DEFINITIONS[name]
+            f = feeds[name]
             add(schema.required_columns_by_file(f.headers, d.required_columns,
                                                 f"{d.name}-required-columns", group_cols=G))
             typed_map = {c: v for c, v in d.dtype_map.items()}
             for c in d.parse_dates:
                 typed_map[c] = "datetime64[ns]"
             add(self._malformed(f, d.name, seen))
-            add_fused(t.name, schema.dtype_audit_check(
-                f.raw, typed_map, t.dtype_rule_prefix or f"{d.name}-dtype", emit_passed=False))
-            prefix = t.uniqueness_rule_prefix or f"{d.name}-uniqueness"
+            add_fused(name, schema.dtype_audit_check(
+                f.raw, typed_map, cfg.rules.prefix(name, "dtype"), emit_passed=False))
+            prefix = cfg.rules.prefix(name, "uniqueness")
             for i, keys in enumerate(d.uniqueness_constraints, start=1):
                 r = fusion.fill_groups(duplicates.detect_duplicates(f.typed, keys, f"{prefix}-unique-{i}", group_cols=G),
                                        duplicates.detect_duplicates(f.none(), keys, f"{prefix}-unique-{i}"), seen, G)
@@ -180,17 +208,20 @@ class ReleaseGate:
                                      "Uniqueness key columns are missing."))
 
         tables = {n: f.typed for n, f in feeds.items()}
-        if cfg.business_rules:
-            for r in cfg.business_rules:
-                add(custom.run_rule(r.rule, tables, self.spark, G))
+        if cfg.rules.business:
+            for r in cfg.rules.business:
+                add(custom.run_rule(r, tables, self.spark, G))
         else:
             self._default_business(feeds, add, add_fused)
+        none = {n: f.none() for n, f in feeds.items()}
+        for name in cfg.rules.contracts:
+            add(CONTRACTS[name](tables, G, self._reference()), CONTRACTS[name](none, (), self._reference()))
 
         for name, checks in fused.items():
             if not checks:
                 continue
             f = feeds[name]
-            groups = seen.join(csv_feeds.file_times(self.spark, f.paths), BUNDLE_COL, "left")
+            groups = seen.join(csv_feeds.file_times(self.spark, f.paths), BUNDLE_COL, "left").withColumns(self._metadata())
             out = fusion.fused(f.raw, [c for _, c in checks], G, seqs=[q for q, _ in checks], groups=groups)
             if needs[name]:
                 out = _require_columns_outcomes(out, f.headers, needs[name])
@@ -203,7 +234,7 @@ class ReleaseGate:
         exam, cert, cand = (feeds["exam_results"].typed, feeds["certification_status"].typed,
                             feeds["candidates"].typed)
         no_exam, no_cert, no_cand = (feeds[n].none() for n in ("exam_results", "certification_status", "candidates"))
-        ref = cfg.reference_ts if cfg.reference_ts is not None else F.current_timestamp()
+        ref = self._reference()
         for child, none, rule, text in (
                 (exam, no_exam, "BR-07", "Every exam candidate_id exists in the master list."),
                 (cert, no_cert, "BR-07b", "Every certification row references a known candidate.")):
@@ -211,21 +242,20 @@ class ReleaseGate:
         mapping = {"tie_cols": ("cert_status_id",), "order_col": ORDER_COL}
         add(business.check_pass_fail_certification(exam, cert, "BR-05", group_cols=G, **mapping),
             business.check_pass_fail_certification(no_exam, no_cert, "BR-05", **mapping))
-        fr = cfg.freshness
-        add_fused(fr.feed, business.freshness_check(
-            feeds[fr.feed].raw, reference_ts=ref, timestamp_column=fr.timestamp_column,
-            metadata_columns=fr.metadata_columns, file_time_column=MTIME_COL,
-            max_allowed_hours=fr.max_allowed_hours, warning_hours=fr.warning_hours,
-            rule_id=fr.rule_id))
-        if cfg.wire_range_and_window:
+        r = cfg.rules
+        add_fused(r.fresh_feed, business.freshness_check(
+            feeds[r.fresh_feed].raw, reference_ts=ref, timestamp_column=r.fresh_column,
+            metadata_columns=r.fresh_metadata, file_time_column=MTIME_COL,
+            max_allowed_hours=r.fresh_hours, warning_hours=r.fresh_warning_hours, rule_id=r.fresh_rule))
+        if r.ranges_and_window:
             raw_exam = feeds["exam_results"].raw
             for col, rid in (("score", "BR-04-score"), ("score_scaled", "BR-04-score-scaled")):
                 add_fused("exam_results", business.score_range_check(raw_exam, col, rid, 0, 100),
                           {rid: [col]})
             add_fused("exam_results", business.date_window_check(raw_exam, ref, 12, "BR-06"))
-        if cfg.flags_file:
+        if r.flags_file:
             paths = csv_feeds._existing(self.spark, csv_feeds.feed_glob(
-                cfg.data_root, cfg.flags_file, cfg.bundles))
+                cfg.data_root, r.flags_file, cfg.bundles))
             if paths:
                 flags = csv_feeds.read_feed(self.spark, paths, multi_line=cfg.multi_line)
                 orphans = cut_lineage(orphan_keys(flags, cand, "candidate_id", group_cols=G), self.spark)
