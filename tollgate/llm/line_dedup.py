@@ -72,45 +72,48 @@ def identities(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def profile(documents: DataFrame) -> DataFrame:
-    """(doc_id, line, h1, h2, n) of every line with words."""
+    """Two kinds of rows in one pass over the texts.
+
+    (doc_id, line, h1, h2, n) of every line with words, and per task (slab,
+    held): its word counters, 2**BITS of them in SLABS slabs.
+    """
+    width = (1 << BITS) // SLABS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BITS, np.int64)
         for b in slices(batches, "text"):
             codes, bounds, row, line = line_sets(b.column(1))
+            np.add.at(total, (codes >> tc.U64(64 - BITS)).astype(np.int64), 1)
             h1, h2 = identities(codes, bounds)
             n = np.diff(bounds)
             live = n > 0
             doc = b.column(0).take(pa.array(row[live]))
             yield pa.RecordBatch.from_arrays([doc, pa.array(line[live].astype(np.int64)), pa.array(h1[live]), pa.array(h2[live]),
-                                              pa.array(n[live].astype(np.int64))], ["doc_id", "line", "h1", "h2", "n"])
+                                              pa.array(n[live].astype(np.int64)), pa.nulls(len(doc), pa.int32()), pa.nulls(len(doc), pa.binary())], _PROFILE)
+        if total.any():
+            none = pa.nulls(SLABS, pa.int64())
+            held = [np.minimum(s, 2**31 - 1).astype(np.int32).tobytes() for s in total.reshape(SLABS, width)]
+            yield pa.RecordBatch.from_arrays([none] * 5 + [pa.array(np.arange(SLABS, dtype=np.int32)), pa.array(held, pa.binary())], _PROFILE)
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, line long, h1 long, h2 long, n long")
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, line long, h1 long, h2 long, n long, slab int, held binary")
 
 
-def word_counters(documents: DataFrame) -> np.ndarray:
-    """Lines per hash bucket of words, 2**BITS counters; tasks send slabs that are summed slab by slab."""
-    width = (1 << BITS) // SLABS
+_PROFILE = ["doc_id", "line", "h1", "h2", "n", "slab", "held"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
-        for b in slices(batches, "text"):
-            codes, *_ = line_sets(b.column(0))
-            total += np.bincount((codes >> tc.U64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLABS, dtype=np.int32)), pa.array([s.tobytes() for s in total.reshape(SLABS, width)], pa.binary())],
-                                             ["slab", "held"])
+
+def word_counters(profiled: DataFrame) -> np.ndarray:
+    """Lines per hash bucket of words over all tasks: slabs are summed slab by slab, 4 MB reach the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for slab, held in zip(b.column(0).to_pylist(), b.column(1)):
-                sums[slab] = sums.get(slab, 0) + np.frombuffer(held.as_buffer(), np.int64)
+                sums[slab] = sums.get(slab, 0) + np.frombuffer(held.as_buffer(), np.int32).astype(np.int64)
         for slab, s in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([np.minimum(s, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())], ["slab", "held"])
 
-    schema = "slab int, held binary"
-    rows = documents.select("text").mapInArrow(count, schema).repartition("slab").mapInArrow(add, schema).collect()  # SLABS rows, 4 MB
-    out = np.zeros((SLABS, width), np.int32)
+    rows = profiled.where("slab IS NOT NULL").select("slab", "held").repartition("slab").mapInArrow(add, "slab int, held binary").collect()
+    out = np.zeros((SLABS, (1 << BITS) // SLABS), np.int32)
     for r in rows:
         out[r["slab"]] = np.frombuffer(r["held"], np.int32)
     return out.reshape(-1)
@@ -154,7 +157,7 @@ def prefixes(codes: np.ndarray, bounds: np.ndarray, counters: np.ndarray, percen
 
 
 def postings(documents: DataFrame, counters: np.ndarray, parts: int, percent: int) -> DataFrame:
-    """(part, held, a, b): packed postings by hash part, and links (a, b) made where a word is hot."""
+    """(part, held, a, b): packed postings by hash part, or a link (a, b) made where a word is hot."""
     shared = documents.sparkSession.sparkContext.broadcast(counters)
 
     def pack(buffer: list[np.ndarray], part: list[np.ndarray]) -> pa.RecordBatch:
@@ -198,7 +201,7 @@ def postings(documents: DataFrame, counters: np.ndarray, parts: int, percent: in
                         c.append(int(h1[line[i]]))
                 if a:
                     m = len(a)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["part", "held", "a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(m, dtype=np.int32) % parts), pa.nulls(m, pa.binary()), pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["part", "held", "a", "b"])
                 out, place = out[~much], place[~much]
             buffer.append(out)
             part.append(place)
@@ -222,8 +225,10 @@ def candidate_forest(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.nda
     word, n, at, maps = rows["word"], rows["n"].astype(np.int64), rows["at"].astype(np.int64), rows["map"]
     first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
     size = np.diff(np.append(first, len(rows)))
-    wide = np.repeat((size > WIDE) | (n[first] == 0), size)
+    group = np.repeat(np.arange(len(first)), size)
+    wide = ((size > WIDE) | (n[first] == 0))[group]
     parent = list(range(len(lines)))
+    stale = 0
 
     def root(x):
         while parent[x] != x:
@@ -231,43 +236,56 @@ def candidate_forest(rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.nda
             x = parent[x]
         return x
 
-    a, b = [], []
+    a: list[int] = []
 
     def link(i, j):
+        nonlocal stale
+        stale += len(i)
         for x, y in zip(node[i].tolist(), node[j].tolist()):
             rx, ry = root(x), root(y)
             if rx != ry:
                 parent[max(rx, ry)] = min(rx, ry)
                 a.append(x)
-                b.append(y)
 
     active = np.flatnonzero(word[1:] == word[:-1])
     chain = active[wide[active]]
     link(chain, chain + 1)
     active = active[~wide[active]]
+    label = node.copy()
     d = 1
     while len(active):
+        if stale > 2000 + len(active) // 4 or d in (2, 3):
+            # Components so far; a word whose classes are all one needs no more pairs.
+            stale = 0
+            label = np.array(parent)
+            while True:
+                up = label[label]
+                if (up == label).all():
+                    break
+                label = up
+            label = label[node]
+            one = np.minimum.reduceat(label, first) == np.maximum.reduceat(label, first)
+            active = active[~one[group[active]]]
         i, j = active, active + d
         more = (percent * n[j] <= 100 * n[i])
         active, i, j = active[more], i[more], j[more]
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
         least = least_common(n[i], n[j], percent)
         ok = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1 >= least
         i, j, least = i[ok], j[ok], least[ok]
         ok = apart_at_most(maps, i, j, n[i] + n[j] - 2 * least)
-        i, j = i[ok], j[ok]
-        if len(i):
-            label = np.array(parent)
-            while True:
-                up = label[label]
-                if (up == label).all():
-                    break
-                label = up
-            fresh = label[node[i]] != label[node[j]]
-            link(i[fresh], j[fresh])
+        if ok.any():
+            link(i[ok], j[ok])
         d += 1
         active = active[active + d < len(word)]
         active = active[word[active] == word[active + d]]
-    return lines[a] if a else lines[:0], lines[b] if b else lines[:0]
+    if not a:
+        return lines[:0], lines[:0]
+    # As stars around each component's least class.
+    top = np.array([root(x) for x in range(len(lines))])
+    member = np.flatnonzero(top != np.arange(len(lines)))
+    return lines[top[member]], lines[member]
 
 
 def candidate_links(packed: DataFrame, percent: int) -> DataFrame:
@@ -279,7 +297,12 @@ def candidate_links(packed: DataFrame, percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
+            made = batch.filter(pa.compute.is_valid(batch.column("a")))
+            if made.num_rows:
+                yield made.select(["a", "b"])
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if not data.is_valid:
+                    continue
                 if part != key:
                     if held:
                         yield done()
@@ -378,14 +401,13 @@ def removed_lines(documents: DataFrame, scratch: Scratch, percent: int = 80) ->
     """(lines, removed): every line with words, and those to remove, both (doc_id, line)."""
     spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    lines = scratch.keep(profile(documents))
+    profiled = scratch.keep(profile(documents))
+    lines = profiled.where("slab IS NULL").select("doc_id", "line", "h1", "h2", "n")
+    lines._scratch_path = profiled._scratch_path
     classes = scratch.keep(lines.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c"))
                            .select("h1", "h2", "n", "c", "first.doc_id", "first.line"))
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = scratch.keep(postings(documents, word_counters(documents), parts, percent))
-    links = candidate_links(packed.where("part IS NOT NULL").select("part", "held"), percent).unionByName(packed.where("part IS NULL").select("a", "b"))
-    groups = connected_components(scratch, links)
-    scratch.drop(packed)
+    groups = connected_components(scratch, candidate_links(postings(documents, word_counters(profiled), parts, percent), percent))
 
     members = scratch.keep(classes.join(groups.select(F.col("node").alias("h1"), F.col("component").alias("group")), "h1")
                            .select("doc_id", "line", "h1", "h2", "n", "group"))
