@@ -190,7 +190,7 @@ def term_counts(documents: DataFrame, bitmap: np.ndarray) -> DataFrame:
 def disclosing_terms(documents: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     """(entity, code, disclosure, kind) of the terms that reveal an entity."""
     context = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.here", "c.terms")
-    entities = context.groupBy("entity").agg(F.count("*").alias("n_e"))
+    entities = scratch.keep(context.groupBy("entity").agg(F.count("*").alias("n_e")))  # written: a hot entity's pairs can then be split
     pairs = (context.select("entity", "here", F.explode("terms.code").alias("code"))
              .groupBy("entity", "code", "here").agg(F.count("*").alias("n"))
              .groupBy("entity", "code").agg(F.sum("n").alias("n_te"), F.count("*").alias("places")).where(F.col("places") >= LEAST))
@@ -205,7 +205,7 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, scratch: Scratch) -
                .where(F.col("disclosure") >= GENERALISE)
                .select("entity", "code", "disclosure", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("kind")))
     out = scratch.keep(flagged)
-    scratch.drop(pairs, counts)
+    scratch.drop(entities, pairs, counts)
     return out
 
 
