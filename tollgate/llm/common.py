@@ -66,9 +66,6 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
     held: list[pa.RecordBatch] = []
     held_rows = 0
 
-    def same(a, i, b, j):
-        return all(a.column(k)[i].as_py() == b.column(k)[j].as_py() for k in keys)
-
     for batch in batches:
         if batch.num_rows == 0:
             continue
