@@ -80,3 +80,10 @@ def test_grouped_suite_with_partial_lists(spark):
     assert rows["b1"].unexpected_count == 2 and rows["b2"].missing_count == 1
     assert [(x.value, x["count"]) for x in rows["b1"].partial_unexpected_counts] == [("X", 2)]
     assert [(x.value, x["count"]) for x in rows["b2"].partial_unexpected_counts] == [("Y", 1)]
+
+
+def test_uniqueness_lists_repeated_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, None), (None, None)], "k string, n int")
+    rows = {r.expectation_type: r for r in ex.run_suite(df, "s", [ex.unique("k"), ex.compound_unique(["k", "n"])], partial_lists=True).collect()}
+    assert [(x.value, x["count"]) for x in rows["expect_column_values_to_be_unique"].partial_unexpected_counts] == [("a", 3)]
+    assert [(x.value, x["count"]) for x in rows["expect_compound_columns_to_be_unique"].partial_unexpected_counts] == [('{"k":"a","n":1}', 2)]

@@ -148,9 +148,15 @@ def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation],
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    if partial_lists and scalar:
-        pl = partial_unexpected(df, scalar, params, group_cols)
-        out = out.join(pl, [*group_cols, "expectation_index"], "left")
+    if partial_lists:
+        lists = [partial_unexpected(df, scalar, params, group_cols)] if scalar else []
+        lists += [partial_repeats(df, i, e, group_cols) for i, e in enumerate(expectations)
+                  if e.expectation_type in _UNIQUE]
+        if lists:
+            pl = lists[0]
+            for x in lists[1:]:
+                pl = pl.unionByName(x)
+            out = out.join(pl, [*group_cols, "expectation_index"], "left")
     return out
 
 
@@ -300,7 +306,25 @@ def partial_unexpected(df: DataFrame, scalar, params, group_cols,
         val = F.col(f"`{e.column}`").cast("string")
         items.append(F.when(cond, F.struct(F.lit(i).alias("expectation_index"), val.alias("value"))))
     ex = df.select(*group_cols, F.explode(F.array_compact(F.array(*items))).alias("x"))
-    vc = ex.groupBy(*group_cols, "x.expectation_index", "x.value").agg(F.count(F.lit(1)).alias("count"))
+    return _top_values(ex.groupBy(*group_cols, "x.expectation_index", "x.value").agg(F.count(F.lit(1)).alias("count")),
+                       group_cols, size)
+
+
+def partial_repeats(df: DataFrame, i: int, e: Expectation, group_cols, size: int = PARTIAL_LIST_SIZE) -> DataFrame:
+    """Top ``size`` repeated keys of a uniqueness expectation with their row
+    counts; a compound key is given as JSON."""
+    keys = [e.column] if e.column is not None else list(e.column_list)
+    cols = [F.col(f"`{k}`") for k in keys]
+    if len(keys) == 1:
+        value, missing = cols[0].cast("string"), cols[0].isNull()
+    else:
+        value, missing = F.to_json(F.struct(*cols)), F.greatest(*[c.isNotNull().cast("int") for c in cols]) == 0
+    vc = (key_counts(df, keys, group_cols).where((F.col(N) > 1) & ~missing)
+          .select(*group_cols, F.lit(i).alias("expectation_index"), value.alias("value"), F.col(N).alias("count")))
+    return _top_values(vc, group_cols, size)
+
+
+def _top_values(vc: DataFrame, group_cols, size: int) -> DataFrame:
     w = Window.partitionBy(*group_cols, "expectation_index").orderBy(
         F.col("count").desc(), F.col("value").asc_nulls_first())
     top = vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= size)
