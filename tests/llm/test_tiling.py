@@ -47,6 +47,16 @@ def test_coverage_matches_brute_force(spark):
     assert len(want) > 20 and got == want
 
 
+def test_periodic_items_are_caught(spark):
+    items = ["one two three four five " * 13, "yes no " * 13, "spam " * 13, "la di da " * 20, "a b c d e f g h i j k l m n o p q r s t u v w x y z"]
+    docs = [*(f"some words before {x} and some after" for x in items), "yes no yes no yes", "spam " * 5, "spam " * 6, "clean " * 50]
+    found = M.coverage(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): round(r.coverage, 9) for r in found.collect()}
+    share = {(d, i): greedy(words(t), words(x)) / len(words(x)) for d, t in enumerate(docs) for i, x in enumerate(items)}
+    assert all(share[i, i] == 1.0 for i in range(len(items)))
+    assert got == {k: round(v, 9) for k, v in share.items() if v >= M.THRESHOLD}
+
+
 def test_reordered_passages_are_caught(spark):
     item = " ".join(f"q{i}" for i in range(40))
     w = item.split()

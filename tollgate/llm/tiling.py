@@ -4,7 +4,8 @@ Texts and test items are word sequences (A-Z lower-cased). A running
 Karp-Rabin sum gives the code of every window of ``MATCH`` words. A fixed-size
 bitmap of the items' windows (2 MB at any benchmark size) lets a task drop
 windows that no item has; the rest are joined with the items' windows on the
-code. A pair with enough shared windows to reach the threshold is tiled: the
+code. A pair with enough shared windows of the item, repeats counted, to reach
+the threshold is tiled: the
 longest unmarked common run of words is marked in both sequences again and
 again until none of ``MATCH`` words is left, so passages in another order
 count too. Coverage is the share of the item's words under tiles; a document
@@ -107,8 +108,8 @@ def tiles(item: list[int], n: int, places: list[tuple[int, int]], width: int = M
                 start = at
             prev = at
     heapq.heapify(heap)
-    text_marked, item_marked, out = set(), [False] * n, []
-    while heap:
+    text_marked, item_marked, out, left = set(), [False] * n, [], n
+    while heap and left >= width:
         length, at, i = heapq.heappop(heap)
         length = -length
         free = [not item_marked[i + x] and at + x not in text_marked for x in range(length)]
@@ -116,6 +117,7 @@ def tiles(item: list[int], n: int, places: list[tuple[int, int]], width: int = M
             out.append((length, at, i))
             text_marked.update(range(at, at + length))
             item_marked[i:i + length] = [True] * length
+            left -= length
             continue
         run = 0
         for x in range(length + 1):
@@ -132,12 +134,14 @@ def coverage(documents: DataFrame, benchmark: DataFrame, threshold: float = THRE
     """(doc_id, item_id, coverage) of every pair whose coverage reaches ``threshold``."""
     scratch = Scratch(documents.sparkSession)
     items = scratch.keep(item_windows(benchmark))
-    seeds = scratch.keep(items.select("item_id", F.explode("codes").alias("code")).distinct())
+    seeds = scratch.keep(items.select("item_id", F.explode("codes").alias("code")).groupBy("item_id", "code").agg(F.count(F.lit(1)).alias("times")))
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     shared = document_windows(documents, code_bitmap(seeds)).join(seeds, "code")
-    least = F.ceil(F.col("n") * (threshold / MATCH))
-    pairs = (shared.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("at", "code")).alias("places"))
-             .withColumn("found", F.size(F.array_distinct(F.transform("places", lambda p: p.code))))
+    # A tile of L words has L - MATCH + 1 >= L / MATCH of the item's window places, so a pair under this bound cannot reach the threshold.
+    least = F.col("n") * (threshold / MATCH) - 1e-6
+    codes = F.array_distinct(F.transform("places", lambda p: F.struct(p.code, p.times)))
+    pairs = (shared.groupBy("doc_id", "item_id").agg(F.collect_set(F.struct("at", "code", "times")).alias("places"))
+             .withColumn("found", F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a + c.times))
              .join(items, "item_id").where(F.col("found") >= least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
