@@ -84,6 +84,47 @@ def test_segments_and_batches_change_nothing(vocab, monkeypatch):
         assert np.allclose([x[1:3] for x in a], [x[1:3] for x in b])
 
 
+def total(vocab, text):
+    """Log of the summed weight of every segmentation of an ASCII text, and the weight of each piece."""
+    cp = M.written(text).tolist()
+    pieces = {tuple(ord(c) for c in vocab.text[i].decode().replace(" ", chr(M.SPACE))): w for i, w in zip(vocab.ids, vocab.weight)}
+    ahead = [0.0] * (len(cp) + 1)
+    for p in range(len(cp) - 1, -1, -1):
+        x = [pieces[t] + ahead[p + n] for n in range(1, vocab.longest + 1) if p + n <= len(cp) and (t := tuple(cp[p:p + n])) in pieces]
+        ahead[p] = np.logaddexp.reduce([*x, vocab.byte_weight + ahead[p + 1]] if (cp[p],) not in pieces else x)
+    return ahead[0], dict(zip(vocab.ids.tolist(), vocab.weight))
+
+
+RUNS = ["internationalization" * 70, "https://example.com/" + "path/to/the/resource?query=" * 50, "word\nother\n" * 120, "x" * 1500, " " * 1300]
+
+
+@pytest.mark.parametrize("segment", [1 << 19, 300])
+def test_long_runs_without_spaces_are_one_lattice(vocab, monkeypatch, segment):
+    monkeypatch.setattr(M, "SEGMENT", segment)
+    crossed = 0
+    for text in RUNS:
+        z, weight = total(vocab, text)
+        for key in range(4):
+            samples = M.sample_texts(vocab, [key], [text], 3, 1)[0]
+            assert len({x[0].tobytes() for x in samples}) == 3 and samples[0][2] >= samples[1][2] >= samples[2][2]
+            for x in samples:
+                assert vocab.decode(x[0]) == text
+                assert abs(sum(weight.get(i, vocab.byte_weight) for i in x[0].tolist()) - z - x[1]) < 1e-6
+                crossed += any(a < 512 < a + n for a, n in split(vocab, x[0]))
+    assert crossed
+
+
+def test_parts_and_blocks_of_long_runs_change_nothing(vocab, monkeypatch):
+    texts = [*RUNS, "日本語テキスト" * 200 + " and " + "東京都" * 400, "a " * 400 + "ab" * 700 + " c" * 300]
+    whole = M.sample_texts(vocab, list(range(len(texts))), texts, 3, 1)
+    for name, value in (("FEW", 0), ("BLOCK", 128), ("SEGMENT", 200)):
+        monkeypatch.setattr(M, name, value)
+        parts = [M.sample_texts(vocab, [k], [t], 3, 1)[0] for k, t in enumerate(texts)]
+        for a, b in zip(whole, parts):
+            assert [x[0].tobytes() for x in a] == [x[0].tobytes() for x in b]
+            assert np.allclose([x[1:] for x in a], [x[1:] for x in b], rtol=1e-7)
+
+
 def test_round_trip_of_odd_texts(spark, vocab):
     odd = [*ODD, "  two  spaces ", "日本語テキスト", "a▁b ▁", "\t", "é́", "\x00\x7f"]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(odd)] + [(None, "null key", "x"), (5, odd[5], "x")], "doc_id long, text string, samples string")

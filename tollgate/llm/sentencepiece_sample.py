@@ -2,9 +2,9 @@
 
 Lattice. A text is written with ``U+2581`` for spaces and one in front. Pieces
 never hold a space sign after another character, so the lattice falls into
-units (space signs and what follows up to the next ones); a unit longer than
-``MAX_UNIT`` code points is cut there. Arcs are the vocabulary's pieces; a
-code point without a piece is written as its UTF-8 bytes. The vocabulary file
+units (space signs and what follows up to the next ones) of any length. Arcs
+are the vocabulary's pieces; a code point without a piece is written as its
+UTF-8 bytes. The vocabulary file
 has merge ranks, no probabilities: a piece of rank r weighs 1 / (r + 2.7), a
 byte ``BYTE_PENALTY`` nats less than the rarest piece.
 
@@ -22,8 +22,12 @@ score 1 - exp(-exp(log p - kappa)).
 Noise is a hash of (seed, row key, pop, place in the text, arc): a row's
 samples are the same in every run, partitioning and batch. Units repeat
 within a batch, so lattices are built once for each distinct unit, and all
-walks of a batch advance together in numpy. Long texts are walked in segments
-of ``SEGMENT`` code points; only the best k+1 queue nodes are kept.
+walks of a batch advance together in numpy; the few longest units are finished
+place by place. Long texts are walked in segments of ``SEGMENT`` to twice as
+many code points; only the best k+1 queue nodes are kept. Where a segment ends
+within a unit, its arcs reach over the end: they take the backward values of
+the places there from the next segment, which the walk enters where the last
+arc ended.
 
 Cases: null and empty texts have one empty segmentation (log p 0, score 1). A
 text with fewer than k segmentations has them all, with score 1. Texts may
@@ -36,6 +40,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +52,10 @@ from tollgate.llm import textcodes as tc
 from tollgate.llm.common import slices, table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-SAMPLES, MAX_UNIT, BYTE_PENALTY = 2, 512, 10.0
+SAMPLES, BYTE_PENALTY = 2, 10.0
 BATCH_BYTES, SEGMENT = 1 << 19, 1 << 19
+#: So few units are finished place by place, in blocks of so many places.
+FEW, BLOCK = 32, 4096
 SPACE, LITERAL = 0x2581, 0x110000
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -132,44 +139,52 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _unit_begins(cp: np.ndarray) -> np.ndarray:
+    """Where units begin, by code point; the first place begins one."""
+    sign = cp == SPACE
+    begin = sign.copy()
+    begin[1:] &= ~sign[:-1]
+    begin[0] = True
+    return begin
+
+
 class Lattice:
     """Units of a stretch of written text and the arcs of each distinct one.
 
-    ``cp``: code points; ``breaks``: places where a text begins.
+    ``cp``: code points; ``breaks``: places where a text begins; ``tail``: the
+    backward values of the last places and the end, which belong to the stretch
+    after this one and only end arcs.
     """
 
-    def __init__(self, vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray):
-        sign = cp == SPACE
-        begin = sign.copy()
-        begin[1:] &= ~sign[:-1]
+    def __init__(self, vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray, tail: np.ndarray | None = None):
+        begin = _unit_begins(cp)
         begin[breaks] = True
-        begin[0] = True
         start = np.flatnonzero(begin)
         size = np.diff(np.append(start, len(cp)))
-        if size.max() > MAX_UNIT:
-            more = [np.arange(s, s + n, MAX_UNIT) for s, n in zip(start[size > MAX_UNIT], size[size > MAX_UNIT])]
-            start = np.unique(np.concatenate([start, *more]))
-            size = np.diff(np.append(start, len(cp)))
+        over = 0 if tail is None else len(tail) - 1
         value = _cp_value(cp)
         running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * tc.power_table(_BASE, len(cp))[:len(cp)])))
         code = (running[start + size] - running[start]) * tc.power_table(_INVERSE, len(cp))[start] + size.astype(np.uint64)
+        if tail is not None:  # a unit that goes on is none of those that end
+            code[-1] = ~code[-1]
         _, first, unit = np.unique(code, return_index=True, return_inverse=True)
         self.start, self.size, self.unit = start, size, unit
         n = size[first]
         head = np.concatenate(([0], np.cumsum(n + 1)))
         slot_unit = np.repeat(np.arange(len(n)), n + 1)
         within = np.arange(head[-1]) - head[:-1][slot_unit]
-        self.left = n[slot_unit] - within
+        reach = n[slot_unit] - within
         source = np.minimum(start[first][slot_unit] + within, len(cp) - 1)
-        points = np.where(self.left > 0, cp[source], 0)
-        v = np.where(self.left > 0, value[source], 0)
+        points = np.where(reach > 0, cp[source], 0)
+        v = np.where(reach > 0, value[source], 0)
+        self.left = np.where(slot_unit == unit[-1], np.maximum(reach - over, 0), reach) if over else reach
         total = len(points)
         run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(v * tc.power_table(_BASE, total)[:total])))
         back = tc.power_table(_INVERSE, total)
         src, length, ident, weight = [], [], [], []
         at = np.flatnonzero(self.left > 0)
         for k in range(1, vocab.longest + 1):
-            at = at[self.left[at] >= k]
+            at = at[reach[at] >= k]
             if len(at) == 0:
                 break
             found = vocab.find((run[at + k] - run[at]) * back[at])
@@ -192,20 +207,35 @@ class Lattice:
         self.src = src
         self.ptr = np.searchsorted(src, np.arange(total + 1))
         self.head = head[:-1]
-        # Backward pass: places by what is left of their unit, all units at once.
+        # Backward pass: places by what is left of their unit, all units at once; the few longest place by place.
         beta = np.zeros(total)
+        if over:
+            end = head[unit[-1]] + size[-1]
+            beta[end - over:end + 1] = tail
         places = np.flatnonzero(self.left > 0)
         places = places[np.argsort(self.left[places], kind="stable")]
-        cuts = np.searchsorted(self.left[places], np.arange(1, int(n.max()) + 2))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
+        cuts = np.searchsorted(self.left[places], np.arange(1, int(self.left.max()) + 2))
+        many = int(np.searchsorted(-np.diff(cuts), -FEW, "right"))
+        for a, b in zip(cuts[:many], cuts[1:many + 1]):
             p = places[a:b]
             arcs, begin_ = ranges(self.ptr[p], self.ptr[p + 1])
             x = weight[arcs] + beta[src[arcs] + self.length[arcs]]
             top = np.maximum.reduceat(x, begin_)
             deg = self.ptr[p + 1] - self.ptr[p]
             beta[p] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, deg)), begin_))
+        if cuts[many] < len(places):
+            known = beta.tolist()
+            for a in range(int(cuts[many]), len(places), BLOCK):
+                p = places[a:a + BLOCK]
+                arcs, begin_ = ranges(self.ptr[p], self.ptr[p + 1])
+                w, to, stop = weight[arcs].tolist(), (src[arcs] + self.length[arcs]).tolist(), np.append(begin_, len(arcs)).tolist()
+                for i, at in enumerate(p.tolist()):
+                    x = [w[j] + known[to[j]] for j in range(stop[i], stop[i + 1])]
+                    top = max(x)
+                    known[at] = top + math.log(sum([math.exp(y - top) for y in x]))
+            beta = np.array(known)
+        # What the stretch before needs, relative to the first place.
+        self.ahead = beta[head[unit[0]]:][:min(vocab.longest - 1, int(size[0])) + 1] - beta[head[unit[0]]]
         self.logq = weight + beta[src + self.length] - beta[src]
 
 
@@ -245,15 +275,20 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
     open_ = lat.left[at] > 0
     live, at = live[open_], at[open_]
     who, where, arc, top_value = [], [], [], []
-    while len(live):
+
+    def choose(live: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best arc at each place and its value."""
         arcs, begin = ranges(lat.ptr[at], lat.ptr[at + 1])
-        owner = np.repeat(np.arange(len(live)), lat.ptr[at + 1] - lat.ptr[at])
+        owner = np.repeat(np.arange(len(at)), lat.ptr[at + 1] - lat.ptr[at])
         value = lat.logq[arcs] + gumbel((key[doc[live]] + _counter(shift[live] + at))[owner], lat.length[arcs])
         top = np.maximum.reduceat(value, begin)
         chosen = np.flatnonzero(value == top[owner])
-        if len(chosen) > len(live):  # a tie: the shortest piece
+        if len(chosen) > len(at):  # a tie: the shortest piece
             chosen = chosen[np.concatenate(([True], owner[chosen][1:] != owner[chosen][:-1]))]
-        pick = arcs[chosen]
+        return arcs[chosen], top
+
+    while len(live) > FEW or len(live) and lat.left[at].max() <= BLOCK // 8:
+        pick, top = choose(live, at)
         who.append(live)
         where.append(at)
         arc.append(pick)
@@ -261,6 +296,21 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
         at = at + lat.length[pick]
         more = lat.left[at] > 0
         live, at = live[more], at[more]
+    for u, p in zip(live.tolist(), at.tolist()):
+        # A choice depends on its place alone: choose at every place of a block, then follow.
+        stop = p + int(lat.left[p])
+        while p < stop:
+            here = np.arange(p, min(p + BLOCK, stop))
+            pick, top = choose(np.full(len(here), u), here)
+            step, path, x = lat.length[pick].tolist(), [], 0
+            while x < len(here):
+                path.append(x)
+                x += step[x]
+            who.append(np.full(len(path), u))
+            where.append(here[path])
+            arc.append(pick[path])
+            top_value.append(top[path])
+            p += x
     end, best = phi.astype(float), [[] for _ in range(ndoc)]
     if not who:
         none = np.empty(0, np.int64)
@@ -320,10 +370,10 @@ def _best_of(doc: np.ndarray, value: np.ndarray, ndoc: int, keep: int):
 class _Stretch:
     """A lattice over several whole documents, or over a part of one."""
 
-    def __init__(self, vocab: Vocabulary, cps: list[np.ndarray], begin: int = 0):
+    def __init__(self, vocab: Vocabulary, cps: list[np.ndarray], begin: int = 0, tail: np.ndarray | None = None):
         self.off = np.concatenate(([0], np.cumsum([len(c) for c in cps])))
         self.begin = begin
-        self.lat = Lattice(vocab, np.concatenate(cps), self.off[:-1])
+        self.lat = Lattice(vocab, np.concatenate(cps), self.off[:-1], tail)
         self.occ = np.searchsorted(self.lat.start, self.off)
 
     def walk(self, docs: np.ndarray, pos: np.ndarray, key, g, phi, keep):
@@ -341,17 +391,25 @@ class _Stretch:
 
 
 def _cut(cp: np.ndarray) -> list[int]:
-    """Places to cut a long text: starts of units, or of their MAX_UNIT parts."""
-    sign = cp == SPACE
-    begin = sign.copy()
-    begin[1:] &= ~sign[:-1]
-    begin[0] = True
-    start = np.flatnonzero(begin)
-    size = np.diff(np.append(start, len(cp)))
-    if size.max() > MAX_UNIT:
-        start = np.unique(np.concatenate([np.arange(a, a + n, MAX_UNIT) for a, n in zip(start, size)]))
+    """Places to cut a long text: starts of units, or within units longer than a segment."""
+    start = np.flatnonzero(_unit_begins(cp))
     want = np.arange(SEGMENT, len(cp), SEGMENT)
-    return [0, *np.unique(start[np.searchsorted(start, want, "right") - 1]).tolist()]
+    unit = start[np.searchsorted(start, want, "right") - 1]
+    return [0, *np.unique(np.where(unit > want - SEGMENT, unit, want)).tolist()]
+
+
+def _parts(vocab: Vocabulary, cp: np.ndarray) -> list[tuple[int, int, np.ndarray | None]]:
+    """(begin, end, backward values from the end on, if within a unit) of the parts of a long text."""
+    cuts, out, tail = _cut(cp), [], None
+    within = ~_unit_begins(cp)
+    for a, b in zip(cuts[::-1], [len(cp), *cuts[:0:-1]]):
+        out.append((a, b, tail))
+        tail = _part(vocab, cp, a, b, tail).lat.ahead if within[a] else None
+    return out[::-1]
+
+
+def _part(vocab: Vocabulary, cp: np.ndarray, a: int, b: int, tail: np.ndarray | None) -> _Stretch:
+    return _Stretch(vocab, [cp[a:b + (0 if tail is None else len(tail) - 1)]], a, tail)
 
 
 def sample_group(vocab: Vocabulary, cps: list[np.ndarray], keys: np.ndarray, k: int, seed: int) -> list[list[tuple]]:
@@ -363,10 +421,10 @@ def sample_group(vocab: Vocabulary, cps: list[np.ndarray], keys: np.ndarray, k:
         stretches = [lambda: whole]
         ends = [max(len(c) for c in cps)]
     else:
-        cuts = _cut(cps[0])
-        ends = [*cuts[1:], len(cps[0])]
+        parts = _parts(vocab, cps[0])
+        ends = [p[1] for p in parts]
         # A part of a long text is built when it is walked and dropped after.
-        stretches = [lambda a=a, b=b: _Stretch(vocab, [cps[0][a:b]], a) for a, b in zip(cuts, ends)]
+        stretches = [lambda p=p: _part(vocab, cps[0], *p) for p in parts]
     base = tc.mix(keys.astype(np.uint64) ^ tc.U64(seed * 0x9E3779B97F4A7C15 % 2**64))
     queue: list[list] = [[(float(v), -1, 0, 0, 0, 0.0)] for v in gumbel(base, np.zeros(ndoc))]
     paths: list[list] = [[] for _ in range(ndoc)]
@@ -394,6 +452,8 @@ def sample_group(vocab: Vocabulary, cps: list[np.ndarray], keys: np.ndarray, k:
                 continue
             s = make()
             d, at, arcs, phi, best = s.walk(docs, pos, key, g, phi, k + 1)
+            if not single:
+                pos = at[-1:] + s.lat.length[arcs[-1:]]
             names = s.lat.ident[arcs]
             cuts = np.searchsorted(d, np.arange(len(docs) + 1))
             for i in range(len(docs)):
