@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tollgate.llm import chat_format, embedding_graph, langid, line_dedup, minhash, pii, sentencepiece_sample, sharding, tiling, token_counts, toxicity
+from tollgate.llm import chat_format, embedding_graph, langid, line_dedup, minhash, phrases, pii, runs, sentencepiece_sample, sharding, tiling, token_counts, toxicity
 
 REGISTRY = {
     "op1_chat_format": (chat_format.op1_chat_format, chat_format.SQL),
@@ -15,5 +15,7 @@ REGISTRY = {
     "op10_langid": (langid.op10_langid, None),
     "op3_pii": (pii.op3_pii, None),
     "op4_token_counts": (token_counts.op4_token_counts, None),
+    "op11_phrases": (phrases.op11_phrases, phrases.SQL),
     "op12_sharding": (sharding.op12_sharding, sharding.SQL),
+    "op13_runs": (runs.op13_runs, None),
 }
