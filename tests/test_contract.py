@@ -157,3 +157,18 @@ def test_overlaps_do_not_depend_on_exchange_reuse(spark):
         finally:
             spark.conf.unset("spark.sql.exchange.reuse")
         assert got == want
+
+
+def test_overlap_partners_with_a_hot_key(spark):
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 else f"k{rnd.randint(1, 40)}", i, rnd.randint(0, 3000), None if rnd.random() < 0.05 else rnd.randint(0, 60)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, id int, s long, d long").select(
+        "k", "id", F.timestamp_seconds("s").alias("start"), F.timestamp_seconds(F.col("s") + F.col("d")).alias("end"))
+    got = {r.id: r.partner.id if r.partner else None for r in contract.interval_overlaps(df, ["k"], "start", "end", ["id"], num_chunks=9).collect()}
+    want, last = {}, {}
+    for k, i, s, d in sorted(rows, key=lambda r: (r[2], r[1])):
+        best = last.get(k)
+        want[i] = best[1] if best and s < best[0] else None
+        if d is not None:
+            last[k] = max(best, (s + d, i)) if best else (s + d, i)
+    assert got == want and sum(v is not None for v in want.values()) > 500

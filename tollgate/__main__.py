@@ -33,7 +33,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         print(f"{r['status']}: {r['count']} bundle(s)")
     for r in decisions.where("status <> 'Ready'").orderBy("bundle").limit(20).collect():
         print(f"  {r['bundle']}: {r['status']} - {r['decision_reason']}")
-    print("Release reports written to", out)
+    gate.close()
+    print("reports:", out)
 
 
 if __name__ == "__main__":

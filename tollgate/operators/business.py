@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce_timestamp, hours_between, strict_double
 from ..outcome import CRITICAL, INFO, WARNING
-from ..session import cut_lineage
 from .fusion import AggCheck, Row, run_flat
 from .integrity import first_n, latest_per_key
 
@@ -83,21 +82,24 @@ def status_mapping_keys(exam: DataFrame, cert: DataFrame, *, key: str = "candida
 
 def check_pass_fail_certification(exam: DataFrame, cert: DataFrame, rule_id_prefix: str = "BR-05",
                                   *, sample_size: int = SAMPLE_SIZE,
-                                  group_cols: Sequence[str] = (), **kw) -> DataFrame:
+                                  group_cols: Sequence[str] = (), groups: DataFrame | None = None,
+                                  **kw) -> DataFrame:
     """Two flat outcome rows per group: ``{prefix}-pass`` and ``{prefix}-fail``.
 
     Columns: mismatch_count, missing_count (pass side only; missing is a
     subset of mismatch), allowed_fail_statuses (fail side only),
     sample_candidates (first ``sample_size`` offending keys in ``order_col``
-    order).
+    order). ``groups`` (a row per group) makes groups without rows report, too.
     """
-    # The per-key frame feeds the totals and both samples; it is written once
-    # (key-sized) so the fact table is scanned and shuffled a single time.
-    keys = cut_lineage(status_mapping_keys(exam, cert, group_cols=group_cols, **kw))
+    # The per-key frame feeds the totals and both samples through one exchange
+    # (key-sized), so the fact table is scanned and shuffled a single time.
+    keys = status_mapping_keys(exam, cert, group_cols=group_cols, **kw).repartition(*group_cols, "key")
     tot = keys.groupBy(*group_cols).agg(
         F.coalesce(F.sum("pass_mismatch"), F.lit(0)).cast("long").alias("pass_mismatch_count"),
         F.coalesce(F.sum("pass_missing"), F.lit(0)).cast("long").alias("pass_missing_count"),
         F.coalesce(F.sum("fail_mismatch"), F.lit(0)).cast("long").alias("fail_mismatch_count"))
+    if groups is not None:
+        tot = groups.select(*group_cols).join(tot, list(group_cols), "left").na.fill(0)
     pass_id, fail_id = f"{rule_id_prefix}-pass", f"{rule_id_prefix}-fail"
     pass_failed = (F.col("pass_mismatch_count") > 0) | (F.col("pass_missing_count") > 0)
     fail_failed = F.col("fail_mismatch_count") > 0
@@ -172,7 +174,7 @@ def freshness_check(df: DataFrame, *, reference_ts, timestamp_column: str | None
         label = F.when(data_ts.isNotNull(), F.lit(timestamp_column or "metadata")).when(
             fallback.isNotNull(), F.lit("filesystem"))
         ref = _ts_lit(reference_ts)
-        lag = F.greatest(F.lit(0.0), hours_between(ref, latest))
+        lag = F.when(latest.isNotNull(), F.greatest(F.lit(0.0), hours_between(ref, latest)))
         if thresholds:
             tk = F.col(threshold_key).cast("string")
             mx_map = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v[0])))])

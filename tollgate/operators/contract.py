@@ -101,14 +101,16 @@ def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_co
                       group_cols: Sequence[str] = ()) -> DataFrame:
     """Rows whose interval starts before an earlier interval of the key ends.
 
-    Returns every input row with a non-null start plus ``prev_max_end`` and
-    ``overlaps``. Rows are range-partitioned on (groups, keys, start, ties)
+    Returns every input row with a non-null start plus ``prev_max_end``,
+    ``overlaps`` and ``partner``: the ties (the id) of the earlier interval that
+    ends last, of equal ends the one with the greatest ties, null where nothing
+    overlaps. One partner a row, never all pairs. Rows are range-partitioned on (groups, keys, start, ties)
     into ``num_chunks`` (default: the shuffle partition count) contiguous
     chunks, so a hot key is split by row count however its times are spread.
     The chunked rows are written once: both their uses read the same chunk
     numbers, whatever the optimizer reuses. A small per-chunk aggregate
-    carries each chunk the max end of the key's earlier chunks, and a running
-    max inside each (key, chunk) finishes the scan.
+    carries each chunk the interval of the key's earlier chunks that ends last,
+    and a running maximum inside each (key, chunk) finishes the sweep.
     """
     spark = df.sparkSession
     keys = [*group_cols, *keys]
@@ -121,7 +123,8 @@ def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_co
     # Partition ids of a range exchange follow the sort order of (keys, start, ties).
     ranged = cut_lineage(base.repartitionByRange(n, *order).withColumn("__chunk", F.spark_partition_id()))
     chunk_keys = [*keys, "__chunk"]
-    chunks = ranged.groupBy(*chunk_keys).agg(F.max("__end").alias("__chunk_max"))
+    last = F.max(F.when(F.col("__end").isNotNull(), F.struct("__end", *[F.col(f"`{t}`") for t in tie_cols])))
+    chunks = ranged.groupBy(*chunk_keys).agg(last.alias("__chunk_max"))
     carry_w = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.select(*chunk_keys, F.max("__chunk_max").over(carry_w).alias("__carry"))
     b, c = ranged.alias("b"), carry.alias("c")
@@ -130,11 +133,11 @@ def interval_overlaps(df: DataFrame, keys: Sequence[str], start_col: str, end_co
     j = b.join(c, cond, "inner").select("b.*", "c.__carry")
     in_w = (Window.partitionBy(*chunk_keys).orderBy("__start", *tie_cols)
             .rowsBetween(Window.unboundedPreceding, -1))
-    prev = F.greatest(F.col("__carry"), F.max("__end").over(in_w))
-    out = j.withColumn("prev_max_end", prev)
+    out = j.withColumn("__prev", F.greatest(F.col("__carry"), last.over(in_w))).withColumn("prev_max_end", F.col("__prev.__end"))
+    overlaps = F.coalesce(F.col("__start") < F.col("prev_max_end"), F.lit(False))
+    partner = F.when(overlaps, F.struct(*[F.col(f"__prev.`{t}`").alias(t) for t in tie_cols])) if tie_cols else F.lit(None).cast("struct<>")
     return out.select(*keys, *tie_cols, F.col("__start").alias(start_col),
-                      F.col("__end").alias(end_col), "prev_max_end",
-                      F.coalesce(F.col("__start") < F.col("prev_max_end"), F.lit(False)).alias("overlaps"))
+                      F.col("__end").alias(end_col), "prev_max_end", overlaps.alias("overlaps"), partner.alias("partner"))
 
 
 def check_overlapping_intervals(df: DataFrame, keys: Sequence[str], start_col: str, end_col: str,

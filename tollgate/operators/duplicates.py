@@ -25,7 +25,7 @@ N = "__n"
 def _key_columns(keys: Sequence[str], hashed: Sequence[str]) -> list[Column]:
     # Long text keys are grouped by their SHA-256 digest: the shuffle moves
     # 32 bytes per key instead of the whole text (collisions ~2^-128).
-    return [F.sha2(F.col(k).cast("string"), 256).alias(k) if k in hashed else F.col(k)
+    return [F.sha2(F.col(f"`{k}`").cast("string"), 256).alias(k) if k in hashed else F.col(f"`{k}`")
             for k in keys]
 
 
@@ -72,11 +72,63 @@ def detect_duplicates(df: DataFrame, subset: Sequence[str], rule_id: str,
         group_cols=group_cols)
 
 
+def grouping_counts(df: DataFrame, sets: Sequence[Sequence[str]],
+                    group_cols: Sequence[str] = ()) -> tuple[DataFrame, list[int]]:
+    """Row counts of several key sets at once: one scan, one exchange (GROUPING SETS).
+
+    Returns the counts (group columns, every key column, ``__set``, ``__n``)
+    and the ``__set`` value of each set; a key column is null in the rows of
+    sets without it. Equal sets share their rows. Partial counts are taken per
+    set before the exchange, so a hot key is one row per task.
+    """
+    columns = list(dict.fromkeys([*group_cols, *(c for s in sets for c in s)]))
+    place = {c: 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)}
+    ids = [sum(place[c] for c in columns if c not in {*group_cols, *s}) for s in sets]
+    distinct = [[F.col(f"`{c}`") for c in columns if not place[c] & i] for i in dict.fromkeys(ids)]
+    counts = df.groupingSets(distinct, *[F.col(f"`{c}`") for c in columns]).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias(N))
+    return counts, ids
+
+
+def check_uniqueness(df: DataFrame, constraints: Sequence[Sequence[str]], rule_id_prefix: str,
+                     severity: str = CRITICAL, group_cols: Sequence[str] = (),
+                     hashed: Sequence[str] = (), groups: DataFrame | None = None) -> DataFrame:
+    """All key sets of a table as one flat frame; rule ids ``{prefix}-unique-{i}`` from 1.
+
+    The table is read once and its keys of all sets cross one exchange.
+    ``groups`` (a row per group) makes groups without rows report, too.
+    """
+    keys = list(dict.fromkeys(k for c in constraints for k in c))
+    name = {k: f"__k{i}" for i, k in enumerate(keys)}
+    base = df.select(*[F.col(f"`{g}`") for g in group_cols],
+                     *[c.alias(name[k]) for k, c in zip(keys, _key_columns([*keys], hashed))])
+    counts, ids = grouping_counts(base, [[name[k] for k in c] for c in constraints], group_cols)
+    aggs = []
+    for i, s in enumerate(ids):
+        dup = (F.col("__set") == s) & (F.col(N) > 1)
+        aggs += [F.coalesce(F.sum(F.when(dup, F.col(N))), F.lit(0)).cast("long").alias(f"c{i}"), F.count_if(dup).alias(f"g{i}")]
+    rows = [F.struct(F.lit(f"{rule_id_prefix}-unique-{i + 1}").alias("rule_id"), F.array(*[F.lit(k) for k in c]).alias("subset"),
+                     F.col(f"c{i}").alias("duplicate_count"), F.col(f"g{i}").alias("duplicate_groups"))
+            for i, c in enumerate(constraints)]
+    m = counts.groupBy(*group_cols).agg(*aggs)
+    if groups is not None:
+        m = groups.select(*group_cols).join(m, list(group_cols), "left").na.fill(0)
+    m = m.select(*group_cols, F.inline(F.array(*rows)))
+    return finish(m, rule_id=F.col("rule_id"), passed=F.col("duplicate_count") == 0, severity_fail=severity,
+                  description_pass="No duplicate rows detected for subset.",
+                  description_fail="Duplicate rows detected.",
+                  keep=["subset", "duplicate_count", "duplicate_groups"], group_cols=group_cols)
+
+
 def validate_uniqueness_constraints(df: DataFrame, constraints: Sequence[Sequence[str]],
                                     rule_id_prefix: str, severity: str = CRITICAL,
                                     group_cols: Sequence[str] = (),
                                     hashed: Sequence[str] = ()) -> list[DataFrame]:
-    """One duplicate check per key set, rule ids ``{prefix}-unique-{i}`` from 1."""
+    """One duplicate check per key set, rule ids ``{prefix}-unique-{i}`` from 1.
+
+    A frame per set, for callers that want them apart; ``check_uniqueness``
+    evaluates all sets in one pass.
+    """
     return [detect_duplicates(df, keys, f"{rule_id_prefix}-unique-{i}", severity,
                               group_cols, hashed)
             for i, keys in enumerate(constraints, start=1)]

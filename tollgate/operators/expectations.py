@@ -1,10 +1,11 @@
 """Declarative expectation suites evaluated as fused Spark aggregations.
 
-A suite is a list of ``Expectation`` specs. All value-level expectations of
-one table (not-null, between, in-set) are evaluated in **one** aggregation
-pass (one scan, one partial/final aggregate); each uniqueness expectation is
-one ``groupBy`` on its key columns (column-pruned scan). Results are typed
-rows (expectation-result metrics) that union across suites and runs (checkpoint).
+A suite is a list of ``Expectation`` specs. All expectations of one table, of
+any number of suites, are evaluated in **one** pass: value expectations
+(not-null, between, in-set) become flags of a row, and the flags and each key
+set of the uniqueness expectations are grouping sets of one aggregation (one
+scan, one exchange). Results are typed rows (expectation-result metrics) that
+union across suites and runs (checkpoint).
 
 Evaluation parameters (``Param``) are resolved as scalar subqueries over any
 table, so a bound computed from data is part of the same plan: no collect,
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..outcome import CRITICAL
-from .duplicates import N, key_counts
+from .duplicates import N, grouping_counts, key_counts
 
 PARTIAL_LIST_SIZE = 20
 
@@ -107,6 +108,7 @@ def parameters(df: DataFrame, exprs: Mapping[str, Column]) -> dict[str, Column]:
 _SCALAR = {"expect_column_values_to_not_be_null", "expect_column_values_to_be_between",
            "expect_column_values_to_be_in_set"}
 _UNIQUE = {"expect_column_values_to_be_unique", "expect_compound_columns_to_be_unique"}
+_ORDERED = "expect_table_columns_to_match_ordered_list"
 
 
 def _bound(v: Any, params: Mapping[str, Column]) -> Column | None:
@@ -134,21 +136,9 @@ def run_suite(df: DataFrame, suite: str, expectations: Sequence[Expectation],
     bounds_resolved.
     """
     params = dict(params or {})
-    parts: list[DataFrame] = []
-    scalar = [(i, e) for i, e in enumerate(expectations) if e.expectation_type in _SCALAR]
-    if scalar:
-        parts.append(_scalar_results(df, suite, scalar, params, group_cols))
-    for i, e in enumerate(expectations):
-        if e.expectation_type in _UNIQUE:
-            parts.append(_unique_result(df, suite, i, e, group_cols))
-        elif e.expectation_type == "expect_table_columns_to_match_ordered_list":
-            parts.append(_ordered_result(df, suite, i, e, group_cols))
-        elif e.expectation_type not in _SCALAR:
-            raise ValueError(f"unsupported expectation {e.expectation_type}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = _table_results(df, [(None, suite, i, e) for i, e in enumerate(expectations)], params, group_cols).drop("batch_identifier")
     if partial_lists:
+        scalar = [(i, e) for i, e in enumerate(expectations) if e.expectation_type in _SCALAR]
         lists = [partial_unexpected(df, scalar, params, group_cols)] if scalar else []
         lists += [partial_repeats(df, i, e, group_cols) for i, e in enumerate(expectations)
                   if e.expectation_type in _UNIQUE]
@@ -181,39 +171,89 @@ def _unexpected_condition(e: Expectation, params: Mapping[str, Column]) -> tuple
     return c.isNotNull() & bad, resolved
 
 
-def _scalar_results(df: DataFrame, suite: str, scalar, params, group_cols) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("element_count")]
-    resolved_cols = []
-    for i, e in scalar:
-        cond, resolved = _unexpected_condition(e, params)
-        aggs.append(F.count_if(F.col(f"`{e.column}`").isNull()).alias(f"m{i}"))
-        aggs.append(F.count_if(cond).alias(f"u{i}"))
-        # Evaluated inside the aggregate so a parameter subquery is referenced
-        # (and executed) once, below the aggregation.
-        aggs.append(F.bool_and(resolved).alias(f"r{i}"))
-        resolved_cols.append((i, F.coalesce(F.col(f"r{i}"), F.lit(True))))
-    m = df.groupBy(*group_cols).agg(*aggs)
+#: Flags of one packed long.
+_FLAGS = 60
+
+
+def _table_results(df: DataFrame, items: Sequence[tuple], params: Mapping[str, Column], group_cols: Sequence[str]) -> DataFrame:
+    """Results of all (batch, suite, index, expectation) of one table: one scan, one exchange.
+
+    A row's verdicts on the value expectations (missing, unexpected, bound not
+    resolved) are packed into flags; the flags are one grouping set, each
+    distinct key set of the uniqueness expectations another. All metrics are
+    sums over the counts of these sets, so expectations of any number of suites
+    share the pass. Distinct flag patterns are few and collapse before the
+    exchange, as do hot keys.
+    """
+    flags: list[Column] = []
+    at: dict[int, tuple[int, int, int | None]] = {}  # item -> places of its flags
+    keys: list[str] = []
+    for n, (_, _, _, e) in enumerate(items):
+        if e.expectation_type in _SCALAR:
+            cond, resolved = _unexpected_condition(e, params)
+            bounded = isinstance(e.min_value, Param) or isinstance(e.max_value, Param)
+            at[n] = (len(flags), len(flags) + 1, len(flags) + 2 if bounded else None)
+            flags += [F.col(f"`{e.column}`").isNull(), cond] + ([~resolved] if bounded else [])
+        elif e.expectation_type in _UNIQUE:
+            keys += [k for k in _keys_of(e) if k not in keys]
+        elif e.expectation_type != _ORDERED:
+            raise ValueError(f"unsupported expectation {e.expectation_type}")
+    key_name = {k: f"__k{i}" for i, k in enumerate(keys)}
+    packed = [sum((F.when(f, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, f in enumerate(flags[i:i + _FLAGS])), F.lit(0).cast("long"))
+              .alias(f"__f{i // _FLAGS}") for i in range(0, max(1, len(flags)), _FLAGS)]
+    base = df.select(*[F.col(f"`{g}`") for g in group_cols], *packed, *[F.col(f"`{k}`").alias(key_name[k]) for k in keys])
+    unique = [n for n, (_, _, _, e) in enumerate(items) if e.expectation_type in _UNIQUE]
+    sets = [[f"__f{i}" for i in range(len(packed))], *([key_name[k] for k in _keys_of(items[n][3])] for n in unique)]
+    counts, ids = grouping_counts(base, sets, group_cols)
+    rows_of_table = F.col("__set") == ids[0]
+
+    def total(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col(N))), F.lit(0)).cast("long")
+
+    def flagged(place: int) -> Column:
+        return rows_of_table & (F.col(f"__f{place // _FLAGS}").bitwiseAND(F.lit(1 << (place % _FLAGS)).cast("long")) != 0)
+
+    aggs = [total(rows_of_table).alias("element_count")]
+    for n, (missing, unexpected, unresolved) in at.items():
+        aggs += [total(flagged(missing)).alias(f"m{n}"), total(flagged(unexpected)).alias(f"u{n}")]
+        if unresolved is not None:
+            aggs.append((total(flagged(unresolved)) == 0).alias(f"r{n}"))
+    for n, set_id in zip(unique, ids[1:]):
+        e = items[n][3]
+        # Column uniqueness ignores null values; compound uniqueness ignores
+        # rows whose keys are all null.
+        nulls = [F.col(key_name[k]).isNull() for k in _keys_of(e)]
+        missing = nulls[0]
+        for x in nulls[1:]:
+            missing = (missing & x) if e.column is None else (missing | x)
+        mine = F.col("__set") == set_id
+        aggs += [total(mine & missing).alias(f"m{n}"), total(mine & ~missing & (F.col(N) > 1)).alias(f"u{n}")]
+
     rows = []
-    for (i, e), (_, resolved) in zip(scalar, resolved_cols):
+    for n, (batch, suite, index, e) in enumerate(items):
+        ordered = e.expectation_type == _ORDERED
+        number = lambda c: F.lit(None).cast("long") if ordered else F.col(c)  # noqa: E731,B023
         rows.append(F.struct(
-            F.lit(i).alias("expectation_index"),
-            F.lit(e.expectation_type).alias("expectation_type"),
-            F.lit(e.column_name).alias("column_name"),
-            F.col(f"m{i}").alias("missing_count"),
-            F.col(f"u{i}").alias("unexpected_count"),
-            resolved.alias("bounds_resolved"),
+            F.lit(batch).cast("string").alias("batch_identifier"), F.lit(suite).alias("suite"), F.lit(index).alias("expectation_index"),
+            F.lit(e.expectation_type).alias("expectation_type"), F.lit(e.column_name).alias("column_name"),
+            number(f"m{n}").alias("missing_count"), number(f"u{n}").alias("unexpected_count"),
+            (F.col(f"r{n}") if n in at and at[n][2] is not None else F.lit(True)).alias("bounds_resolved"),
             F.lit(e.mostly).cast("double").alias("mostly"),
             F.lit(e.expectation_type == "expect_column_values_to_not_be_null").alias("is_null_check"),
-        ))
-    m = m.select(*group_cols, "element_count", F.inline(F.array(*rows)))
-    return _finish_metrics(m, suite, group_cols)
+            F.lit(list(df.columns) == list(e.column_list) if ordered else None).cast("boolean").alias("fixed")))
+    m = counts.groupBy(*group_cols).agg(*aggs).select(*group_cols, "element_count", F.inline(F.array(*rows)))
+    return _finish_metrics(m, group_cols)
+
+
+def _keys_of(e: Expectation) -> list[str]:
+    return [e.column] if e.column is not None else list(e.column_list)
 
 
 def _pct_sql(num: str, den: str) -> str:
     return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) * 100 / CAST({den} AS DOUBLE) END"
 
 
-def _finish_metrics(m: DataFrame, suite: str, group_cols) -> DataFrame:
+def _finish_metrics(m: DataFrame, group_cols) -> DataFrame:
     """Expectation-result metrics from (element, missing, unexpected) counts.
 
     Written as one ``selectExpr`` (each derived metric is one SQL string) so
@@ -223,13 +263,12 @@ def _finish_metrics(m: DataFrame, suite: str, group_cols) -> DataFrame:
     den = f"CASE WHEN is_null_check THEN element_count ELSE {nonmissing} END"
     ratio = (f"CASE WHEN {den} > 0 THEN CAST({den} - unexpected_count AS DOUBLE) "
              f"/ CAST({den} AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END")
-    suite_lit = suite.replace("\\", "\\\\").replace("'", "\\'")
     return m.selectExpr(
         *[f"`{g}`" for g in group_cols],
-        f"'{suite_lit}' AS suite",
+        "suite",
         "expectation_index", "expectation_type", "column_name",
-        f"bounds_resolved AND CASE WHEN mostly IS NULL THEN unexpected_count = 0 "
-        f"ELSE {ratio} >= mostly END AS success",
+        f"coalesce(fixed, bounds_resolved AND CASE WHEN mostly IS NULL THEN unexpected_count = 0 "
+        f"ELSE {ratio} >= mostly END) AS success",
         "element_count",
         "CASE WHEN is_null_check THEN CAST(NULL AS BIGINT) ELSE missing_count END AS missing_count",
         f"CASE WHEN is_null_check THEN CAST(NULL AS DOUBLE) "
@@ -241,73 +280,67 @@ def _finish_metrics(m: DataFrame, suite: str, group_cols) -> DataFrame:
         f"CASE WHEN is_null_check THEN CAST(NULL AS DOUBLE) "
         f"ELSE {_pct_sql('unexpected_count', nonmissing)} END AS unexpected_percent_nonmissing",
         "bounds_resolved",
+        "batch_identifier",
     )
 
 
-def _unique_result(df: DataFrame, suite: str, i: int, e: Expectation, group_cols) -> DataFrame:
-    keys = [e.column] if e.column is not None else list(e.column_list)
-    compound = e.expectation_type == "expect_compound_columns_to_be_unique"
-    # Column uniqueness ignores null values; compound uniqueness ignores
-    # rows whose keys are all null.
-    # Null keys stay in the key counts (nulls group together), so one
-    # second-level aggregate yields element, missing and unexpected counts.
-    counts = key_counts(df, keys, group_cols)
-    nulls = [F.col(f"`{k}`").isNull() for k in keys]
-    missing = nulls[0]
-    for x in nulls[1:]:
-        missing = (missing & x) if compound else (missing | x)
-    n = F.col(N)
-    m = counts.groupBy(*group_cols).agg(
-        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("element_count"),
-        F.coalesce(F.sum(F.when(missing, n)), F.lit(0)).cast("long").alias("missing_count"),
-        F.coalesce(F.sum(F.when(~missing & (n > 1), n)), F.lit(0)).cast("long")
-        .alias("unexpected_count"))
-    m = m.select(*group_cols, "element_count",
-                 F.lit(i).alias("expectation_index"),
-                 F.lit(e.expectation_type).alias("expectation_type"),
-                 F.lit(e.column_name).alias("column_name"),
-                 "missing_count", "unexpected_count",
-                 F.lit(True).alias("bounds_resolved"),
-                 F.lit(e.mostly).cast("double").alias("mostly"),
-                 F.lit(False).alias("is_null_check"))
-    return _finish_metrics(m, suite, group_cols)
-
-
-def _ordered_result(df: DataFrame, suite: str, i: int, e: Expectation, group_cols) -> DataFrame:
-    ok = list(df.columns) == list(e.column_list)
-    m = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("element_count")).select(
-        *group_cols, "element_count",
-        F.lit(i).alias("expectation_index"), F.lit(e.expectation_type).alias("expectation_type"),
-        F.lit(e.column_name).alias("column_name"),
-        F.lit(0).cast("long").alias("missing_count"),
-        F.lit(0 if ok else 1).cast("long").alias("unexpected_count"),
-        F.lit(True).alias("bounds_resolved"), F.lit(None).cast("double").alias("mostly"),
-        F.lit(False).alias("is_null_check"))
-    out = _finish_metrics(m, suite, group_cols)
-    return out.withColumn("unexpected_count", F.lit(None).cast("long")).withColumn(
-        "unexpected_percent", F.lit(None).cast("double")).withColumn(
-        "unexpected_percent_total", F.lit(None).cast("double")).withColumn(
-        "missing_count", F.lit(None).cast("long")).withColumn(
-        "missing_percent", F.lit(None).cast("double")).withColumn("success", F.lit(ok))
-
-
 def partial_unexpected(df: DataFrame, scalar, params, group_cols,
                        size: int = PARTIAL_LIST_SIZE) -> DataFrame:
     """Top ``size`` unexpected values per expectation with their counts.
 
-    One pass: every row emits (expectation, value) for each expectation it
-    violates; ``groupBy`` counts them with map-side combine and a rank filter
-    (pushed below the shuffle as WindowGroupLimit) keeps ``size`` per list, so
-    no list is ever collected whole.
+    Every row emits (expectation, value) for each expectation it violates;
+    ``heavy_values`` finds the most frequent ones without shuffling every
+    distinct value.
     """
     items = []
     for i, e in scalar:
         cond, _ = _unexpected_condition(e, params)
         val = F.col(f"`{e.column}`").cast("string")
         items.append(F.when(cond, F.struct(F.lit(i).alias("expectation_index"), val.alias("value"))))
-    ex = df.select(*group_cols, F.explode(F.array_compact(F.array(*items))).alias("x"))
-    return _top_values(ex.groupBy(*group_cols, "x.expectation_index", "x.value").agg(F.count(F.lit(1)).alias("count")),
-                       group_cols, size)
+    ex = df.select(*group_cols, F.explode(F.array_compact(F.array(*items))).alias("x")).select(*group_cols, "x.expectation_index", "x.value")
+    return _top_values(heavy_values(ex, [*group_cols, "expectation_index"], "value", size), group_cols, size)
+
+
+#: Counters of a heavy-hitter summary, per list: 2**16 rows at most cross its exchange.
+SUMMARY_BITS = 16
+
+
+def heavy_values(rows: DataFrame, keys: Sequence[str], value: str, size: int) -> DataFrame:
+    """(keys, value, count) of a superset of each key's ``size`` most frequent values, counted exactly.
+
+    A mergeable summary counts values by a hash into 2**16 counters per key: a
+    counter is an upper bound of each value's count behind it. The values
+    behind the ``size`` highest counters are counted exactly; the ``size``-th of
+    them is a lower bound of what the list needs. Then only values behind
+    counters that reach the bound are counted and shuffled, however many
+    distinct ones there are. Values of a top list and ties with its last place
+    always reach the bound, so the list taken from the result is exact.
+    """
+    keys = list(keys)
+    hashed = rows.withColumn("__h", F.xxhash64(F.col(value)).bitwiseAND(F.lit((1 << SUMMARY_BITS) - 1)).cast("int"))
+    summary = hashed.groupBy(*keys, "__h").agg(F.count(F.lit(1)).alias("__upper"))
+    part = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    highest = summary.withColumn("__r", F.row_number().over(part.orderBy(F.desc("__upper"), "__h"))).where(F.col("__r") <= size)
+
+    def matched(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+        """Equi-join in which null keys are equal, as they are to groupBy."""
+        named = right.withColumnsRenamed({c: f"__on_{i}" for i, c in enumerate(on)})
+        out = left.join(named, [F.col(f"`{c}`").eqNullSafe(F.col(f"__on_{i}")) for i, c in enumerate(on)], how)
+        return out.drop(*[f"__on_{i}" for i in range(len(on))])
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        # at most 2**SUMMARY_BITS rows a key; AQE broadcasts them by their measured size
+        some = matched(hashed, chosen.select(*keys, "__h"), [*keys, "__h"], "left_semi")
+        return some.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("count"))
+
+    some = counted(highest).withColumn("__r", F.row_number().over(part.orderBy(F.desc("count")))).where(F.col("__r") <= size)
+    # fewer than ``size`` values behind the highest counters prove nothing
+    least = some.groupBy(*keys).agg(F.when(F.count(F.lit(1)) >= size, F.min("count")).otherwise(F.lit(0)).alias("__least"))
+    if keys:
+        wanted = matched(summary, least, keys, "inner").where(F.col("__upper") >= F.col("__least"))
+    else:
+        wanted = summary.where(F.col("__upper") >= F.coalesce(least.select("__least").scalar(), F.lit(0)))
+    return counted(wanted)
 
 
 def partial_repeats(df: DataFrame, i: int, e: Expectation, group_cols, size: int = PARTIAL_LIST_SIZE) -> DataFrame:
@@ -319,9 +352,9 @@ def partial_repeats(df: DataFrame, i: int, e: Expectation, group_cols, size: int
         value, missing = cols[0].cast("string"), cols[0].isNull()
     else:
         value, missing = F.to_json(F.struct(*cols)), F.greatest(*[c.isNotNull().cast("int") for c in cols]) == 0
-    vc = (key_counts(df, keys, group_cols).where((F.col(N) > 1) & ~missing)
-          .select(*group_cols, F.lit(i).alias("expectation_index"), value.alias("value"), F.col(N).alias("count")))
-    return _top_values(vc, group_cols, size)
+    rows = df.where(~missing).select(*group_cols, value.alias("value"))
+    vc = heavy_values(rows, group_cols, "value", size).where(F.col("count") > 1)
+    return _top_values(vc.select(*group_cols, F.lit(i).alias("expectation_index"), "value", "count"), group_cols, size)
 
 
 def _top_values(vc: DataFrame, group_cols, size: int) -> DataFrame:
@@ -349,12 +382,20 @@ def suite_statistics(results: DataFrame, group_cols: Sequence[str] = ()) -> Data
 def run_checkpoint(validations: Sequence[tuple[str, DataFrame, str, Sequence[Expectation]]],
                    params: Mapping[str, Column] | None = None, run_name: str | None = None,
                    group_cols: Sequence[str] = ()) -> DataFrame:
-    """Several (batch id, table, suite, expectations) in one plan; a table may repeat."""
-    out = None
+    """Several (batch id, table, suite, expectations) in one plan.
+
+    Validations of the same table (the same frame) are evaluated together,
+    whatever their suites: a table is scanned once. An expectation given as
+    None keeps its place and is left out.
+    """
+    tables: dict[int, tuple[DataFrame, list[tuple]]] = {}
     for batch_id, df, suite, exps in validations:
-        r = run_suite(df, suite, exps, params, group_cols).withColumn(
-            "batch_identifier", F.lit(batch_id))
-        out = r if out is None else out.unionByName(r)
+        tables.setdefault(id(df), (df, []))[1].extend((batch_id, suite, i, e) for i, e in enumerate(exps) if e is not None)
+    out = None
+    for df, items in tables.values():
+        if items:
+            r = _table_results(df, items, dict(params or {}), group_cols)
+            out = r if out is None else out.unionByName(r)
     if run_name is not None:
         out = out.withColumn("run_name", F.lit(run_name))
     return out

@@ -20,8 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..outcome import CRITICAL, INFO, finish
-from ..session import cut_lineage
+from ..outcome import CRITICAL, INFO
 
 SAMPLE_SIZE = 20
 
@@ -36,9 +35,10 @@ def _key_type_pair(child: DataFrame, child_col: str, parent: DataFrame, parent_c
 
 
 def _distinct_keys(child: DataFrame, parent: DataFrame, child_column: str,
-                   parent_column: str, group_cols: Sequence[str], key_alias: str):
+                   parent_column: str, group_cols: Sequence[str], key_alias: str,
+                   carry: Sequence[str] = ()):
     ck, pk = _key_type_pair(child, child_column, parent, parent_column)
-    c = child.select(*group_cols, ck.alias(key_alias)).distinct()
+    c = child.select(*group_cols, *carry, ck.alias(key_alias)).distinct()
     p = (parent.select(*group_cols, pk.alias(key_alias)).where(F.col(key_alias).isNotNull())
          .distinct())
     return c, p
@@ -46,10 +46,14 @@ def _distinct_keys(child: DataFrame, parent: DataFrame, child_column: str,
 
 def orphan_keys(child: DataFrame, parent: DataFrame, child_column: str,
                 parent_column: str | None = None, group_cols: Sequence[str] = (),
-                key_alias: str = "key") -> DataFrame:
-    """Distinct non-null child keys without a parent (per group)."""
+                key_alias: str = "key", carry: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null child keys without a parent (per group).
+
+    ``carry``: child columns that stay with the keys, e.g. the rule that asks,
+    so that several rules share one anti join.
+    """
     c, p = _distinct_keys(child, parent, child_column, parent_column or child_column,
-                          group_cols, key_alias)
+                          group_cols, key_alias, carry)
     return c.where(F.col(key_alias).isNotNull()).join(p, [*group_cols, key_alias], "left_anti")
 
 
@@ -82,10 +86,10 @@ def foreign_key_reference(child: DataFrame, parent: DataFrame, child_column: str
     get a passing row. ``orphans``: the written ``orphan_keys`` of the rule,
     where the caller has them.
     """
-    # Count and sample both read the orphan keys; they are written once so
-    # the anti join (a scan of both tables) runs a single time.
+    # Count and sample read one exchange of the orphan keys, so the anti join
+    # runs once; a consumer that reads neither runs no join at all.
     if orphans is None:
-        orphans = cut_lineage(orphan_keys(child, parent, child_column, parent_column, group_cols))
+        orphans = orphan_keys(child, parent, child_column, parent_column, group_cols).repartition(*group_cols, "key")
     if group_cols:
         counts = orphans.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("missing_count"))
         sample = first_n(orphans, ["key"], sample_size, F.col("key").cast("string"),
@@ -105,11 +109,17 @@ def foreign_key_reference(child: DataFrame, parent: DataFrame, child_column: str
         # The sample is a scalar subquery of the count row: no join at all.
         m = orphans.agg(F.count(F.lit(1)).alias("missing_count")).select(
             "missing_count", sample.scalar().alias("sample_values"))
-    return finish(m, rule_id=rule_id, passed=F.col("missing_count") == 0,
-                  severity_fail=severity, severity_pass=INFO,
-                  description_pass=description,
-                  description_fail=description + " Mismatched candidates found.",
-                  keep=["missing_count", "sample_values"], group_cols=group_cols)
+    return orphan_outcomes(m, F.lit(rule_id), F.lit(description), severity, group_cols)
+
+
+def orphan_outcomes(m: DataFrame, rule_id: Column, description: Column, severity: str = CRITICAL,
+                    group_cols: Sequence[str] = ()) -> DataFrame:
+    """Flat outcomes of (groups..., missing_count, sample_values) rows."""
+    ok = F.col("missing_count") == 0
+    return m.select(*group_cols, rule_id.alias("rule_id"),
+                    F.when(ok, description).otherwise(F.concat(description, F.lit(" Mismatched candidates found."))).alias("description"),
+                    ok.alias("passed"), F.when(ok, F.lit(INFO)).otherwise(F.lit(severity)).alias("severity"),
+                    "missing_count", "sample_values")
 
 
 def orphan_details(orphans: DataFrame, rule_id: str, group_cols: Sequence[str] = ()) -> DataFrame:

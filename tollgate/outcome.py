@@ -38,8 +38,16 @@ OUTCOME_SCHEMA = T.StructType([
 ])
 
 
+def json_list(c: Column) -> Column:
+    """A list of texts in the one JSON form of ``details``: ``["a", "b"]``."""
+    quoted = F.transform(c, lambda v: F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", ""))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 def _as_detail_string(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+        return json_list(c)
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(c)
     if isinstance(field.dataType, T.BooleanType):
@@ -119,7 +127,8 @@ def literal_outcome(spark: SparkSession, rule_id: str, description: str, passed:
 
     def enc(v: Any) -> str:
         if isinstance(v, (list, tuple, dict)):
-            return json.dumps(list(v) if isinstance(v, tuple) else v)
+            spaced = isinstance(v, (list, tuple)) and all(isinstance(x, str) for x in v)
+            return json.dumps(v, ensure_ascii=False, separators=None if spaced else (",", ":"))
         if isinstance(v, bool):
             return "true" if v else "false"
         return str(v)

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from ..functions.rules import remediation_link, root_cause, rule_family, slugify_rule_id
 from ..operators import business, contract, custom, duplicates, expectations as ex, fusion, integrity, schema
 from ..outcome import INFO, to_outcomes, union_outcomes
-from ..session import checkpoint_dir
-from ..sources import csv_feeds, files
+from ..session import checkpoint_dir, remove_at_end
+from ..sources import csv_feeds, files, sinks
 from . import reporting
+from .gate import GateConfig, ReleaseGate, RuleSet
+from .rules import DateWindow, ForeignKey, Freshness, NumberRange, StatusMapping, ValueSet
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -67,10 +69,8 @@ SELECT 'documents-uniqueness-unique-1' AS rule_id,
 
 
 def q_uniqueness_multi(spark, d):
-    rs = duplicates.validate_uniqueness_constraints(
-        table(spark, d, "orders"), [("o_orderkey",), ("o_custkey", "o_orderdate")],
-        "orders-uniqueness")
-    return rs[0].unionByName(rs[1]).select(*CORE, "duplicate_count", "duplicate_groups")
+    return duplicates.check_uniqueness(table(spark, d, "orders"), [("o_orderkey",), ("o_custkey", "o_orderdate")],
+                                       "orders-uniqueness").select(*CORE, "duplicate_count", "duplicate_groups")
 
 
 def _dup_sql(rule_id: str, keys: str, tbl: str) -> str:
@@ -823,6 +823,22 @@ SELECT 'BR-09-orders' AS rule_id,
        overlap_count = 0 AS passed, 'critical' AS severity, overlap_count, keys_with_overlap FROM m
 """
 
+
+def q_overlap_partners(spark, d):
+    """Every overlapping order with the earlier order of its customer that it overlaps."""
+    ov = contract.interval_overlaps(_order_intervals(spark, d), ["o_custkey"], "o_orderdate", "last_ship", ["o_orderkey"])
+    return ov.where("overlaps").select("o_custkey", "o_orderkey", F.col("partner.o_orderkey").alias("partner_orderkey"))
+
+
+SQL_OVERLAP_PARTNERS = """
+WITH iv AS (SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, l.last_ship FROM orders o
+            LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) l
+            ON o.o_orderkey = l.l_orderkey WHERE o.o_orderdate IS NOT NULL),
+w AS (SELECT o_custkey, o_orderkey, o_orderdate, max({'e': last_ship, 'k': o_orderkey}) FILTER (WHERE last_ship IS NOT NULL) OVER (
+        PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM iv)
+SELECT o_custkey, o_orderkey, prev.k AS partner_orderkey FROM w WHERE o_orderdate < prev.e
+"""
+
 QUARANTINE_RULES_SQL = [
     ("discount_range", "l_discount < 0.01 OR l_discount > 0.05"),
     ("quantity_range", "l_quantity > 45"),
@@ -1051,50 +1067,47 @@ SQL_EVENTS_CHECKS_FUSED = "\nUNION ALL\n".join(
 # CSV bundles made from given tables
 # --------------------------------------------------------------------------
 
-def write_bundles(df: DataFrame, bundle: str, feed: str) -> str:
-    """Write a frame as ``<root>/<bundle>/<feed>.csv`` under the checkpoint folder; returns the root."""
-    spark = df.sparkSession
+#: Documents of one bundle at most, so that no file outgrows a task.
+BUNDLE_IDS = 20_000
+_BUNDLE_SQL = f"coalesce(lang, 'und') || '-' || CAST(coalesce(doc_id, 0) // {BUNDLE_IDS} AS VARCHAR)"
+
+
+def _bundles_root(spark: SparkSession) -> str:
+    """A fresh folder for bundles under the checkpoint folder, removed when the session's JVM ends."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/tollgate-bundles/{uuid.uuid4().hex}"
-    (df.repartition(bundle).write.partitionBy(bundle).option("header", True).option("quoteAll", True).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/_parts"))
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    parts = path(f"{root}/_parts")
-    fs = parts.getFileSystem(spark._jsc.hadoopConfiguration())
-    for st in fs.globStatus(path(f"{root}/_parts/{bundle}=*/part-*.csv")):
-        name = st.getPath().getParent().getName().split("=", 1)[1]
-        fs.mkdirs(path(f"{root}/{name}"))
-        fs.rename(st.getPath(), path(f"{root}/{name}/{feed}.csv"))
-    fs.delete(parts, True)
+    remove_at_end(spark, root)
     return root
 
 
-def _document_bundles(spark, d) -> str:
-    return write_bundles(table(spark, d, "documents").select("lang", "doc_id", "source", "n_chars", "text"), "lang", "documents")
+def _document_bundles(spark, d, *columns: str) -> str:
+    """Documents as CSV bundles by language and id range: many bounded files, however large a language is."""
+    bundle = F.concat_ws("-", F.coalesce("lang", F.lit("und")), F.floor(F.coalesce("doc_id", F.lit(0)) / BUNDLE_IDS).cast("string"))
+    rows = table(spark, d, "documents").select(bundle.alias("bundle"), *columns)
+    return sinks.write_csv_bundles(rows, _bundles_root(spark), "bundle", "documents")
 
 
 def q_csv_roundtrip_documents(spark, d):
     """Texts with quotes, commas and line breaks through the CSV source, typed as declared."""
-    raw = csv_feeds.read_feed(spark, [f"{_document_bundles(spark, d)}/*/documents.csv"])
+    raw = csv_feeds.read_feed(spark, [f"{_document_bundles(spark, d, 'doc_id', 'source', 'n_chars', 'text')}/*/documents.csv"])
     definition = schema.SchemaDefinition(name="documents", file_name="documents.csv", required_columns=("doc_id", "source", "n_chars", "text"),
                                          dtype_map={"doc_id": "Int64", "source": "string", "n_chars": "Int64", "text": "string"})
     return csv_feeds.typed_view(raw, definition).select("bundle", "doc_id", "source", "n_chars", F.md5(F.col("text")).alias("text_md5"),
                                                         F.col(csv_feeds.SURPLUS_COL).isNotNull().alias("malformed"))
 
 
-SQL_CSV_ROUNDTRIP_DOCUMENTS = """
-SELECT lang AS bundle, doc_id, source, n_chars, md5(text) AS text_md5, false AS malformed FROM documents
+SQL_CSV_ROUNDTRIP_DOCUMENTS = f"""
+SELECT {_BUNDLE_SQL} AS bundle, doc_id, source, n_chars, md5(text) AS text_md5, false AS malformed FROM documents
 """
 
 
 def q_feed_presence_documents(spark, d):
     """Presence of two feeds in every bundle folder, from the listing."""
-    root = _document_bundles(spark, d)
+    root = _document_bundles(spark, d, "doc_id")
     return files.presence_outcomes(spark, root, ["documents.csv", "labels.csv"]).select("bundle", *CORE, "file_name")
 
 
-SQL_FEED_PRESENCE_DOCUMENTS = """
-SELECT DISTINCT lang AS bundle, f || '-schema-file-present' AS rule_id,
+SQL_FEED_PRESENCE_DOCUMENTS = f"""
+SELECT DISTINCT {_BUNDLE_SQL} AS bundle, f || '-schema-file-present' AS rule_id,
        CASE WHEN f = 'documents' THEN 'Feed file is present.' ELSE 'Feed file is missing.' END AS description,
        f = 'documents' AS passed, 'critical' AS severity, f || '.csv' AS file_name
 FROM documents, (SELECT unnest(['documents', 'labels']) AS f)
@@ -1103,13 +1116,13 @@ FROM documents, (SELECT unnest(['documents', 'labels']) AS f)
 
 def q_file_metadata_documents(spark, d):
     """Row count and caller metadata of every bundle's file."""
-    raw = csv_feeds.read_feed(spark, [f"{_document_bundles(spark, d)}/*/documents.csv"])
+    raw = csv_feeds.read_feed(spark, [f"{_document_bundles(spark, d, 'doc_id', 'source')}/*/documents.csv"])
     m = files.file_metadata(raw, {"feed": "documents"})
     return m.select("bundle", "feed", "row_count", (F.col("file_size") > 0).alias("has_size"), F.col("modified_at").isNotNull().alias("has_time"))
 
 
-SQL_FILE_METADATA_DOCUMENTS = """
-SELECT lang AS bundle, 'documents' AS feed, count(*) AS row_count, true AS has_size, true AS has_time FROM documents GROUP BY lang
+SQL_FILE_METADATA_DOCUMENTS = f"""
+SELECT {_BUNDLE_SQL} AS bundle, 'documents' AS feed, count(*) AS row_count, true AS has_size, true AS has_time FROM documents GROUP BY 1
 """
 
 
@@ -1152,6 +1165,226 @@ SELECT o_orderpriority, lag <= 24 AS passed, CASE WHEN lag <= 24 THEN 'info' WHE
 """
 
 
+# --------------------------------------------------------------------------
+# the gate over feeds of one's own: documents and labels as bundles
+# --------------------------------------------------------------------------
+
+GATE_REFERENCE = "2026-02-10T00:00:00Z"
+GATE_FEEDS = (
+    schema.SchemaDefinition(
+        name="documents", file_name="documents.csv", required_columns=("doc_id", "source", "n_chars", "received"),
+        dtype_map={"doc_id": "Int64", "source": "string", "n_chars": "Int64"}, parse_dates=("received",),
+        uniqueness_constraints=(("doc_id",), ("source", "n_chars"))),
+    # the files have quality before toxic
+    schema.SchemaDefinition(
+        name="labels", file_name="labels.csv", required_columns=("doc_id", "toxic", "quality"),
+        dtype_map={"doc_id": "Int64", "toxic": "Int64", "quality": "Int64"}, uniqueness_constraints=(("doc_id",),)),
+)
+_GOOD_SOURCES = ("src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7", "src8", "src9")
+GATE_RULES = (
+    ForeignKey("labels", "documents", "doc_id", "BR-07-labels", "Every label has a document."),
+    ForeignKey("documents", "labels", "doc_id", "BR-07b-documents", "Every document has a label."),
+    StatusMapping("labels", "documents", "BR-05", {"key": "doc_id", "outcome_col": "quality", "passing": (1,), "failing": (0,), "status_col": "source",
+                                                   "ts_col": "received", "tie_cols": ("n_chars",), "certified": _GOOD_SOURCES}),
+    Freshness("documents", "received", hours=24, warning_hours=72),
+    NumberRange("documents", "n_chars", "BR-04-chars", 0, 5000),
+    NumberRange("labels", "toxic", "BR-04-toxic", 0, 0),
+    DateWindow("documents", "received", 1, "BR-06"),
+    ValueSet("documents", "source", _GOOD_SOURCES, "BR-10-source"),
+)
+_METRICS = ("mismatch_count", "missing_count", "duplicate_count", "failed_count", "out_of_range_count", "out_of_window", "unexpected_count", "malformed_rows")
+
+
+def _gate_bundles(spark, d):
+    """The gate's report over bundles of up to 5,000 ids each; every 97th receipt date is no date."""
+    key = F.concat_ws("-", F.floor(F.col("doc_id") / BUNDLE_IDS).cast("string"), (F.col("doc_id") % 4).cast("string"))
+    day = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 40).cast("int")), "yyyy-MM-dd")
+    docs = table(spark, d, "documents").select(key.alias("bundle"), "doc_id", "source", "n_chars",
+                                               F.when(F.col("doc_id") % 97 == 0, "no date").otherwise(day).alias("received"))
+    root = _bundles_root(spark)
+    sinks.write_csv_bundles(docs, root, "bundle", "documents")
+    sinks.write_csv_bundles(table(spark, d, "labels").select(key.alias("bundle"), "doc_id", "quality", "toxic"), root, "bundle", "labels")
+    rules = RuleSet(definitions=GATE_FEEDS, declared=GATE_RULES, ordered_columns=True)
+    return ReleaseGate(spark, GateConfig(data_root=root, reference_ts=GATE_REFERENCE, rules=rules)).run()
+
+
+def q_gate_bundles(spark, d):
+    """Every outcome of the gate, with the count that decided it."""
+    detail = lambda k: F.try_element_at("details", F.lit(k)).cast("long")
+    return _gate_bundles(spark, d).outcomes.select("bundle", *CORE, F.coalesce(*[detail(k) for k in _METRICS]).alias("metric"))
+
+
+def q_gate_bundle_orphans(spark, d):
+    """The complete orphan list of each foreign key of the gate."""
+    return _gate_bundles(spark, d).orphans
+
+
+def _report_root(spark, d) -> str:
+    return _gate_bundles(spark, d).write(_bundles_root(spark))
+
+
+def q_gate_bundle_decisions(spark, d):
+    """Decision and defect reports, read back from their JSON files."""
+    root = _report_root(spark, d)
+    decided = spark.read.json(f"{root}/release_decision")
+    defects = spark.read.json(f"{root}/defect_summary").select("bundle", "defect_count", F.size("defects").cast("long").alias("listed"))
+    return decided.join(defects, "bundle").select("bundle", "status", "decision_reason", F.size("failed_rules").cast("long").alias("failed_rules"),
+                                                  F.coalesce(F.array_join("blocking_root_causes", ","), F.lit("")).alias("causes"), "defect_count", "listed")
+
+
+def q_gate_bundle_payload(spark, d):
+    """Every rule's payload of the validation report, read back from its JSON files."""
+    rows = spark.read.json(f"{_report_root(spark, d)}/validation_summary").select("bundle", "rule_count", "failed_count", F.posexplode("rules").alias("place", "r"))
+    return rows.select("bundle", "rule_count", "failed_count", F.col("place").cast("long").alias("place"), "r.rule_id", "r.description", "r.passed", "r.severity",
+                       "r.root_cause", "r.remediation_link")
+
+
+def _gate_rows(rule: str, good: str, bad: str, severity_fail: str, severity_pass: str, metric: str, source: str) -> str:
+    """One rule's row of each bundle, from a count that is 0 where it passes."""
+    return (f"SELECT bundle, '{rule}' AS rule_id, CASE WHEN {metric} = 0 THEN '{good}' ELSE '{bad}' END AS description, {metric} = 0 AS passed, "
+            f"CASE WHEN {metric} = 0 THEN '{severity_pass}' ELSE '{severity_fail}' END AS severity, CAST({metric} AS BIGINT) AS metric FROM {source}")
+
+
+_SOURCES_SQL = ", ".join(f"'{x}'" for x in _GOOD_SOURCES)
+_UNIQUE_TEXT = ("No duplicate rows detected for subset.", "Duplicate rows detected.", "critical", "critical")
+
+
+def _repeats_sql(tbl: str, keys: str) -> str:
+    return (f"(SELECT bundle, coalesce(sum(n) FILTER (WHERE n > 1), 0) AS n FROM (SELECT bundle, {keys}, count(*) AS n FROM {tbl} GROUP BY ALL) GROUP BY bundle) x")
+
+
+def _orphans_sql(child: str, parent: str) -> str:
+    return f"(SELECT DISTINCT c.bundle, c.doc_id FROM {child} c WHERE c.doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.doc_id = c.doc_id AND p.bundle = c.bundle))"
+
+
+_GATE_CTE = f"""
+WITH d0 AS (SELECT CAST(doc_id // {BUNDLE_IDS} AS VARCHAR) || '-' || CAST(doc_id % 4 AS VARCHAR) AS bundle, doc_id, source, n_chars,
+    CASE WHEN doc_id % 97 <> 0 THEN DATE '2026-01-01' + CAST(doc_id % 40 AS INTEGER) END AS received FROM documents),
+l0 AS (SELECT CAST(doc_id // {BUNDLE_IDS} AS VARCHAR) || '-' || CAST(doc_id % 4 AS VARCHAR) AS bundle, doc_id, quality, toxic FROM labels),
+runs AS (SELECT bundle FROM d0 UNION SELECT bundle FROM l0),
+hd AS (SELECT DISTINCT bundle FROM d0), hl AS (SELECT DISTINCT bundle FROM l0),
+s AS (SELECT bundle, doc_id, source FROM d0 QUALIFY row_number() OVER (PARTITION BY bundle, doc_id ORDER BY received DESC NULLS FIRST, n_chars DESC NULLS FIRST) = 1),
+o1 AS {_orphans_sql("l0", "d0")}, o2 AS {_orphans_sql("d0", "l0")},
+m AS (SELECT l0.bundle, count(*) FILTER (WHERE quality = 1 AND coalesce(source, '') NOT IN ({_SOURCES_SQL})) AS p,
+             count(*) FILTER (WHERE quality = 0 AND coalesce(source, '') IN ({_SOURCES_SQL})) AS f
+      FROM l0 LEFT JOIN s ON s.bundle = l0.bundle AND s.doc_id = l0.doc_id GROUP BY l0.bundle),
+dm AS (SELECT bundle, count(*) FILTER (WHERE received IS NULL) AS no_date, count(*) FILTER (WHERE n_chars < 0 OR n_chars > 5000) AS chars,
+              count(*) FILTER (WHERE received < DATE '2026-01-11' OR received > DATE '2026-02-10') AS late,
+              count(*) FILTER (WHERE source NOT IN ({_SOURCES_SQL})) AS src, date_diff('hour', max(received)::TIMESTAMP, TIMESTAMP '2026-02-10') AS lag FROM d0 GROUP BY bundle),
+lm AS (SELECT bundle, count(*) FILTER (WHERE toxic <> 0) AS toxic FROM l0 GROUP BY bundle),
+o AS (
+SELECT bundle, f || '-schema-file-present' AS rule_id, CASE WHEN has THEN 'Feed file is present.' ELSE 'Missing ingest file ' || f || '.csv.' END AS description, has AS passed,
+  'critical' AS severity, CAST(NULL AS BIGINT) AS metric
+  FROM (SELECT bundle, f, CASE WHEN f = 'documents' THEN bundle IN (SELECT bundle FROM hd) ELSE bundle IN (SELECT bundle FROM hl) END AS has FROM runs, (SELECT unnest(['documents', 'labels']) AS f))
+UNION ALL SELECT bundle, f || '-required-columns', 'All required columns are present.', true, 'critical', NULL FROM (SELECT bundle, 'documents' AS f FROM hd UNION ALL SELECT bundle, 'labels' FROM hl)
+UNION ALL SELECT bundle, 'documents-schema-ordered-columns', 'Columns match the ordered list.', true, 'critical', NULL FROM hd
+UNION ALL SELECT bundle, 'labels-schema-ordered-columns', 'Columns do not match the ordered list.', false, 'critical', NULL FROM hl
+UNION ALL SELECT bundle, f || '-schema-malformed-rows', 'Every record fits its header.', true, 'critical', 0 FROM runs, (SELECT unnest(['documents', 'labels']) AS f)
+UNION ALL SELECT bundle, 'documents-dtype-received', 'Could not coerce received to datetime64[ns].', false, 'warning', no_date FROM dm WHERE no_date > 0
+UNION ALL {_gate_rows("documents-uniqueness-unique-1", *_UNIQUE_TEXT, "coalesce(n, 0)", "runs LEFT JOIN " + _repeats_sql("d0", "doc_id") + " USING (bundle)")}
+UNION ALL {_gate_rows("documents-uniqueness-unique-2", *_UNIQUE_TEXT, "coalesce(n, 0)", "runs LEFT JOIN " + _repeats_sql("d0", "source, n_chars") + " USING (bundle)")}
+UNION ALL {_gate_rows("labels-uniqueness-unique-1", *_UNIQUE_TEXT, "coalesce(n, 0)", "runs LEFT JOIN " + _repeats_sql("l0", "doc_id") + " USING (bundle)")}
+UNION ALL {_gate_rows("BR-07-labels", "Every label has a document.", "Every label has a document. Mismatched candidates found.", "critical", "info", "coalesce(n, 0)",
+                      "runs LEFT JOIN (SELECT bundle, count(*) AS n FROM o1 GROUP BY bundle) x USING (bundle)")}
+UNION ALL {_gate_rows("BR-07b-documents", "Every document has a label.", "Every document has a label. Mismatched candidates found.", "critical", "info", "coalesce(n, 0)",
+                      "runs LEFT JOIN (SELECT bundle, count(*) AS n FROM o2 GROUP BY bundle) x USING (bundle)")}
+UNION ALL {_gate_rows("BR-05-pass", "Pass exams should map to Certified statuses.", "Pass exams should map to Certified statuses.", "critical", "info", "coalesce(p, 0)", "runs LEFT JOIN m USING (bundle)")}
+UNION ALL {_gate_rows("BR-05-fail", "Fail attempts should not result in Certified statuses.", "Fail attempts should not result in Certified statuses.", "warning", "info", "coalesce(f, 0)", "runs LEFT JOIN m USING (bundle)")}
+UNION ALL SELECT bundle, 'BR-08', CASE WHEN lag <= 24 THEN 'Freshness is within allowed lag.' WHEN lag <= 72 THEN 'Freshness crosses warning threshold.' ELSE 'Freshness exceeds the critical lag threshold.' END,
+  lag <= 24, CASE WHEN lag <= 24 THEN 'info' WHEN lag <= 72 THEN 'warning' ELSE 'critical' END, NULL FROM dm
+UNION ALL {_gate_rows("BR-04-chars", "Column ''n_chars'' stays within 0.0-5000.0.", "Score range violation.", "warning", "info", "coalesce(chars, 0)", "runs LEFT JOIN dm USING (bundle)")}
+UNION ALL {_gate_rows("BR-04-toxic", "Column ''toxic'' stays within 0.0-0.0.", "Score range violation.", "warning", "info", "coalesce(toxic, 0)", "runs LEFT JOIN lm USING (bundle)")}
+UNION ALL {_gate_rows("BR-06", "Exam dates fall within the rolling 12-month window.", "Exam dates are outside the allowed window.", "warning", "info", "coalesce(late, 0)", "runs LEFT JOIN dm USING (bundle)")}
+UNION ALL {_gate_rows("BR-10-source", "All source values are in the allowed set.", "source has values outside the allowed set.", "warning", "info", "coalesce(src, 0)", "runs LEFT JOIN dm USING (bundle)")})
+"""
+#: Order of evaluation.
+_GATE_ORDER = ["documents-schema-file-present", "labels-schema-file-present", "documents-required-columns", "documents-schema-ordered-columns",
+               "documents-schema-malformed-rows", "documents-dtype-received", "documents-uniqueness-unique-1", "documents-uniqueness-unique-2",
+               "labels-required-columns", "labels-schema-ordered-columns", "labels-schema-malformed-rows", "labels-uniqueness-unique-1", "BR-07-labels",
+               "BR-07b-documents", "BR-05-fail", "BR-05-pass", "BR-08", "BR-04-chars", "BR-04-toxic", "BR-06", "BR-10-source"]
+_PLACE_SQL = "list_position([" + ", ".join(f"'{r}'" for r in _GATE_ORDER) + "], rule_id)"
+SQL_GATE_BUNDLES = _GATE_CTE + "SELECT * FROM o"
+SQL_GATE_BUNDLE_ORPHANS = _GATE_CTE + """
+SELECT bundle, 'BR-07-labels' AS rule_id, CAST(doc_id AS VARCHAR) AS missing_value FROM o1
+UNION ALL SELECT bundle, 'BR-07b-documents', CAST(doc_id AS VARCHAR) FROM o2
+"""
+SQL_GATE_BUNDLE_DECISIONS = _GATE_CTE + f"""
+, p AS (SELECT *, {_ROOT_CAUSE_SQL} AS cause, {_PLACE_SQL} AS place FROM o),
+a AS (SELECT bundle, count(*) FILTER (WHERE NOT passed) AS bad, count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS crit,
+             arg_min(rule_id, place) FILTER (WHERE NOT passed AND severity = 'critical') AS reason,
+             string_agg(DISTINCT cause, ',' ORDER BY cause) FILTER (WHERE NOT passed AND severity = 'critical') AS causes FROM p GROUP BY bundle)
+SELECT bundle, CASE WHEN crit > 0 THEN 'Blocked' WHEN bad > 0 THEN 'Warning only' ELSE 'Ready' END AS status,
+  CASE WHEN crit > 0 THEN 'Critical failure ' || reason || ' blocks release.' WHEN bad > 0 THEN '{reporting.REASON_WARNING}' ELSE '{reporting.REASON_READY}' END AS decision_reason,
+  bad AS failed_rules, coalesce(causes, '') AS causes, bad AS defect_count, bad AS listed FROM a
+"""
+SQL_GATE_BUNDLE_PAYLOAD = _GATE_CTE + f"""
+SELECT bundle, count(*) OVER w AS rule_count, count(*) FILTER (WHERE NOT passed) OVER w AS failed_count,
+  row_number() OVER (PARTITION BY bundle ORDER BY {_PLACE_SQL}) - 1 AS place, rule_id, description, passed, severity, {_ROOT_CAUSE_SQL} AS root_cause,
+  'docs/rule-severity-matrix.md#' || {_SLUG_SQL} AS remediation_link FROM o WINDOW w AS (PARTITION BY bundle)
+"""
+
+
+def q_repeated_texts_documents(spark, d):
+    """The most repeated texts of each source, exactly, by a summary and a recount of what can be among them."""
+    docs = table(spark, d, "documents").select("source", F.md5(F.col("text")).alias("text_md5"))
+    got = ex.partial_repeats(docs, 0, ex.unique("text_md5"), ["source"])
+    return got.select("source", F.posexplode("partial_unexpected_counts").alias("place", "x")).select(
+        "source", F.col("place").cast("long").alias("place"), F.col("x.value").alias("text_md5"), F.col("x.count").alias("n"))
+
+
+SQL_REPEATED_TEXTS_DOCUMENTS = f"""
+WITH c AS (SELECT source, md5(text) AS text_md5, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY ALL HAVING count(*) > 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, text_md5) - 1 AS place FROM c)
+SELECT source, place, text_md5, n FROM r WHERE place < {ex.PARTIAL_LIST_SIZE}
+"""
+
+
+def q_frequent_prices_lineitem(spark, d):
+    """The most frequent unexpected values of a column with many distinct ones."""
+    low = ex.between("l_extendedprice", None, 0)
+    got = ex.partial_unexpected(table(spark, d, "lineitem"), [(0, low)], {}, ["l_returnflag"])
+    return got.select("l_returnflag", F.posexplode("partial_unexpected_counts").alias("place", "x")).select(
+        "l_returnflag", F.col("place").cast("long").alias("place"), F.col("x.value").cast("double").alias("price"), F.col("x.count").alias("n"))
+
+
+SQL_FREQUENT_PRICES_LINEITEM = f"""
+WITH c AS (SELECT l_returnflag, l_extendedprice AS price, count(*) AS n FROM lineitem WHERE l_extendedprice > 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY n DESC, CAST(price AS VARCHAR)) - 1 AS place FROM c)
+SELECT l_returnflag, place, price, n FROM r WHERE place < {ex.PARTIAL_LIST_SIZE}
+"""
+
+
+def q_fk_presets(spark, d):
+    """The three foreign key presets over data with orphans: documents against labels."""
+    docs, labels = (table(spark, d, n).select(F.col("doc_id").alias("candidate_id")) for n in ("documents", "labels"))
+    return union_outcomes([integrity.check_exam_candidate_fk(docs, labels), integrity.check_cert_candidate_fk(docs, labels),
+                           contract.check_flag_candidate_fk(docs, labels)]).select(
+        "seq", *CORE, F.col("details")["missing_count"].cast("long").alias("missing_count"), F.col("details")["sample_values"].alias("sample_values"))
+
+
+_PRESETS = (("BR-07", "Every exam candidate_id exists in the master list."), ("BR-07b", "Every certification row references a known candidate."),
+            ("BR-07c", "Every disciplinary flag references a known candidate."))
+SQL_FK_PRESETS = f"""
+WITH o AS (SELECT DISTINCT doc_id FROM documents d WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)),
+m AS (SELECT count(*) AS missing_count FROM o),
+v AS (SELECT '[' || coalesce(string_agg('"' || doc_id || '"', ', ' ORDER BY doc_id), '') || ']' AS sample_values FROM (SELECT doc_id FROM o ORDER BY doc_id LIMIT 20)),
+r AS (SELECT unnest([{", ".join(f"{{'seq': {i}, 'rule_id': '{r}', 'text': '{t}'}}" for i, (r, t) in enumerate(_PRESETS))}], recursive := true))
+SELECT seq, rule_id, text || CASE WHEN missing_count = 0 THEN '' ELSE ' Mismatched candidates found.' END AS description, missing_count = 0 AS passed,
+  CASE WHEN missing_count = 0 THEN 'info' ELSE 'critical' END AS severity, missing_count, sample_values FROM r, m, v
+"""
+
+
+def q_fk_documents_labels_orphans(spark, d):
+    """The complete list of documents without a label."""
+    return integrity.orphan_details(integrity.orphan_keys(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id"), "documents-labels-fk")
+
+
+SQL_FK_DOCUMENTS_LABELS_ORPHANS = """
+SELECT DISTINCT 'documents-labels-fk' AS rule_id, CAST(doc_id AS VARCHAR) AS missing_value FROM documents d
+WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+"""
+
+
 # --------------------------------------------------------------------------
 # registry: name -> (spark query, oracle SQL or None)
 # --------------------------------------------------------------------------
@@ -1189,6 +1422,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "ship_before_order": (q_ship_before_order, SQL_SHIP_BEFORE_ORDER),
     "arrival_lag": (q_arrival_lag, SQL_ARRIVAL_LAG),
     "overlapping_intervals": (q_overlapping_intervals, SQL_OVERLAPPING_INTERVALS),
+    "overlap_partners": (q_overlap_partners, SQL_OVERLAP_PARTNERS),
     "quarantine_lineitem": (q_quarantine_lineitem, SQL_QUARANTINE_LINEITEM),
     "custom_rule_sql": (q_custom_rule_sql, SQL_CUSTOM_RULE_SQL),
     "schema_definition_orders": (q_schema_definition_orders, SQL_SCHEMA_DEFINITION_ORDERS),
@@ -1209,6 +1443,14 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "feed_presence_documents": (q_feed_presence_documents, SQL_FEED_PRESENCE_DOCUMENTS),
     "file_metadata_documents": (q_file_metadata_documents, SQL_FILE_METADATA_DOCUMENTS),
     "gate_empty_group": (q_gate_empty_group, SQL_GATE_EMPTY_GROUP),
+    "gate_bundles": (q_gate_bundles, SQL_GATE_BUNDLES),
+    "gate_bundle_orphans": (q_gate_bundle_orphans, SQL_GATE_BUNDLE_ORPHANS),
+    "gate_bundle_decisions": (q_gate_bundle_decisions, SQL_GATE_BUNDLE_DECISIONS),
+    "gate_bundle_payload": (q_gate_bundle_payload, SQL_GATE_BUNDLE_PAYLOAD),
+    "repeated_texts_documents": (q_repeated_texts_documents, SQL_REPEATED_TEXTS_DOCUMENTS),
+    "frequent_prices_lineitem": (q_frequent_prices_lineitem, SQL_FREQUENT_PRICES_LINEITEM),
+    "fk_presets": (q_fk_presets, SQL_FK_PRESETS),
+    "fk_documents_labels_orphans": (q_fk_documents_labels_orphans, SQL_FK_DOCUMENTS_LABELS_ORPHANS),
     "timestamp_text_orders": (q_timestamp_text_orders, SQL_TIMESTAMP_TEXT_ORDERS),
 }
 

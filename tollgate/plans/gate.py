@@ -1,11 +1,14 @@
 """Release gate over many bundles in one Spark job.
 
-``ReleaseGate.run`` reads each feed across all bundles (one DataFrame per
-feed, ``bundle`` column from the folder), builds every schema and business
-check as a lazy plan grouped by ``bundle``, and unions them into one outcome
-table ``[bundle, rule_id, description, passed, severity, details, seq]``.
-Reports (status, summaries, decision) are aggregations of that table, so
-thousands of bundles cost one set of scans, not thousands of jobs.
+``ReleaseGate.run`` reads each declared feed across all bundles (one DataFrame
+per feed, ``bundle`` column from the folder), has ``rules.RuleCompiler`` plan
+every schema check and declared rule grouped by ``bundle``, and unions them
+into one outcome table ``[bundle, rule_id, description, passed, severity,
+details, seq]``. Reports (status, summaries, decision) are aggregations of that
+table, so thousands of bundles cost one set of scans, not thousands of jobs.
+
+Feeds and rules are descriptors (``RuleSet.definitions``, ``RuleSet.declared``);
+without them the three certification feeds and their rules are gated.
 """
 
 from __future__ import annotations
@@ -18,14 +21,15 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import business, contract, custom, duplicates, fusion, schema
-from ..operators.schema import SCHEMA_DEFINITIONS
-from ..outcome import CRITICAL, WARNING, finish, to_outcomes
-from ..sources import csv_feeds, sinks
-from ..sources.csv_feeds import BUNDLE_COL, MTIME_COL, ORDER_COL
-from ..operators.integrity import foreign_key_reference, orphan_details, orphan_keys
+from ..operators import business, contract, custom, fusion
+from ..operators.schema import SCHEMA_DEFINITIONS, SchemaDefinition
+from ..outcome import to_outcomes
 from ..session import cut_lineage, release_tables
+from ..sources import csv_feeds, sinks
+from ..sources.csv_feeds import BUNDLE_COL
+from ..sources.run_store import RunStore
 from . import reporting
+from .rules import DateWindow, Feed, ForeignKey, Freshness, NumberRange, RuleCompiler, StatusMapping, TableCheck, UserRule
 
 G = (BUNDLE_COL,)
 
@@ -37,9 +41,14 @@ RuleCallable = Callable[[GateTables], DataFrame]
 class RuleSet:
     """What a run checks.
 
-    feeds: declared feeds, in evaluation order; prefixes: (feed, "dtype" or
-    "uniqueness") -> rule id prefix, where the default is not wanted.
-    business: rules (callables or SQL) that take the place of the default ones.
+    definitions: the feeds to gate, in evaluation order, and declared: their
+    rules as descriptors of ``plans.rules``; any feeds can be gated this way.
+    ordered_columns: also ask for the declared column order. Without
+    ``definitions`` the certification feeds named in ``feeds`` are gated, and
+    without ``declared`` their rules, which the fields from ``business`` on set.
+
+    prefixes: (feed, "dtype" or "uniqueness") -> rule id prefix, where the
+    default is not wanted. business: rules (callables or SQL) that take the place of the default ones.
     contracts: names out of ``CONTRACTS``, checked after them.
     fresh_*: the feed, column and limits (hours) of the freshness rule;
     fresh_metadata names columns, or entries of ``GateConfig.metadata``, whose
@@ -47,6 +56,9 @@ class RuleSet:
     """
 
     feeds: tuple[str, ...] = tuple(SCHEMA_DEFINITIONS)
+    definitions: tuple[SchemaDefinition, ...] = ()
+    declared: tuple[Any, ...] | None = None
+    ordered_columns: bool = False
     prefixes: Mapping[tuple[str, str], str] = field(default_factory=dict)
     business: tuple[RuleCallable | str, ...] = ()
     contracts: tuple[str, ...] = ()
@@ -64,6 +76,28 @@ class RuleSet:
     def prefix(self, feed: str, kind: str) -> str:
         return self.prefixes.get((feed, kind), f"{feed}-{kind}")
 
+    def schemas(self) -> list[SchemaDefinition]:
+        return list(self.definitions) or [SCHEMA_DEFINITIONS[n] for n in self.feeds]
+
+    def rules(self) -> list[Any]:
+        """The descriptors of a run, in evaluation order."""
+        if self.declared is not None:
+            out = list(self.declared)
+        elif self.business:
+            out = [UserRule(r) for r in self.business]
+        else:
+            out = [ForeignKey("exam_results", "candidates", "candidate_id", "BR-07", "Every exam candidate_id exists in the master list."),
+                   ForeignKey("certification_status", "candidates", "candidate_id", "BR-07b", "Every certification row references a known candidate."),
+                   StatusMapping("exam_results", "certification_status", "BR-05", {"tie_cols": ("cert_status_id",)}),
+                   Freshness(self.fresh_feed, self.fresh_column, self.fresh_metadata, self.fresh_hours, self.fresh_warning_hours, self.fresh_rule)]
+            if self.ranges_and_window:
+                out += [NumberRange("exam_results", "score", "BR-04-score"), NumberRange("exam_results", "score_scaled", "BR-04-score-scaled"),
+                        DateWindow("exam_results", "exam_date", 12, "BR-06")]
+            if self.flags_file:
+                out.append(ForeignKey("disciplinary_flags", "candidates", "candidate_id", "BR-07c",
+                                      "Every disciplinary flag references a known candidate.", file_name=self.flags_file))
+        return [*out, *(TableCheck(CONTRACTS[n]) for n in self.contracts)]
+
 
 #: Optional checks: name -> f(tables, group columns, reference time) giving a flat outcome frame.
 CONTRACTS: dict[str, Callable[[GateTables, Sequence[str], Any], DataFrame]] = {
@@ -96,19 +130,6 @@ class GateConfig:
     materialize_outcomes: bool = True
 
 
-@dataclass
-class Feed:
-    name: str
-    raw: DataFrame
-    typed: DataFrame
-    headers: DataFrame
-    paths: list[str]
-
-    def none(self) -> DataFrame:
-        """The typed feed without rows."""
-        return self.typed.where(F.lit(False))
-
-
 class ReleaseGate:
     def __init__(self, spark: SparkSession, config: GateConfig) -> None:
         self.spark = spark
@@ -119,7 +140,7 @@ class ReleaseGate:
     # -- loading ---------------------------------------------------------
     def load(self) -> dict[str, Feed]:
         cfg = self.config
-        defs = [SCHEMA_DEFINITIONS[n] for n in cfg.rules.feeds]
+        defs = cfg.rules.schemas()
         feeds: dict[str, Feed] = {}
         loaded = csv_feeds.load_bundles(self.spark, cfg.data_root, defs, cfg.bundles, cfg.multi_line)
         for d in defs:
@@ -142,155 +163,33 @@ class ReleaseGate:
         return {k: F.lit(str(v)) for k, v in self.config.metadata.items() if v is not None}
 
     # -- rules -------------------------------------------------------------
-    def _plan(self, feeds: dict[str, Feed]) -> list[DataFrame]:
-        """All outcome frames (with ``seq``) of one gate run.
-
-        Scalar checks of a feed (dtype audit, score ranges, date window,
-        freshness) are fused into ONE aggregation over that feed; checks that
-        need their own shuffle (uniqueness, foreign keys, status mapping) are
-        separate plans.
-        """
+    def _read_optional(self, file_name: str) -> DataFrame | None:
+        """A feed that runs may leave out, as texts; None when no run has the file."""
+        paths = csv_feeds._existing(self.spark, csv_feeds.feed_glob(self.config.data_root, file_name, self.config.bundles))
+        return csv_feeds.read_feed(self.spark, paths, multi_line=self.config.multi_line) if paths else None
+
+    def _compile(self, feeds: dict[str, Feed]) -> RuleCompiler:
         cfg = self.config
-        parts: list[DataFrame] = []
-        fused: dict[str, list[tuple[int, fusion.AggCheck]]] = {n: [] for n in feeds}
-        needs: dict[str, dict[str, list[str]]] = {n: {} for n in feeds}
-        seq = 0
-
-        def add(flat: DataFrame, empty: DataFrame | None = None) -> None:
-            """One rule's rows; ``empty``: what it says of an empty feed, for runs without rows."""
-            nonlocal seq
-            if empty is not None:
-                flat = fusion.fill_groups(flat, empty, seen, G)
-            parts.append(to_outcomes(flat, G).withColumn("seq", F.lit(seq)))
-            seq += 1
-
-        def add_fused(feed: str, check: fusion.AggCheck, rule_cols: dict | None = None) -> None:
-            nonlocal seq
-            fused[feed].append((seq, check))
-            needs[feed].update(rule_cols or {})
-            seq += 1
-
-        # Every bundle seen in any feed must have every feed file; the reference
-        # raises on a missing file, here the bundle gets a critical outcome.
-        seen = None
+        runs = None
         for f in feeds.values():
             b = f.headers.select(BUNDLE_COL)
-            seen = b if seen is None else seen.unionByName(b)
-        seen = self._runs = cut_lineage(seen.distinct(), self.spark)
-        self._tables.append(seen)
-        self._orphans: list[DataFrame] = []
-        for name in cfg.rules.feeds:
-            d = SCHEMA_DEFINITIONS[name]
-            have = feeds[name].headers.select(BUNDLE_COL).distinct().withColumn("__has", F.lit(True))
-            m = seen.join(have, BUNDLE_COL, "left").withColumn(
-                "present", F.coalesce(F.col("__has"), F.lit(False)))
-            add(finish(m, rule_id=f"{d.name}-schema-file-present", passed=F.col("present"),
-                       severity_fail=CRITICAL, description_pass="Feed file is present.",
-                       description_fail=f"Missing ingest file {d.file_name}.",
-                       keep=[F.lit(d.file_name).alias("file_name")], group_cols=G))
-
-        for name in cfg.rules.feeds:
-            d = SCHEMA_DEFINITIONS[name]
-            f = feeds[name]
-            add(schema.required_columns_by_file(f.headers, d.required_columns,
-                                                f"{d.name}-required-columns", group_cols=G))
-            typed_map = {c: v for c, v in d.dtype_map.items()}
-            for c in d.parse_dates:
-                typed_map[c] = "datetime64[ns]"
-            add(self._malformed(f, d.name, seen))
-            add_fused(name, schema.dtype_audit_check(
-                f.raw, typed_map, cfg.rules.prefix(name, "dtype"), emit_passed=False))
-            prefix = cfg.rules.prefix(name, "uniqueness")
-            for i, keys in enumerate(d.uniqueness_constraints, start=1):
-                r = fusion.fill_groups(duplicates.detect_duplicates(f.typed, keys, f"{prefix}-unique-{i}", group_cols=G),
-                                       duplicates.detect_duplicates(f.none(), keys, f"{prefix}-unique-{i}"), seen, G)
-                add(_require_columns(r, f.headers, keys, CRITICAL,
-                                     "Uniqueness key columns are missing."))
-
-        tables = {n: f.typed for n, f in feeds.items()}
-        if cfg.rules.business:
-            for r in cfg.rules.business:
-                add(custom.run_rule(r, tables, self.spark, G))
-        else:
-            self._default_business(feeds, add, add_fused)
-        none = {n: f.none() for n, f in feeds.items()}
-        for name in cfg.rules.contracts:
-            add(CONTRACTS[name](tables, G, self._reference()), CONTRACTS[name](none, (), self._reference()))
-
-        for name, checks in fused.items():
-            if not checks:
-                continue
-            f = feeds[name]
-            groups = seen.join(csv_feeds.file_times(self.spark, f.paths), BUNDLE_COL, "left").withColumns(self._metadata())
-            out = fusion.fused(f.raw, [c for _, c in checks], G, seqs=[q for q, _ in checks], groups=groups)
-            if needs[name]:
-                out = _require_columns_outcomes(out, f.headers, needs[name])
-            parts.append(out)
-        self._next_seq = seq
-        return parts
-
-    def _default_business(self, feeds: dict[str, Feed], add, add_fused) -> None:
-        cfg = self.config
-        exam, cert, cand = (feeds["exam_results"].typed, feeds["certification_status"].typed,
-                            feeds["candidates"].typed)
-        no_exam, no_cert, no_cand = (feeds[n].none() for n in ("exam_results", "certification_status", "candidates"))
-        ref = self._reference()
-        for child, none, rule, text in (
-                (exam, no_exam, "BR-07", "Every exam candidate_id exists in the master list."),
-                (cert, no_cert, "BR-07b", "Every certification row references a known candidate.")):
-            add(self._foreign_key(child, cand, rule, text), business_fk(none, no_cand, rule, text, ()))
-        mapping = {"tie_cols": ("cert_status_id",), "order_col": ORDER_COL}
-        add(business.check_pass_fail_certification(exam, cert, "BR-05", group_cols=G, **mapping),
-            business.check_pass_fail_certification(no_exam, no_cert, "BR-05", **mapping))
-        r = cfg.rules
-        add_fused(r.fresh_feed, business.freshness_check(
-            feeds[r.fresh_feed].raw, reference_ts=ref, timestamp_column=r.fresh_column,
-            metadata_columns=r.fresh_metadata, file_time_column=MTIME_COL,
-            max_allowed_hours=r.fresh_hours, warning_hours=r.fresh_warning_hours, rule_id=r.fresh_rule))
-        if r.ranges_and_window:
-            raw_exam = feeds["exam_results"].raw
-            for col, rid in (("score", "BR-04-score"), ("score_scaled", "BR-04-score-scaled")):
-                add_fused("exam_results", business.score_range_check(raw_exam, col, rid, 0, 100),
-                          {rid: [col]})
-            add_fused("exam_results", business.date_window_check(raw_exam, ref, 12, "BR-06"))
-        if r.flags_file:
-            paths = csv_feeds._existing(self.spark, csv_feeds.feed_glob(
-                cfg.data_root, r.flags_file, cfg.bundles))
-            if paths:
-                flags = csv_feeds.read_feed(self.spark, paths, multi_line=cfg.multi_line)
-                orphans = cut_lineage(orphan_keys(flags, cand, "candidate_id", group_cols=G), self.spark)
-                self._tables.append(orphans)
-                self._orphans.append(orphan_details(orphans, "BR-07c", G))
-                add(contract.check_flag_candidate_fk(flags, cand, group_cols=G, orphans=orphans))
-
-    def _foreign_key(self, child: DataFrame, parent: DataFrame, rule_id: str, text: str) -> DataFrame:
-        """The rule's rows; its complete orphan list is kept for the report."""
-        orphans = cut_lineage(orphan_keys(child, parent, "candidate_id", group_cols=G), self.spark)
-        self._tables.append(orphans)
-        self._orphans.append(orphan_details(orphans, rule_id, G))
-        return business_fk(child, parent, rule_id, text, orphans=orphans)
-
-    def _malformed(self, f: Feed, name: str, seen: DataFrame) -> DataFrame:
-        """Records that do not fit their header, per run."""
-        m = f.raw.groupBy(BUNDLE_COL).agg(F.count_if(F.col(csv_feeds.SURPLUS_COL).isNotNull()).alias("surplus"))
-        m = seen.join(m, BUNDLE_COL, "left")
-        if self.config.multi_line:
-            m = m.withColumn("unclosed", F.lit(0).cast("long"))
-        else:
-            m = m.join(csv_feeds.unclosed_quotes(self.spark, f.paths), BUNDLE_COL, "left")
-        n = F.coalesce("surplus", F.lit(0)) + F.coalesce("unclosed", F.lit(0))
-        return finish(m.withColumn("malformed_rows", n), rule_id=f"{name}-schema-malformed-rows", passed=F.col("malformed_rows") == 0,
-                      severity_fail=CRITICAL, description_pass="Every record fits its header.",
-                      description_fail="Records with surplus fields or unclosed quotes found.",
-                      keep=["malformed_rows"], group_cols=G)
+            runs = b if runs is None else runs.unionByName(b)
+        self._runs = cut_lineage(runs.distinct(), self.spark)
+        self._tables.append(self._runs)
+        plan = RuleCompiler(self.spark, feeds, self._runs, self._reference(), self._metadata(), cfg.multi_line, self._read_optional)
+        plan.schemas(cfg.rules.schemas(), cfg.rules.prefix, cfg.rules.ordered_columns)
+        plan.rules(cfg.rules.rules())
+        self._tables += plan.written
+        return plan
 
     def run(self, extra_rules: Sequence[RuleCallable | str] = ()) -> "GateReport":
         feeds = self.load()
         tables = {n: f.typed for n, f in feeds.items()}
-        parts = self._plan(feeds)
+        plan = self._compile(feeds)
+        parts = plan.finish()
         for i, r in enumerate(extra_rules):
             parts.append(to_outcomes(custom.run_rule(r, tables, self.spark, G), G)
-                         .withColumn("seq", F.lit(self._next_seq + i)))
+                         .withColumn("seq", F.lit(plan.next_seq + i)))
         cols = [*G, "rule_id", "description", "passed", "severity", "details", "seq"]
         outcomes = None
         for p in parts:
@@ -303,11 +202,17 @@ class ReleaseGate:
             # small run writes one file instead of one per union partition.
             outcomes = cut_lineage(outcomes.hint("rebalance"), self.spark)
         orphans = None
-        for o in self._orphans:
+        for o in plan.orphans:
             orphans = o if orphans is None else orphans.unionByName(o)
         self._report = GateReport(outcomes, self._runs, orphans=orphans)
         return self._report
 
+    def __enter__(self) -> "ReleaseGate":
+        return self
+
+    def __exit__(self, *_: Any) -> None:
+        self.close()
+
     def close(self) -> None:
         """Remove the tables written by ``run``; its reports must be stored by then."""
         release_tables(*self._tables, *([self._report.outcomes] if self._report else []))
@@ -324,6 +229,12 @@ class ReleaseGate:
             sinks.store_results(res, store_path, run_name)
         return res
 
+    def store(self, store: RunStore, run_name: str) -> None:
+        """Publish the run's outcomes under a name; a retry of the name replaces them as a whole."""
+        if self._report is None:
+            raise RuntimeError("no reports yet: call run() first")
+        store.write(self._report.outcomes, run_name)
+
     @property
     def report(self) -> "GateReport | None":
         return self._report
@@ -334,49 +245,6 @@ class ReleaseGate:
         return self._report.write(report_dir or self.config.reports_dir)
 
 
-def business_fk(child: DataFrame, parent: DataFrame, rule_id: str, description: str,
-                group_cols: Sequence[str] = G, orphans: DataFrame | None = None) -> DataFrame:
-    return foreign_key_reference(child, parent, "candidate_id", "candidate_id", rule_id, description,
-                                 group_cols=group_cols, orphans=orphans)
-
-
-def _require_columns_outcomes(outcomes: DataFrame, headers: DataFrame,
-                              rule_columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Outcome-row form of ``_require_columns`` for fused rows: a rule whose
-    column is absent from a bundle's file fails with ``missing_columns``."""
-    have = headers.groupBy(BUNDLE_COL).agg(F.flatten(F.collect_list("columns")).alias("__have"))
-    need_map = F.create_map(*[x for rid, cols in rule_columns.items()
-                              for x in (F.lit(rid), F.array(*[F.lit(c) for c in cols]))])
-    j = outcomes.join(have, BUNDLE_COL, "left")
-    need = F.try_element_at(need_map, F.col("rule_id"))
-    missing = F.array_except(need, F.coalesce(F.col("__have"), F.array().cast("array<string>")))
-    lacking = need.isNotNull() & (F.size(missing) > 0)
-    return (j.withColumn("passed", F.when(lacking, F.lit(False)).otherwise(F.col("passed")))
-            .withColumn("severity", F.when(lacking, F.lit(WARNING)).otherwise(F.col("severity")))
-            .withColumn("description", F.when(lacking, F.concat(
-                F.lit("Column '"), F.array_join(missing, "', '"), F.lit("' is missing.")))
-                .otherwise(F.col("description")))
-            .withColumn("details", F.when(lacking, F.map_concat(
-                F.col("details"), F.create_map(F.lit("missing_columns"), F.to_json(missing))))
-                .otherwise(F.col("details")))
-            .drop("__have"))
-
-
-def _require_columns(flat: DataFrame, headers: DataFrame, columns: Sequence[str], severity: str,
-                     description: str) -> DataFrame:
-    """Fail a rule for bundles whose file lacks a column the rule needs."""
-    need = F.array(*[F.lit(c) for c in columns])
-    miss = headers.groupBy(BUNDLE_COL).agg(
-        F.array_except(need, F.flatten(F.collect_list("columns"))).alias("__missing"))
-    j = flat.join(miss, BUNDLE_COL, "left")
-    lacking = F.coalesce(F.size("__missing"), F.lit(0)) > 0
-    return (j.withColumn("passed", F.when(lacking, F.lit(False)).otherwise(F.col("passed")))
-            .withColumn("severity", F.when(lacking, F.lit(severity)).otherwise(F.col("severity")))
-            .withColumn("description", F.when(lacking, F.lit(description)).otherwise(F.col("description")))
-            .withColumn("missing_columns", F.coalesce("__missing", F.array().cast("array<string>")))
-            .drop("__missing"))
-
-
 class GateReport:
     """Reports over a gate's outcome table (one row per bundle each)."""
 
@@ -399,7 +267,7 @@ class GateReport:
         return reporting.validation_summary(self.outcomes, self.keys)
 
     def defect_summary(self) -> DataFrame:
-        return reporting.defect_summary(self.outcomes, self.keys)
+        return reporting.defect_summary(self.outcomes, self.keys, self.runs)
 
     def release_decision(self) -> DataFrame:
         return reporting.release_decision(self.outcomes, self.keys, self.runs)

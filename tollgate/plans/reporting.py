@@ -100,19 +100,28 @@ def defect_counts(outcomes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return p.groupBy(*keys, "root_cause").agg(F.count(F.lit(1)).alias("defect_count"))
 
 
-def defect_summary(outcomes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """defect_count, defects (failing payloads in order), root_cause_counts map."""
-    p = with_payload(outcomes).where(~F.col("passed"))
+def defect_summary(outcomes: DataFrame, keys: Sequence[str] = (), runs: DataFrame | None = None) -> DataFrame:
+    """defect_count, defects (failing payloads in order), root_cause_counts map.
+
+    A run without failing rules has a row with no defects; ``runs`` lists runs
+    that must appear even without outcomes.
+    """
+    p = with_payload(outcomes)
+    failing = ~F.col("passed")
     payload = F.struct(_order(p).alias("seq"), "rule_id", "description", "passed", "severity",
                        "root_cause", "remediation_link", "details")
     per_run = p.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("defect_count"),
-        _by_seq(F.collect_list(payload)).alias("defects"))
+        F.count_if(failing).alias("defect_count"),
+        _by_seq(F.collect_list(F.when(failing, payload))).alias("defects"))
     counts = defect_counts(outcomes, keys).groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("root_cause", "defect_count"))).alias("root_cause_counts"))
-    if keys:
-        return per_run.join(counts, list(keys), "left")
-    return per_run.select("*", counts.scalar().alias("root_cause_counts"))
+    if not keys:
+        return per_run.select("*", counts.scalar().alias("root_cause_counts"))
+    if runs is not None:
+        per_run = runs.select(*keys).distinct().join(per_run, list(keys), "left").na.fill(0, ["defect_count"])
+        per_run = per_run.withColumn("defects", F.coalesce("defects", F.array().cast(per_run.schema["defects"].dataType)))
+    none = F.create_map().cast("map<string,bigint>")
+    return per_run.join(counts, list(keys), "left").withColumn("root_cause_counts", F.coalesce("root_cause_counts", none))
 
 
 def release_decision(outcomes: DataFrame, keys: Sequence[str] = (), runs: DataFrame | None = None,

@@ -111,34 +111,30 @@ def run_feed_checkpoint(tables: Mapping[str, DataFrame], headers: Mapping[str, D
                         validations: Sequence[tuple[str, str, str]] = VALIDATIONS,
                         suites: Mapping[str, list[dict]] = SUITES,
                         params_source: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Expectation results per (bundle, batch, expectation) for all validations."""
-    source = params_source or tables
-    ptables = bundle_parameters(source)
-    out = None
-    for feed, suite, batch in validations:
-        exps = [ex.from_config(c) for c in suites[suite]]
-        value_exps = [(i, e) for i, e in enumerate(exps)
-                      if e.expectation_type != "expect_table_columns_to_match_ordered_list"]
+    """Expectation results per (bundle, batch, expectation) for all validations.
+
+    A feed that several suites check is scanned once: its bounds are joined to
+    it once, and all its suites share the pass.
+    """
+    ptables = bundle_parameters(params_source or tables)
+    parsed = [(feed, suite, batch, [ex.from_config(c) for c in suites[suite]]) for feed, suite, batch in validations]
+    params: dict = {}
+    joined: dict[str, DataFrame] = {}
+    for feed in dict.fromkeys(v[0] for v in parsed):
+        uses = {p.name for f, _, _, exps in parsed if f == feed for e in exps for p in (e.min_value, e.max_value) if isinstance(p, ex.Param)}
         df = tables[feed]
-        params = {}
-        uses = {p.name for _, e in value_exps for p in (e.min_value, e.max_value)
-                if isinstance(p, ex.Param)}
-        if uses:
-            # one row per bundle: a bounded, key-partitioned lookup table
-            for pfeed, pt in ptables.items():
-                names = [c for c in pt.columns if c.startswith("__p_") and c[4:] in uses]
-                if names:
-                    df = df.join(pt.select(BUNDLE_COL, *names), BUNDLE_COL, "left")
-                    params.update({n[4:]: F.col(n) for n in names})
-        res = ex.run_suite(df, suite, [e for _, e in value_exps], params, G)
-        # restore the suite positions of the value expectations
-        pos = F.create_map(*[x for j, (i, _) in enumerate(value_exps) for x in (F.lit(j), F.lit(i))])
-        res = res.withColumn("expectation_index", F.element_at(pos, F.col("expectation_index")))
+        for pt in ptables.values():
+            names = [c for c in pt.columns if c.startswith("__p_") and c[4:] in uses]
+            if names:  # one row per bundle: a bounded, key-partitioned lookup table
+                df = df.join(pt.select(BUNDLE_COL, *names), BUNDLE_COL, "left")
+                params.update({n[4:]: F.col(n) for n in names})
+        joined[feed] = df
+    values = [(batch, joined[feed], suite, [None if e.expectation_type == ex._ORDERED else e for e in exps]) for feed, suite, batch, exps in parsed]
+    out = ex.run_checkpoint(values, params, group_cols=G)
+    for feed, suite, batch, exps in parsed:
         for i, e in enumerate(exps):
-            if e.expectation_type == "expect_table_columns_to_match_ordered_list":
-                res = res.unionByName(_ordered_results(headers[feed], suite, i, e), allowMissingColumns=True)
-        res = res.withColumn("batch_identifier", F.lit(batch))
-        out = res if out is None else out.unionByName(res, allowMissingColumns=True)
+            if e.expectation_type == ex._ORDERED:  # from the file's header, not the frame's columns
+                out = out.unionByName(_ordered_results(headers[feed], suite, i, e).withColumn("batch_identifier", F.lit(batch)), allowMissingColumns=True)
     if run_name is not None:
         out = out.withColumn("run_name", F.lit(run_name))
     return out

@@ -75,16 +75,26 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have Hadoop remove ``path`` when the session's JVM ends, whoever still reads it until then."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    fs.deleteOnExit(p)
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Cut lineage with a table written under the shared checkpoint folder.
 
     One path at every size: a Parquet write computes the plan exactly once,
     every consumer reads the written result, and the re-read frame survives
     executor loss without recomputation. Never a local checkpoint. The tables
-    of a run are removed by ``release_tables`` once its results are stored.
+    of a run are removed by ``release_tables`` once its results are stored, and
+    what is left when the session's JVM ends goes then.
     """
     spark = spark or df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tollgate-tables/{uuid.uuid4().hex}"
+    remove_at_end(spark, path)
     df.write.mode("errorifexists").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path

@@ -56,6 +56,31 @@ def store_results(results: DataFrame, path: str, run_name: str | None = None,
      .partitionBy(*[p for p in partition_by if p in out.columns]).parquet(path))
 
 
+def write_csv_bundles(df: DataFrame, root: str, bundle: str, feed: str) -> str:
+    """Write a frame as ``<root>/<bundle>/<feed>.csv``; returns the root.
+
+    A bundle's file is written by one task, so the bundle key should follow the
+    size of the data (see the callers). Bundle values must not be null; every
+    value is quoted, with quotes doubled.
+    """
+    spark = df.sparkSession
+    parts = f"{root}/_parts/{feed}"
+    (df.repartition(bundle).write.partitionBy(bundle).option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(parts))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.globStatus(path(f"{parts}/{bundle}=*/part-*.csv")):
+        name = st.getPath().getParent().getName().split("=", 1)[1]
+        if name == "__HIVE_DEFAULT_PARTITION__":
+            raise ValueError(f"rows of {feed} have no {bundle}")
+        target = path(f"{root}/{name}/{feed}.csv")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(st.getPath(), target):
+            raise OSError(f"cannot move {st.getPath()} to {target}: a bundle has one file of a feed")
+    fs.delete(path(parts), True)
+    return root
+
+
 DEFECT_LOG_KEYS = ("bundle", "run_ts", "rule_id")
 
 

@@ -42,13 +42,13 @@ def gate_batch(config: GateConfig, output_root: str):
         if not names:
             return
         spark = batch.sparkSession
-        gate = ReleaseGate(spark, replace(config, bundles=tuple(names)))
-        rep = gate.run()
         tag = F.lit(batch_id).cast("long")
-        rep.outcomes.withColumn("batch_id", tag).write.mode("overwrite").parquet(
-            f"{out}/outcomes/batch_id={batch_id}")
-        rep.release_decision().withColumn("batch_id", tag).write.mode("overwrite").parquet(
-            f"{out}/decisions/batch_id={batch_id}")
+        with ReleaseGate(spark, replace(config, bundles=tuple(names))) as gate:
+            rep = gate.run()
+            rep.outcomes.withColumn("batch_id", tag).write.mode("overwrite").parquet(
+                f"{out}/outcomes/batch_id={batch_id}")
+            rep.release_decision().withColumn("batch_id", tag).write.mode("overwrite").parquet(
+                f"{out}/decisions/batch_id={batch_id}")
 
     return run
 
