@@ -48,7 +48,8 @@ from tollgate.llm.common import Scratch, slices, table
 LEAST, TOP, LONGEST = 30, 2000, 4
 BITS = 24
 CHUNK = 1 << 16
-HELD = 1_000_000
+#: Partial counts that a task holds before it hands them on.
+HELD = 200_000
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
 _GAP = _BREAK.copy()
@@ -135,7 +136,7 @@ def first_pass(documents: DataFrame) -> DataFrame:
                           pa.array(_code([k[1] for k in keys])), pa.array(list(seen.values()), pa.int64()), *(pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.binary()))])
             seen.clear()
 
-        for b in slices(batches, "text", 1 << 22):
+        for b in slices(batches, "text", 1 << 21):
             lang, word, names, texts, codes, reach = words_of(b.column("text"), b.column("lang"))
             if not len(word):
                 continue
@@ -233,7 +234,7 @@ def longest_windows(documents: DataFrame, bits: np.ndarray) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(names[rows[:, 0]], pa.string()),
                                                *(pa.array(rows[:, 2 + k], pa.int64(), mask=rows[:, 6] <= k) for k in range(LONGEST)), pa.array(rows[:, 1])], schema=_WINDOWS)
 
-        for b in slices(batches, "text", 1 << 22):
+        for b in slices(batches, "text", 1 << 21):
             lang, word, names, _, codes, reach = words_of(b.column("text"), b.column("lang"))
             if not len(word):
                 continue
