@@ -27,7 +27,7 @@ Cases: a null text is empty; a null language is ``und`` (with rows that say
 so). Empty pieces have no words; a text without words adds nothing. Ties of
 score and count go by phrase, ties of a cut's score to the shorter first part.
 Repeated rows count each. A very long text is one row's work, its windows are
-counted within the task. Extra columns are not read. An empty table gives an
+counted batch by batch. Extra columns are not read. An empty table gives an
 empty result.
 """
 
@@ -210,13 +210,13 @@ _WINDOWS = pa.schema([("lang", pa.string()), *((f"w{i}", pa.int64()) for i in ra
 
 
 def longest_windows(documents: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(lang, w1..w4, n): windows of two words or more, cut where no frequent phrase goes on; counted within tasks."""
+    """(lang, w1..w4, n): windows of two words or more, cut where no frequent phrase goes on; counted by batch."""
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, held, size, langs = shared.value, [], 0, {}
+        frequent = shared.value
 
-        def merged(rows: np.ndarray) -> np.ndarray:
+        def counted(rows: np.ndarray) -> np.ndarray:
             """Equal windows as one row; columns: language, count, four words (0 where absent), words present."""
             h = np.zeros(len(rows), tc.U64)
             for c in (0, 2, 3, 4, 5, 6):
@@ -229,11 +229,6 @@ def longest_windows(documents: DataFrame, bits: np.ndarray) -> DataFrame:
             out[:, 1] = np.add.reduceat(rows[:, 1], first) if len(first) else 0
             return out
 
-        def emit(rows: np.ndarray) -> pa.RecordBatch:
-            names = np.array(list(langs), object)
-            return pa.RecordBatch.from_arrays([pa.array(names[rows[:, 0]], pa.string()),
-                                               *(pa.array(rows[:, 2 + k], pa.int64(), mask=rows[:, 6] <= k) for k in range(LONGEST)), pa.array(rows[:, 1])], schema=_WINDOWS)
-
         for b in slices(batches, "text", 1 << 21):
             lang, word, names, _, codes, reach = words_of(b.column("text"), b.column("lang"))
             if not len(word):
@@ -244,22 +239,14 @@ def longest_windows(documents: DataFrame, bits: np.ndarray) -> DataFrame:
                 on = (frequent[k, bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
                 keep[at[on & (keep[at] == k + 1)]] = k + 2
             at = np.flatnonzero(keep >= 2)
-            number = np.array([langs.setdefault(x, len(langs)) for x in names], np.int64)
             rows = np.zeros((len(at), 7), np.int64)
-            rows[:, 0], rows[:, 1], rows[:, 6] = number[lang[at]], 1, keep[at]
+            rows[:, 0], rows[:, 1], rows[:, 6] = lang[at], 1, keep[at]
             for k in range(LONGEST):
                 there = keep[at] > k
                 rows[there, 2 + k] = code[at[there] + k]
-            held.append(merged(rows))
-            size += len(held[-1])
-            if size > HELD:
-                held = [merged(np.concatenate(held))]
-                size = len(held[0])
-                if size > HELD // 2:
-                    yield emit(held[0])
-                    held, size = [], 0
-        if held:
-            yield emit(merged(np.concatenate(held)))
+            rows = counted(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, object)[rows[:, 0]], pa.string()),
+                                              *(pa.array(rows[:, 2 + k], pa.int64(), mask=rows[:, 6] <= k) for k in range(LONGEST)), pa.array(rows[:, 1])], schema=_WINDOWS)
 
     return documents.select("text", F.col("lang").cast("string")).mapInArrow(run, "lang string, w1 long, w2 long, w3 long, w4 long, n long")
 
