@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -55,3 +56,34 @@ def test_injected_control_strings_stay_text(spark, tmp_path):
     got = {r.conv_id: r for r in M.op1_chat_format(spark, str(tmp_path)).collect()}
     assert got[-1].n_turns == 2 and got[-1].loss_chars == len(M.INJECTION)
     assert got[-1].loss_sha256 == hashlib.sha256(M.INJECTION.encode()).hexdigest()
+
+
+def test_references_in_texts_become_parts_and_come_back(spark):
+    rng = random.Random(6)
+    bits = ["![a](b.png)", "![x y](http://h/s.WAV)", "![](doc.pdf)", "![no](", "<", "|", "<|image:1|>", M.ESCAPED, " ", "\n", "text", "![q](<|document:2|>)"]
+    rows = [(c, t, rng.choice(["user", "assistant"]), "".join(rng.choices(bits, k=rng.randint(0, 9))), "x") for c in range(50) for t in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, body string")
+    formatted = M.format_turns(df.withColumn("parts", M.parse_parts(F.col("text"))))
+    got = {r.conv_id: r for r in M.conversation_digests(M.read_turns(formatted)).collect()}
+    kind = lambda r: "image" if r.lower().endswith(".png)") else "audio" if r.lower().endswith(".wav)") else "document"
+    for c in range(50):
+        mine = [r for r in rows if r[0] == c]
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in mine).encode()).hexdigest()
+        loss = "".join(r[3] for r in mine if r[2] == "assistant")
+        assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        refs = ["".join(f"{kind(x)}:{i + 1}:{x}\n" for i, x in enumerate(re.findall(M.REFERENCE, r[3]))) for r in mine]
+        assert got[c].refs_sha256 == hashlib.sha256("".join(refs).encode()).hexdigest()
+        assert got[c].n_attachments == got[c].expanded_tokens == sum(x.count("\n") for x in refs)
+
+
+def test_references_match_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, 0, "user", "see ![a](b.png) and <![c](d.mp3)"), (1, 1, "assistant", "a <"), (2, 0, "assistant", "![x](y.pdf)![z](w.gif)"), (3, 0, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = M.op1_chat_format(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.sql(M.SQL)
+    order = [want.columns.index(c) for c in got.columns]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r[i] for i in order) for r in want.fetchall())

@@ -1,10 +1,15 @@
+import math
+import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import sf_dir
 from helpers import ODD
 from tollgate.llm import langid, toxicity
+from tollgate.llm.sampling import bounded_sample
 
 
 def fold(doc_id, of):
@@ -72,3 +77,94 @@ def test_language_with_one_or_no_language(spark):
     none = docs.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {(r.lang_pred, r.score) for r in langid.predict(none, langid.fit(none)).collect()} == {("und", 0.0)}
     assert langid.predict(docs.limit(0), langid.fit(docs)).collect() == []
+
+
+def test_every_language_is_learned_whatever_its_place_in_the_alphabet(spark):
+    rows = []
+    for i in range(300):
+        word = "".join(chr(97 + (i * p + 7) % 26) for p in (1, 3, 5, 11, 17)) + chr(97 + i % 26) + chr(97 + i // 26)
+        rows += [(i * 10 + j, f"{word} {word}{j} {word}", f"l{i:03d}") for j in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == [f"l{i:03d}" for i in range(300)]
+
+
+def test_samples_are_bounded_and_the_same_in_every_order(spark):
+    rows = spark.range(6000).selectExpr("id", "if(id % 3 = 0, 'rare' || (id % 300), 'hot') as c")
+    one = sorted(tuple(r) for r in bounded_sample(rows.repartition(7), "c", "id", 40, total=2000).collect())
+    assert one == sorted(tuple(r) for r in bounded_sample(rows.repartition(3), "c", "id", 40, total=2000).collect())
+    by = {}
+    for _, c in one:
+        by[c] = by.get(c, 0) + 1
+    assert len(by) == 101 and max(by.values()) <= 80
+    few = bounded_sample(rows, "c", "id", 40, total=202).collect()
+    assert len({r.c for r in few}) > 60 and len(few) <= 404
+
+
+def test_numerals_and_signs_are_no_letters(spark):
+    rows = [(1, "½ ²"), (2, "①②③"), (3, "123 - !"), (4, "日本"), (5, "ª"), (6, "\U0001F600 \U0001F1E9")]
+    docs = spark.createDataFrame([(i + 10, "some words here", "en") for i in range(9)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), langid.fit(docs)).collect()}
+    assert [got[i].lang_pred for i in range(1, 7)] == ["und", "und", "und", "en", "en", "und"]
+
+
+def slow_margins(model, text):
+    """Margins by one dictionary of trigram counts."""
+    counts = {}
+    b = [x if x >= 0x80 else ord(chr(x).lower()) if chr(x).isalpha() else 0x20 for x in f" {text} ".encode()]
+    for i in range(len(b) - 2):
+        if b[i:i + 3] != [32, 32, 32]:
+            code = (b[i] | b[i + 1] << 8 | b[i + 2] << 16) * 2654435761 % 2**32 >> 32 - langid.BITS
+            counts[code] = counts.get(code, 0) + 1
+    norm = sum(counts.values()) ** 0.5
+    return [sum(c ** 0.5 * float(model.weights[k, j]) for k, c in counts.items()) / max(norm, 1e-9) + float(model.weights[-1, j]) for j in range(len(model.names))]
+
+
+def test_language_votes_match_a_loop_over_duels():
+    rng = random.Random(4)
+    texts = {"de": "der die das und nicht ein", "en": "the and of with that is", "nl": "het een van niet dat en", "fr": "le la les des une que", "es": "el los que una las del"}
+    rows = [(" ".join(rng.choices(t.split(), k=8)), lang) for lang, t in texts.items() for _ in range(30)]
+    model = langid.train([t for t, _ in rows], [x for _, x in rows])
+    asked = [" ".join(rng.choices(" ".join(texts.values()).split(), k=rng.randint(1, 9))) for _ in range(60)] + ["été niño", "x", "Der HUND", "a-b 12 c"]
+    lang, score = model.predict(pa.array(asked))
+    for t, got, s in zip(asked, lang, score):
+        m = dict(zip(model.names, slow_margins(model, t)))
+        fam = sorted(model.families, key=lambda f: -m[("family", f)])
+        members = [x for x in model.languages if langid.family(x) == fam[0]]
+        wins, total = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0)
+        for i, a in enumerate(members):
+            for b in members[i + 1:]:
+                d = m[("pair", a, b)]
+                wins[a if d >= 0 else b] += 1
+                total[a] += d
+                total[b] -= d
+        best = max(members, key=lambda x: (wins[x], total[x]))
+        sure = lambda x: 1 / (1 + math.exp(-2 * x))
+        want = sure((m[("family", fam[0])] - m[("family", fam[1])]) / 2) * (sure(total[best] / (len(members) - 1)) if len(members) > 1 else 1)
+        assert got == best and abs(s - want) < 1e-3
+
+
+def slow_score(model, text):
+    """One text's score by loops over words, filters and blocks."""
+    ids, _, group = toxicity.features(pa.array([text]))
+    x = [[float(model.emb[a, d]) + float(model.emb[b, d]) + float(model.emb[c, d]) for d in range(toxicity.DIM)] for a, b, c in ids.tolist()]
+    top, mean = [], []
+    for w, k, bias in zip(toxicity.WIDTHS, model.conv, model.cbias):
+        for f in range(toxicity.FILTERS):
+            act = [max(0.0, float(bias[f]) + sum(x[i + j][d] * float(k[j, d, f]) for j in range(w) if i + j < len(x) for d in range(toxicity.DIM))) for i in range(len(x))]
+            blocks = [max(act[i:i + toxicity.BLOCK]) for i in range(0, len(act), toxicity.BLOCK)]
+            top.append(max(act, default=0.0))
+            mean.append(sum(blocks) / len(blocks) if blocks else 0.0)
+    p = 1 / (1 + math.exp(-(sum(a * float(b) for a, b in zip(top + mean, model.out)) + float(model.bias))))
+    cut = model.cut[group[0]]
+    return 0.3 * p / cut if p < cut else 0.3 + 0.7 * (p - cut) / (1 - cut)
+
+
+def test_toxicity_scores_match_a_slow_forward_pass():
+    rng = random.Random(9)
+    good, bad = ["kind", "calm", "words", "here", "tree"], ["awful", "nasty", "vile", "here", "words"]
+    texts = [" ".join(rng.choices(bad if i % 2 else good, k=rng.randint(1, 40))) for i in range(160)]
+    model = toxicity.train(texts, np.array([i % 2 for i in range(160)], float))
+    asked = texts[:25] + ["", "one", "größe schön", "x " * 70, None]
+    got = model.score(pa.array(asked))
+    assert all(abs(g - slow_score(model, t or "")) < 1e-4 for g, t in zip(got, asked))

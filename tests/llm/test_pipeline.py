@@ -5,7 +5,7 @@ import random
 import corpus_pipeline as P
 from conftest import sf_dir
 from helpers import ODD, near_components, random_texts, removed_lines, words
-from tollgate.llm import toxicity
+from tollgate.llm import line_dedup, minhash, tiling, toxicity
 from tollgate.llm.common import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -63,3 +63,22 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_that_share_an_id_are_told_by_their_text(spark):
+    rng = random.Random(8)
+    v = [f"v{i}" for i in range(900)]
+    para = lambda n=40: " ".join(rng.choices(v, k=n))
+    first, other, near = para(), para(), para(60)
+    item = para(20)
+    rows = [(1, first), (2, first), (2, other), (5, near), (5, near + " tail"), (5, para()), (None, first), (None, para()), (7, f"{item} {para(5)}"), (7, para()), (8, "same"), (8, "same")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text) for r in minhash.keep_one(docs).collect()), key=repr)
+    want = [x for x in rows if x not in ((2, first), (None, first))]
+    gone = {(5, near), (5, near + " tail")}
+    assert sorted((x for x in want if x not in gone), key=repr) == [x for x in kept if x not in gone] and len(gone & set(kept)) == 1
+    lines = sorted(((r.doc_id, r.text) for r in line_dedup.dedup(docs).collect()), key=repr)
+    assert (2, other) in lines and (2, first) not in lines and (None, first) not in lines and (1, first) in lines and sum(i == 5 for i, _ in lines) == 2
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = [(r.doc_id, r.text) for r in tiling.keep_clean(docs, bench).collect()]
+    assert sorted(clean, key=repr) == sorted((x for x in rows if not x[1].startswith(item)), key=repr)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.session import checkpoint_dir
+from tollgate.session import checkpoint_dir, remove_at_end
 
 SLICE_BYTES = 1 << 19
 
@@ -24,7 +24,8 @@ class Scratch:
 
     ``keep`` writes a frame once as Parquet and reads it back, so that a lost
     executor costs a re-read, never the lineage before it. ``drop`` removes
-    what later steps do not read.
+    what later steps do not read; what a returned frame still reads goes when
+    the session's JVM ends.
     """
 
     def __init__(self, spark: SparkSession):
@@ -33,6 +34,8 @@ class Scratch:
         self.count = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
+        if not self.count:
+            remove_at_end(self.spark, self.base)
         self.count += 1
         path = f"{self.base}/{self.count}"
         df.write.parquet(path)
@@ -48,6 +51,26 @@ class Scratch:
                 path.getFileSystem(conf).delete(path, True)
 
 
+ROW_KEY = "__row_key"
+
+
+def row_keys(scratch: Scratch, documents: DataFrame) -> DataFrame:
+    """``documents`` with ROW_KEY: one long for each (doc_id, text), so that ids may repeat or be null.
+
+    An id that stands for one text is its own key, so keys keep the order of
+    ids. Rows of an id with several texts, and rows without an id, get a hash of
+    id and text from 2**62 on, behind all ids (ids stay below 2**62). Finding
+    the repeated ids shuffles two numbers a row, never a text; the join is
+    planned by the written size of their list.
+    """
+    repeated = scratch.keep(documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("h"))
+                            .distinct().groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"))
+    behind = F.lit(1 << 62).cast("long") + F.xxhash64(F.col("doc_id").cast("long"), "text").bitwiseAND(F.lit((1 << 62) - 1).cast("long"))
+    one = F.col("doc_id").isNotNull() & F.col("__id").isNull()
+    return (documents.join(repeated, F.col("doc_id").cast("long") == F.col("__id"), "left")
+            .withColumn(ROW_KEY, F.when(one, F.col("doc_id").cast("long")).otherwise(behind)).drop("__id"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``limit`` bytes a piece (one row at least)."""
     for batch in batches:

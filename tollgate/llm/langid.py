@@ -1,7 +1,7 @@
 """Hierarchical language identification: family first, then one-versus-one SVMs.
 
-Features: hashed byte trigrams of the text, ASCII lower-cased, everything that
-is not a letter counted as a space; relative counts, square-rooted and scaled
+Features: hashed byte trigrams of the text, ASCII lower-cased, ASCII signs and
+digits counted as spaces (other signs are bytes like any); relative counts, square-rooted and scaled
 to unit length. Linear support vector machines (averaged Pegasos steps on the
 hinge loss, in numpy) decide: one against the rest for each family, then for
 each pair of languages within a family; a family's languages are ranked by
@@ -10,15 +10,19 @@ won duels, then by the sum of margins.
 Families: the table below groups common languages; a learned value that it
 does not name is a family of its own.
 
-Bounds (parameters): training takes about ``per_language`` rows of each
-language with texts up to ``max_chars`` characters; prediction reads every
-whole text. The model holds (families + pairs) x 2**14 numbers and is
-broadcast; the number of learned languages is limited by the sampler.
-
-Cases: a null text, an empty text or one without letters is ``und`` with score
-0. Rows with null lang are not learned from but are predicted. With a single
-learned language every text with letters gets it with score 1; with none,
-``und``. Repeated rows are predicted each. Extra columns are not read.
+Bounds (parameters): every lang value is learned. Training takes about
+``per_language`` rows of each with texts up to ``max_chars`` characters, fewer
+of each once there are more than 100 values; prediction reads every whole text.
+The model holds (families + pairs) x 2**14 numbers, 64 KB each, and is
+broadcast: values that the table does not name are families of their own and
+make no pairs.
+
+Cases: a null text, an empty text or one without a letter (general category L)
+is ``und`` with score 0. Rows with null lang are not learned from but are
+predicted. A null doc_id is in no fold: its row is not learned from, its
+``held_out`` is null, its prediction is made. With a single learned language
+every text with letters gets it with score 1; with none, ``und``. Repeated rows
+are predicted each. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import combinations
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +58,12 @@ _MAP = np.full(256, 0x20, np.uint8)
 _MAP[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _MAP[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _MAP[0x80:] = np.arange(0x80, 0x100)
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN_LETTER = re.compile(r"[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of general category L is there; numerals such as fractions and circled digits are none."""
+    return _PLAIN_LETTER.search(text) is not None or any(category(c)[0] == "L" for c in text)
 
 
 def family(lang: str) -> str:
@@ -124,7 +134,7 @@ class Model:
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         n = len(texts)
-        letters = np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+        letters = np.array([bool(t) and has_letter(t) for t in texts.to_pylist()], bool)
         if not self.languages:
             return ["und"] * n, np.zeros(n)
         m = self.margins(texts)

@@ -24,8 +24,9 @@ ends in one group and meets in one block pair: the join is exact.
 
 Cases: null and empty texts have no lines to remove; a text whose lines all
 went is empty. Repeated rows of one doc_id with one text are one place each
-(``dedup`` returns every row); rows with a null doc_id pass unchanged and take
-no part. Very long lines are handled whole. Extra columns are passed through
+(``dedup`` returns every row). In ``removed_lines`` rows with a null doc_id take
+no part and texts of one id share its places; ``dedup`` tells rows apart by id
+and text, so there each takes part for itself. Very long lines are handled whole. Extra columns are passed through
 by ``dedup`` and not read. An empty table gives an empty result.
 """
 
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import textcodes as tc
-from tollgate.llm.common import Scratch, connected_components, run_starts, slices, sorted_runs, table
+from tollgate.llm.common import ROW_KEY, Scratch, connected_components, row_keys, run_starts, slices, sorted_runs, table
 from tollgate.llm.minhash import blocked
 
 BITS, SLABS = 20, 64
@@ -428,16 +429,19 @@ def removed_lines(documents: DataFrame, scratch: Scratch, percent: int = 80) ->
 def dedup(documents: DataFrame, percent: int = 80, drop_emptied: bool = True) -> DataFrame:
     """``documents`` with removed lines cut from ``text``; ``n_chars``, where present, follows.
 
+    Rows take part by id and text together (``common.row_keys``): texts that
+    share an id, or have none, are documents of their own.
     A document that lost lines and has no word left is dropped, if asked.
     """
     scratch = Scratch(documents.sparkSession)
-    lines, removed = removed_lines(documents, scratch, percent)
+    keyed = row_keys(scratch, documents)
+    lines, removed = removed_lines(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), scratch, percent)
     gone = scratch.keep(removed.groupBy("doc_id").agg(F.collect_set("line").alias("__gone")))
     scratch.drop(lines, removed)
     parts = F.split(F.col("text"), "\n", -1)
     kept = F.array_join(F.transform(F.filter(F.transform(parts, lambda x, i: F.struct(x.alias("x"), i.cast("long").alias("i"))),
                                              lambda s: ~F.array_contains("__gone", s.i)), lambda s: s.x), "\n")
-    out = documents.join(gone.withColumnRenamed("doc_id", "__doc").hint("shuffle_hash"), F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    out = keyed.join(gone.withColumnRenamed("doc_id", ROW_KEY).hint("shuffle_hash"), ROW_KEY, "left")
     out = out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(documents.schema["n_chars"].dataType)))

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import textcodes as tc
-from tollgate.llm.common import Scratch, connected_components, run_starts, slices, sorted_runs, table
+from tollgate.llm.common import ROW_KEY, Scratch, connected_components, row_keys, run_starts, slices, sorted_runs, table
 
 CHUNKS, CHUNK, POSITIONS = 16, 4, 128
 INDEXED = CHUNKS * CHUNK
@@ -299,6 +299,18 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def keep_one(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``documents``, all columns, without the rows that a component's first document stands for.
+
+    Rows take part by id and text together (``common.row_keys``), those without
+    an id as well; rows alike in both stay or go together.
+    """
+    scratch = Scratch(documents.sparkSession)
+    keyed = row_keys(scratch, documents)
+    gone = near_duplicates(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), width, percent).where("NOT kept").select(F.col("doc_id").alias(ROW_KEY))
+    return keyed.join(gone.hint("shuffle_hash"), ROW_KEY, "left_anti").select(documents.columns)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over two-word shingles at similarity 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)

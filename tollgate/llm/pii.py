@@ -6,21 +6,28 @@ windows of ``WINDOW`` words on either side, within the text. Over the corpus,
 with n(t) occurrences of a term t, n(t, e) of them inside contexts of e, n(e)
 contexts and W words in all:
 
-    p(e) = min(1, n(e) * 2 * WINDOW / W),  p(e|t) = min(1, n(t, e) / n(t))
+    p(e) = min(1, n(e) * 2 * WINDOW / W)
+    p(e|t) = s * min(1, n(t, e) / n(t)) + (1 - s) * p(e),  s = n(t)**2 / (n(t)**2 + PRIOR)
     disclosure(t, e) = PMI / IC = log(p(e|t) / p(e)) / -log p(e)
 
-1 means that t appears with e alone; 0 that it says nothing. A term seen with e
-in at least ``LEAST`` distinct contexts whose disclosure reaches REMOVE is
-removed from e's contexts; from GENERALISE on it is generalised to its letter
-shape. Counts cover all texts; corpus counts are taken only for terms that
-pass the context test, found again through a bitmap of fixed size (2 MB) and
-joined exactly afterwards. Repeated contexts (copies) count as one for LEAST.
-
-Cases: a null text is empty and has no spans. Repeated rows of a doc_id are
-returned each; a null doc_id gets its base spans, and no term spans. Ties of
-start go by kind as listed. A term that overlaps a base span is part of it and
-never a term. Very long texts cost in proportion. Extra columns are not read.
-An empty table gives an empty result.
+1 means that t appears with e alone; 0 that it says nothing. Support is part of
+the estimate: s pulls a rarely seen term towards p(e), by two thirds at its
+first occurrence and by a ninth at its fourth.
+A term whose disclosure reaches REMOVE is removed from e's contexts; from
+GENERALISE on it is generalised to its letter shape. The thresholds are the
+whole rule: a term of a single context, or of a group of copies, is judged by
+its disclosure like any. Counts cover all texts; corpus counts are taken only
+for terms of contexts, found again through a bitmap of fixed size (2 MB) and
+joined exactly afterwards.
+
+A row is known by its id and text together, so rows that share an id but not
+the text, and rows without an id, keep their own spans and are sanitised by
+them.
+
+Cases: a null text is empty and has no spans. Repeated rows are returned each,
+with the same spans. Ties of start go by kind as listed. A term that overlaps a
+base span is part of it and never a term. Very long texts cost in proportion.
+Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +46,7 @@ from tollgate.llm.common import Scratch, slices, table
 from tollgate.llm.tiling import FILTER_BITS, code_bitmap
 
 KINDS = ("email", "ip", "card", "phone", "remove", "generalise")
-WINDOW, LEAST, REMOVE, GENERALISE = 20, 2, 0.95, 0.8
+WINDOW, PRIOR, REMOVE, GENERALISE = 20, 2.0, 0.95, 0.8
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A run of digits is taken whole whether or not the rest follows, so no run is scanned twice.
@@ -123,17 +130,23 @@ def contexts(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, li
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
 _TERM = pa.struct([("code", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
-_CONTEXT = pa.struct([("entity", pa.int64()), ("here", pa.int64()), ("terms", pa.list_(_TERM))])
-_FOUND = "doc_id long, spans array<struct<start:long,end:long,kind:string>>, contexts array<struct<entity:long,here:long,terms:array<struct<code:long,start:long,end:long>>>>"
+_CONTEXT = pa.struct([("entity", pa.int64()), ("terms", pa.list_(_TERM))])
+_FOUND = "doc_id long, row binary, spans array<struct<start:long,end:long,kind:string>>, contexts array<struct<entity:long,terms:array<struct<code:long,start:long,end:long>>>>"
+
+
+def row_key():
+    """16 bytes that tell a row by its id and text; a null text is as an empty one."""
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return F.unhex(F.substring(F.sha2(name.cast("binary"), 256), 1, 32))
 
 
 def find(documents: DataFrame) -> DataFrame:
-    """(doc_id, spans, contexts) of each row: base spans, and the coded terms around each."""
+    """(doc_id, row, spans, contexts) of each row: base spans, and the coded terms around each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             spans, held = [], []
-            for text in b.column(1).to_pylist():
+            for text in b.column(2).to_pylist():
                 got = base_spans(text) if text else []
                 spans.append([{"start": s, "end": e, "kind": k} for s, e, k in got])
                 rows = []
@@ -146,12 +159,12 @@ def find(documents: DataFrame) -> DataFrame:
                     for (_, terms), ent in zip(ctx, entity.tolist()):
                         mine = code[at:at + len(terms)]
                         at += len(terms)
-                        here = int(tc.mix(mine.view(np.uint64) + np.arange(len(mine), dtype=np.uint64)).sum().astype(np.int64)) if len(mine) else 0
-                        rows.append({"entity": ent, "here": here, "terms": [{"code": c, "start": s, "end": e} for c, (s, e) in zip(mine.tolist(), terms)]})
+                        rows.append({"entity": ent, "terms": [{"code": c, "start": s, "end": e} for c, (s, e) in zip(mine.tolist(), terms)]})
                 held.append(rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(_SPAN)), pa.array(held, pa.list_(_CONTEXT))], ["doc_id", "spans", "contexts"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, pa.list_(_SPAN)), pa.array(held, pa.list_(_CONTEXT))],
+                                             ["doc_id", "row", "spans", "contexts"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _FOUND)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", row_key().alias("row"), "text").mapInArrow(run, _FOUND)
 
 
 def term_counts(documents: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -189,16 +202,16 @@ def term_counts(documents: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
 def disclosing_terms(documents: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     """(entity, code, disclosure, kind) of the terms that reveal an entity."""
-    context = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.here", "c.terms")
+    context = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.terms")
     entities = scratch.keep(context.groupBy("entity").agg(F.count("*").alias("n_e")))  # written: a hot entity's pairs can then be split
-    pairs = (context.select("entity", "here", F.explode("terms.code").alias("code"))
-             .groupBy("entity", "code", "here").agg(F.count("*").alias("n"))
-             .groupBy("entity", "code").agg(F.sum("n").alias("n_te"), F.count("*").alias("places")).where(F.col("places") >= LEAST))
+    pairs = context.select("entity", F.explode("terms.code").alias("code")).groupBy("entity", "code").agg(F.count("*").alias("n_te"))
     pairs = scratch.keep(pairs.join(entities, "entity"))
     counts = scratch.keep(term_counts(documents, code_bitmap(pairs.select("code"))))
     total = counts.where("code IS NULL").agg(F.coalesce(F.max("n"), F.lit(1)).cast("double").alias("w")).scalar()
     p_e = F.least(F.lit(1.0), F.col("n_e") * (2.0 * WINDOW) / F.col("w"))
-    p_et = F.least(F.lit(1.0), F.col("n_te") / F.col("n"))
+    square = F.col("n").cast("double") * F.col("n")
+    support = square / (square + PRIOR)
+    p_et = support * F.least(F.lit(1.0), F.col("n_te") / F.col("n")) + (1 - support) * F.col("p_e")
     flagged = (pairs.join(counts.where("code IS NOT NULL"), "code").withColumn("w", total)
                .withColumn("p_e", p_e).where("p_e < 1")
                .withColumn("disclosure", 1 - F.log(p_et) / F.log("p_e"))
@@ -210,21 +223,21 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, scratch: Scratch) -
 
 
 def term_spans(found: DataFrame, flagged: DataFrame) -> DataFrame:
-    """(doc_id, terms): spans of flagged terms inside contexts of the entity they reveal."""
-    at = (found.where("doc_id IS NOT NULL").select("doc_id", F.explode("contexts").alias("c"))
-          .select("doc_id", "c.entity", F.explode("c.terms").alias("t")).select("doc_id", "entity", "t.code", "t.start", "t.end"))
+    """(row, terms): spans of flagged terms inside contexts of the entity they reveal."""
+    at = (found.select("row", F.explode("contexts").alias("c"))
+          .select("row", "c.entity", F.explode("c.terms").alias("t")).select("row", "entity", "t.code", "t.start", "t.end"))
     return (at.join(flagged, ["entity", "code"])
-            .groupBy("doc_id", "start", "end").agg(F.max("kind").alias("kind"))  # removal outranks generalisation
-            .groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "kind")).alias("terms")))
+            .groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))  # removal outranks generalisation
+            .groupBy("row").agg(F.collect_list(F.struct("start", "end", "kind")).alias("terms")))
 
 
 def detect(documents: DataFrame) -> DataFrame:
-    """(doc_id, spans, terms) of each row: base spans and term spans, structs of (start, end, kind)."""
+    """(doc_id, row, spans, terms) of each row: base spans and term spans, structs of (start, end, kind)."""
     scratch = Scratch(documents.sparkSession)
     found = scratch.keep(find(documents))
     flagged = disclosing_terms(documents, found, scratch)
     terms = scratch.keep(term_spans(found, flagged))
-    return found.join(terms, "doc_id", "left").select("doc_id", "spans", F.coalesce("terms", F.array().cast("array<struct<start:long,end:long,kind:string>>")).alias("terms"))
+    return found.join(terms, "row", "left").select("doc_id", "row", "spans", F.coalesce("terms", F.array().cast("array<struct<start:long,end:long,kind:string>>")).alias("terms"))
 
 
 _SHAPES = ((re.compile(r"[0-9]+"), "0"), (re.compile(r"[^\W\d_]+"), "x"))
@@ -235,6 +248,7 @@ def sanitise_text(text: str, spans: list[tuple[int, int, str]]) -> str:
     out, at = [], 0
     for s, e, kind in sorted(spans):
         if s < at:
+            at = max(at, e) if kind in KINDS[:4] else at  # what reaches past an earlier span is as personal as the span
             continue
         out.append(text[at:s])
         if kind == "generalise":
@@ -250,7 +264,7 @@ def sanitise_text(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 def sanitise(documents: DataFrame) -> DataFrame:
     """(doc_id, text) with personal data and disclosing terms replaced."""
-    spans = detect(documents).select("doc_id", F.concat("spans", "terms").alias("all")).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    spans = detect(documents).select("row", F.concat("spans", "terms").alias("all")).where(F.size("all") > 0).dropDuplicates(["row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -258,7 +272,7 @@ def sanitise(documents: DataFrame) -> DataFrame:
                      for t, a in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    joined = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(spans, "doc_id", "left")
+    joined = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", row_key()).join(spans, "row", "left")
     return joined.select("doc_id", "text", "all").mapInArrow(run, "doc_id long, text string")
 
 

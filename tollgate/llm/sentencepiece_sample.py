@@ -20,9 +20,10 @@ order, without replacement. The k+1-st value kappa gives each its inclusion
 score 1 - exp(-exp(log p - kappa)).
 
 Noise is a hash of (seed, row key, pop, place in the text, arc): a row's
-samples are the same in every run, partitioning and batch. Units repeat
-within a batch, so lattices are built once for each distinct unit, and all
-walks of a batch advance together in numpy; the few longest units are finished
+samples are the same in every run, partitioning and batch. Units repeat within
+and between batches, so a worker keeps the lattices it has built (up to
+``KEPT_ARCS`` arcs, about 40 MB; then it starts afresh) and builds only those of
+units it has not met; all walks of a batch advance together in numpy; the few longest units are finished
 place by place. Long texts are walked in segments of ``SEGMENT`` to twice as
 many code points; only the best k+1 queue nodes are kept. Where a segment ends
 within a unit, its arcs reach over the end: they take the backward values of
@@ -56,6 +57,7 @@ SAMPLES, BYTE_PENALTY = 2, 10.0
 BATCH_BYTES, SEGMENT = 1 << 19, 1 << 19
 #: So few units are finished place by place, in blocks of so many places.
 FEW, BLOCK = 32, 4096
+KEPT_ARCS = 3_000_000
 SPACE, LITERAL = 0x2581, 0x110000
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -92,6 +94,7 @@ class Vocabulary:
         self.ids = np.array([i for i, _ in pieces], np.int32)
         self.weight = weight
         self.codes = np.array([self._code(p) for _, p in pieces], np.uint64)
+        self.kept = KeptUnits()
         self.slots = [np.full(1 << _SLOT_BITS, -1, np.int32)]
         left = np.arange(len(pieces))
         while len(left):
@@ -148,6 +151,51 @@ def _unit_begins(cp: np.ndarray) -> np.ndarray:
     return begin
 
 
+def _units(cp: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, size, code) of each unit of a stretch, and the value of each code point."""
+    begin = _unit_begins(cp)
+    begin[breaks] = True
+    start = np.flatnonzero(begin)
+    size = np.diff(np.append(start, len(cp)))
+    value = _cp_value(cp)
+    running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * tc.power_table(_BASE, len(cp))[:len(cp)])))
+    code = (running[start + size] - running[start]) * tc.power_table(_INVERSE, len(cp))[start] + size.astype(np.uint64)
+    return start, size, code, value
+
+
+class KeptUnits:
+    """Lattices of whole units that a worker has met, by unit code."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes, self.index = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.head, self.ptr, self.left = np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, np.int32)
+        self.length, self.ident, self.logq = np.empty(0, np.int16), np.empty(0, np.int32), np.empty(0)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Number of each unit, or -1."""
+        if len(self.codes) == 0:
+            return np.full(len(codes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.index[at], -1)
+
+    def add(self, codes: np.ndarray, built: Lattice) -> np.ndarray:
+        """Keep units that are not there yet, one for each start of ``built``; returns their numbers."""
+        number = len(self.head) + built.unit
+        self.head = np.concatenate((self.head, len(self.left) + built.head))
+        self.ptr = np.concatenate((self.ptr[:-1], self.ptr[-1] + built.ptr))
+        self.left = np.concatenate((self.left, built.left.astype(np.int32)))
+        self.length = np.concatenate((self.length, built.length.astype(np.int16)))
+        self.ident = np.concatenate((self.ident, built.ident.astype(np.int32)))
+        self.logq = np.concatenate((self.logq, built.logq))
+        codes, index = np.concatenate((self.codes, codes)), np.concatenate((self.index, number))
+        order = np.argsort(codes)
+        self.codes, self.index = codes[order], index[order]
+        return number
+
+
 class Lattice:
     """Units of a stretch of written text and the arcs of each distinct one.
 
@@ -157,14 +205,8 @@ class Lattice:
     """
 
     def __init__(self, vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray, tail: np.ndarray | None = None):
-        begin = _unit_begins(cp)
-        begin[breaks] = True
-        start = np.flatnonzero(begin)
-        size = np.diff(np.append(start, len(cp)))
+        start, size, code, value = _units(cp, breaks)
         over = 0 if tail is None else len(tail) - 1
-        value = _cp_value(cp)
-        running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * tc.power_table(_BASE, len(cp))[:len(cp)])))
-        code = (running[start + size] - running[start]) * tc.power_table(_INVERSE, len(cp))[start] + size.astype(np.uint64)
         if tail is not None:  # a unit that goes on is none of those that end
             code[-1] = ~code[-1]
         _, first, unit = np.unique(code, return_index=True, return_inverse=True)
@@ -239,6 +281,25 @@ class Lattice:
         self.logq = weight + beta[src + self.length] - beta[src]
 
 
+def kept_lattice(vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray) -> Lattice:
+    """The lattice of whole texts; only units that the worker has not met are built."""
+    start, size, code, _ = _units(cp, breaks)
+    codes, first, unit = np.unique(code, return_index=True, return_inverse=True)
+    kept = vocab.kept
+    if len(kept.logq) > KEPT_ARCS:
+        kept.clear()
+    number = kept.find(codes)
+    new = np.flatnonzero(number < 0)
+    if len(new):
+        n = size[first[new]]
+        place, begin = ranges(start[first[new]], start[first[new]] + n)
+        number[new] = kept.add(codes[new], Lattice(vocab, cp[place], begin))
+    out = Lattice.__new__(Lattice)
+    out.start, out.size, out.unit = start, size, number[unit]
+    out.head, out.ptr, out.left, out.length, out.ident, out.logq = kept.head, kept.ptr, kept.left, kept.length, kept.ident, kept.logq
+    return out
+
+
 def ranges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenated ranges [a, b) and where each begins."""
     n = b - a
@@ -373,7 +434,9 @@ class _Stretch:
     def __init__(self, vocab: Vocabulary, cps: list[np.ndarray], begin: int = 0, tail: np.ndarray | None = None):
         self.off = np.concatenate(([0], np.cumsum([len(c) for c in cps])))
         self.begin = begin
-        self.lat = Lattice(vocab, np.concatenate(cps), self.off[:-1], tail)
+        cp = np.concatenate(cps)
+        whole = tail is None and begin == 0
+        self.lat = kept_lattice(vocab, cp, self.off[:-1]) if whole else Lattice(vocab, cp, self.off[:-1], tail)
         self.occ = np.searchsorted(self.lat.start, self.off)
 
     def walk(self, docs: np.ndarray, pos: np.ndarray, key, g, phi, keep):

@@ -14,8 +14,10 @@ is contaminated if one item's coverage reaches ``THRESHOLD``.
 Cases: null and empty texts and items match nothing. An item of fewer than
 MATCH words is too short to be told from chance and is never counted. Items
 that repeat are counted each; repeated rows of a doc_id are one document in
-counts and returned each. Rows with a null doc_id cannot be matched to a
-result and count as clean; items with a null id are not used. Ties: the item
+counts and returned each. Rows are told by id and text (``common.row_keys``),
+so texts that share an id, or have none, are judged each by itself (``coverage``
+itself takes ids as given and skips null ones); items with a null id are not
+used. Ties: the item
 with the smallest id is named. Extra columns are not read. Empty tables give
 clean documents, or none.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import textcodes as tc
-from tollgate.llm.common import Scratch, slices, table
+from tollgate.llm.common import ROW_KEY, Scratch, row_keys, slices, table
 
 MATCH, THRESHOLD = 5, 0.4
 FILTER_BITS = 24
@@ -166,10 +168,18 @@ def contaminated(found: DataFrame) -> DataFrame:
             .select("doc_id", "n_items", (-F.col("best.item")).alias("item_id"), F.col("best.coverage").alias("coverage")))
 
 
+def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``documents``, all columns, without the rows that cover a benchmark item; rows are told by id and text."""
+    keyed = row_keys(Scratch(documents.sparkSession), documents)
+    found = coverage(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), benchmark, threshold).select(F.col("doc_id").alias(ROW_KEY)).distinct()
+    return keyed.join(found.hint("shuffle_hash"), ROW_KEY, "left_anti").select(documents.columns)
+
+
 def op5_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: whether a benchmark item is covered, by which and how far."""
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    found = contaminated(coverage(documents, table(spark, sf_dir, "benchmark")))
-    return (documents.select("doc_id").join(found, "doc_id", "left")
+    documents = row_keys(Scratch(spark), table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    rows = documents.select(F.col(ROW_KEY).alias("doc_id"), "text")
+    found = contaminated(coverage(rows, table(spark, sf_dir, "benchmark"))).withColumnRenamed("doc_id", ROW_KEY)
+    return (documents.select("doc_id", ROW_KEY).join(found, ROW_KEY, "left")
             .select("doc_id", F.col("coverage").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                     "item_id", F.coalesce("coverage", F.lit(0.0)).alias("coverage")))

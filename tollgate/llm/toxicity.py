@@ -209,7 +209,8 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = 1800, max_char
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     ids = bounded_sample(known, "toxic", "doc_id", per_class)
     rows = (documents.select("doc_id", "text").where((fold("doc_id", 4) != 2) & (F.length("text") <= max_chars))
-            .join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").collect())  # ids: at most 4 * per_class rows
+            .join(F.broadcast(ids), "doc_id")  # ids: at most 4 * per_class rows
+            .groupBy("doc_id").agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("r")).select("doc_id", "r.text", "r.toxic").collect())
     rows.sort(key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.float64))
 
