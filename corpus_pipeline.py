@@ -4,8 +4,9 @@ Rows rejected as toxic go; repeated and nearly repeated lines are cut (and
 documents with nothing left); one document of each near-duplicate group stays;
 documents that cover a benchmark item go; the rest is segmented for a
 SentencePiece vocabulary. The checks of each stage are those of its operator.
-Null and repeated ids, empty texts and empty tables are handled as the
-operators' docstrings state; null ids are never dropped by a join.
+A row is known by its id and text together, so rows that share an id, or have
+none, are deduplicated and judged each by its own text. Empty texts and empty
+tables are handled as the operators' docstrings state.
 """
 
 from __future__ import annotations
@@ -28,14 +29,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component (five-word shingles, similarity 0.8)."""
-    gone = minhash.near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id")
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+    return minhash.keep_one(docs, width=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no benchmark item."""
-    found = tiling.coverage(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+    return tiling.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
