@@ -12,7 +12,7 @@ does not name is a family of its own.
 
 Bounds (parameters): every lang value is learned. Training takes about
 ``per_language`` rows of each with texts up to ``max_chars`` characters, fewer
-of each once there are more than 100 values; prediction reads every whole text.
+of each once there are more than 20 values (12,000 rows in all); prediction reads every whole text.
 The model holds (families + pairs) x 2**14 numbers, 64 KB each, and is
 broadcast: values that the table does not name are families of their own and
 make no pairs.
@@ -42,7 +42,7 @@ from tollgate.llm import textcodes as tc
 from tollgate.llm.common import slices, table
 from tollgate.llm.sampling import bounded_sample, fold
 
-BITS = 14
+BITS, SAMPLE_ROWS = 14, 12_000
 #: Families of common language codes.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
@@ -96,21 +96,26 @@ def _matrix(texts: pa.Array) -> np.ndarray:
 
 
 def svm(x: np.ndarray, y: np.ndarray, epochs: int = 12, reg: float = 1e-4, seed: int = 3, batch: int = 16) -> np.ndarray:
-    """Averaged Pegasos: weights, the bias last."""
+    """Averaged Pegasos: weights, the bias last; a row for each column of ``y`` (rows, problems) of signs.
+
+    All problems of one call see the same mini-batches, so a step is two
+    matrix products, however many problems there are.
+    """
     rng = np.random.default_rng(seed)
-    w, total, t = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), 0
-    balance = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-6), 0.5 / max((y < 0).mean(), 1e-6))
+    w, total, t = np.zeros((y.shape[1], x.shape[1] + 1)), np.zeros((y.shape[1], x.shape[1] + 1)), 0
+    up = (y > 0).mean(0)
+    balance = np.where(y > 0, 0.5 / np.maximum(up, 1e-6), 0.5 / np.maximum((y < 0).mean(0), 1e-6))
     for _ in range(epochs):
         order = rng.permutation(len(y))
         for i in range(0, len(order), batch):
             b = order[i:i + batch]
             t += 1
             rate = 1 / (reg * (t + 1000))
-            bad = y[b] * (x[b] @ w[:-1] + w[-1]) < 1
+            bad = y[b] * (x[b] @ w[:, :-1].T + w[:, -1]) < 1
             g = balance[b] * y[b] * bad
-            w[:-1] *= 1 - rate * reg
-            w[:-1] += rate / len(b) * (g @ x[b])
-            w[-1] += 0.01 * rate / len(b) * g.sum()
+            w[:, :-1] *= 1 - rate * reg
+            w[:, :-1] += rate / len(b) * (g.T @ x[b])
+            w[:, -1] += 0.01 * rate / len(b) * g.sum(0)
             total += w
     return total / max(t, 1)
 
@@ -179,12 +184,13 @@ def train(texts: list[str], langs: list[str]) -> Model:
     x, lang = _matrix(pa.array(texts, pa.string())), np.array(langs, object)
     fam = np.array([family(v) for v in langs], object)
     families, weights = sorted(set(fam)), {}
-    for f in families if len(families) > 1 else []:
-        weights[("family", f)] = svm(x, np.where(fam == f, 1.0, -1.0))
+    if len(families) > 1:
+        for f, w in zip(families, svm(x, np.where(fam[:, None] == np.array(families, object), 1.0, -1.0))):
+            weights[("family", f)] = w
     for f in families:
         for a, b in combinations([v for v in languages if family(v) == f], 2):
             m = (lang == a) | (lang == b)
-            weights[("pair", a, b)] = svm(x[m], np.where(lang[m] == a, 1.0, -1.0))
+            weights[("pair", a, b)] = svm(x[m], np.where(lang[m] == a, 1.0, -1.0)[:, None])[0]
     return Model(languages, weights)
 
 
@@ -192,7 +198,7 @@ def fit(documents: DataFrame, per_language: int = 600, max_chars: int = 20_000)
     """Train on a bounded sample of rows whose crc32 fold of 5 is not 0."""
     known = (documents.select("doc_id", "text", "lang")
              .where((fold("doc_id", 5) != 0) & F.col("lang").isNotNull() & (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}")))
-    rows = sorted(bounded_sample(known, "lang", "doc_id", per_language).collect(), key=lambda r: (r["doc_id"], r["text"]))
+    rows = sorted(bounded_sample(known, "lang", "doc_id", per_language, total=SAMPLE_ROWS).collect(), key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

@@ -6,16 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of a whole sample at most, however many classes there are (twice that in the worst case).
-SAMPLE_ROWS = 60_000
-
 
 def fold(doc_id: str, of: int) -> Column:
     """crc32 of the id's decimal text modulo ``of``."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % of
 
 
-def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, seed: int = 17, total: int = SAMPLE_ROWS) -> DataFrame:
+def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, seed: int = 17, total: int = 60_000) -> DataFrame:
     """About ``per_class`` rows of each large value of ``by``, all of a small one; never more than twice that.
 
     Every value takes part; with more than ``total / per_class`` of them each
