@@ -139,3 +139,58 @@ def test_round_trip_of_odd_texts(spark, vocab):
     assert {r.doc_id: r.decoded_text for r in rows} == {i: (t or "") for i, t in enumerate(odd)}
     assert M.sample(df.limit(0)).collect() == []
     assert M.digests(M.sample(df)).where("NOT distinct OR NOT decoded").count() == 0
+
+
+def test_units_end_where_no_piece_passes(vocab):
+    vocab.kept.clear()
+    M.sample_texts(vocab, [1], ["one,\ntwo.\nthree (four)\n\n1.\tone"], 2, 1)
+    known = vocab.kept.index.count
+    M.sample_texts(vocab, [2], ["one.\ntwo,\nthree)\n\n1.\tone"], 2, 1)
+    # Known words in another order, joined by other line breaks and marks, are no new units.
+    assert known and vocab.kept.index.count - known <= 4
+    pieces = {tuple(ord(c) for c in vocab.text[i].decode().replace(" ", chr(M.SPACE))) for i in vocab.ids}
+    pairs = {x for p in pieces for x in zip(p, p[1:])}
+    cp = M.written("Hello,\nwörld... (日本語) Ёxࠁy\t--\r\n  a▁b " + "http://x.y/z?a=1&b=2")
+    begin = M._unit_begins(vocab, cp)
+    assert not any(begin[i] for i in range(1, len(cp)) if (cp[i - 1], cp[i]) in pairs) and begin[cp == M.SPACE].any()
+
+
+def test_samples_across_units_follow_the_lattice(vocab):
+    for text in ("a.\nb", "x,\n\ny", "(1)\t2"):
+        exact = segmentations(vocab, text)
+        for key in range(50):
+            r = M.sample_texts(vocab, [key], [text], min(4, len(exact)), 1)[0]
+            assert len({x[0].tobytes() for x in r}) == min(4, len(exact)) and all(a[2] >= b[2] for a, b in zip(r, r[1:]))
+            assert all(abs(exact[split(vocab, x[0])] - x[1]) < 1e-9 for x in r)
+        r = M.sample_texts(vocab, [1], [text], len(exact), 1)[0]
+        assert {split(vocab, x[0]) for x in r} == set(exact)
+
+
+def test_kept_units_change_nothing(vocab, monkeypatch):
+    texts = [" ".join(f"item{i * 7 % 300},\nno{i}" for i in range(a, a + 200)) for a in range(0, 1000, 100)] + ["x" * 700]
+    keys = list(range(len(texts)))
+    whole = M.sample_texts(vocab, keys, texts, 3, 1)
+    for arcs, bits in ((0, 20), (2000, 20), (3_000_000, 4)):
+        monkeypatch.setattr(M, "KEPT_ARCS", arcs)
+        monkeypatch.setattr(M, "_SLOT_BITS", bits)
+        fresh = M.Vocabulary() if bits == 20 else vocab
+        monkeypatch.setattr(fresh, "kept", M.KeptUnits())
+        if bits != 20:
+            monkeypatch.setattr(fresh, "index", M.CodeIndex(vocab.index.codes[:vocab.index.count]))
+        for _ in range(2):
+            parts = [M.sample_texts(fresh, [k], [t], 3, 1)[0] for k, t in zip(keys, texts)]
+            for a, b in zip(whole, parts):
+                assert [x[0].tobytes() for x in a] == [x[0].tobytes() for x in b]
+                assert np.allclose([x[1:] for x in a], [x[1:] for x in b], rtol=1e-9)
+
+
+def test_codes_in_one_slot_are_told_apart(monkeypatch):
+    monkeypatch.setattr(M, "_SLOT_BITS", 3)
+    rng = np.random.default_rng(1)
+    codes = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+    rng.shuffle(codes)
+    index = M.CodeIndex()
+    assert index.find(codes[:3]).tolist() == [-1, -1, -1]
+    index.add(codes[:150])
+    index.add(codes[150:400])
+    assert index.find(codes[:400]).tolist() == list(range(400)) and set(index.find(codes[400:]).tolist()) == {-1}

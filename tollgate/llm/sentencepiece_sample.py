@@ -1,9 +1,12 @@
 """SentencePiece sampling without replacement: Gumbel top-k by perturbed A* search.
 
-Lattice. A text is written with ``U+2581`` for spaces and one in front. Pieces
-never hold a space sign after another character, so the lattice falls into
-units (space signs and what follows up to the next ones) of any length. Arcs
-are the vocabulary's pieces; a code point without a piece is written as its
+Lattice. A text is written with ``U+2581`` for spaces and one in front. Where no
+piece of the vocabulary holds a code point and the next one side by side, no
+arc passes, so the lattice falls into units between such places, of any length.
+Pairs are told by the last ten bits of both code points: a pair that shares
+them with a piece's is not cut, which makes a unit longer and changes no
+sample. Pieces never hold a space sign after another character, so a unit ends
+at a space at the latest. Arcs are the vocabulary's pieces; a code point without a piece is written as its
 UTF-8 bytes. The vocabulary file
 has merge ranks, no probabilities: a piece of rank r weighs 1 / (r + 2.7), a
 byte ``BYTE_PENALTY`` nats less than the rarest piece.
@@ -22,7 +25,7 @@ score 1 - exp(-exp(log p - kappa)).
 Noise is a hash of (seed, row key, pop, place in the text, arc): a row's
 samples are the same in every run, partitioning and batch. Units repeat within
 and between batches, so a worker keeps the lattices it has built (up to
-``KEPT_ARCS`` arcs, about 40 MB; then it starts afresh) and builds only those of
+``KEPT_ARCS`` arcs, MEMORY; then it starts afresh) and builds only those of
 units it has not met; all walks of a batch advance together in numpy; the few longest units are finished
 place by place. Long texts are walked in segments of ``SEGMENT`` to twice as
 many code points; only the best k+1 queue nodes are kept. Where a segment ends
@@ -58,14 +61,75 @@ BATCH_BYTES, SEGMENT = 1 << 19, 1 << 19
 #: So few units are finished place by place, in blocks of so many places.
 FEW, BLOCK = 32, 4096
 KEPT_ARCS = 3_000_000
+#: Least weight that noise is divided by.
+_TINY = 1e-300
 SPACE, LITERAL = 0x2581, 0x110000
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SLOT_BITS = 20
+#: Neighbouring code points of pieces are told by their last ten bits.
+_PAIR_BITS = 10
+_LOW = (1 << _PAIR_BITS) - 1
+
+
+@functools.cache
+def _cp_values() -> np.ndarray:
+    return tc.mix(np.arange(LITERAL + 1, dtype=np.uint64) + tc.U64(0x1234567))
 
 
 def _cp_value(cp: np.ndarray) -> np.ndarray:
-    return tc.mix(cp.astype(np.uint64) + tc.U64(0x1234567))
+    return _cp_values()[cp]
+
+
+class CodeIndex:
+    """Numbers of distinct 64-bit codes, in the order they were added."""
+
+    def __init__(self, codes: np.ndarray | None = None):
+        self.count, self.codes, self.slots = 0, np.empty(0, np.uint64), []
+        if codes is not None:
+            self.add(codes)
+
+    @staticmethod
+    def _slot(codes: np.ndarray, level: int) -> np.ndarray:
+        return (tc.mix(codes + tc.U64(level * 77)) >> tc.U64(64 - _SLOT_BITS)).astype(np.int64)
+
+    def add(self, codes: np.ndarray) -> None:
+        """Number codes that are not there yet; a taken slot sends a code to the next level."""
+        left = np.arange(self.count, self.count + len(codes))
+        self.codes = extended(self.codes, self.count, codes)
+        self.count += len(codes)
+        level = 0
+        while len(left):
+            if level == len(self.slots):
+                self.slots.append(np.full(1 << _SLOT_BITS, -1, np.int32))
+            at = self._slot(self.codes[left], level)
+            free = np.flatnonzero(self.slots[level][at] < 0)
+            self.slots[level][at[free]] = left[free]
+            left = left[self.slots[level][at] != left]
+            level += 1
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Number of each code, or -1."""
+        if not self.slots:
+            return np.full(len(codes), -1, np.int32)
+        out = self.slots[0][self._slot(codes, 0)]
+        bad = np.flatnonzero((self.codes[out] != codes) & (out >= 0))
+        for level in range(1, len(self.slots)):
+            if len(bad) == 0:
+                break
+            got = self.slots[level][self._slot(codes[bad], level)]
+            out[bad] = got
+            bad = bad[(self.codes[got] != codes[bad]) & (got >= 0)]
+        out[bad] = -1
+        return out
+
+
+def extended(have: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """An array whose first ``n`` values are those of ``have``, followed by ``more``; room doubles when it is used up."""
+    if n + len(more) > len(have):
+        have = np.concatenate((have[:n], np.empty(n + len(more), have.dtype)))
+    have[n:n + len(more)] = more
+    return have
 
 
 class Vocabulary:
@@ -93,48 +157,30 @@ class Vocabulary:
         self.longest = max(len(p) for _, p in pieces)
         self.ids = np.array([i for i, _ in pieces], np.int32)
         self.weight = weight
-        self.codes = np.array([self._code(p) for _, p in pieces], np.uint64)
+        # Pieces have the first numbers; the other beginnings of pieces follow.
+        codes = [self._codes(p) for _, p in pieces]
+        whole = dict.fromkeys(c[-1] for c in codes)
+        begun = dict.fromkeys(x for c in codes for x in c)
+        self.index = CodeIndex(np.array([*whole, *(x for x in begun if x not in whole)], np.uint64))
+        self.joined = np.zeros(1 << 2 * _PAIR_BITS, bool)
+        for _, p in pieces:
+            low = np.array([ord(c) for c in p]) & _LOW
+            self.joined[(low[:-1] << _PAIR_BITS) + low[1:]] = True
         self.kept = KeptUnits()
-        self.slots = [np.full(1 << _SLOT_BITS, -1, np.int32)]
-        left = np.arange(len(pieces))
-        while len(left):
-            level = len(self.slots) - 1
-            at = self._slot(self.codes[left], level)
-            _, first = np.unique(at, return_index=True)
-            self.slots[level][at[first]] = left[first]
-            left = np.delete(left, first)
-            if len(left):
-                self.slots.append(np.full(1 << _SLOT_BITS, -1, np.int32))
+        self.size = np.array([len(t) for t in self.text])
+        self.at = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(self.text), np.uint8)
 
     @staticmethod
-    def _code(piece: str) -> int:
+    def _codes(piece: str) -> list[int]:
+        """Codes of the piece's beginnings, the whole piece last."""
         v = _cp_value(np.array([ord(c) for c in piece]))
-        return int((v * tc.power_table(_BASE, len(v))[:len(v)]).sum())
-
-    @staticmethod
-    def _slot(codes: np.ndarray, level: int) -> np.ndarray:
-        return (tc.mix(codes + tc.U64(level * 77)) >> tc.U64(64 - _SLOT_BITS)).astype(np.int64)
-
-    def find(self, codes: np.ndarray) -> np.ndarray:
-        """Index of the piece with each code, or -1."""
-        out = self.slots[0][self._slot(codes, 0)]
-        bad = (out >= 0) & (self.codes[out] != codes)
-        out[bad] = -1
-        for level in range(1, len(self.slots)):
-            rest = np.flatnonzero(bad)
-            if len(rest) == 0:
-                break
-            got = self.slots[level][self._slot(codes[rest], level)]
-            wrong = (got >= 0) & (self.codes[got] != codes[rest])
-            out[rest] = np.where(wrong, -1, got)
-            bad = np.zeros(len(codes), bool)
-            bad[rest[wrong]] = True
-        return out
+        return np.cumsum(v * tc.power_table(_BASE, len(v))[:len(v)]).tolist()
 
     def decode(self, ids: bytes | np.ndarray) -> str:
         ids = np.frombuffer(ids, "<i4") if isinstance(ids, (bytes, memoryview)) else ids
-        text = b"".join(map(self.text.__getitem__, ids.tolist())).decode()
-        return text[1:]
+        place, _ = ranges(self.at[ids], self.at[ids] + self.size[ids])
+        return self.bytes[place].tobytes().decode()[1:]
 
 
 @functools.lru_cache(maxsize=2)
@@ -142,18 +188,18 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _unit_begins(cp: np.ndarray) -> np.ndarray:
+def _unit_begins(vocab: Vocabulary, cp: np.ndarray) -> np.ndarray:
     """Where units begin, by code point; the first place begins one."""
-    sign = cp == SPACE
-    begin = sign.copy()
-    begin[1:] &= ~sign[:-1]
-    begin[0] = True
+    sign, low = cp == SPACE, cp & _LOW
+    begin = np.ones(len(cp), bool)
+    begin[1:] = ~vocab.joined[(low[:-1] << _PAIR_BITS) + low[1:]]
+    begin[1:] |= sign[1:] & ~sign[:-1]
     return begin
 
 
-def _units(cp: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _units(vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, size, code) of each unit of a stretch, and the value of each code point."""
-    begin = _unit_begins(cp)
+    begin = _unit_begins(vocab, cp)
     begin[breaks] = True
     start = np.flatnonzero(begin)
     size = np.diff(np.append(start, len(cp)))
@@ -167,33 +213,25 @@ class KeptUnits:
     """Lattices of whole units that a worker has met, by unit code."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
-        self.codes, self.index = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.index, self.places, self.arcs = CodeIndex(), 0, 0
         self.head, self.ptr, self.left = np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, np.int32)
-        self.length, self.ident, self.logq = np.empty(0, np.int16), np.empty(0, np.int32), np.empty(0)
+        self.length, self.ident, self.logq, self.q = np.empty(0, np.int16), np.empty(0, np.int32), np.empty(0), np.empty(0)
 
-    def find(self, codes: np.ndarray) -> np.ndarray:
-        """Number of each unit, or -1."""
-        if len(self.codes) == 0:
-            return np.full(len(codes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, self.index[at], -1)
-
-    def add(self, codes: np.ndarray, built: Lattice) -> np.ndarray:
-        """Keep units that are not there yet, one for each start of ``built``; returns their numbers."""
-        number = len(self.head) + built.unit
-        self.head = np.concatenate((self.head, len(self.left) + built.head))
-        self.ptr = np.concatenate((self.ptr[:-1], self.ptr[-1] + built.ptr))
-        self.left = np.concatenate((self.left, built.left.astype(np.int32)))
-        self.length = np.concatenate((self.length, built.length.astype(np.int16)))
-        self.ident = np.concatenate((self.ident, built.ident.astype(np.int32)))
-        self.logq = np.concatenate((self.logq, built.logq))
-        codes, index = np.concatenate((self.codes, codes)), np.concatenate((self.index, number))
-        order = np.argsort(codes)
-        self.codes, self.index = codes[order], index[order]
-        return number
+    def clear(self) -> None:
+        if len(self.logq) > 3 * KEPT_ARCS:  # a very long unit came
+            self.__init__()
+        self.index, self.places, self.arcs = CodeIndex(), 0, 0
+
+    def add(self, codes: np.ndarray, built: Lattice) -> None:
+        """Keep units that are not there yet, one for each start of ``built``."""
+        self.head = extended(self.head, self.index.count, self.places + built.head[built.unit])
+        self.index.add(codes)
+        self.ptr = extended(self.ptr, self.places + 1, self.arcs + built.ptr[1:])
+        self.left = extended(self.left, self.places, built.left)
+        self.places += len(built.left)
+        for name in ("length", "ident", "logq", "q"):
+            setattr(self, name, extended(getattr(self, name), self.arcs, getattr(built, name)))
+        self.arcs += len(built.logq)
 
 
 class Lattice:
@@ -205,7 +243,7 @@ class Lattice:
     """
 
     def __init__(self, vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray, tail: np.ndarray | None = None):
-        start, size, code, value = _units(cp, breaks)
+        start, size, code, value = _units(vocab, cp, breaks)
         over = 0 if tail is None else len(tail) - 1
         if tail is not None:  # a unit that goes on is none of those that end
             code[-1] = ~code[-1]
@@ -223,31 +261,34 @@ class Lattice:
         total = len(points)
         run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(v * tc.power_table(_BASE, total)[:total])))
         back = tc.power_table(_INVERSE, total)
-        src, length, ident, weight = [], [], [], []
+        found_, degree = [], np.zeros(total, np.int64)
+        pieces = len(vocab.ids)
         at = np.flatnonzero(self.left > 0)
         for k in range(1, vocab.longest + 1):
             at = at[reach[at] >= k]
             if len(at) == 0:
                 break
-            found = vocab.find((run[at + k] - run[at]) * back[at])
+            found = vocab.index.find((run[at + k] - run[at]) * back[at])
             if k == 1:
                 found[points[at] == LITERAL] = -1
-                none = at[found < 0]
-                src.append(none)
-                length.append(np.ones(len(none), np.int64))
-                ident.append(-1 - points[none].astype(np.int64))
+                none = at[(found < 0) | (found >= pieces)]
                 width = 1 + (points[none] >= 0x80) + (points[none] >= 0x800) + ((points[none] >= 0x10000) & (points[none] != LITERAL))
-                weight.append(vocab.byte_weight * width)
-            ok = found >= 0
-            src.append(at[ok])
-            length.append(np.full(int(ok.sum()), k))
-            ident.append(vocab.ids[found[ok]].astype(np.int64))
-            weight.append(vocab.weight[found[ok]])
-        src, length, ident, weight = map(np.concatenate, (src, length, ident, weight))
-        order = np.argsort(src, kind="stable")
-        src, self.length, self.ident, weight = src[order], length[order], ident[order], weight[order]
+                found_.append((none, 1, degree[none], -1 - points[none], vocab.byte_weight * width))
+                degree[none] = 1
+            begun = found >= 0  # other places begin no longer piece
+            at, found = at[begun], found[begun]
+            ok = found < pieces
+            src, number = at[ok], found[ok]
+            found_.append((src, k, degree[src], vocab.ids[number], vocab.weight[number]))
+            degree[src] += 1
+        self.ptr = np.concatenate((np.zeros(1, np.int64), np.cumsum(degree)))
+        arcs = int(self.ptr[-1])
+        src, weight = np.repeat(np.arange(total), degree), np.empty(arcs)
+        self.length, self.ident = np.empty(arcs, np.int64), np.empty(arcs, np.int64)
+        for from_, k, rank, ident, w in found_:
+            to = self.ptr[from_] + rank
+            self.length[to], self.ident[to], weight[to] = k, ident, w
         self.src = src
-        self.ptr = np.searchsorted(src, np.arange(total + 1))
         self.head = head[:-1]
         # Backward pass: places by what is left of their unit, all units at once; the few longest place by place.
         beta = np.zeros(total)
@@ -279,24 +320,26 @@ class Lattice:
         # What the stretch before needs, relative to the first place.
         self.ahead = beta[head[unit[0]]:][:min(vocab.longest - 1, int(size[0])) + 1] - beta[head[unit[0]]]
         self.logq = weight + beta[src + self.length] - beta[src]
+        self.q = np.maximum(np.exp(self.logq), _TINY)
 
 
 def kept_lattice(vocab: Vocabulary, cp: np.ndarray, breaks: np.ndarray) -> Lattice:
     """The lattice of whole texts; only units that the worker has not met are built."""
-    start, size, code, _ = _units(cp, breaks)
-    codes, first, unit = np.unique(code, return_index=True, return_inverse=True)
+    start, size, code, _ = _units(vocab, cp, breaks)
     kept = vocab.kept
-    if len(kept.logq) > KEPT_ARCS:
+    if kept.arcs > KEPT_ARCS:
         kept.clear()
-    number = kept.find(codes)
+    number = kept.index.find(code)
     new = np.flatnonzero(number < 0)
     if len(new):
-        n = size[first[new]]
-        place, begin = ranges(start[first[new]], start[first[new]] + n)
-        number[new] = kept.add(codes[new], Lattice(vocab, cp[place], begin))
+        codes, first = np.unique(code[new], return_index=True)
+        first = new[first]
+        place, begin = ranges(start[first], start[first] + size[first])
+        kept.add(codes, Lattice(vocab, cp[place], begin))
+        number[new] = kept.index.find(code[new])
     out = Lattice.__new__(Lattice)
-    out.start, out.size, out.unit = start, size, number[unit]
-    out.head, out.ptr, out.left, out.length, out.ident, out.logq = kept.head, kept.ptr, kept.left, kept.length, kept.ident, kept.logq
+    out.start, out.size, out.unit = start, size, number
+    out.head, out.ptr, out.left, out.length, out.ident, out.logq, out.q = kept.head, kept.ptr, kept.left, kept.length, kept.ident, kept.logq, kept.q
     return out
 
 
@@ -311,9 +354,17 @@ def _counter(place: np.ndarray) -> np.ndarray:
     return place.astype(np.uint64) * tc.U64(64 * 0x9E3779B97F4A7C15 % 2**64)
 
 
-def gumbel(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
+def exponential(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
     h = tc.mix(key + counter.astype(np.uint64) * tc.U64(0x9E3779B97F4A7C15))
-    return -np.log(-np.log(((h >> tc.U64(11)).astype(np.float64) + 0.5) * 2.0**-53))
+    h >>= tc.U64(11)
+    x = h.astype(np.float64)
+    x += 0.5
+    x *= 2.0**-53
+    return np.negative(np.log(x, out=x), out=x)
+
+
+def gumbel(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
+    return -np.log(exponential(key, counter))
 
 
 def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, key: np.ndarray, origin: np.ndarray,
@@ -335,51 +386,64 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
     shift = origin[doc] + lat.start[units] - lat.head[lat.unit[units]]
     open_ = lat.left[at] > 0
     live, at = live[open_], at[open_]
-    who, where, arc, top_value = [], [], [], []
-
-    def choose(live: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The best arc at each place and its value."""
-        arcs, begin = ranges(lat.ptr[at], lat.ptr[at + 1])
-        owner = np.repeat(np.arange(len(at)), lat.ptr[at + 1] - lat.ptr[at])
-        value = lat.logq[arcs] + gumbel((key[doc[live]] + _counter(shift[live] + at))[owner], lat.length[arcs])
-        top = np.maximum.reduceat(value, begin)
-        chosen = np.flatnonzero(value == top[owner])
+    noise = key[doc] + _counter(shift)
+    who, where, arc, turn = [], [], [], []
+
+    def choose(live: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The best arc at each place: the greatest logq + Gumbel is the least exponential / q."""
+        at_, stop = lat.ptr[at], lat.ptr[at + 1]
+        arcs, begin = ranges(at_, stop)
+        value = exponential(np.repeat(noise[live] + _counter(at), stop - at_), lat.length[arcs])
+        value /= lat.q[arcs]
+        chosen = np.flatnonzero(value == np.repeat(np.minimum.reduceat(value, begin), stop - at_))
         if len(chosen) > len(at):  # a tie: the shortest piece
-            chosen = chosen[np.concatenate(([True], owner[chosen][1:] != owner[chosen][:-1]))]
-        return arcs[chosen], top
+            owner = np.repeat(np.arange(len(at)), stop - at_)[chosen]
+            chosen = chosen[np.concatenate(([True], owner[1:] != owner[:-1]))]
+        return arcs[chosen]
 
     while len(live) > FEW or len(live) and lat.left[at].max() <= BLOCK // 8:
-        pick, top = choose(live, at)
+        pick = choose(live, at)
+        turn.append(len(who))
         who.append(live)
         where.append(at)
         arc.append(pick)
-        top_value.append(top)
         at = at + lat.length[pick]
         more = lat.left[at] > 0
         live, at = live[more], at[more]
+    rounds = len(who)
     for u, p in zip(live.tolist(), at.tolist()):
         # A choice depends on its place alone: choose at every place of a block, then follow.
-        stop = p + int(lat.left[p])
+        stop, done = p + int(lat.left[p]), rounds
         while p < stop:
             here = np.arange(p, min(p + BLOCK, stop))
-            pick, top = choose(np.full(len(here), u), here)
+            pick = choose(np.full(len(here), u), here)
             step, path, x = lat.length[pick].tolist(), [], 0
             while x < len(here):
                 path.append(x)
                 x += step[x]
+            turn.append(np.arange(done, done + len(path)))
             who.append(np.full(len(path), u))
             where.append(here[path])
             arc.append(pick[path])
-            top_value.append(top[path])
+            done += len(path)
             p += x
     end, best = phi.astype(float), [[] for _ in range(ndoc)]
     if not who:
         none = np.empty(0, np.int64)
         return none, none, none, end, best
-    who = np.concatenate(who)
-    order = np.argsort(who, kind="stable")
-    w, at, a, z = who[order], np.concatenate(where)[order], np.concatenate(arc)[order], np.concatenate(top_value)[order]
-    d, lq = doc[w], lat.logq[a]
+    # Text order: the steps of a unit follow each other by turn.
+    steps = np.zeros(len(units), np.int64)
+    for i, u in enumerate(who):
+        if i < rounds:
+            steps[u] = i + 1
+        else:
+            steps[u[0]] = turn[i][-1] + 1
+    begin = np.cumsum(steps) - steps
+    at, a = np.empty(steps.sum(), np.int64), np.empty(steps.sum(), np.int64)
+    for u, t, at_, pick in zip(who, turn, where, arc):
+        to = begin[u] + t
+        at[to], a[to] = at_, pick
+    d, lq = np.repeat(doc, steps), lat.logq[a]
     total = np.cumsum(lq)
     first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
     base = np.zeros(ndoc)
@@ -387,45 +451,59 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
     before = phi[d] + total - lq - base[d]
     last = np.append(first[1:], len(d)) - 1
     end[d[last]] = before[last] + lq[last]
-    place = shift[w] + at
+    place = np.repeat(shift, steps) + at
+
+    def chosen_value(steps: np.ndarray) -> np.ndarray:
+        return lq[steps] + gumbel(key[d[steps]] + _counter(place[steps]), lat.length[a[steps]])
 
     def siblings(steps: np.ndarray) -> None:
         """Add the best siblings of some steps: Gumbels conditioned on the parent's value being the maximum."""
-        arcs, _ = ranges(lat.ptr[at[steps]], lat.ptr[at[steps] + 1])
-        owner = np.repeat(steps, lat.ptr[at[steps] + 1] - lat.ptr[at[steps]])
+        from_, stop = lat.ptr[at[steps]], lat.ptr[at[steps] + 1]
+        some = stop - from_ > 1
+        if not some.any():
+            return
+        steps, from_, stop = steps[some], from_[some], stop[some]
+        arcs, begin = ranges(from_, stop)
+        # A sibling's value falls as (its exponential / q - the least one) / exp(before) grows.
+        x = exponential(np.repeat(key[d[steps]] + _counter(place[steps]), stop - from_), lat.length[arcs])
+        x /= lat.q[arcs]
+        x -= np.repeat(np.minimum.reduceat(x, begin), stop - from_)
+        owner = np.repeat(steps, stop - from_)
         other = arcs != a[owner]
         arcs, owner = arcs[other], owner[other]
-        if len(arcs) == 0:
-            return
+        with np.errstate(divide="ignore"):
+            good = _best_of(d[owner], before[owner] - np.log(x[other]), keep)
+        arcs, owner = arcs[good], owner[good]
         v = lat.logq[arcs] + gumbel(key[d[owner]] + _counter(place[owner]), lat.length[arcs])
         gd = g[d[owner]]
         with np.errstate(divide="ignore"):
-            t = gd - (before[owner] + v) + np.log1p(-np.exp(v - z[owner]))
+            t = gd - (before[owner] + v) + np.log1p(-np.exp(v - chosen_value(owner)))
         value = gd - np.maximum(t, 0) - np.log1p(np.exp(-np.abs(t)))
-        for x, i in _best_of(d[owner], value, ndoc, keep):
-            best[x].append((float(value[i]), int(place[owner[i]]), int(arcs[i]), float(before[owner[i]] + lat.logq[arcs[i]])))
+        for i, e in zip(d[owner].tolist(), zip(value.tolist(), place[owner].tolist(), arcs.tolist(), (before[owner] + lat.logq[arcs]).tolist())):
+            best[i].append(e)
 
     # A sibling's value is at most Z + 40 (Z: its step's maximum; 40 > -log of the
     # noise's resolution), so steps with Z + 40 under the kept values need no look.
-    near = before >= phi[d] - 50
+    # Z itself is under a step's log probability + 38.
+    near = before >= phi[d] - 40
     siblings(np.flatnonzero(near))
     least = np.array([sorted((b[0] for b in x), reverse=True)[keep - 1] if len(x) >= keep else -np.inf for x in best])
-    siblings(np.flatnonzero(~near & (before + z + 40 > least[d])))
+    far = np.flatnonzero(~near & (before + 78 > least[d]))
+    siblings(far[before[far] + chosen_value(far) + 40 > least[d[far]]])
     return d, place, a, end, [sorted(x, key=lambda e: -e[0])[:keep] for x in best]
 
 
-def _best_of(doc: np.ndarray, value: np.ndarray, ndoc: int, keep: int):
-    """(document, index) of the ``keep`` greatest values of each document, greatest first."""
-    value = value.copy()
+def _best_of(doc: np.ndarray, value: np.ndarray, keep: int) -> np.ndarray:
+    """Where the ``keep`` greatest values of each document are; its rows follow each other."""
+    begin = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+    count = np.diff(np.append(begin, len(doc)))
+    out = []
     for _ in range(keep):
-        top = np.full(ndoc, -np.inf)
-        np.maximum.at(top, doc, value)
-        hit = np.flatnonzero((value == top[doc]) & (value > -np.inf))
-        if len(hit) == 0:
-            return
+        hit = np.flatnonzero((value == np.repeat(np.maximum.reduceat(value, begin), count)) & (value > -np.inf))
         hit = hit[np.unique(doc[hit], return_index=True)[1]]
-        yield from zip(doc[hit].tolist(), hit.tolist())
+        out.append(hit)
         value[hit] = -np.inf
+    return np.concatenate(out)
 
 
 class _Stretch:
@@ -453,9 +531,9 @@ class _Stretch:
         return walk(lat, units, offset, owner, key, self.begin - self.off[docs], g, phi, keep)
 
 
-def _cut(cp: np.ndarray) -> list[int]:
+def _cut(vocab: Vocabulary, cp: np.ndarray) -> list[int]:
     """Places to cut a long text: starts of units, or within units longer than a segment."""
-    start = np.flatnonzero(_unit_begins(cp))
+    start = np.flatnonzero(_unit_begins(vocab, cp))
     want = np.arange(SEGMENT, len(cp), SEGMENT)
     unit = start[np.searchsorted(start, want, "right") - 1]
     return [0, *np.unique(np.where(unit > want - SEGMENT, unit, want)).tolist()]
@@ -463,8 +541,8 @@ def _cut(cp: np.ndarray) -> list[int]:
 
 def _parts(vocab: Vocabulary, cp: np.ndarray) -> list[tuple[int, int, np.ndarray | None]]:
     """(begin, end, backward values from the end on, if within a unit) of the parts of a long text."""
-    cuts, out, tail = _cut(cp), [], None
-    within = ~_unit_begins(cp)
+    cuts, out, tail = _cut(vocab, cp), [], None
+    within = ~_unit_begins(vocab, cp)
     for a, b in zip(cuts[::-1], [len(cp), *cuts[:0:-1]]):
         out.append((a, b, tail))
         tail = _part(vocab, cp, a, b, tail).lat.ahead if within[a] else None
