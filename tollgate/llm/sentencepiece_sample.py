@@ -6,10 +6,10 @@ arc passes, so the lattice falls into units between such places, of any length.
 Pairs are told by the last ten bits of both code points: a pair that shares
 them with a piece's is not cut, which makes a unit longer and changes no
 sample. Pieces never hold a space sign after another character, so a unit ends
-at a space at the latest. Arcs are the vocabulary's pieces; a code point without a piece is written as its
-UTF-8 bytes. The vocabulary file
-has merge ranks, no probabilities: a piece of rank r weighs 1 / (r + 2.7), a
-byte ``BYTE_PENALTY`` nats less than the rarest piece.
+at a space at the latest. Arcs are the vocabulary's pieces; a code point
+without a piece is written as its UTF-8 bytes. The vocabulary file has merge
+ranks, no probabilities: a piece of rank r weighs 1 / (r + 2.7), a byte
+``BYTE_PENALTY`` nats less than the rarest piece.
 
 Search. The perturbed log probability of a whole segmentation is its log
 probability plus Gumbel noise. Top down, a node's value is the maximum over
@@ -25,9 +25,9 @@ score 1 - exp(-exp(log p - kappa)).
 Noise is a hash of (seed, row key, pop, place in the text, arc): a row's
 samples are the same in every run, partitioning and batch. Units repeat within
 and between batches, so a worker keeps the lattices it has built (up to
-``KEPT_ARCS`` arcs, MEMORY; then it starts afresh) and builds only those of
-units it has not met; all walks of a batch advance together in numpy; the few longest units are finished
-place by place. Long texts are walked in segments of ``SEGMENT`` to twice as
+``KEPT_ARCS`` arcs and those of a batch, some 140 MB; then it starts afresh) and
+builds only those of units it has not met; all walks of a batch advance
+together in numpy; the few longest units are finished place by place. Long texts are walked in segments of ``SEGMENT`` to twice as
 many code points; only the best k+1 queue nodes are kept. Where a segment ends
 within a unit, its arcs reach over the end: they take the backward values of
 the places there from the next segment, which the walk enters where the last
@@ -298,7 +298,7 @@ class Lattice:
         places = np.flatnonzero(self.left > 0)
         places = places[np.argsort(self.left[places], kind="stable")]
         cuts = np.searchsorted(self.left[places], np.arange(1, int(self.left.max()) + 2))
-        many = int(np.searchsorted(-np.diff(cuts), -FEW, "right"))
+        many = int(np.searchsorted(-np.diff(cuts), -FEW, "right")) if len(cuts) > BLOCK // 8 else len(cuts) - 1
         for a, b in zip(cuts[:many], cuts[1:many + 1]):
             p = places[a:b]
             arcs, begin_ = ranges(self.ptr[p], self.ptr[p + 1])
@@ -387,22 +387,32 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
     open_ = lat.left[at] > 0
     live, at = live[open_], at[open_]
     noise = key[doc] + _counter(shift)
-    who, where, arc, turn = [], [], [], []
-
-    def choose(live: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The best arc at each place: the greatest logq + Gumbel is the least exponential / q."""
-        at_, stop = lat.ptr[at], lat.ptr[at + 1]
-        arcs, begin = ranges(at_, stop)
-        value = exponential(np.repeat(noise[live] + _counter(at), stop - at_), lat.length[arcs])
-        value /= lat.q[arcs]
-        chosen = np.flatnonzero(value == np.repeat(np.minimum.reduceat(value, begin), stop - at_))
-        if len(chosen) > len(at):  # a tie: the shortest piece
-            owner = np.repeat(np.arange(len(at)), stop - at_)[chosen]
-            chosen = chosen[np.concatenate(([True], owner[1:] != owner[:-1]))]
-        return arcs[chosen]
+    who, where, arc, turn, gap = [], [], [], [], []
+
+    def choose(live: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best arc at each place (the greatest logq + Gumbel is the least exponential / q) and the next one's distance."""
+        first, mark = lat.ptr[at], noise[live] + _counter(at)
+        count = lat.ptr[at + 1] - first
+        least = exponential(mark, lat.length[first])
+        least /= lat.q[first]
+        pick, second = first.copy(), np.full(len(at), np.inf)
+        j, some = 1, np.flatnonzero(count > 1)
+        while len(some):
+            arcs = first[some] + j
+            x = exponential(mark[some], lat.length[arcs])
+            x /= lat.q[arcs]
+            have = least[some]
+            second[some] = np.minimum(second[some], np.maximum(x, have))
+            better = x < have  # a tie: the shortest piece
+            won = some[better]
+            least[won], pick[won] = x[better], arcs[better]
+            j += 1
+            some = some[count[some] > j]
+        return pick, second - least
 
     while len(live) > FEW or len(live) and lat.left[at].max() <= BLOCK // 8:
-        pick = choose(live, at)
+        pick, behind = choose(live, at)
+        gap.append(behind)
         turn.append(len(who))
         who.append(live)
         where.append(at)
@@ -416,7 +426,7 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
         stop, done = p + int(lat.left[p]), rounds
         while p < stop:
             here = np.arange(p, min(p + BLOCK, stop))
-            pick = choose(np.full(len(here), u), here)
+            pick, behind = choose(np.full(len(here), u), here)
             step, path, x = lat.length[pick].tolist(), [], 0
             while x < len(here):
                 path.append(x)
@@ -425,6 +435,7 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
             who.append(np.full(len(path), u))
             where.append(here[path])
             arc.append(pick[path])
+            gap.append(behind[path])
             done += len(path)
             p += x
     end, best = phi.astype(float), [[] for _ in range(ndoc)]
@@ -439,10 +450,10 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
         else:
             steps[u[0]] = turn[i][-1] + 1
     begin = np.cumsum(steps) - steps
-    at, a = np.empty(steps.sum(), np.int64), np.empty(steps.sum(), np.int64)
-    for u, t, at_, pick in zip(who, turn, where, arc):
+    at, a, behind = np.empty(steps.sum(), np.int64), np.empty(steps.sum(), np.int64), np.empty(steps.sum())
+    for u, t, *found in zip(who, turn, where, arc, gap):
         to = begin[u] + t
-        at[to], a[to] = at_, pick
+        at[to], a[to], behind[to] = found
     d, lq = np.repeat(doc, steps), lat.logq[a]
     total = np.cumsum(lq)
     first = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
@@ -453,43 +464,23 @@ def walk(lat: Lattice, units: np.ndarray, offset: np.ndarray, doc: np.ndarray, k
     end[d[last]] = before[last] + lq[last]
     place = np.repeat(shift, steps) + at
 
-    def chosen_value(steps: np.ndarray) -> np.ndarray:
-        return lq[steps] + gumbel(key[d[steps]] + _counter(place[steps]), lat.length[a[steps]])
-
-    def siblings(steps: np.ndarray) -> None:
-        """Add the best siblings of some steps: Gumbels conditioned on the parent's value being the maximum."""
-        from_, stop = lat.ptr[at[steps]], lat.ptr[at[steps] + 1]
-        some = stop - from_ > 1
-        if not some.any():
-            return
-        steps, from_, stop = steps[some], from_[some], stop[some]
-        arcs, begin = ranges(from_, stop)
-        # A sibling's value falls as (its exponential / q - the least one) / exp(before) grows.
-        x = exponential(np.repeat(key[d[steps]] + _counter(place[steps]), stop - from_), lat.length[arcs])
-        x /= lat.q[arcs]
-        x -= np.repeat(np.minimum.reduceat(x, begin), stop - from_)
-        owner = np.repeat(steps, stop - from_)
-        other = arcs != a[owner]
-        arcs, owner = arcs[other], owner[other]
-        with np.errstate(divide="ignore"):
-            good = _best_of(d[owner], before[owner] - np.log(x[other]), keep)
-        arcs, owner = arcs[good], owner[good]
-        v = lat.logq[arcs] + gumbel(key[d[owner]] + _counter(place[owner]), lat.length[arcs])
-        gd = g[d[owner]]
-        with np.errstate(divide="ignore"):
-            t = gd - (before[owner] + v) + np.log1p(-np.exp(v - chosen_value(owner)))
-        value = gd - np.maximum(t, 0) - np.log1p(np.exp(-np.abs(t)))
-        for i, e in zip(d[owner].tolist(), zip(value.tolist(), place[owner].tolist(), arcs.tolist(), (before[owner] + lat.logq[arcs]).tolist())):
-            best[i].append(e)
-
-    # A sibling's value is at most Z + 40 (Z: its step's maximum; 40 > -log of the
-    # noise's resolution), so steps with Z + 40 under the kept values need no look.
-    # Z itself is under a step's log probability + 38.
-    near = before >= phi[d] - 40
-    siblings(np.flatnonzero(near))
-    least = np.array([sorted((b[0] for b in x), reverse=True)[keep - 1] if len(x) >= keep else -np.inf for x in best])
-    far = np.flatnonzero(~near & (before + 78 > least[d]))
-    siblings(far[before[far] + chosen_value(far) + 40 > least[d[far]]])
+    # Siblings: Gumbels conditioned on the parent's value being the maximum. A
+    # step's best one is the next best arc; its value falls as behind / exp(before)
+    # grows, so the best ``keep`` of a document leave its best ``keep`` steps.
+    with np.errstate(divide="ignore"):
+        of = np.sort(_best_of(d, before - np.log(behind), keep))
+    arcs, _ = ranges(lat.ptr[at[of]], lat.ptr[at[of] + 1])
+    owner = np.repeat(of, lat.ptr[at[of] + 1] - lat.ptr[at[of]])
+    v = lat.logq[arcs] + gumbel(key[d[owner]] + _counter(place[owner]), lat.length[arcs])
+    z = lq[owner] + gumbel(key[d[owner]] + _counter(place[owner]), lat.length[a[owner]])
+    other = arcs != a[owner]
+    arcs, owner, v, z = arcs[other], owner[other], v[other], z[other]
+    gd, from_ = g[d[owner]], before[owner]
+    with np.errstate(divide="ignore"):
+        t = gd - (from_ + v) + np.log1p(-np.exp(v - z))
+    value = gd - np.maximum(t, 0) - np.log1p(np.exp(-np.abs(t)))
+    for i, *e in zip(d[owner].tolist(), value.tolist(), place[owner].tolist(), arcs.tolist(), (from_ + lat.logq[arcs]).tolist()):
+        best[i].append(tuple(e))
     return d, place, a, end, [sorted(x, key=lambda e: -e[0])[:keep] for x in best]
 
 
