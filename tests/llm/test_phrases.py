@@ -88,3 +88,59 @@ def test_products_past_64_bits(spark):
 def test_nothing_to_count(spark):
     assert result(spark, [("en", None), (None, ""), ("de", "one")], 10) == []
     assert P.collocations(spark.createDataFrame([], "text string, lang string")).collect() == []
+
+
+def windows_made(monkeypatch):
+    made, windows = [], P.longest_windows
+
+    def spy(*a):
+        made.append(windows(*a))
+        return made[-1]
+
+    monkeypatch.setattr(P, "longest_windows", spy)
+    return made
+
+
+def test_rare_phrases_that_share_a_counter_make_no_windows(spark, monkeypatch):
+    """What a large corpus does to tables of counters of a fixed size: many rare phrases meet in each."""
+    names = ["x%d" % i for i in range(400)]
+    code = P._code([w.encode() for w in names]).view(np.uint64)
+    lang = P.tc.mix(P._code([b"en"]).view(np.uint64) + P.tc._GOLDEN)
+    h = P.tc.mix(P.tc.mix(lang * np.uint64(3) + code)[:, None] * np.uint64(3) + code[None, :]).ravel()
+    order = np.argsort(h)
+    met = np.flatnonzero((h[order][1:] >> np.uint64(40) == h[order][:-1] >> np.uint64(40)) & (h[order][1:] >> np.uint64(34) != h[order][:-1] >> np.uint64(34)))
+    pairs = [" ".join((names[x // 400], names[x % 400])) for i in met[:20] for x in order[i:i + 2]]
+    assert len(pairs) == 40
+    rows = [("en", t) for t in [*pairs] * 20 + ["often met"] * 30]
+    made = windows_made(monkeypatch)
+    assert result(spark, rows, 2000) == expected(rows, 2000)
+    assert [r.n for r in made[0].collect()] == [30]
+
+
+def test_windows_are_added_up_before_they_are_written(spark, monkeypatch):
+    rows = [("en" if i % 2 else "de", t) for i in range(80) for t in ("a b c d e", "a b c", "c d e f", "x%d a b" % i)]
+    cut = P.slices
+    monkeypatch.setattr(P, "slices", lambda batches, column, limit: cut(batches, column, 8))
+    made = windows_made(monkeypatch)
+    assert result(spark, rows, 2000, 4) == expected(rows, 2000)
+    got = [tuple(r)[:-1] for r in made[0].collect()]
+    assert len(got) == len(set(got)) and 0 < len(got) < 40
+
+
+def test_held_bounds_change_nothing(spark, monkeypatch):
+    rows = corpus(random.Random(4))
+    cut = P.slices
+    monkeypatch.setattr(P, "slices", lambda batches, column, limit: cut(batches, column, 500))
+    monkeypatch.setattr(P, "HELD_HASHES", 300, raising=False)
+    monkeypatch.setattr(P, "HELD_WINDOWS", 100, raising=False)
+    monkeypatch.setattr(P, "DEALT", 64, raising=False)
+    assert result(spark, rows, 2000, 2) == expected(rows, 2000)
+
+
+def test_packed_hashes_come_back():
+    rng = np.random.default_rng(1)
+    for width in (4, 9, 16):
+        keys = np.unique(np.concatenate((rng.integers(0, 3 << (width + P.REST), 5000, np.uint64), np.array([0, (1 << P.REST) - 1, (3 << (width + P.REST)) - 1], np.uint64))))
+        n = rng.integers(1, P.LEAST + 1, len(keys))
+        back = [(part << P.REST | int(v) >> P.COUNT, int(v) & 31) for part, size, data in zip(*P._pack(keys, n, width)) for v in P._unpack(size, data)]
+        assert back == list(zip(keys.tolist(), n.tolist()))

@@ -6,13 +6,15 @@ with nulls; only these windows are counted, and ``ROLLUP`` over the third and
 fourth word sums them to the counts of the shorter phrases they begin with.
 
 Most windows of a large corpus can hold no phrase of ``LEAST`` occurrences. A
-first pass adds up, over all texts, three tables of 2**24 counters (2, 3 and 4
-words; counters stop at LEAST) addressed by a hash of language and words. A
-counter is at least the count of each phrase behind it, so a window is cut
-before a word whose phrase has a low counter, and no phrase of LEAST
-occurrences loses any of them. The tables reach the tasks as 3 x 2 MB of bits.
-They cut less as the corpus grows; counts stay exact, and beyond that the
-windows themselves are shuffled, in proportion to the text.
+first pass counts the phrases of 2, 3 and 4 words by a hash of language and
+words (32 bits and more, as the text grows): a task sorts its hashes, and their
+steps and counts are dealt out packed, by ranges, and added up. A hash counts at
+least as often as each phrase behind it, so a window is cut before a word whose
+phrase has a hash below LEAST, and no phrase of LEAST occurrences loses any of
+them. What reaches the tasks is a bit for each hash of LEAST or more, in three
+tables whose size follows the number of frequent phrases, not the text (3 x 2
+to 3 x 16 MB); past some millions of frequent phrases a table lets more windows
+through, and counts stay exact.
 
 A phrase is scored by its weakest cut: floor(2000000 * a / (l + r)), with a, l
 and r the counts of the phrase, its first words and the rest; decimals hold
@@ -26,8 +28,8 @@ words table, which is counted by the texts themselves.
 Cases: a null text is empty; a null language is ``und`` (with rows that say
 so). Empty pieces have no words; a text without words adds nothing. Ties of
 score and count go by phrase, ties of a cut's score to the shorter first part.
-Repeated rows count each. A very long text is one row's work, its windows are
-counted batch by batch. Extra columns are not read. An empty table gives an
+Repeated rows count each. A very long text is one row's work. A task's counts of
+windows are dealt out packed, and added up before they are written. Extra columns are not read. An empty table gives an
 empty result.
 """
 
@@ -35,7 +37,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +47,16 @@ from tollgate.llm import textcodes as tc
 from tollgate.llm.common import Scratch, slices, table
 
 LEAST, TOP, LONGEST = 30, 2000, 4
-BITS = 24
-CHUNK = 1 << 16
-#: Partial counts that a task holds before it hands them on.
-HELD = 200_000
+#: Bits that address a table of frequent hashes, at least and at most.
+BITS, WIDEST = 24, 27
+#: Bits of a phrase's hash below its range; bits of a partial count.
+REST, COUNT = 28, 5
+#: Bytes of text whose phrases of one length make a range of hashes.
+DEALT = 1 << 23
+#: Bytes of text taken at a time.
+TEXT = 1 << 20
+#: Partial counts of words, hashes of phrases and windows that a task holds before it hands them on.
+HELD, HELD_HASHES, HELD_WINDOWS = 100_000, 1 << 20, 1 << 17
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
 _GAP = _BREAK.copy()
@@ -93,7 +100,7 @@ def words_of(texts: pa.Array, langs: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 
 def phrase_places(lang: np.ndarray, code: np.ndarray, reach: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For 2, 3 and 4 words: (positions with that many words ahead, counter of the phrase there)."""
+    """For 2, 3 and 4 words: (positions with that many words ahead, hash of the phrase there)."""
     acc = tc.mix(lang.view(tc.U64) + tc._GOLDEN)
     out = []
     n = len(code)
@@ -103,7 +110,7 @@ def phrase_places(lang: np.ndarray, code: np.ndarray, reach: np.ndarray) -> list
         nxt[at] = tc.mix(acc[at] * tc.U64(3) + code[at + k].view(tc.U64))
         acc = nxt
         if k:
-            out.append((at, (acc[at] >> tc.U64(64 - BITS)).astype(np.int64)))
+            out.append((at, acc[at]))
     return out
 
 
@@ -111,32 +118,61 @@ def _lang_codes(names: list[str], lang: np.ndarray) -> np.ndarray:
     return _code([x.encode() for x in names])[lang] if names else np.empty(0, np.int64)
 
 
-_FIRST = "lang string, word string, code long, n long, length int, chunk int, part int, counters binary"
+def width_for(documents: DataFrame) -> int:
+    """Bits by which hashes are dealt out: a range of hashes of one length holds those of about DEALT bytes of text."""
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(16, max(4, (size // DEALT).bit_length()))
 
 
-def _pack(counters: np.ndarray) -> bytes:
-    return pa.compress(counters.tobytes(), "zstd", asbytes=True)
+def _pack(keys: np.ndarray, counts: np.ndarray, width: int) -> tuple[list[int], list[int], list[bytes]]:
+    """Ascending keys (length, ``width`` bits of range, REST bits) and counts as (range, size, bytes) of each range.
+
+    A range's keys are steps of REST bits: two bytes as they are, the others, nearly all equal, with the counts in zstd.
+    """
+    bounds = np.searchsorted(keys, np.arange(((LONGEST - 1) << width) + 1, dtype=tc.U64) << tc.U64(REST))
+    parts = np.flatnonzero(np.diff(bounds))
+    step = np.diff(keys, prepend=tc.U64(0)).astype(np.uint32)
+    step[bounds[parts]] = keys[bounds[parts]] & tc.U64((1 << REST) - 1)
+    low, rest = step.astype("<u2"), np.stack(((step >> 16).astype(np.uint8), (step >> 24).astype(np.uint8), counts.astype(np.uint8)))
+    ends = zip(bounds[parts].tolist(), bounds[parts + 1].tolist())
+    return parts.tolist(), (bounds[parts + 1] - bounds[parts]).tolist(), [low[a:b].tobytes() + pa.compress(rest[:, a:b].tobytes(), "zstd", asbytes=True) for a, b in ends]
+
+
+def _unpack(n: int, data: bytes) -> np.ndarray:
+    """Keys within their range, each with its count in the lowest COUNT bits."""
+    rest = np.frombuffer(pa.decompress(memoryview(data)[2 * n:], 3 * n, "zstd", asbytes=True), np.uint8).reshape(3, n).astype(tc.U64)
+    step = np.frombuffer(data, "<u2", n).astype(tc.U64) | rest[0] << tc.U64(16) | rest[1] << tc.U64(24)
+    return np.cumsum(step, dtype=tc.U64) << tc.U64(COUNT) | rest[2]
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, CHUNK, "zstd", asbytes=True), np.uint8)
+_FIRST = pa.schema([("lang", pa.string()), ("word", pa.string()), ("code", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("width", pa.int32()), ("data", pa.binary())])
 
 
-def first_pass(documents: DataFrame) -> DataFrame:
-    """Partial counts of words (lang, word, n), and partial counter chunks (length, chunk, part, counters)."""
+def first_pass(documents: DataFrame, width: int) -> DataFrame:
+    """Partial counts of words (lang, word, code, n), and of phrases by hash (n hashes, part, width, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
-        counters = np.zeros((LONGEST - 1, 1 << BITS), np.uint8)
+        hashes: list[np.ndarray] = []
 
         def flush():
             keys = list(seen)
             n = len(keys)
-            yield _batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()).cast(pa.string()),
-                          pa.array(_code([k[1] for k in keys])), pa.array(list(seen.values()), pa.int64()), *(pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.binary()))])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()).cast(pa.string()),
+                                              pa.array(_code([k[1] for k in keys])), pa.array(list(seen.values()), pa.int64()), *(pa.nulls(n, t) for t in _FIRST.types[4:])], schema=_FIRST)
             seen.clear()
 
-        for b in slices(batches, "text", 1 << 21):
+        def flush_hashes():
+            keys = np.concatenate(hashes)
+            hashes.clear()
+            keys.sort()
+            first = _firsts(keys)
+            parts, sizes, data = _pack(keys[first], np.minimum(np.diff(first, append=len(keys)), LEAST), width)
+            n = len(parts)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, t) for t in _FIRST.types[:3]), pa.array(sizes, pa.int64()), pa.array(parts, pa.int32()),
+                                              pa.array([width] * n, pa.int32()), pa.array(data, pa.binary())], schema=_FIRST)
+
+        for b in slices(batches, "text", TEXT):
             lang, word, names, texts, codes, reach = words_of(b.column("text"), b.column("lang"))
             if not len(word):
                 continue
@@ -146,109 +182,174 @@ def first_pass(documents: DataFrame) -> DataFrame:
                 seen[key] = seen.get(key, 0) + c
             if len(seen) > HELD:
                 yield from flush()
-            for k, (_, bucket) in enumerate(phrase_places(_lang_codes(names, lang), codes[word], reach)):
-                u, c = np.unique(bucket.astype(np.uint32), return_counts=True)
-                counters[k, u] = np.minimum(counters[k, u] + c, LEAST)
+            for k, (_, h) in enumerate(phrase_places(_lang_codes(names, lang), codes[word], reach)):
+                if len(h):
+                    hashes.append(h >> tc.U64(64 - width - REST) | tc.U64(k << (width + REST)))
+            if sum(map(len, hashes)) > HELD_HASHES:
+                yield from flush_hashes()
         if seen:
             yield from flush()
-        for k in range(LONGEST - 1):
-            for chunk in range((1 << BITS) // CHUNK):
-                part = counters[k, chunk * CHUNK:(chunk + 1) * CHUNK]
-                if part.any():
-                    data = _pack(part)
-                    yield _batch([*(pa.nulls(1, t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64())), pa.array([k + 2], pa.int32()),
-                                  pa.array([chunk], pa.int32()), pa.array([crc32(data) % 64], pa.int32()), pa.array([data], pa.binary())])
+        if hashes:
+            yield from flush_hashes()
 
-    return documents.select("text", F.col("lang").cast("string")).mapInArrow(run, _FIRST)
+    return documents.select("text", F.col("lang").cast("string")).mapInArrow(run, "lang string, word string, code long, n long, part int, width int, data binary")
 
 
-def _batch(columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(columns, ["lang", "word", "code", "n", "length", "chunk", "part", "counters"])
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Row numbers at which a new run of equal ``keys`` begins."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
 
 
-def merged_counters(partial: DataFrame, keys: list[str]) -> DataFrame:
-    """One chunk of counters for each value of ``keys``, added up as they come: two chunks are held at a time."""
+def frequent_hashes(partial: DataFrame) -> DataFrame:
+    """(part, width, n, data): the hashes of each range whose counts add up to LEAST; one range is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total = None, np.zeros(CHUNK, np.int64)
+        key, held = None, []
 
         def row():
-            return pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in key), pa.array([_pack(np.minimum(total, LEAST).astype(np.uint8))], pa.binary())],
-                                              [*keys, "counters"])
+            v = np.concatenate(held)
+            v.sort()
+            h = v >> tc.U64(COUNT)
+            first = _firsts(h)
+            h = h[first[np.add.reduceat(v & tc.U64((1 << COUNT) - 1), first) >= LEAST]].astype("<u4")
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([len(h)], pa.int64()), pa.array([h.tobytes()], pa.binary())],
+                                              ["part", "width", "n", "data"])
 
         for b in batches:
-            for *k, data in zip(*(b.column(i).to_pylist() for i in range(len(keys) + 1))):
-                if k != key:
-                    if key is not None:
+            for part, width, n, data in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if (part, width) != key:
+                    if held:
                         yield row()
-                    key, total[:] = k, 0
-                total += _unpack(data)
-        if key is not None:
+                    key, held = (part, width), []
+                held.append(_unpack(n, data))
+        if held:
             yield row()
 
-    return (partial.select(*keys, "counters").repartition(*keys).sortWithinPartitions(*keys)
-            .mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", counters binary"))
+    return (partial.select("part", "width", "n", "data").repartition("part").sortWithinPartitions("part")
+            .mapInArrow(run, "part int, width int, n long, data binary"))
 
 
 def frequent_bits(chunks: DataFrame) -> np.ndarray:
-    """A bit for each counter that reached LEAST: 3 tables of 2**24 bits (6 MB), whatever the corpus."""
+    """Three tables of bits (2, 3 and 4 words), addressed by the first bits of a hash: set for each hash of ``chunks``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bits = []
-            for data in b.column(2).to_pylist():
-                bits.append(np.packbits(_unpack(data) >= LEAST, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], ["length", "chunk", "bits"])
-
-    out = np.zeros((LONGEST - 1, (1 << BITS) // 8), np.uint8)
-    for r in chunks.select("length", "chunk", "counters").mapInArrow(run, "length int, chunk int, bits binary").toLocalIterator():
-        out[r.length - 2, r.chunk * CHUNK // 8:(r.chunk + 1) * CHUNK // 8] = np.frombuffer(r.bits, np.uint8)
+    64 bits or more for each hash of the fullest table, from 3 x 2 MB on and 3 x 16 MB at most.
+    """
+    most = chunks.groupBy(F.expr("part >> width")).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    bits = min(WIDEST, max(BITS, (64 * most).bit_length()))
+    out = np.zeros((LONGEST - 1, (1 << bits) // 8), np.uint8)
+    for r in chunks.where("n > 0").toLocalIterator():
+        own = np.zeros(1 << (bits - r.width), bool)
+        own[np.frombuffer(r.data, "<u4") >> np.uint32(REST - bits + r.width)] = True
+        k, part = r.part >> r.width, r.part & ((1 << r.width) - 1)
+        out[k, part * len(own) // 8:(part + 1) * len(own) // 8] = np.packbits(own, bitorder="little")
     return out
 
 
 _WINDOWS = pa.schema([("lang", pa.string()), *((f"w{i}", pa.int64()) for i in range(1, LONGEST + 1)), ("n", pa.int64())])
+_DEALT = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("size", pa.int32()), ("counts", pa.binary()), ("words", pa.binary())])
 
 
-def longest_windows(documents: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(lang, w1..w4, n): windows of two words or more, cut where no frequent phrase goes on; counted by batch."""
+def _counted(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """Equal windows as one row, in the order of their hashes; columns: hash, language, words present, four words (0 where absent), count."""
+    order = np.argsort(rows[0], kind="stable")
+    rows = [c[order] for c in rows]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in rows[:-1]:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in rows[:-1]] + [np.add.reduceat(rows[-1], first) if len(first) else rows[-1]]
+
+
+def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return _counted([np.concatenate(c) for c in zip(*held)])
+
+
+def longest_windows(documents: DataFrame, bits: np.ndarray, width: int = 4) -> DataFrame:
+    """(lang, w1..w4, n), each once: windows of two words or more, cut where no frequent phrase goes on.
+
+    A task counts its windows, HELD_WINDOWS at a time, and deals the counts out, packed, by 2**``width`` ranges of a
+    hash; one range of a language is added up at a time.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
+        shift = tc.U64(64 - (frequent.shape[1] * 8 - 1).bit_length())
+        numbers: dict[str, int] = {}
+        held: list[list[np.ndarray]] = []
 
-        def counted(rows: np.ndarray) -> np.ndarray:
-            """Equal windows as one row; columns: language, count, four words (0 where absent), words present."""
-            h = np.zeros(len(rows), tc.U64)
-            for c in (0, 2, 3, 4, 5, 6):
-                h = tc.mix(h + rows[:, c].view(tc.U64))
-            rows = rows[np.argsort(h, kind="stable")]
-            new = np.ones(len(rows), bool)
-            new[1:] = (np.delete(rows[1:], 1, 1) != np.delete(rows[:-1], 1, 1)).any(1)
-            first = np.flatnonzero(new)
-            out = rows[first]
-            out[:, 1] = np.add.reduceat(rows[:, 1], first) if len(first) else 0
-            return out
-
-        for b in slices(batches, "text", 1 << 21):
+        def flush():
+            (h, lang, present, *words, n), names = held[0], list(numbers)
+            held.clear()
+            run = lang.astype(np.int64) << width | (h >> tc.U64(64 - width)).astype(np.int64)
+            order = np.argsort(run, kind="stable")
+            run, present, words, n = run[order], present[order], [w[order] for w in words], n[order]
+            cuts = np.append(_firsts(run), len(run)).tolist()
+            data = []
+            for a, b in zip(cuts, cuts[1:]):
+                there = present[a:b]
+                data.append((names[run[a] >> width], run[a] & ((1 << width) - 1), b - a,
+                             pa.compress(there.tobytes() + n[a:b].view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True),
+                             b"".join(w[a:b][there > k].tobytes() for k, w in enumerate(words))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*data), _DEALT.types)], schema=_DEALT)
+
+        for b in slices(batches, "text", TEXT):
             lang, word, names, _, codes, reach = words_of(b.column("text"), b.column("lang"))
-            if not len(word):
-                continue
             code = codes[word]
             keep = np.ones(len(word), np.int8)
-            for k, (at, bucket) in enumerate(phrase_places(_lang_codes(names, lang), code, reach)):
+            for k, (at, h) in enumerate(phrase_places(_lang_codes(names, lang), code, reach)):
+                bucket = (h >> shift).astype(np.int64)
                 on = (frequent[k, bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
                 keep[at[on & (keep[at] == k + 1)]] = k + 2
             at = np.flatnonzero(keep >= 2)
-            rows = np.zeros((len(at), 7), np.int64)
-            rows[:, 0], rows[:, 1], rows[:, 6] = lang[at], 1, keep[at]
-            for k in range(LONGEST):
-                there = keep[at] > k
-                rows[there, 2 + k] = code[at[there] + k]
-            rows = counted(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(names, object)[rows[:, 0]], pa.string()),
-                                              *(pa.array(rows[:, 2 + k], pa.int64(), mask=rows[:, 6] <= k) for k in range(LONGEST)), pa.array(rows[:, 1])], schema=_WINDOWS)
+            if not len(at):
+                continue
+            present = keep[at]
+            words = [np.zeros(len(at), np.int64) for _ in range(LONGEST)]
+            h = tc.mix(present.astype(tc.U64))
+            for k, w in enumerate(words):
+                there = present > k
+                w[there] = code[at[there] + k]
+                h = tc.mix(h * tc.U64(3) + w.view(tc.U64))
+            held.append(_counted([h, np.array([numbers.setdefault(x, len(numbers)) for x in names], np.int32)[lang[at]], present, *words, np.ones(len(at), np.int64)]))
+            if sum(len(x[0]) for x in held) > HELD_WINDOWS:
+                held[:] = [_joined(held)]
+                if len(held[0][0]) > HELD_WINDOWS // 2:
+                    yield from flush()
+        if held:
+            held[:] = [_joined(held)]
+            yield from flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def row():
+            _, _, present, *words, n = _joined(held)
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(n), pa.string()), *(pa.array(w, pa.int64(), mask=present <= k) for k, w in enumerate(words)), pa.array(n)], schema=_WINDOWS)
+
+        for b in batches:
+            for lang, part, size, counts, data in zip(*(c.to_pylist() for c in b.columns)):
+                if (lang, part) != key:
+                    if held:
+                        yield row()
+                    key, held = (lang, part), []
+                tail = np.frombuffer(pa.decompress(counts, 9 * size, "zstd", asbytes=True), np.uint8)
+                present, n = tail[:size].view(np.int8), np.ascontiguousarray(tail[size:].reshape(8, size).T).view(np.int64)[:, 0]
+                flat, words, h, at = np.frombuffer(data, np.int64), [], np.zeros(size, tc.U64), 0
+                for k in range(LONGEST):
+                    there = np.flatnonzero(present > k)
+                    words.append(np.zeros(size, np.int64))
+                    words[k][there] = flat[at:at + len(there)]
+                    at += len(there)
+                    h = tc.mix(h * tc.U64(3) + words[k].view(tc.U64))
+                held.append([h, np.zeros(size, np.int8), present, *words, n])
+        if held:
+            yield row()
 
-    return documents.select("text", F.col("lang").cast("string")).mapInArrow(run, "lang string, w1 long, w2 long, w3 long, w4 long, n long")
+    return (documents.select("text", F.col("lang").cast("string")).mapInArrow(run, "lang string, part int, size int, counts binary, words binary")
+            .repartition("lang", "part").sortWithinPartitions("lang", "part")
+            .mapInArrow(add, "lang string, w1 long, w2 long, w3 long, w4 long, n long"))
 
 
 def frequent_phrases(windows: DataFrame, least: int = LEAST) -> DataFrame:
@@ -268,17 +369,21 @@ def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases."""
     spark = documents.sparkSession
     scratch = Scratch(spark)
-    first = scratch.keep(first_pass(documents))
-    words = scratch.keep(first.where("length IS NULL").groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("n").alias("n")))
-    chunks = scratch.keep(merged_counters(merged_counters(first.where("length IS NOT NULL"), ["length", "chunk", "part"]), ["length", "chunk"]))
-    coded = scratch.keep(longest_windows(documents, frequent_bits(chunks)))
-    scratch.drop(first, chunks)
+    width = width_for(documents)
+    first = scratch.keep(first_pass(documents, width))
+    counted = first.where("part IS NULL")
+    words = scratch.keep(counted.groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("n").alias("n")).where(F.col("n") >= LEAST))
+    total = scratch.keep(counted.groupBy("lang").agg(F.sum("n").alias("n")))
+    chunks = scratch.keep(frequent_hashes(first.where("part IS NOT NULL")))
+    scratch.drop(first)
+    coded = scratch.keep(longest_windows(documents, frequent_bits(chunks), width))
+    scratch.drop(chunks)
     phrases = scratch.keep(frequent_phrases(coded).withColumn("id", F.monotonically_increasing_id()))
     scratch.drop(coded)
 
-    named = scratch.keep(_spelled(phrases, words.where(F.col("n") >= LEAST)))
+    named = scratch.keep(_spelled(phrases, words))
     counts = named.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")).unionAll(
-        words.where(F.col("n") >= LEAST).select("lang", F.col("word").alias("part"), F.col("n").alias("f")))
+        words.select("lang", F.col("word").alias("part"), F.col("n").alias("f")))
     cuts = named.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k")).select("lang", "phrase", "a", "k", F.array_join(F.slice("words", F.lit(1), F.col("k")), " ").alias("head"),
                        F.array_join(F.slice("words", F.col("k") + 1, F.size("words")), " ").alias("rest"))
     l = counts.select("lang", F.col("part").alias("head"), F.col("f").alias("l"))  # noqa: E741
@@ -294,7 +399,6 @@ def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
             .where(F.col("longer").isNull() | (F.col("longer").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * 80)))
     order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
     ranked = scratch.keep(kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top))
-    total = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return (ranked.join(total, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", "best.score"))
 
